@@ -48,6 +48,18 @@ def build_dim_media(media_metadata: DataFrame, media_stats: DataFrame, stamp: bo
     return _stamp(out, stamp)
 
 
+def media_durations(media_metadata: DataFrame) -> DataFrame:
+    """``(media_id, duration_seconds)`` of the latest metadata version.
+
+    Row-for-row equal to ``dim_media``'s two columns (the channel join there
+    cannot add or drop rows), but without the stats branch, so the fact's
+    duration lookup stays a size-checked broadcast of the catalogue.
+    """
+    meta = latest_by(media_metadata.select("media_id", "duration_seconds", "pipeline_run_id", "ingested_at"),
+                     ["media_id"], "ingested_at", tiebreak=["pipeline_run_id"])
+    return meta.select("media_id", "duration_seconds")
+
+
 # -- dim_visitor -------------------------------------------------------------
 
 def build_dim_visitor(events: DataFrame, stamp: bool = False, events_unique: bool = True) -> DataFrame:

@@ -7,6 +7,8 @@ DuckDB SQL for every key that SQL can state.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def dim_visitor_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.build_fact(T.play_events(spark, sf), dim_media_frame(spark, sf),
+    return gold.build_fact(T.play_events(spark, sf), gold.media_durations(T.media_metadata(spark, sf)),
                            T.media_stats_by_date(spark, sf))
 
 
@@ -54,7 +56,7 @@ SELECT e.media_id, e.event_key, e.visitor_key, e.event_date, e.percent_viewed, d
        e.percent_viewed * d.duration_seconds AS estimated_watch_seconds
 FROM ev e LEFT JOIN dim_media d USING (media_id) WHERE e.visitor_key IS NOT NULL""")
 def watch_time(spark, sf):
-    return gold.watch_time(T.play_events(spark, sf), dim_media_frame(spark, sf)).select(
+    return gold.watch_time(T.play_events(spark, sf), gold.media_durations(T.media_metadata(spark, sf))).select(
         "media_id", "event_key", "visitor_key", "event_date", "percent_viewed", "duration_seconds",
         "estimated_watch_seconds")
 
@@ -63,7 +65,7 @@ def watch_time(spark, sf):
 SELECT media_id, sha256(visitor_key) AS visitor_id, date, play_count, watched_percent,
        total_watch_time_seconds FROM vd""")
 def visitor_daily(spark, sf):
-    return gold.visitor_daily(T.play_events(spark, sf), dim_media_frame(spark, sf))
+    return gold.visitor_daily(T.play_events(spark, sf), gold.media_durations(T.media_metadata(spark, sf)))
 
 
 @register("media_daily_rate", O.with_views("fact") + "SELECT * FROM rate")
@@ -86,3 +88,124 @@ SELECT sha256(visitor_key) AS visitor_id, country, region, city, browser, browse
 FROM vlatest""")
 def latest_attrs(spark, sf):
     return gold.latest_visitor_attrs(T.silver_events(spark, sf, with_audit=False))
+
+
+# -- RPT -----------------------------------------------------------------------
+
+from engagelake.plans import reports as R  # noqa: E402
+
+REPORT_WINDOW = (dt.date(2024, 1, 8), dt.date(2024, 1, 14))
+_FM = "FROM fact f JOIN dim_media m ON f.media_id = m.media_id"
+
+
+def _gold(spark, sf):
+    return fact_frame(spark, sf), dim_media_frame(spark, sf)
+
+
+@register("rpt_smoke_dim_media", O.with_views("dim_media")
+          + "SELECT * FROM dim_media ORDER BY media_id NULLS FIRST LIMIT 10")
+def rpt_smoke_dim_media(spark, sf):
+    return R.smoke(dim_media_frame(spark, sf), ["media_id"])
+
+
+@register("rpt_smoke_dim_visitor", O.with_views("dim_visitor")
+          + "SELECT * FROM dim_visitor ORDER BY visitor_id NULLS FIRST LIMIT 10")
+def rpt_smoke_dim_visitor(spark, sf):
+    return R.smoke(dim_visitor_frame(spark, sf), ["visitor_id"])
+
+
+@register("rpt_smoke_fact", O.with_views("fact")
+          + "SELECT * FROM fact ORDER BY media_id NULLS FIRST, visitor_id NULLS FIRST, date NULLS FIRST LIMIT 10")
+def rpt_smoke_fact(spark, sf):
+    return R.smoke(fact_frame(spark, sf), ["media_id", "visitor_id", "date"])
+
+
+@register("rpt_plays_by_date_channel", O.with_views("fact", "dim_media") + f"""
+SELECT f.date, m.channel, CAST(SUM(f.play_count) AS BIGINT) AS total_plays {_FM}
+GROUP BY f.date, m.channel ORDER BY f.date, m.channel""")
+def rpt_plays_by_date_channel(spark, sf):
+    return R.plays_by_date_channel(*_gold(spark, sf))
+
+
+@register("rpt_watch_time_by_date_channel", O.with_views("fact", "dim_media") + f"""
+SELECT f.date, m.channel, {O.dsum_round('f.total_watch_time_hours', 4)} AS total_watch_time_hours,
+       {O.dsum_round('f.total_watch_time_seconds', 2)} AS total_watch_time_seconds {_FM}
+GROUP BY f.date, m.channel ORDER BY f.date, m.channel""")
+def rpt_watch_time_by_date_channel(spark, sf):
+    return R.watch_time_by_date_channel(*_gold(spark, sf))
+
+
+@register("rpt_avg_watched_by_media", O.with_views("fact", "dim_media") + f"""
+SELECT m.channel, f.media_id, m.title, {O.rnd(O.davg('f.watched_percent'), 4)} AS avg_watched_percent,
+       {O.rnd('MAX(f.watched_percent)', 4)} AS max_watched_percent,
+       COUNT(DISTINCT f.visitor_id) AS unique_visitors, CAST(SUM(f.play_count) AS BIGINT) AS total_plays {_FM}
+GROUP BY m.channel, f.media_id, m.title ORDER BY avg_watched_percent DESC""")
+def rpt_avg_watched_by_media(spark, sf):
+    return R.avg_watched_by_media(*_gold(spark, sf))
+
+
+@register("rpt_unique_visitors", O.with_views("fact", "dim_media") + f"""
+SELECT m.channel, f.media_id, m.title, COUNT(DISTINCT f.visitor_id) AS unique_visitors,
+       CAST(SUM(f.play_count) AS BIGINT) AS total_plays {_FM}
+GROUP BY m.channel, f.media_id, m.title ORDER BY unique_visitors DESC""")
+def rpt_unique_visitors(spark, sf):
+    return R.unique_visitors(*_gold(spark, sf))
+
+
+@register("rpt_channel_summary", O.with_views("fact", "dim_media") + f"""
+SELECT m.channel, COUNT(DISTINCT f.media_id) AS media_count, COUNT(DISTINCT f.visitor_id) AS unique_visitors,
+       CAST(SUM(f.play_count) AS BIGINT) AS total_plays,
+       {O.rnd(O.davg('f.play_rate'), 4)} AS avg_play_rate,
+       {O.rnd(O.davg('f.watched_percent'), 4)} AS avg_watched_percent,
+       {O.dsum_round('f.total_watch_time_hours', 4)} AS total_watch_time_hours {_FM}
+GROUP BY m.channel ORDER BY total_plays DESC""")
+def rpt_channel_summary(spark, sf):
+    return R.channel_summary(*_gold(spark, sf))
+
+
+@register("rpt_daily_channel_trend", O.with_views("fact", "dim_media") + f"""
+SELECT f.date,
+       CAST(SUM(CASE WHEN m.channel = '{O.FB}' THEN f.play_count ELSE 0 END) AS BIGINT) AS {O.FB.lower()}_plays,
+       CAST(SUM(CASE WHEN m.channel = '{O.YT}' THEN f.play_count ELSE 0 END) AS BIGINT) AS {O.YT.lower()}_plays,
+       {O.dsum_round(f"CASE WHEN m.channel = '{O.FB}' THEN f.total_watch_time_hours ELSE 0 END", 4)} AS {O.FB.lower()}_watch_hours,
+       {O.dsum_round(f"CASE WHEN m.channel = '{O.YT}' THEN f.total_watch_time_hours ELSE 0 END", 4)} AS {O.YT.lower()}_watch_hours
+{_FM} GROUP BY f.date ORDER BY f.date""")
+def rpt_daily_channel_trend(spark, sf):
+    return R.daily_channel_trend(*_gold(spark, sf))
+
+
+@register("rpt_top_locations", O.with_views("dim_visitor") + f"""
+SELECT country, region, city, COUNT(DISTINCT visitor_id) AS unique_visitors,
+       CAST(SUM(event_count) AS BIGINT) AS total_events,
+       {O.rnd(O.davg('avg_percent_viewed'), 4)} AS avg_watched_percent
+FROM dim_visitor WHERE country IS NOT NULL GROUP BY country, region, city
+ORDER BY unique_visitors DESC, country NULLS FIRST, region NULLS FIRST, city NULLS FIRST LIMIT 25""")
+def rpt_top_locations(spark, sf):
+    return R.top_locations(dim_visitor_frame(spark, sf))
+
+
+@register("rpt_device_breakdown", O.with_views("dim_visitor") + f"""
+SELECT platform, browser, mobile, COUNT(DISTINCT visitor_id) AS unique_visitors,
+       CAST(SUM(event_count) AS BIGINT) AS total_events,
+       {O.rnd(O.davg('avg_percent_viewed'), 4)} AS avg_watched_percent
+FROM dim_visitor GROUP BY platform, browser, mobile ORDER BY unique_visitors DESC""")
+def rpt_device_breakdown(spark, sf):
+    return R.device_breakdown(dim_visitor_frame(spark, sf))
+
+
+@register("rpt_date_filtered", O.with_views("fact", "dim_media") + f"""
+SELECT f.date, m.channel, f.media_id, CAST(SUM(f.play_count) AS BIGINT) AS total_plays,
+       {O.dsum_round('f.total_watch_time_hours', 4)} AS total_watch_time_hours {_FM}
+WHERE f.date BETWEEN DATE '{REPORT_WINDOW[0]}' AND DATE '{REPORT_WINDOW[1]}'
+GROUP BY f.date, m.channel, f.media_id ORDER BY f.date, m.channel, f.media_id""")
+def rpt_date_filtered(spark, sf):
+    return R.date_filtered(*_gold(spark, sf), *REPORT_WINDOW)
+
+
+@register("rpt_kpi", O.with_views("fact", "dim_media") + f"""
+SELECT f.date, m.channel, f.media_id, CAST(SUM(f.play_count) AS BIGINT) AS plays,
+       {O.davg('f.watched_percent')} AS avg_watched_percent,
+       CAST({O.dsum('f.total_watch_time_hours')} AS DOUBLE) AS total_watch_time_hours {_FM}
+GROUP BY f.date, m.channel, f.media_id ORDER BY f.date DESC, m.channel, f.media_id""")
+def rpt_kpi(spark, sf):
+    return R.kpi(*_gold(spark, sf))

@@ -104,7 +104,7 @@ def silver_events(spark: SparkSession, sf_dir: str, with_audit: bool = True) ->
         F.when(F.col("event_id") % 2 == 0, F.lit("mobile")).otherwise(F.lit("desktop")).alias("platform"),
         (F.col("event_id") % 2 == 0).alias("mobile"),
     )
-    joined = core.join(visitor_places(spark, sf_dir), "visitor_key", "left")
+    joined = core.join(sized_broadcast(visitor_places(spark, sf_dir)), "visitor_key", "left")
     cols = ["event_key", "visitor_key", "media_id", "media_name", "received_at", "event_date",
             "percent_viewed", "country", "region", "city", "latitude", "longitude", "organization",
             "embed_url", "media_url", "browser", "browser_version", "platform", "mobile"]
