@@ -190,3 +190,104 @@ def with_views(*names: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",".join(_VIEWS[n][0] for n in order) + "\n"
+
+
+# -- quality results in SQL ----------------------------------------------------
+
+def q_null(name: str, c: str):
+    return (name, f"count(*) FILTER (WHERE {c} IS NULL)", "{v} = 0", "'null_count=' || CAST({v} AS VARCHAR)")
+
+
+def q_range(name: str, c: str, lo, hi, allow_null: bool = True):
+    cond = f"{c} < {lo} OR {c} > {hi}" + ("" if allow_null else f" OR {c} IS NULL")
+    return (name, f"count(*) FILTER (WHERE {cond})", "{v} = 0", "'invalid_count=' || CAST({v} AS VARCHAR)")
+
+
+def q_negative(name: str, c: str, allow_null: bool = True):
+    cond = f"{c} < 0" + ("" if allow_null else f" OR {c} IS NULL")
+    return (name, f"count(*) FILTER (WHERE {cond})", "{v} = 0", "'invalid_count=' || CAST({v} AS VARCHAR)")
+
+
+def q_positive(name: str, c: str):
+    return (name, f"count(*) FILTER (WHERE {c} <= 0)", "{v} = 0", "'invalid_count=' || CAST({v} AS VARCHAR)")
+
+
+def q_allowed(name: str, c: str, allowed):
+    vals = ", ".join(f"'{a}'" for a in sorted(allowed))
+    listed = "[" + ", ".join(f"''{a}''" for a in sorted(allowed)) + "]"
+    return (name, f"count(*) FILTER (WHERE NOT ({c} IN ({vals})))", "{v} = 0",
+            f"'expected={listed}, invalid_count=' || CAST({{v}} AS VARCHAR)")
+
+
+def q_row_count(name: str, expected_sql: str | None = None):
+    if expected_sql is None:
+        return (name, "count(*)", "{v} > 0", "'actual=' || CAST({v} AS VARCHAR)")
+    return (name, "count(*)", "{v} = " + expected_sql,
+            f"'expected=' || CAST({expected_sql} AS VARCHAR) || ', actual=' || CAST({{v}} AS VARCHAR)")
+
+
+def q_eval(table: str, rules, seq0: int) -> str:
+    parts = []
+    for i, (name, metric, passed, details) in enumerate(rules):
+        v = f"(SELECT {metric} FROM {table})"
+        parts.append(f"SELECT {seq0 + i} AS seq, '{name}' AS \"check\", {passed.format(v=v)} AS passed, "
+                     f"{v} AS observed, {details.format(v=v)} AS details")
+    return "\nUNION ALL ".join(parts)
+
+
+def q_unique(name: str, table: str, keys, seq: int) -> str:
+    v = f"(SELECT count(*) FROM (SELECT 1 FROM {table} GROUP BY {', '.join(keys)} HAVING count(*) > 1))"
+    return (f"SELECT {seq} AS seq, '{name}' AS \"check\", {v} = 0 AS passed, {v} AS observed, "
+            f"'duplicate_key_count=' || CAST({v} AS VARCHAR) AS details")
+
+
+def q_exists(name: str, left: str, right: str, key: str, seq: int, label: str) -> str:
+    v = (f"(SELECT count(*) FROM (SELECT DISTINCT l.{key} FROM {left} l WHERE NOT EXISTS "
+         f"(SELECT 1 FROM {right} r WHERE r.{key} = l.{key})))")
+    return (f"SELECT {seq} AS seq, '{name}' AS \"check\", {v} = 0 AS passed, {v} AS observed, "
+            f"'{label}=' || CAST({v} AS VARCHAR) AS details")
+
+
+def union(*parts: str) -> str:
+    return "\nUNION ALL ".join(parts)
+
+
+FACT_NON_NEGATIVE = ("play_count", "total_watch_time_seconds", "total_watch_time_hours",
+                     "media_load_count", "media_play_count", "media_hours_watched")
+
+
+def qc_dim_media_sql() -> str:
+    return union(
+        q_eval("dim_media", [q_row_count("dim_media.row_count", "(SELECT count(*) FROM part)"),
+                             q_null("dim_media.media_id.not_null", "media_id"),
+                             q_null("dim_media.title.not_null", "title"),
+                             q_null("dim_media.channel.not_null", "channel")], 0),
+        q_unique("dim_media.media_id.unique", "dim_media", ["media_id"], 4),
+        q_eval("dim_media", [q_allowed("dim_media.channel.expected_values", "channel", CHANNELS)], 5))
+
+
+def qc_dim_visitor_sql() -> str:
+    return union(
+        q_eval("dim_visitor", [q_row_count("dim_visitor.row_count_positive"),
+                               q_null("dim_visitor.visitor_id.not_null", "visitor_id")], 100),
+        q_unique("dim_visitor.visitor_id.unique", "dim_visitor", ["visitor_id"], 102),
+        q_eval("dim_visitor", [q_positive("dim_visitor.event_count.positive", "event_count"),
+                               q_range("dim_visitor.avg_percent_viewed.between_0_and_1", "avg_percent_viewed", 0, 1),
+                               q_range("dim_visitor.max_percent_viewed.between_0_and_1", "max_percent_viewed", 0, 1)],
+               103))
+
+
+def qc_fact_sql() -> str:
+    t = "fact_media_engagement"
+    return union(
+        q_eval("fact", [q_row_count(f"{t}.row_count_positive"),
+                        q_null(f"{t}.media_id.not_null", "media_id"),
+                        q_null(f"{t}.visitor_id.not_null", "visitor_id"),
+                        q_null(f"{t}.date.not_null", "date")], 200),
+        q_unique(f"{t}.grain.unique", "fact", ["media_id", "visitor_id", "date"], 204),
+        q_eval("fact", [*[q_negative(f"{t}.{c}.non_negative", c) for c in FACT_NON_NEGATIVE],
+                        q_range(f"{t}.play_rate.between_0_and_1", "play_rate", 0, 1),
+                        q_range(f"{t}.watched_percent.between_0_and_1", "watched_percent", 0, 1)], 205),
+        q_exists(f"{t}.media_id.exists_in_dim_media", "fact", "dim_media", "media_id", 213, "missing_media_count"),
+        q_exists(f"{t}.visitor_id.exists_in_dim_visitor", "fact", "dim_visitor", "visitor_id", 214,
+                 "missing_visitor_count"))

@@ -209,3 +209,106 @@ SELECT f.date, m.channel, f.media_id, CAST(SUM(f.play_count) AS BIGINT) AS plays
 GROUP BY f.date, m.channel, f.media_id ORDER BY f.date DESC, m.channel, f.media_id""")
 def rpt_kpi(spark, sf):
     return R.kpi(*_gold(spark, sf))
+
+
+# -- QC ------------------------------------------------------------------------
+
+from engagelake.operators import quality as QC  # noqa: E402
+from engagelake.plans import checks as CK  # noqa: E402
+
+
+def _t(spark, sf, name):
+    return T.table(spark, sf, name)
+
+
+@register("qc_nulls", O.q_eval("lineitem", [O.q_null(f"lineitem.{c}.not_null", c) for c in (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")], 0))
+def qc_nulls(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    return QC.evaluate(li, [QC.null_rule(f"lineitem.{c}.not_null", c) for c in li.columns])
+
+
+@register("qc_duplicate_keys", O.union(
+    O.q_unique("lineitem.key.unique", "lineitem", ["l_orderkey", "l_linenumber"], 0),
+    O.q_unique("orders.customer_day.unique", "orders", ["o_custkey", "o_orderdate"], 1)))
+def qc_duplicate_keys(spark, sf):
+    return QC.union_all([
+        QC.unique_check("lineitem.key.unique", _t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 0),
+        QC.unique_check("orders.customer_day.unique", _t(spark, sf, "orders"), ["o_custkey", "o_orderdate"], 1)])
+
+
+@register("qc_range", O.q_eval("lineitem", [
+    O.q_range("lineitem.l_discount.between_0_and_0.05", "l_discount", 0, 0.05),
+    O.q_range("lineitem.l_tax.between_0_and_0.05", "l_tax", 0, 0.05, allow_null=False),
+    O.q_range("lineitem.l_quantity.between_1_and_50", "l_quantity", 1, 50)], 0))
+def qc_range(spark, sf):
+    return QC.evaluate(_t(spark, sf, "lineitem"), [
+        QC.range_rule("lineitem.l_discount.between_0_and_0.05", "l_discount", 0, 0.05),
+        QC.range_rule("lineitem.l_tax.between_0_and_0.05", "l_tax", 0, 0.05, allow_null=False),
+        QC.range_rule("lineitem.l_quantity.between_1_and_50", "l_quantity", 1, 50)])
+
+
+@register("qc_negative", O.union(
+    O.q_eval("customer", [O.q_negative("customer.c_acctbal.non_negative", "c_acctbal")], 0),
+    O.q_eval("orders", [O.q_negative("orders.o_totalprice.non_negative", "o_totalprice", allow_null=False)], 1)))
+def qc_negative(spark, sf):
+    return QC.union_all([
+        QC.evaluate(_t(spark, sf, "customer"), [QC.negative_rule("customer.c_acctbal.non_negative", "c_acctbal")], 0),
+        QC.evaluate(_t(spark, sf, "orders"), [
+            QC.negative_rule("orders.o_totalprice.non_negative", "o_totalprice", allow_null=False)], 1)])
+
+
+@register("qc_positive", O.union(
+    O.q_eval("part", [O.q_positive("part.p_size.positive", "p_size")], 0),
+    O.q_eval("lineitem", [O.q_positive("lineitem.l_quantity.positive", "l_quantity")], 1)))
+def qc_positive(spark, sf):
+    return QC.union_all([
+        QC.evaluate(_t(spark, sf, "part"), [QC.positive_rule("part.p_size.positive", "p_size")], 0),
+        QC.evaluate(_t(spark, sf, "lineitem"), [QC.positive_rule("lineitem.l_quantity.positive", "l_quantity")], 1)])
+
+
+@register("qc_allowed_values", O.union(
+    O.q_eval("orders", [O.q_allowed("orders.o_orderstatus.expected_values", "o_orderstatus", ["F", "O"])], 0),
+    O.q_eval("lineitem", [O.q_allowed("lineitem.l_returnflag.expected_values", "l_returnflag", ["A", "R"])], 1)))
+def qc_allowed_values(spark, sf):
+    return QC.union_all([
+        QC.evaluate(_t(spark, sf, "orders"), [
+            QC.allowed_values_rule("orders.o_orderstatus.expected_values", "o_orderstatus", ["F", "O"])], 0),
+        QC.evaluate(_t(spark, sf, "lineitem"), [
+            QC.allowed_values_rule("lineitem.l_returnflag.expected_values", "l_returnflag", ["A", "R"])], 1)])
+
+
+@register("qc_orphans", """
+WITH c AS (SELECT c_custkey AS custkey FROM customer), o AS (SELECT o_custkey AS custkey FROM orders)
+""" + O.union(
+    O.q_exists("customer.custkey.exists_in_orders", "c", "o", "custkey", 0, "missing_count"),
+    O.q_exists("orders.custkey.exists_in_customer", "o", "c", "custkey", 1, "missing_count")))
+def qc_orphans(spark, sf):
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"))
+    o = _t(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"))
+    return QC.union_all([
+        QC.exists_check("customer.custkey.exists_in_orders", c, o, ["custkey"], 0, "missing_count"),
+        QC.exists_check("orders.custkey.exists_in_customer", o, c, ["custkey"], 1, "missing_count")])
+
+
+@register("qc_dim_media", O.with_views("dim_media") + O.qc_dim_media_sql())
+def qc_dim_media(spark, sf):
+    return CK.check_dim_media(dim_media_frame(spark, sf), T.media_config(spark, sf))
+
+
+@register("qc_dim_visitor", O.with_views("dim_visitor") + O.qc_dim_visitor_sql())
+def qc_dim_visitor(spark, sf):
+    return CK.check_dim_visitor(dim_visitor_frame(spark, sf))
+
+
+@register("qc_fact", O.with_views("fact", "dim_media", "dim_visitor") + O.qc_fact_sql())
+def qc_fact(spark, sf):
+    return CK.check_fact(fact_frame(spark, sf), dim_media_frame(spark, sf), dim_visitor_frame(spark, sf))
+
+
+@register("qc_gate", O.with_views("fact", "dim_media", "dim_visitor") + O.union(
+    O.qc_dim_media_sql(), O.qc_dim_visitor_sql(), O.qc_fact_sql()))
+def qc_gate(spark, sf):
+    return CK.check_gold(fact_frame(spark, sf), dim_media_frame(spark, sf), dim_visitor_frame(spark, sf),
+                         T.media_config(spark, sf))
