@@ -312,3 +312,127 @@ def qc_fact(spark, sf):
 def qc_gate(spark, sf):
     return CK.check_gold(fact_frame(spark, sf), dim_media_frame(spark, sf), dim_visitor_frame(spark, sf),
                          T.media_config(spark, sf))
+
+
+# -- WIN / AGG-10 / PRJ / FLT / FN ---------------------------------------------
+
+from engagelake.functions import scalar as S  # noqa: E402
+from engagelake.operators.latest import dedup_keep_one as _dedup, latest_by as _latest  # noqa: E402
+from engagelake.operators.privacy import drop_sensitive as _drop_sensitive  # noqa: E402
+
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus"]
+
+
+@register("latest_by", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, """
+          + ", ".join(f"{c} DESC NULLS LAST" for c in _LI_REST) + """) AS rn FROM lineitem) WHERE rn = 1""")
+def latest_by(spark, sf):
+    """Newest version per (order, line) by ship date; total tie-break on the rest."""
+    return _latest(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+
+
+@register("dedup_keep_one", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey NULLS FIRST,
+      o_orderstatus NULLS FIRST, o_totalprice NULLS FIRST, o_orderpriority NULLS FIRST) AS rn FROM orders)
+WHERE rn = 1""")
+def dedup_keep_one(spark, sf):
+    return _dedup(_t(spark, sf, "orders"), ["o_custkey", "o_orderdate"])
+
+
+@register("not_null_filter", """
+WITH j AS (SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, lang, quality, toxic FROM j WHERE quality IS NOT NULL AND doc_id IS NOT NULL""")
+def not_null_filter(spark, sf):
+    """Rows whose keys are present (labelled documents: the label side of a
+    left join is null for unlabelled ones)."""
+    docs = _t(spark, sf, "documents").select("doc_id", "lang")
+    joined = docs.join(_t(spark, sf, "labels"), "doc_id", "left")
+    return joined.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", "lang", "quality", "toxic")
+
+
+def _raw_event_records(spark, sf):
+    """Raw event records as an API would send them, personal fields included."""
+    ev = _t(spark, sf, "events")
+    return ev.select(
+        F.col("event_id").cast("string").alias("event_key"),
+        F.col("user_id").cast("string").alias("visitor_key"),
+        F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit("."),
+                 (F.col("event_id") % 256).cast("string")).alias("ip"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.invalid")).alias("email"),
+        F.col("event_type").alias("description"),
+        F.col("value").alias("percent_viewed"),
+        F.struct(F.col("event_type").alias("browser"),
+                 F.concat(F.lit("tok-"), F.col("event_id").cast("string")).alias("api_key")).alias("agent"),
+    )
+
+
+@register("drop_sensitive", """
+SELECT CAST(event_id AS VARCHAR) AS event_key, value AS percent_viewed, event_type AS agent_browser
+FROM events""")
+def drop_sensitive(spark, sf):
+    """Sensitive names (ip, email, visitor key, and the 'ip' in 'description')
+    leave the frame; nested sensitive fields too."""
+    out = _drop_sensitive(_raw_event_records(spark, sf))
+    return out.select("event_key", "percent_viewed", F.col("agent.browser").alias("agent_browser"))
+
+
+@register("sanitize_key", """
+SELECT page_id, regexp_replace(replace(url, '/', '_'), '[^A-Za-z0-9_.=-]+', '_', 'g') AS file_part,
+       regexp_replace(url, '[^A-Za-z0-9_.=-]+', '_', 'g') AS url_part
+FROM pages""")
+def sanitize_key(spark, sf):
+    pages = _t(spark, sf, "pages")
+    return pages.select("page_id",
+                        S.sanitize_file_part(F.regexp_replace("url", "/", "_")).alias("file_part"),
+                        S.sanitize_file_part("url").alias("url_part"))
+
+
+@register("scalar_pack", f"""
+WITH x AS (
+  SELECT event_id, user_id, ts, value, event_type, props,
+         CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ')
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS received_text
+  FROM events)
+SELECT CAST(event_id AS VARCHAR) AS event_key, received_text,
+       CASE WHEN event_id % 2 = 0 THEN date_trunc('millisecond', ts) END AS received_at,
+       CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS event_date,
+       CAST(ts AS DATE) AS ingest_date,
+       CAST(CAST(ts AS DATE) - INTERVAL 1 DAY AS DATE) AS lookback_start,
+       TRY_CAST(CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE 'n/a' || CAST(user_id AS VARCHAR) END
+                AS BIGINT) AS load_count,
+       TRY_CAST(CASE event_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE 'maybe' END AS BOOLEAN) AS archived,
+       sha256(CAST(user_id AS VARCHAR)) AS visitor_id,
+       CASE WHEN user_id % 3 > 0 THEN CAST(event_id % 5 AS DOUBLE) / CAST(user_id % 3 AS DOUBLE) END AS rate,
+       {O.rnd('value * 1.2345', 2)} AS rounded,
+       CASE WHEN event_type = 'view' THEN 'seen' END AS seen,
+       event_type IN ('view', 'click') AS is_play,
+       regexp_replace(event_type || '/' || props, '[^A-Za-z0-9_.=-]+', '_', 'g') AS file_part
+FROM x""")
+def scalar_pack(spark, sf):
+    ev = _t(spark, sf, "events")
+    even = F.col("event_id") % 2 == 0
+    x = ev.select("*", F.when(even, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+                         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("received_text"))
+    received = S.event_time("received_text")
+    return x.select(
+        F.col("event_id").cast("string").alias("event_key"), "received_text",
+        received.cast("timestamp_ntz").alias("received_at"),
+        F.to_date(received).alias("event_date"),
+        S.iso_date(F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("T01:02:03.1+00:00"))).alias("ingest_date"),
+        F.date_sub(F.col("ts").cast("date"), 1).alias("lookback_start"),
+        S.as_long(F.when(even, F.col("user_id").cast("string"))
+                  .otherwise(F.concat(F.lit("n/a"), F.col("user_id").cast("string")))).alias("load_count"),
+        S.as_bool(F.when(F.col("event_id") % 3 == 0, "true").when(F.col("event_id") % 3 == 1, "false")
+                  .otherwise("maybe")).alias("archived"),
+        S.pseudonym("user_id").alias("visitor_id"),
+        S.safe_ratio(F.col("event_id") % 5, F.col("user_id") % 3).alias("rate"),
+        F.round(F.col("value") * F.lit(1.2345), 2).alias("rounded"),
+        F.when(F.col("event_type") == "view", F.lit("seen")).alias("seen"),
+        F.col("event_type").isin("view", "click").alias("is_play"),
+        S.sanitize_file_part(F.concat(F.col("event_type"), F.lit("/"), F.col("props"))).alias("file_part"),
+    )
