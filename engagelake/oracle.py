@@ -1,8 +1,9 @@
 """Independent SQL (DuckDB dialect) for the correctness gate.
 
 The views below restate the domain mapping of ``sources/testdata.py`` and
-the gold rules in plain SQL.  Rounding goes through DECIMAL so that ties are
-resolved half-up on the decimal value (as Spark's ``round`` does), and sums
+the gold rules in plain SQL.  Rounding goes through the double's shortest
+decimal text and DECIMAL, so ties are resolved half-up on that text (as
+Spark's ``round`` does), and sums
 of rounded gold columns are added as DECIMAL, the same order-independent
 form the Spark reports use.
 """
@@ -15,7 +16,8 @@ FB, YT = CHANNELS
 
 
 def rnd(expr: str, n: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
+    """Half-up rounding of the double's shortest decimal text (Spark's rule)."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,17)), {n}) AS DOUBLE)"
 
 
 def dsum(expr: str, scale: int = 6) -> str:
