@@ -293,3 +293,84 @@ def qc_fact_sql() -> str:
         q_exists(f"{t}.media_id.exists_in_dim_media", "fact", "dim_media", "media_id", 213, "missing_media_count"),
         q_exists(f"{t}.visitor_id.exists_in_dim_visitor", "fact", "dim_visitor", "visitor_id", 214,
                  "missing_visitor_count"))
+
+
+# -- silver from envelopes ---------------------------------------------------------
+
+SILVER_MEDIA_METADATA = """
+SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id, p_partkey AS numeric_id, p_name AS title,
+       p_brand AS description, CAST(p_size AS DOUBLE) * 60.0 AS duration_seconds, p_type AS media_type,
+       'ready' AS status, p_size % 2 = 0 AS archived, CAST(NULL AS TIMESTAMP) AS created_at,
+       CAST(NULL AS TIMESTAMP) AS updated_at, 'run-catalogue' AS pipeline_run_id,
+       TIMESTAMP '2024-01-01 02:00:00' AS ingested_at, CAST(NULL AS VARCHAR) AS source_file,
+       DATE '2024-01-01' AS ingest_date
+FROM part"""
+
+SILVER_MEDIA_STATS = "WITH " + SD + """
+SELECT media_id, channel, load_count, play_count,
+       CASE WHEN load_count > 0 THEN CAST(play_count AS DOUBLE) / load_count END AS play_rate,
+       hours_watched, engagement, visitor_count, pipeline_run_id, ingested_at,
+       CAST(NULL AS VARCHAR) AS source_file, CAST(metric_date + INTERVAL 1 DAY AS DATE) AS ingest_date
+FROM sd"""
+
+SILVER_MEDIA_STATS_BY_DATE = "WITH " + SD + """
+SELECT media_id, channel, metric_date, load_count, play_count, hours_watched,
+       'run-' || strftime(CAST(metric_date + INTERVAL 1 DAY AS DATE), '%Y%m%d') AS pipeline_run_id,
+       CAST(metric_date AS TIMESTAMP) + INTERVAL 50 HOUR AS ingested_at,
+       CAST(NULL AS VARCHAR) AS source_file, CAST(metric_date + INTERVAL 2 DAY AS DATE) AS ingest_date
+FROM sd"""
+
+SILVER_MEDIA_ENGAGEMENT = """
+SELECT 'm' || CAST(vec_id AS VARCHAR) AS media_id,
+       """ + CHANNEL_OF.format(k="vec_id") + """ AS channel,
+       CAST(i - 1 AS INTEGER) AS timeline_index,
+       CAST(floor(CAST(embedding[i] AS DOUBLE) * 1000.0) AS BIGINT) AS engagement_value,
+       CASE WHEN i <= label + 1 THEN CAST(floor(CAST(embedding[label + 2 - i] AS DOUBLE) * 1000.0) AS BIGINT)
+       END AS rewatch_value,
+       CAST(label AS DOUBLE) / 4.0 AS overall_engagement, 'run-engagement' AS pipeline_run_id,
+       TIMESTAMP '2024-01-31 02:00:00' AS ingested_at, CAST(NULL AS VARCHAR) AS source_file,
+       DATE '2024-01-31' AS ingest_date
+FROM embeddings, range(1, len(embedding) + 1) r(i)"""
+
+SILVER_EVENTS_COLS = """
+       s.event_key, s.visitor_key, s.media_id, s.media_name, date_trunc('millisecond', s.received_at) AS received_at,
+       s.event_date, s.percent_viewed, s.country, s.region, s.city, s.latitude, s.longitude, s.organization,
+       s.embed_url, s.media_url, s.browser, s.browser_version, s.platform, s.mobile,
+       'run-' || strftime(CAST(s.event_date + INTERVAL 1 DAY AS DATE), '%Y%m%d') AS pipeline_run_id,
+       CAST(s.event_date AS TIMESTAMP) + INTERVAL 50 HOUR AS ingested_at"""
+
+
+def silver_events_sql(source_file: str = "CAST(NULL AS VARCHAR) AS source_file") -> str:
+    return with_views("sev") + "SELECT " + SILVER_EVENTS_COLS + f""", {source_file},
+       CAST(s.event_date + INTERVAL 2 DAY AS DATE) AS ingest_date
+FROM sev s"""
+
+
+SILVER_VISITOR_STATS = """
+WITH e AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+d AS (SELECT user_id, day, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS load_count,
+             count(*) FILTER (WHERE event_type IN ('view', 'click')) AS play_count
+      FROM e GROUP BY 1, 2),
+l AS (SELECT * FROM (SELECT user_id, day, event_id, event_type,
+                            row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) AS rn
+                     FROM e) WHERE rn = 1),
+last_day AS (SELECT user_id, max(day) AS day FROM e GROUP BY 1)
+SELECT CAST(d.user_id AS VARCHAR) AS visitor_key, d.first_ts AS created_at, d.last_ts AS last_active_at,
+       CAST(l.event_id AS VARCHAR) AS last_event_key, d.load_count, d.play_count,
+       l.event_type AS browser, CAST(l.event_id % 10 AS VARCHAR) AS browser_version,
+       CASE WHEN l.event_id % 2 = 0 THEN 'mobile' ELSE 'desktop' END AS platform, l.event_id % 2 = 0 AS mobile,
+       'run-' || strftime(d.day, '%Y%m%d') AS pipeline_run_id,
+       CAST(d.day AS TIMESTAMP) + INTERVAL 26 HOUR AS ingested_at,
+       CAST(NULL AS VARCHAR) AS source_file, CAST(d.day + INTERVAL 1 DAY AS DATE) AS ingest_date
+FROM d JOIN last_day USING (user_id, day) JOIN l USING (user_id, day)"""
+
+# Event records as landed: every event by the run of its day and by the next run.
+LANDED_EVENTS = """
+SELECT 'run-' || strftime(CAST(CAST(ts AS DATE) + INTERVAL (lag) DAY AS DATE), '%Y%m%d') AS pipeline_run_id,
+       strftime(CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL (26 + 24 * lag) HOUR, '%Y-%m-%dT%H:%M:%S.%f')
+         || '+00:00' AS ingested_at,
+       'm' || json_extract_string(props, '$.k') AS media_id,
+       CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 THEN 'Facebook' ELSE 'YouTube' END
+         AS channel,
+       CAST(event_id AS VARCHAR) AS event_key
+FROM events, range(0, 2) g(lag)"""

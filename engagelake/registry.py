@@ -436,3 +436,56 @@ def scalar_pack(spark, sf):
         F.col("event_type").isin("view", "click").alias("is_play"),
         S.sanitize_file_part(F.concat(F.col("event_type"), F.lit("/"), F.col("props"))).alias("file_part"),
     )
+
+
+# -- TRF / SRC / SNK / JSN-5 -------------------------------------------------------
+
+from engagelake.plans import silver as SV  # noqa: E402
+from engagelake.session import new_run_dir  # noqa: E402
+from engagelake.sources import bronze as BZ  # noqa: E402
+
+
+def _silver(dataset):
+    def run(spark, sf):
+        return SV.TRANSFORMS[dataset](T.ENVELOPE_BUILDERS[dataset](spark, sf))
+    run.__name__ = f"silver_{dataset}"
+    return run
+
+
+register("silver_media_metadata", O.SILVER_MEDIA_METADATA)(_silver("media_metadata"))
+register("silver_media_stats", O.SILVER_MEDIA_STATS)(_silver("media_stats"))
+register("silver_media_stats_by_date", O.SILVER_MEDIA_STATS_BY_DATE)(_silver("media_stats_by_date"))
+register("silver_media_engagement", O.SILVER_MEDIA_ENGAGEMENT)(_silver("media_engagement"))
+register("silver_events", O.silver_events_sql())(_silver("events"))
+register("silver_visitor_stats", O.SILVER_VISITOR_STATS)(_silver("visitor_stats"))
+
+
+@register("land_bronze", O.LANDED_EVENTS)
+def land_bronze(spark, sf):
+    """Land paged event envelopes as JSON Lines, read them back (explicit
+    schema, recursive), one row per landed record."""
+    root = new_run_dir(spark, "bronze")
+    BZ.land(T.events_envelopes(spark, sf), root, "events")
+    env = BZ.read(spark, root, "events")
+    return env.select("pipeline_run_id", "ingested_at", "media_id", "channel",
+                      F.explode("payload.event_key").alias("event_key"))
+
+
+@register("bronze_scan", O.silver_events_sql("TRUE AS has_source_file"))
+def bronze_scan(spark, sf):
+    """Landed events -> scan with provenance -> silver events."""
+    root = new_run_dir(spark, "bronze")
+    BZ.land(T.events_envelopes(spark, sf), root, "events")
+    out = SV.events(BZ.read(spark, root, "events"))
+    return out.withColumn("has_source_file", F.col("source_file").startswith("file:")).drop("source_file")
+
+
+@register("paged_envelopes", """
+SELECT pipeline_run_id, media_id, count(*) AS n_records, TRUE AS pages_within_limit
+FROM (""" + O.LANDED_EVENTS + ") GROUP BY 1, 2")
+def paged_envelopes(spark, sf):
+    """Event pages per (media, run): record totals and the page-size bound."""
+    env = T.events_envelopes(spark, sf, per_page=100)
+    return env.groupBy("pipeline_run_id", "media_id").agg(
+        F.sum(F.size("payload")).alias("n_records"),
+        F.bool_and(F.size("payload") <= 100).alias("pages_within_limit"))

@@ -188,3 +188,166 @@ def media_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_label() -> Column:
     return F.lit(SOURCE_NAME)
+
+
+# -- API-shaped records and envelopes (bronze) -----------------------------------
+
+from engagelake.constants import DEFAULT_PAGE_SIZE  # noqa: E402
+from engagelake.sources import bronze as BZ  # noqa: E402
+
+MS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+LOOKBACK_LANDINGS = 2  # each day is landed by its own run and re-read by the next
+
+
+def _landings(df: DataFrame, day_col: str) -> DataFrame:
+    """Each row once per run that lands its day: the run of the day and the next run."""
+    return (df.withColumn("_lag", F.explode(F.sequence(F.lit(0), F.lit(LOOKBACK_LANDINGS - 1))))
+              .withColumn("_run_day", F.date_add(F.col(day_col), F.col("_lag"))))
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw event records (API shape, personal fields included) with their day."""
+    ev = table(spark, sf_dir, "events")
+    places = sized_broadcast(visitor_places(spark, sf_dir))
+    k = _media_key(F.col("props"))
+    base = ev.select(
+        F.col("event_id").cast("string").alias("event_key"),
+        F.col("user_id").cast("string").alias("visitor_key"),
+        F.concat(F.lit("m"), k).alias("media_id"),
+        F.concat(F.lit("media "), k).alias("media_name"),
+        F.date_format("ts", MS_TEXT).alias("received_at"),
+        (F.floor("value") / F.lit(256.0)).alias("percent_viewed"),
+        F.concat(F.lit("/embed/"), F.col("event_id").cast("string")).alias("embed_url"),
+        F.concat(F.lit("/media/m"), k).alias("media_url"),
+        F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit("."),
+                 (F.col("event_id") % 256).cast("string")).alias("ip"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.invalid")).alias("email"),
+        F.struct(F.col("event_type").alias("browser"),
+                 (F.col("event_id") % 10).cast("string").alias("browser_version"),
+                 F.when(F.col("event_id") % 2 == 0, F.lit("mobile")).otherwise(F.lit("desktop")).alias("platform"),
+                 (F.col("event_id") % 2 == 0).alias("mobile")).alias("user_agent_details"),
+        F.col("ts").cast("date").alias("event_date"),
+        k.cast("long").alias("k"),
+    )
+    return (base.join(places, "visitor_key", "left")
+                .withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
+                .withColumnRenamed("organization", "org"))
+
+
+EVENT_RECORD_COLS = ["event_key", "visitor_key", "media_id", "media_name", "received_at", "percent_viewed",
+                     "country", "region", "city", "lat", "lon", "org", "embed_url", "media_url", "ip", "email",
+                     "user_agent_details"]
+
+
+def events_envelopes(spark: SparkSession, sf_dir: str, per_page: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """Paged event responses per (media, run); every day re-landed by the next run."""
+    rec = _landings(event_records(spark, sf_dir), "event_date")
+    paged = BZ.page_records(rec, ["media_id", "_run_day"], "event_key", per_page)
+    params = F.create_map(F.lit("media_id"), F.col("media_id"),
+                          F.lit("start_date"), F.date_sub("_run_day", 1).cast("string"),
+                          F.lit("end_date"), F.col("_run_day").cast("string"),
+                          F.lit("page"), F.col("page").cast("string"),
+                          F.lit("per_page"), F.lit(str(per_page)))
+    return BZ.envelopes(paged, dataset="events", endpoint="/stats/events",
+                        run_id=run_id_of(F.col("_run_day")),
+                        ingested_at=BZ.run_stamp(run_time_of(F.col("_run_day"))),
+                        media_id=F.col("media_id"), channel=channel_of(F.col("k")),
+                        record_cols=EVENT_RECORD_COLS, request_params=params,
+                        group_cols=["page"])
+
+
+def media_stats_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = media_day_stats(spark, sf_dir).withColumn("visitors", F.col("visitor_count")).withColumn(
+        "play_rate", F.when(F.col("load_count") > 0, F.col("play_count") / F.col("load_count")))
+    return BZ.envelopes(s, dataset="media_stats", endpoint="/stats/medias/{media_id}",
+                        run_id=F.col("pipeline_run_id"), ingested_at=BZ.run_stamp(F.col("ingested_at")),
+                        media_id=F.col("media_id"), channel=F.col("channel"),
+                        record_cols=["load_count", "play_count", "play_rate", "hours_watched", "engagement",
+                                     "visitors"], array_payload=False)
+
+
+def media_stats_by_date_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (media, run): the run's day and the day before (lookback overlap)."""
+    s = _landings(media_day_stats(spark, sf_dir), "metric_date").withColumn(
+        "date", F.col("metric_date").cast("string"))
+    return BZ.envelopes(s, dataset="media_stats_by_date", endpoint="/stats/medias/{media_id}/by_date",
+                        run_id=run_id_of(F.col("_run_day")),
+                        ingested_at=BZ.run_stamp(run_time_of(F.col("_run_day"))),
+                        media_id=F.col("media_id"), channel=F.col("channel"),
+                        record_cols=["date", "load_count", "play_count", "hours_watched"])
+
+
+def media_engagement_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement timelines from ``embeddings``: points = floor(1000 x), rewatch
+    = the first ``label + 1`` points reversed (uneven lengths)."""
+    emb = table(spark, sf_dir, "embeddings")
+    pts = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(1000.0)))
+    rec = emb.select(
+        F.concat(F.lit("m"), F.col("vec_id").cast("string")).alias("media_id"),
+        channel_of(F.col("vec_id")).alias("channel"),
+        pts.alias("engagement_data"),
+        F.reverse(F.slice(pts, 1, F.col("label") + 1)).alias("rewatch_data"),
+        (F.col("label") / F.lit(4.0)).alias("engagement"))
+    return BZ.envelopes(rec, dataset="media_engagement", endpoint="/stats/medias/{media_id}/engagement",
+                        run_id=F.lit("run-engagement"), ingested_at=F.lit("2024-01-31T02:00:00+00:00"),
+                        media_id=F.col("media_id"), channel=F.col("channel"),
+                        record_cols=["engagement", "engagement_data", "rewatch_data"], array_payload=False)
+
+
+def media_metadata_envelopes(spark: SparkSession, sf_dir: str, per_page: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    rec = part.select(
+        F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("hashed_id"),
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("description"),
+        (F.col("p_size") * F.lit(60.0)).alias("duration"), F.col("p_type").alias("type"),
+        F.lit("ready").alias("status"), (F.col("p_size") % 2 == 0).alias("archived"),
+        F.lit(None).cast("string").alias("created"), F.lit(None).cast("string").alias("updated"))
+    paged = BZ.page_records(rec, [], "hashed_id", per_page)
+    return BZ.envelopes(paged, dataset="media_metadata", endpoint="/medias",
+                        run_id=F.lit("run-catalogue"), ingested_at=F.lit("2024-01-01T02:00:00+00:00"),
+                        media_id=None, channel=None,
+                        record_cols=["hashed_id", "id", "name", "description", "duration", "type", "status",
+                                     "archived", "created", "updated"], group_cols=["page"])
+
+
+def visitor_stats_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One snapshot per visitor and run day (the day's activity)."""
+    ev = table(spark, sf_dir, "events")
+    day = F.col("ts").cast("date")
+    agent = F.struct(F.col("event_type").alias("browser"),
+                     (F.col("event_id") % 10).cast("string").alias("browser_version"),
+                     F.when(F.col("event_id") % 2 == 0, F.lit("mobile")).otherwise(F.lit("desktop")).alias("platform"),
+                     (F.col("event_id") % 2 == 0).alias("mobile"))
+    order = F.struct("ts", "event_id")
+    g = ev.groupBy("user_id", day.alias("day")).agg(
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.max_by("event_id", order).alias("last_event"),
+        F.count(F.lit(1)).alias("load_count"),
+        F.count_if(F.col("event_type").isin(*PLAY_TYPES)).alias("play_count"),
+        F.max_by(agent, order).alias("user_agent_details"))
+    rec = g.select(
+        "day", F.col("user_id").cast("string").alias("visitor_key"),
+        F.date_format("first_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_at"),
+        F.date_format("last_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("last_active_at"),
+        F.col("last_event").cast("string").alias("last_event_key"),
+        "load_count", "play_count", "user_agent_details",
+        F.struct(F.concat(F.lit("visitor "), F.col("user_id").cast("string")).alias("name"),
+                 F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.invalid")).alias("email"))
+         .alias("visitor_identity"))
+    return BZ.envelopes(rec, dataset="visitor_stats", endpoint="/stats/visitors/{visitor_key}",
+                        run_id=run_id_of(F.col("day")), ingested_at=BZ.run_stamp(run_time_of(F.col("day"))),
+                        media_id=None, channel=None,
+                        record_cols=["visitor_key", "created_at", "last_active_at", "last_event_key", "load_count",
+                                     "play_count", "user_agent_details", "visitor_identity"],
+                        request_params=F.create_map(F.lit("visitor_key"), F.col("visitor_key")),
+                        array_payload=False)
+
+
+ENVELOPE_BUILDERS = {
+    "media_metadata": media_metadata_envelopes,
+    "media_stats": media_stats_envelopes,
+    "media_stats_by_date": media_stats_by_date_envelopes,
+    "media_engagement": media_engagement_envelopes,
+    "events": events_envelopes,
+    "visitor_stats": visitor_stats_envelopes,
+}
