@@ -489,3 +489,116 @@ def paged_envelopes(spark, sf):
     return env.groupBy("pipeline_run_id", "media_id").agg(
         F.sum(F.size("payload")).alias("n_records"),
         F.bool_and(F.size("payload") <= 100).alias("pages_within_limit"))
+
+
+# -- INC -----------------------------------------------------------------------------
+
+from engagelake.plans import incremental as INC  # noqa: E402
+
+_EXPLICIT = ("2024-01-05", "2024-01-09")
+_AS_OF_DISABLED = dt.datetime(2024, 1, 25, 8, 0, tzinfo=dt.timezone.utc)
+_AS_OF_LOOKBACK = dt.datetime(2024, 1, 20, 12, 0, tzinfo=dt.timezone.utc)
+_AS_OF_BOOTSTRAP = dt.datetime(2024, 1, 1, 1, 0, tzinfo=dt.timezone.utc)
+_INITIAL_START = "2023-12-31"
+
+
+def _window_sql(lo: str, hi: str) -> str:
+    return (O.with_views("ev") + "SELECT event_key, visitor_key, media_id, event_date, percent_viewed FROM ev "
+            f"WHERE event_date BETWEEN DATE '{lo}' AND DATE '{hi}'")
+
+
+def _window_events(spark, sf, window):
+    return INC.in_window(T.play_events(spark, sf), window).select(
+        "event_key", "visitor_key", "media_id", "event_date", "percent_viewed")
+
+
+def run_commit_candidates(spark, sf) -> DataFrame:
+    """Candidate watermark states in processing order: each daily run commits
+    its run clock; a replay of the previous run's commit follows it."""
+    ev = T.play_events(spark, sf)
+    days = ev.groupBy("event_date").agg(F.count_distinct("visitor_key").alias("visitor_count"),
+                                        F.count_distinct("media_id").alias("media_count"))
+    cand = days.withColumn("replay", F.explode(F.array(F.lit(0), F.lit(1))))
+    run_day = F.when(F.col("replay") == 0, F.col("event_date")).otherwise(F.date_sub("event_date", 1))
+    wm_ts = T.run_time_of(run_day)
+    return cand.select(
+        (F.datediff("event_date", F.lit(dt.date(1970, 1, 1))) * 2 + F.col("replay")).alias("seq"),
+        F.lit("wistia").alias("source"),
+        BZ.run_stamp(wm_ts).alias("watermark_value"),
+        wm_ts.cast("timestamp").alias("watermark_ts"),
+        T.run_id_of(run_day).alias("pipeline_run_id"),
+        "visitor_count", "media_count")
+
+
+@register("inc_explicit", _window_sql(*_EXPLICIT))
+def inc_explicit(spark, sf):
+    w = INC.resolve_window(as_of=_AS_OF_LOOKBACK, explicit_start=_EXPLICIT[0], explicit_end=_EXPLICIT[1])
+    return _window_events(spark, sf, w)
+
+
+@register("inc_disabled", _window_sql("2024-01-24", "2024-01-25"))
+def inc_disabled(spark, sf):
+    return _window_events(spark, sf, INC.resolve_window(as_of=_AS_OF_DISABLED, disable_watermark=True))
+
+
+@register("inc_lookback", _window_sql("2024-01-19", "2024-01-20"))
+def inc_lookback(spark, sf):
+    """Previous watermark = newest accepted commit before ``as_of``; start =
+    its date minus the one-day lookback."""
+    prev = INC.current_watermark(INC.accepted_commits(run_commit_candidates(spark, sf)), _AS_OF_LOOKBACK)
+    return _window_events(spark, sf, INC.resolve_window(as_of=_AS_OF_LOOKBACK, previous_watermark=prev))
+
+
+@register("inc_bootstrap", _window_sql(_INITIAL_START, "2024-01-01"))
+def inc_bootstrap(spark, sf):
+    prev = INC.current_watermark(INC.accepted_commits(run_commit_candidates(spark, sf)), _AS_OF_BOOTSTRAP)
+    return _window_events(spark, sf, INC.resolve_window(as_of=_AS_OF_BOOTSTRAP, previous_watermark=prev,
+                                                        initial_start_date=_INITIAL_START))
+
+
+@register("watermark_advance", """
+WITH days AS (
+  SELECT CAST(ts AS DATE) AS d, count(DISTINCT user_id) AS visitor_count,
+         count(DISTINCT json_extract_string(props, '$.k')) AS media_count
+  FROM events GROUP BY 1),
+cand AS (
+  SELECT (date_diff('day', DATE '1970-01-01', d) * 2 + replay) AS seq,
+         CAST(CASE WHEN replay = 0 THEN d ELSE d - INTERVAL 1 DAY END AS DATE) AS run_day,
+         visitor_count, media_count
+  FROM days, range(0, 2) g(replay)),
+c2 AS (
+  SELECT seq, strftime(CAST(run_day AS TIMESTAMP) + INTERVAL 26 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
+           AS watermark_value,
+         CAST(run_day AS TIMESTAMP) + INTERVAL 26 HOUR AS watermark_ts,
+         'run-' || strftime(run_day, '%Y%m%d') AS pipeline_run_id, visitor_count, media_count
+  FROM cand),
+c3 AS (SELECT *, max(watermark_ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+       FROM c2)
+SELECT seq, 'wistia' AS source, watermark_value, watermark_ts, pipeline_run_id, visitor_count, media_count
+FROM c3 WHERE prior IS NULL OR watermark_ts > prior""")
+def watermark_advance(spark, sf):
+    return INC.accepted_commits(run_commit_candidates(spark, sf))
+
+
+_SPLIT = dt.date(2024, 1, 14)   # run B re-reads from here (lookback overlap with run A)
+_A_END = dt.date(2024, 1, 15)
+
+
+@register("inc_upsert", O.with_views("ev") + f"""
+SELECT event_key, event_date, CASE WHEN event_date >= DATE '{_SPLIT}' THEN 'run-B' ELSE 'run-A' END
+       AS pipeline_run_id
+FROM ev""")
+def inc_upsert(spark, sf):
+    """Two runs with overlapping windows merged into a date-partitioned silver
+    table: every event once, the overlap from the later run."""
+    ev = T.play_events(spark, sf)
+    run_a = ev.filter(F.col("event_date") <= F.lit(_A_END)).select(
+        "*", F.lit("run-A").alias("pipeline_run_id"),
+        F.lit(dt.datetime(2024, 1, 16, 2)).cast("timestamp_ntz").alias("ingested_at"))
+    run_b = ev.filter(F.col("event_date") >= F.lit(_SPLIT)).select(
+        "*", F.lit("run-B").alias("pipeline_run_id"),
+        F.lit(dt.datetime(2024, 1, 31, 2)).cast("timestamp_ntz").alias("ingested_at"))
+    path = new_run_dir(spark, "silver") + "/events"
+    INC.upsert_latest(spark, run_a, path, ["event_key"], "ingested_at", ["event_date"])
+    INC.upsert_latest(spark, run_b, path, ["event_key"], "ingested_at", ["event_date"])
+    return spark.read.schema(run_a.schema).parquet(path).select("event_key", "event_date", "pipeline_run_id")
