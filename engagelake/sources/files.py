@@ -37,17 +37,21 @@ def read_required(spark: SparkSession, root: str, table: str, schema: T.StructTy
 
 
 def write_table(df: DataFrame, root: str, table: str, partition_cols: Sequence[str] = (),
-                mode: str = "overwrite", dynamic: bool = False) -> tuple[str, Observation]:
+                mode: str = "overwrite", dynamic: bool = False,
+                cluster_by: Sequence[str] = ()) -> tuple[str, Observation]:
     """Write Parquet, rebalanced on the partition columns first (one shuffle,
     few files per folder; AQE splits a hot partition value over several
     tasks instead of one).  The row count is observed during the write, so
     the plan is not run a second time to count.  ``dynamic`` replaces only
-    the partitions present in ``df``."""
+    the partitions present in ``df``; ``cluster_by`` sorts rows inside each
+    file so Parquet min/max statistics can skip row groups."""
     path = f"{root.rstrip('/')}/{table}"
     obs = Observation(f"rows_{table}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_cols:
         out = out.hint("rebalance", *partition_cols)
+    if partition_cols or cluster_by:
+        out = out.sortWithinPartitions(*partition_cols, *cluster_by)
     writer = out.write.mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
