@@ -602,3 +602,55 @@ def inc_upsert(spark, sf):
     INC.upsert_latest(spark, run_a, path, ["event_key"], "ingested_at", ["event_date"])
     INC.upsert_latest(spark, run_b, path, ["event_key"], "ingested_at", ["event_date"])
     return spark.read.schema(run_a.schema).parquet(path).select("event_key", "event_date", "pipeline_run_id")
+
+
+# -- SNK-4/5, SRC-7..9 ---------------------------------------------------------------
+
+from engagelake.plans import catalog as CAT  # noqa: E402
+from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, fact_schema  # noqa: E402
+from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS  # noqa: E402
+from engagelake.sources.files import read_required, write_table  # noqa: E402
+
+_PROJ_FIRST, _PROJ_TODAY = dt.date(2024, 1, 3), dt.date(2024, 1, 28)
+
+
+@register("silver_roundtrip", O.silver_events_sql())
+def silver_roundtrip(spark, sf):
+    """Silver events written (partitioned by event date, clustered by media)
+    and read back with the declared schema."""
+    df = SV.events(T.events_envelopes(spark, sf))
+    root = new_run_dir(spark, "silver")
+    write_table(df, root, "events", SILVER_PARTITIONS["events"], cluster_by=SILVER_CLUSTER["events"])
+    return read_required(spark, root, "events", df.schema)
+
+
+def _written_fact(spark, sf) -> str:
+    root = new_run_dir(spark, "gold")
+    write_table(fact_frame(spark, sf), root, "fact_media_engagement", FACT_PARTITIONS, cluster_by=FACT_CLUSTER)
+    return root
+
+
+@register("gold_roundtrip", O.with_views("fact") + "SELECT * FROM fact")
+def gold_roundtrip(spark, sf):
+    root = _written_fact(spark, sf)
+    schema = fact_schema()
+    schema.fields = [f for f in schema.fields if f.name != "gold_loaded_at"]
+    return read_required(spark, root, "fact_media_engagement", schema).select(*gold.FACT_COLUMNS)
+
+
+@register("catalog_fact", O.with_views("fact") + "SELECT * FROM fact")
+def catalog_fact(spark, sf):
+    """External table with declared types over the written fact; partitions
+    discovered by MSCK REPAIR."""
+    names = CAT.register_gold_tables(spark, _written_fact(spark, sf))
+    return spark.table(names["fact_media_engagement"]).select(*gold.FACT_COLUMNS)
+
+
+@register("projected_fact", O.with_views("fact") + f"""
+SELECT * FROM fact WHERE date BETWEEN DATE '{_PROJ_FIRST}' AND DATE '{_PROJ_TODAY}'
+  AND media_id IN (SELECT 'm' || CAST(p_partkey AS VARCHAR) FROM part)""")
+def projected_fact(spark, sf):
+    names = CAT.register_gold_tables(spark, _written_fact(spark, sf))
+    fact = spark.table(names["fact_media_engagement"])
+    return CAT.projected_fact(fact, _PROJ_FIRST, T.media_config(spark, sf), _PROJ_TODAY).select(
+        *gold.FACT_COLUMNS)
