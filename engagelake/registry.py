@@ -654,3 +654,66 @@ def projected_fact(spark, sf):
     fact = spark.table(names["fact_media_engagement"])
     return CAT.projected_fact(fact, _PROJ_FIRST, T.media_config(spark, sf), _PROJ_TODAY).select(
         *gold.FACT_COLUMNS)
+
+
+# -- JSN-1..4 --------------------------------------------------------------------------
+
+from engagelake.constants import VISITOR_KEY_NAMES  # noqa: E402
+from engagelake.operators import json_ops as J  # noqa: E402
+
+
+@register("harvest_keys", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS visitor_key FROM events "
+                          "ORDER BY visitor_key")
+def harvest_keys(spark, sf):
+    """Visitor keys found anywhere in the landed event pages, sorted."""
+    env = T.events_envelopes(spark, sf)
+    docs = env.select(F.monotonically_increasing_id().alias("doc"), F.to_json(F.struct("*")).alias("json"))
+    return J.harvest(docs, ["doc"], "json", VISITOR_KEY_NAMES, "visitor_key").orderBy("visitor_key")
+
+
+def _response_docs(spark, sf) -> DataFrame:
+    """Responses of four shapes built from conversation turns: a bare list,
+    a list under ``events``, a non-list ``data`` before a list ``items``,
+    and a container holding no list."""
+    c = _t(spark, sf, "conversations")
+    rec = F.struct(F.col("role"), F.length("text").alias("chars"), F.col("turn"))
+    shape_no = F.col("turn") % 4
+    payload = (F.when(shape_no == 0, F.to_json(F.array(rec, rec)))
+                .when(shape_no == 1, F.to_json(F.struct(F.array(rec).alias("events"))))
+                .when(shape_no == 2, F.to_json(F.struct(F.lit("not a list").alias("data"),
+                                                        F.array(rec, rec, rec).alias("items"))))
+                .otherwise(F.to_json(F.struct(F.lit(5).alias("results")))))
+    return c.select("conv_id", "turn", "role", payload.alias("payload"))
+
+
+@register("extract_records", """
+SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 0 END AS n_records,
+       CASE WHEN turn % 4 < 3 THEN role END AS first_role
+FROM conversations""")
+def extract_records(spark, sf):
+    out = J.extract_records(_response_docs(spark, sf), "payload")
+    return out.select("conv_id", "turn", F.size("records").cast("int").alias("n_records"),
+                      F.try_variant_get(F.get("records", 0), "$.role", "string").alias("first_role"))
+
+
+_SHAPE_FIELDS = [
+    ("$", "object", False), ("$.event_key", "string", False), ("$.visitor_key", "string", True),
+    ("$.media_id", "string", False), ("$.media_name", "string", False), ("$.received_at", "string", False),
+    ("$.percent_viewed", "float", False), ("$.country", "string", False), ("$.region", "string", False),
+    ("$.city", "string", False), ("$.lat", "float", False), ("$.lon", "float", False), ("$.org", "string", False),
+    ("$.embed_url", "string", False), ("$.media_url", "string", False), ("$.ip", "string", True),
+    ("$.email", "string", True), ("$.user_agent_details", "object", False),
+    ("$.user_agent_details.browser", "string", False), ("$.user_agent_details.browser_version", "string", False),
+    ("$.user_agent_details.platform", "string", False), ("$.user_agent_details.mobile", "bool", False),
+]
+
+
+@register("json_shape", O.union(*[
+    f"SELECT '{p}' AS path, '{t}' AS json_type, {str(r).upper()} AS redacted, count(*) AS n_nodes, "
+    "CAST(NULL AS INTEGER) AS min_length, CAST(NULL AS INTEGER) AS max_length FROM events"
+    for p, t, r in _SHAPE_FIELDS]))
+def json_shape(spark, sf):
+    """Shape of the raw event records (one JSON document per event)."""
+    rec = T.event_records(spark, sf)
+    docs = rec.select(F.to_json(F.struct(*T.EVENT_RECORD_COLS)).alias("json"))
+    return J.shape(docs, "json")
