@@ -340,8 +340,9 @@ SILVER_EVENTS_COLS = """
        CAST(s.event_date AS TIMESTAMP) + INTERVAL 50 HOUR AS ingested_at"""
 
 
-def silver_events_sql(source_file: str = "CAST(NULL AS VARCHAR) AS source_file") -> str:
-    return with_views("sev") + "SELECT " + SILVER_EVENTS_COLS + f""", {source_file},
+def silver_events_sql(source_file: str | None = "CAST(NULL AS VARCHAR) AS source_file") -> str:
+    extra = f", {source_file}" if source_file else ""
+    return with_views("sev") + "SELECT " + SILVER_EVENTS_COLS + f"""{extra},
        CAST(s.event_date + INTERVAL 2 DAY AS DATE) AS ingest_date
 FROM sev s"""
 

@@ -101,6 +101,11 @@ def media_engagement(bronze: DataFrame) -> DataFrame:
 def events(bronze: DataFrame) -> DataFrame:
     """One row per event key, latest landing wins.  ``ip`` and ``email``
     never leave bronze.  ``received_at`` must match the millisecond pattern."""
+    return latest_by(events_rows(bronze), ["event_key"], "ingested_at")
+
+
+def events_rows(bronze: DataFrame) -> DataFrame:
+    """Every landed event version (keyed ones only), typed; no de-duplication."""
     e = _with_source(bronze).select("pipeline_run_id", "ingested_at", "source_file",
                                     F.explode_outer("payload").alias("e"))
     received = event_time("e.received_at")
@@ -126,7 +131,7 @@ def events(bronze: DataFrame) -> DataFrame:
         as_bool("e.user_agent_details.mobile").alias("mobile"),
         *_audit(),
     ).filter(F.col("event_key").isNotNull())
-    return latest_by(rows, ["event_key"], "ingested_at")
+    return rows
 
 
 def visitor_stats(bronze: DataFrame) -> DataFrame:

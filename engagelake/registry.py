@@ -717,3 +717,49 @@ def json_shape(spark, sf):
     rec = T.event_records(spark, sf)
     docs = rec.select(F.to_json(F.struct(*T.EVENT_RECORD_COLS)).alias("json"))
     return J.shape(docs, "json")
+
+
+# -- STR-1..5 ---------------------------------------------------------------------------
+
+from engagelake.streaming import events as ST  # noqa: E402
+
+
+def _landed_events(spark, sf) -> str:
+    root = new_run_dir(spark, "stream")
+    BZ.land(T.events_envelopes(spark, sf), f"{root}/bronze", "events")
+    return root
+
+
+@register("stream_events", O.with_views("ev") + """
+SELECT event_key, visitor_key, media_id, date_trunc('millisecond', received_at) AS received_at, event_date,
+       percent_viewed FROM ev""")
+def stream_events(spark, sf):
+    """File-source stream, watermark = lookback, duplicates removed per key."""
+    root = _landed_events(spark, sf)
+    dedup = ST.deduplicated(ST.event_stream(spark, f"{root}/bronze"))
+    ST.run_available_now(dedup.select("event_key", "visitor_key", "media_id", "received_at", "event_date",
+                                      "percent_viewed"), f"{root}/events_dedup", f"{root}/_chk_dedup")
+    return spark.read.parquet(f"{root}/events_dedup")
+
+
+@register("stream_upsert", O.silver_events_sql(None))
+def stream_upsert(spark, sf):
+    """Micro-batches merged latest-wins into the date-partitioned silver table."""
+    root = _landed_events(spark, sf)
+    ST.run_upsert_stream(spark, f"{root}/bronze", f"{root}/silver_events", f"{root}/_chk_upsert",
+                         max_files_per_trigger=8)
+    return spark.read.parquet(f"{root}/silver_events").drop("source_file")
+
+
+@register("stream_visitor_daily", O.with_views("fact") + """
+SELECT media_id, sha256(visitor_key) AS visitor_id, date, play_count, watched_percent,
+       total_watch_time_seconds FROM vd""")
+def stream_visitor_daily(spark, sf):
+    """Visitor-day rollup kept exact under streaming: touched days recomputed
+    from the upserted silver table after every micro-batch."""
+    root = _landed_events(spark, sf)
+    media = gold.media_durations(T.media_metadata(spark, sf))
+    ST.run_upsert_stream(spark, f"{root}/bronze", f"{root}/silver_events", f"{root}/_chk_daily",
+                         fact_path=f"{root}/visitor_daily", media=media, max_files_per_trigger=8)
+    return spark.read.parquet(f"{root}/visitor_daily").select(
+        "media_id", "visitor_id", "date", "play_count", "watched_percent", "total_watch_time_seconds")
