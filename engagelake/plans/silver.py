@@ -34,7 +34,7 @@ def media_metadata(bronze: DataFrame) -> DataFrame:
                                     F.explode_outer("payload").alias("m"))
     rows = m.select(
         F.col("m.hashed_id").alias("media_id"),
-        F.col("m.id").alias("numeric_id"),
+        as_long("m.id").alias("numeric_id"),
         F.col("m.name").alias("title"),
         F.col("m.description").alias("description"),
         as_double("m.duration").alias("duration_seconds"),

@@ -2,14 +2,20 @@
 
 Bronze is read with these schemas instead of inference, so empty payloads,
 fields absent from every file and empty folders give nulls / empty frames
-instead of analysis errors; unparsable lines land in ``_corrupt_record``.
+instead of analysis errors; lines that are not JSON (or whose structure
+does not match) land in ``_corrupt_record`` and are quarantined.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, L, D, B, I = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.IntegerType()
+S = T.StringType()
+# Payload scalars are declared as text: the JSON reader keeps the literal
+# text of numbers and booleans, and silver casts with ``try_cast``.  A
+# malformed value then nulls that one field (as in the source), instead of
+# turning the whole envelope into a corrupt record.
+L = D = B = S
 
 
 def struct(*fields: tuple) -> T.StructType:

@@ -90,29 +90,29 @@ def read(spark: SparkSession, root: str, dataset: str, multiline: bool = False,
     """Explicit-schema scan of one bronze dataset.
 
     Missing folder -> empty frame of the declared schema (callers skip it).
-    Adds ``source_file``.  Lines that do not parse are dropped here and
-    returned by ``quarantine``; ``keep_corrupt`` keeps the raw column.
+    Adds ``source_file``.  Lines that do not parse are dropped here
+    (``DROPMALFORMED``) and returned by ``quarantine``; ``keep_corrupt``
+    reads them as rows with the raw text in ``_corrupt_record`` instead.
     """
     path = f"{root.rstrip('/')}/{dataset}"
-    schema = envelope(dataset, with_corrupt=True)
     if not path_exists(spark, path):
         return spark.createDataFrame([], envelope(dataset)).withColumn("source_file", F.lit(None).cast("string"))
-    df = (spark.read.schema(schema)
-          .option("multiLine", multiline)
-          .option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.json")
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .json(path)
-          .withColumn("source_file", F.col("_metadata.file_path")))
+    reader = (spark.read.schema(envelope(dataset, with_corrupt=keep_corrupt))
+              .option("multiLine", multiline)
+              .option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "*.json"))
     if keep_corrupt:
-        return df
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        reader = reader.option("mode", "DROPMALFORMED")
+    return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def quarantine(spark: SparkSession, root: str, dataset: str, multiline: bool = False) -> DataFrame:
-    """Lines of a dataset that did not parse, with their file."""
+    """Lines of a dataset that did not parse (with whatever run id could be
+    read, and their file).  A parsed field is referenced besides the corrupt
+    column, as Spark requires for raw JSON scans."""
     df = read(spark, root, dataset, multiline, keep_corrupt=True)
     if CORRUPT not in df.columns:
-        return df.select(F.lit(None).cast("string").alias(CORRUPT), "source_file").limit(0)
-    return df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, "source_file")
+        return df.select(F.lit(None).cast("string").alias(CORRUPT), "pipeline_run_id", "source_file").limit(0)
+    return df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, "pipeline_run_id", "source_file")
