@@ -2,6 +2,8 @@
 
 The check uses Catalyst's plan statistics (no job is run): for a Parquet scan
 it is the file size of the columns read, for derived plans an upper bound.
+The cap is the session's ``spark.sql.autoBroadcastJoinThreshold`` (a
+disabled threshold disables the hint too).
 Below the cap the side is hinted for broadcast; above it the plan keeps its
 shuffle join and AQE may still switch to a broadcast at run time from the
 measured shuffle size.
@@ -12,7 +14,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CAP_BYTES = 64 * 1024 * 1024
+FALLBACK_CAP_BYTES = 10 * 1024 * 1024
+
+
+def session_cap(df: DataFrame) -> int:
+    """The session's broadcast threshold (Spark's own planning limit)."""
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    try:
+        text = str(raw).strip().lower()
+        mult = {"k": 1024, "m": 1024 ** 2, "g": 1024 ** 3}
+        for suffix in ("kb", "mb", "gb", "k", "m", "g", "b"):
+            if text.endswith(suffix):
+                return int(float(text[: -len(suffix)]) * mult.get(suffix[0], 1))
+        value = int(text)
+        return value if value > 0 else 0
+    except (TypeError, ValueError):
+        return FALLBACK_CAP_BYTES
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -23,9 +40,25 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def sized_broadcast(df: DataFrame, cap_bytes: int | None = None) -> DataFrame:
-    cap = DEFAULT_CAP_BYTES if cap_bytes is None else cap_bytes
+def _row_width(df: DataFrame) -> int:
+    return max(1, sum(f.dataType.defaultSize() for f in df.schema.fields))
+
+
+def sized_broadcast(df: DataFrame, cap_bytes: int | None = None, bound: DataFrame | None = None) -> DataFrame:
+    """Hint ``df`` for broadcast when its size is known to be under the cap.
+
+    ``bound`` is a frame known to have at least as many rows as ``df`` (e.g.
+    the left side of a left join on a unique key, or the input of a
+    one-row-per-key selection); its estimate, rescaled to ``df``'s row
+    width, then stands in for the (often unbounded) estimate of ``df``.
+    """
+    cap = session_cap(df) if cap_bytes is None else cap_bytes
     size = estimated_bytes(df)
+    if bound is not None:
+        b = estimated_bytes(bound)
+        if b is not None:
+            scaled = b * _row_width(df) // _row_width(bound) + 1
+            size = scaled if size is None else min(size, scaled)
     if size is not None and size <= cap:
         return F.broadcast(df)
     return df

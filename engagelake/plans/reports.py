@@ -22,8 +22,9 @@ from engagelake.functions.scalar import exact_avg, exact_sum_double, round_exact
 from engagelake.operators.broadcast import sized_broadcast
 
 
-def _fact_media(fact: DataFrame, dim_media: DataFrame, media_cols=("channel",)) -> DataFrame:
-    m = sized_broadcast(dim_media.select("media_id", *media_cols))
+def _fact_media(fact: DataFrame, dim_media: DataFrame, media_cols=("channel",),
+                dim_bound: DataFrame | None = None) -> DataFrame:
+    m = sized_broadcast(dim_media.select("media_id", *media_cols), bound=dim_bound)
     return fact.join(m, "media_id", "inner")
 
 
@@ -32,23 +33,23 @@ def smoke(df: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
 
 
-def plays_by_date_channel(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    return (_fact_media(fact, dim_media)
+def plays_by_date_channel(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+    return (_fact_media(fact, dim_media, dim_bound=dim_bound)
             .groupBy("date", "channel")
             .agg(F.sum("play_count").alias("total_plays"))
             .orderBy("date", "channel"))
 
 
-def watch_time_by_date_channel(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    return (_fact_media(fact, dim_media)
+def watch_time_by_date_channel(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+    return (_fact_media(fact, dim_media, dim_bound=dim_bound)
             .groupBy("date", "channel")
             .agg(round_exact_sum("total_watch_time_hours", 4).alias("total_watch_time_hours"),
                  round_exact_sum("total_watch_time_seconds", 2).alias("total_watch_time_seconds"))
             .orderBy("date", "channel"))
 
 
-def avg_watched_by_media(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    return (_fact_media(fact, dim_media, ("channel", "title"))
+def avg_watched_by_media(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+    return (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
             .groupBy("channel", "media_id", "title")
             .agg(F.round(exact_avg("watched_percent"), 4).alias("avg_watched_percent"),
                  F.round(F.max("watched_percent"), 4).alias("max_watched_percent"),
@@ -57,16 +58,16 @@ def avg_watched_by_media(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
             .orderBy(F.col("avg_watched_percent").desc()))
 
 
-def unique_visitors(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    return (_fact_media(fact, dim_media, ("channel", "title"))
+def unique_visitors(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+    return (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
             .groupBy("channel", "media_id", "title")
             .agg(F.count_distinct("visitor_id").alias("unique_visitors"),
                  F.sum("play_count").alias("total_plays"))
             .orderBy(F.col("unique_visitors").desc()))
 
 
-def channel_summary(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    return (_fact_media(fact, dim_media)
+def channel_summary(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+    return (_fact_media(fact, dim_media, dim_bound=dim_bound)
             .groupBy("channel")
             .agg(F.count_distinct("media_id").alias("media_count"),
                  F.count_distinct("visitor_id").alias("unique_visitors"),
@@ -77,7 +78,8 @@ def channel_summary(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
             .orderBy(F.col("total_plays").desc()))
 
 
-def daily_channel_trend(fact: DataFrame, dim_media: DataFrame, channels=CHANNELS) -> DataFrame:
+def daily_channel_trend(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None,
+                        channels=CHANNELS) -> DataFrame:
     """Side-by-side per-channel columns via conditional sums (0 when absent)."""
     aggs = []
     for ch in channels:
@@ -88,7 +90,7 @@ def daily_channel_trend(fact: DataFrame, dim_media: DataFrame, channels=CHANNELS
         is_ch = F.col("channel") == F.lit(ch)
         aggs.append(round_exact_sum(F.when(is_ch, F.col("total_watch_time_hours")).otherwise(F.lit(0.0)), 4)
                     .alias(f"{ch.lower()}_watch_hours"))
-    return _fact_media(fact, dim_media).groupBy("date").agg(*aggs).orderBy("date")
+    return _fact_media(fact, dim_media, dim_bound=dim_bound).groupBy("date").agg(*aggs).orderBy("date")
 
 
 def top_locations(dim_visitor: DataFrame, k: int = 25) -> DataFrame:
@@ -111,19 +113,20 @@ def device_breakdown(dim_visitor: DataFrame) -> DataFrame:
             .orderBy(F.col("unique_visitors").desc()))
 
 
-def date_filtered(fact: DataFrame, dim_media: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def date_filtered(fact: DataFrame, dim_media: DataFrame, start: dt.date, end: dt.date,
+                  dim_bound: DataFrame | None = None) -> DataFrame:
     """Both ends included; on a table partitioned by ``date`` the predicate
     becomes a partition filter."""
     f = fact.filter(F.col("date").between(F.lit(start), F.lit(end)))
-    return (_fact_media(f, dim_media)
+    return (_fact_media(f, dim_media, dim_bound=dim_bound)
             .groupBy("date", "channel", "media_id")
             .agg(F.sum("play_count").alias("total_plays"),
                  round_exact_sum("total_watch_time_hours", 4).alias("total_watch_time_hours"))
             .orderBy("date", "channel", "media_id"))
 
 
-def kpi(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    return (_fact_media(fact, dim_media)
+def kpi(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+    return (_fact_media(fact, dim_media, dim_bound=dim_bound)
             .groupBy("date", "channel", "media_id")
             .agg(F.sum("play_count").alias("plays"),
                  exact_avg("watched_percent").alias("avg_watched_percent"),

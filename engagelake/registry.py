@@ -99,7 +99,9 @@ _FM = "FROM fact f JOIN dim_media m ON f.media_id = m.media_id"
 
 
 def _gold(spark, sf):
-    return fact_frame(spark, sf), dim_media_frame(spark, sf)
+    """Fact, media dimension and the dimension's row bound (its metadata:
+    latest-by plus a left join on a unique key cannot add rows)."""
+    return fact_frame(spark, sf), dim_media_frame(spark, sf), T.media_metadata(spark, sf)
 
 
 @register("rpt_smoke_dim_media", O.with_views("dim_media")
@@ -199,7 +201,8 @@ SELECT f.date, m.channel, f.media_id, CAST(SUM(f.play_count) AS BIGINT) AS total
 WHERE f.date BETWEEN DATE '{REPORT_WINDOW[0]}' AND DATE '{REPORT_WINDOW[1]}'
 GROUP BY f.date, m.channel, f.media_id ORDER BY f.date, m.channel, f.media_id""")
 def rpt_date_filtered(spark, sf):
-    return R.date_filtered(*_gold(spark, sf), *REPORT_WINDOW)
+    f, m, b = _gold(spark, sf)
+    return R.date_filtered(f, m, *REPORT_WINDOW, dim_bound=b)
 
 
 @register("rpt_kpi", O.with_views("fact", "dim_media") + f"""
@@ -292,26 +295,34 @@ def qc_orphans(spark, sf):
         QC.exists_check("orders.custkey.exists_in_customer", o, c, ["custkey"], 1, "missing_count")])
 
 
+def _materialised(df: DataFrame) -> DataFrame:
+    """Computed once and written to the shared checkpoint folder: the checks
+    read a table several times (metrics, keys, references), as they would
+    read the written gold layer."""
+    return df.checkpoint(eager=True)
+
+
 @register("qc_dim_media", O.with_views("dim_media") + O.qc_dim_media_sql())
 def qc_dim_media(spark, sf):
-    return CK.check_dim_media(dim_media_frame(spark, sf), T.media_config(spark, sf))
+    return CK.check_dim_media(_materialised(dim_media_frame(spark, sf)), T.media_config(spark, sf))
 
 
 @register("qc_dim_visitor", O.with_views("dim_visitor") + O.qc_dim_visitor_sql())
 def qc_dim_visitor(spark, sf):
-    return CK.check_dim_visitor(dim_visitor_frame(spark, sf))
+    return CK.check_dim_visitor(_materialised(dim_visitor_frame(spark, sf)))
 
 
 @register("qc_fact", O.with_views("fact", "dim_media", "dim_visitor") + O.qc_fact_sql())
 def qc_fact(spark, sf):
-    return CK.check_fact(fact_frame(spark, sf), dim_media_frame(spark, sf), dim_visitor_frame(spark, sf))
+    return CK.check_fact(_materialised(fact_frame(spark, sf)), _materialised(dim_media_frame(spark, sf)),
+                         _materialised(dim_visitor_frame(spark, sf)))
 
 
 @register("qc_gate", O.with_views("fact", "dim_media", "dim_visitor") + O.union(
     O.qc_dim_media_sql(), O.qc_dim_visitor_sql(), O.qc_fact_sql()))
 def qc_gate(spark, sf):
-    return CK.check_gold(fact_frame(spark, sf), dim_media_frame(spark, sf), dim_visitor_frame(spark, sf),
-                         T.media_config(spark, sf))
+    return CK.check_gold(_materialised(fact_frame(spark, sf)), _materialised(dim_media_frame(spark, sf)),
+                         _materialised(dim_visitor_frame(spark, sf)), T.media_config(spark, sf))
 
 
 # -- WIN / AGG-10 / PRJ / FLT / FN ---------------------------------------------
