@@ -26,9 +26,9 @@ EVENT_KEY_NAMES = ("event_key", "eventKey")
 # Object members that may hold the record list of a response, in priority order.
 RECORD_CONTAINER_KEYS = ("events", "data", "items", "results")
 
-# The two channels of the media configuration, and the source label.
+# The two channels of the media configuration, and our source label.
 CHANNELS = ("Facebook", "YouTube")
-SOURCE_NAME = "wistia"
+SOURCE_NAME = "video_api"
 
 # Event time text format (three-digit fraction, zone letter) and the cleaning
 # pattern for file-name parts.

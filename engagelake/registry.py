@@ -504,6 +504,7 @@ def paged_envelopes(spark, sf):
 
 # -- INC -----------------------------------------------------------------------------
 
+from engagelake.constants import SOURCE_NAME  # noqa: E402
 from engagelake.plans import incremental as INC  # noqa: E402
 
 _EXPLICIT = ("2024-01-05", "2024-01-09")
@@ -534,7 +535,7 @@ def run_commit_candidates(spark, sf) -> DataFrame:
     wm_ts = T.run_time_of(run_day)
     return cand.select(
         (F.datediff("event_date", F.lit(dt.date(1970, 1, 1))) * 2 + F.col("replay")).alias("seq"),
-        F.lit("wistia").alias("source"),
+        F.lit(SOURCE_NAME).alias("source"),
         BZ.run_stamp(wm_ts).alias("watermark_value"),
         wm_ts.cast("timestamp").alias("watermark_ts"),
         T.run_id_of(run_day).alias("pipeline_run_id"),
@@ -585,7 +586,7 @@ c2 AS (
   FROM cand),
 c3 AS (SELECT *, max(watermark_ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
        FROM c2)
-SELECT seq, 'wistia' AS source, watermark_value, watermark_ts, pipeline_run_id, visitor_count, media_count
+SELECT seq, 'video_api' AS source, watermark_value, watermark_ts, pipeline_run_id, visitor_count, media_count
 FROM c3 WHERE prior IS NULL OR watermark_ts > prior""")
 def watermark_advance(spark, sf):
     return INC.accepted_commits(run_commit_candidates(spark, sf))
