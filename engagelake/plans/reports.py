@@ -8,6 +8,11 @@ dimension side being a size-checked broadcast.
 Sums and averages of rounded gold doubles are computed as DECIMAL sums
 (``exact_sum``): the result no longer depends on partitioning or task
 order and is within one unit in the last place of a plain double sum.
+
+Distinct counts run in two phases: first per (group, distinct value) --
+the shuffle is spread by the value, so a group with billions of visitors
+is not one reducer's work -- then per group over those partials, with
+map-side combining.  All other measures ride along as partial sums / maxima.
 """
 
 from __future__ import annotations
@@ -18,10 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engagelake.constants import CHANNELS
-from engagelake.functions.scalar import exact_avg, exact_sum_double, round_exact_sum
+from engagelake.functions.scalar import exact_avg, exact_sum, exact_sum_double, round_exact_sum
 from engagelake.operators.broadcast import sized_broadcast
 
 
+def _dec_avg(sum_col: str, n_col: str):
+    """Average from summed DECIMAL partials and summed counts."""
+    return F.sum(sum_col).cast("double") / F.sum(n_col)
+
+
 def _fact_media(fact: DataFrame, dim_media: DataFrame, media_cols=("channel",),
                 dim_bound: DataFrame | None = None) -> DataFrame:
     m = sized_broadcast(dim_media.select("media_id", *media_cols), bound=dim_bound)
@@ -49,33 +59,49 @@ def watch_time_by_date_channel(fact: DataFrame, dim_media: DataFrame, dim_bound:
 
 
 def avg_watched_by_media(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
-    return (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
-            .groupBy("channel", "media_id", "title")
-            .agg(F.round(exact_avg("watched_percent"), 4).alias("avg_watched_percent"),
-                 F.round(F.max("watched_percent"), 4).alias("max_watched_percent"),
-                 F.count_distinct("visitor_id").alias("unique_visitors"),
-                 F.sum("play_count").alias("total_plays"))
+    keys = ["channel", "media_id", "title"]
+    per_visitor = (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
+                   .groupBy(*keys, "visitor_id")
+                   .agg(exact_sum("watched_percent").alias("_wp_sum"), F.count("watched_percent").alias("_wp_n"),
+                        F.max("watched_percent").alias("_wp_max"), F.sum("play_count").alias("_plays")))
+    return (per_visitor.groupBy(*keys)
+            .agg(F.round(_dec_avg("_wp_sum", "_wp_n"), 4).alias("avg_watched_percent"),
+                 F.round(F.max("_wp_max"), 4).alias("max_watched_percent"),
+                 F.count("visitor_id").alias("unique_visitors"),
+                 F.sum("_plays").alias("total_plays"))
             .orderBy(F.col("avg_watched_percent").desc()))
 
 
 def unique_visitors(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
-    return (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
-            .groupBy("channel", "media_id", "title")
-            .agg(F.count_distinct("visitor_id").alias("unique_visitors"),
-                 F.sum("play_count").alias("total_plays"))
+    keys = ["channel", "media_id", "title"]
+    per_visitor = (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
+                   .groupBy(*keys, "visitor_id").agg(F.sum("play_count").alias("_plays")))
+    return (per_visitor.groupBy(*keys)
+            .agg(F.count("visitor_id").alias("unique_visitors"), F.sum("_plays").alias("total_plays"))
             .orderBy(F.col("unique_visitors").desc()))
 
 
 def channel_summary(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
-    return (_fact_media(fact, dim_media, dim_bound=dim_bound)
-            .groupBy("channel")
-            .agg(F.count_distinct("media_id").alias("media_count"),
-                 F.count_distinct("visitor_id").alias("unique_visitors"),
-                 F.sum("play_count").alias("total_plays"),
-                 F.round(exact_avg("play_rate"), 4).alias("avg_play_rate"),
-                 F.round(exact_avg("watched_percent"), 4).alias("avg_watched_percent"),
-                 round_exact_sum("total_watch_time_hours", 4).alias("total_watch_time_hours"))
-            .orderBy(F.col("total_plays").desc()))
+    """Two distinct counts per channel: visitors via the two-phase rollup,
+    media via a second (small) two-phase count joined on the channel."""
+    fm = _fact_media(fact, dim_media, dim_bound=dim_bound)
+    per_visitor = fm.groupBy("channel", "visitor_id").agg(
+        F.sum("play_count").alias("_plays"),
+        exact_sum("play_rate").alias("_pr_sum"), F.count("play_rate").alias("_pr_n"),
+        exact_sum("watched_percent").alias("_wp_sum"), F.count("watched_percent").alias("_wp_n"),
+        exact_sum("total_watch_time_hours").alias("_h_sum"))
+    main = per_visitor.groupBy("channel").agg(
+        F.count("visitor_id").alias("unique_visitors"),
+        F.sum("_plays").alias("total_plays"),
+        F.round(_dec_avg("_pr_sum", "_pr_n"), 4).alias("avg_play_rate"),
+        F.round(_dec_avg("_wp_sum", "_wp_n"), 4).alias("avg_watched_percent"),
+        F.round(F.sum("_h_sum"), 4).cast("double").alias("total_watch_time_hours"))
+    media = (fm.groupBy("channel", "media_id").agg(F.count(F.lit(1)).alias("_rows"))
+               .groupBy("channel").agg(F.count("media_id").alias("media_count")))
+    joined = main.join(media, main["channel"].eqNullSafe(media["channel"]), "left").select(
+        main["channel"], F.coalesce(media["media_count"], F.lit(0)).alias("media_count"),
+        "unique_visitors", "total_plays", "avg_play_rate", "avg_watched_percent", "total_watch_time_hours")
+    return joined.orderBy(F.col("total_plays").desc())
 
 
 def daily_channel_trend(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None,
@@ -93,23 +119,26 @@ def daily_channel_trend(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFr
     return _fact_media(fact, dim_media, dim_bound=dim_bound).groupBy("date").agg(*aggs).orderBy("date")
 
 
+def _visitor_rollup(dim_visitor: DataFrame, keys: list[str]) -> DataFrame:
+    per_visitor = dim_visitor.groupBy(*keys, "visitor_id").agg(
+        F.sum("event_count").alias("_events"),
+        exact_sum("avg_percent_viewed").alias("_pv_sum"), F.count("avg_percent_viewed").alias("_pv_n"))
+    return per_visitor.groupBy(*keys).agg(
+        F.count("visitor_id").alias("unique_visitors"),
+        F.sum("_events").alias("total_events"),
+        F.round(_dec_avg("_pv_sum", "_pv_n"), 4).alias("avg_watched_percent"))
+
+
 def top_locations(dim_visitor: DataFrame, k: int = 25) -> DataFrame:
     """Top-k places by unique visitors; ties broken by the place columns."""
-    return (dim_visitor.filter(F.col("country").isNotNull())
-            .groupBy("country", "region", "city")
-            .agg(F.count_distinct("visitor_id").alias("unique_visitors"),
-                 F.sum("event_count").alias("total_events"),
-                 F.round(exact_avg("avg_percent_viewed"), 4).alias("avg_watched_percent"))
+    return (_visitor_rollup(dim_visitor.filter(F.col("country").isNotNull()), ["country", "region", "city"])
             .orderBy(F.col("unique_visitors").desc(), F.col("country").asc_nulls_first(),
                      F.col("region").asc_nulls_first(), F.col("city").asc_nulls_first())
             .limit(k))
 
 
 def device_breakdown(dim_visitor: DataFrame) -> DataFrame:
-    return (dim_visitor.groupBy("platform", "browser", "mobile")
-            .agg(F.count_distinct("visitor_id").alias("unique_visitors"),
-                 F.sum("event_count").alias("total_events"),
-                 F.round(exact_avg("avg_percent_viewed"), 4).alias("avg_watched_percent"))
+    return (_visitor_rollup(dim_visitor, ["platform", "browser", "mobile"])
             .orderBy(F.col("unique_visitors").desc()))
 
 

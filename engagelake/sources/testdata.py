@@ -152,12 +152,18 @@ def media_day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     k = _media_key(F.col("props"))
     day = F.col("ts").cast("date")
-    grouped = ev.groupBy(k.alias("k"), day.alias("metric_date")).agg(
-        F.count(F.lit(1)).alias("load_count"),
-        F.count_if(F.col("event_type").isin(*PLAY_TYPES)).alias("play_count"),
-        (F.sum(F.floor("value")) / F.lit(3600.0)).alias("hours_watched"),
-        F.sum(F.floor("value")).alias("_pct_sum"),
-        F.count_distinct("user_id").alias("visitor_count"),
+    # Two phases: per (media, day, user) first -- spread by user, so a hot
+    # media-day is not one reducer's distinct set -- then per media-day.
+    per_user = ev.groupBy(k.alias("k"), day.alias("metric_date"), "user_id").agg(
+        F.count(F.lit(1)).alias("_loads"),
+        F.count_if(F.col("event_type").isin(*PLAY_TYPES)).alias("_plays"),
+        F.sum(F.floor("value")).alias("_floor_sum"))
+    grouped = per_user.groupBy("k", "metric_date").agg(
+        F.sum("_loads").alias("load_count"),
+        F.sum("_plays").alias("play_count"),
+        (F.sum("_floor_sum") / F.lit(3600.0)).alias("hours_watched"),
+        F.sum("_floor_sum").alias("_pct_sum"),
+        F.count("user_id").alias("visitor_count"),
     )
     return grouped.select(
         F.concat(F.lit("m"), F.col("k")).alias("media_id"),
