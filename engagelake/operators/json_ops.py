@@ -40,15 +40,24 @@ def _view(df: DataFrame) -> str:
     return name
 
 
-def walk(docs: DataFrame, id_cols: Sequence[str], json_col: str, descend_sensitive: bool = True) -> DataFrame:
+def walk(docs: DataFrame, id_cols: Sequence[str], json_col: str, descend_sensitive: bool = True,
+         keep: str | None = None) -> DataFrame:
     """All nodes ``(ids..., path, key, node, depth)``; ``key`` is the member
-    name (null for array elements and the root)."""
+    name (null for array elements and the root).  ``keep`` (SQL over ``e.key``
+    and ``e.value``) restricts the scalar nodes carried to the next level;
+    objects and arrays are always kept, as they are walked further."""
     spark = docs.sparkSession
     _lift_recursion_guards(spark)
     src = _view(docs.select(*id_cols, F.col(json_col).alias("_json")))
     ids = ", ".join(f"`{c}`" for c in id_cols)
     wids = ", ".join(f"w.`{c}`" for c in id_cols)
-    stop = "" if descend_sensitive else f"WHERE w.key IS NULL OR NOT (lower(w.key) RLIKE '{SENSITIVE_PATTERN}')"
+    conds = []
+    if not descend_sensitive:
+        conds.append(f"(w.key IS NULL OR NOT (lower(w.key) RLIKE '{SENSITIVE_PATTERN}'))")
+    if keep:
+        conds.append("(schema_of_variant(e.value) LIKE 'OBJECT%' OR schema_of_variant(e.value) LIKE 'ARRAY%' "
+                     f"OR ({keep}))")
+    stop = ("WHERE " + " AND ".join(conds)) if conds else ""
     return spark.sql(f"""
         WITH RECURSIVE nodes({ids}, path, key, node, depth) AS (
           SELECT {ids}, '$', CAST(NULL AS STRING), try_parse_json(_json), 0 FROM {src}
@@ -73,7 +82,9 @@ def json_type(node) -> F.Column:
 def harvest(docs: DataFrame, id_cols: Sequence[str], json_col: str, names: Sequence[str],
             value_name: str = "value") -> DataFrame:
     """Distinct string values held under any of ``names``, at any depth."""
-    nodes = walk(docs, id_cols, json_col)
+    listed = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
+    keep = f"e.key IN ({listed}) AND schema_of_variant(e.value) = 'STRING'"
+    nodes = walk(docs, id_cols, json_col, keep=keep)
     hits = nodes.filter(F.col("key").isin(*names) & (F.schema_of_variant("node") == "STRING"))
     return hits.select(F.variant_get("node", "$", "string").alias(value_name)).distinct()
 
