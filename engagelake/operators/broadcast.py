@@ -35,13 +35,27 @@ def session_cap(df: DataFrame) -> int:
 def estimated_bytes(df: DataFrame) -> int | None:
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # pragma: no cover - e.g. Spark Connect sessions
         return None
 
 
+# Per-type widths in bytes, as Catalyst sizes rows without statistics.
+_WIDTH = {"string": 20, "binary": 100, "boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8,
+          "float": 4, "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
+
+
+def _width(dtype) -> int:
+    name = dtype.typeName()
+    if name == "struct":
+        return sum(_width(f.dataType) for f in dtype.fields)
+    if name in ("array", "map"):
+        return 100
+    return _WIDTH.get(name, 20)
+
+
 def _row_width(df: DataFrame) -> int:
-    return max(1, sum(f.dataType.defaultSize() for f in df.schema.fields))
+    return max(1, sum(_width(f.dataType) for f in df.schema.fields))
 
 
 def sized_broadcast(df: DataFrame, cap_bytes: int | None = None, bound: DataFrame | None = None) -> DataFrame:

@@ -117,3 +117,19 @@ def test_drop_sensitive(spark):
                                "agent struct<browser:string, api_key:string>")
     out = drop_sensitive(df)
     assert out.columns == ["event_key", "agent"] and out.schema["agent"].dataType.fieldNames() == ["browser"]
+
+
+def test_size_check_uses_plan_statistics_and_bounds(spark, sf_small):
+    from engagelake.operators.broadcast import estimated_bytes, sized_broadcast
+    from engagelake.sources import testdata as T
+    cust = T.table(spark, sf_small, "customer")
+    assert estimated_bytes(cust) > 0
+    places = T.visitor_places(spark, sf_small)
+    assert estimated_bytes(places) > 10 * 1024 * 1024        # a join chain is estimated as a product
+
+    def hints(df):
+        return df._jdf.queryExecution().analyzed().toString().count("ResolvedHint")
+
+    assert sized_broadcast(places) is places                  # unbounded estimate: no hint
+    assert hints(sized_broadcast(places, bound=cust)) == hints(places) + 1
+    assert sized_broadcast(cust, cap_bytes=1) is cust
