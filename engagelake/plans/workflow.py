@@ -3,11 +3,15 @@
 Each layer is written and the next one reads the written tables (the
 hand-off is files, as on a cluster where each step may run as its own job;
 it also cuts lineage).  Row counts are observed during the writes.
+Independent datasets (the six landings, the six silver tables, the reports)
+are submitted as concurrent Spark jobs from a small thread pool, so small
+datasets do not leave the executors idle while a large one runs.
 """
 
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,13 @@ from engagelake.sources.files import read_required, write_table, written_rows
 FACT_PARTITIONS = ["date"]
 FACT_CLUSTER = ["media_id", "visitor_id"]
 
+PARALLEL_JOBS = 6
+
+
+def _in_parallel(fns):
+    with ThreadPoolExecutor(max_workers=PARALLEL_JOBS) as pool:
+        return [f.result() for f in [pool.submit(fn) for fn in fns]]
+
 
 @dataclass
 class RunReport:
@@ -43,15 +54,16 @@ def _timed(report: RunReport, step: str, fn):
 
 
 def land_all(spark: SparkSession, sf_dir: str, bronze_root: str) -> None:
-    for ds in DATASETS:
-        bronze.land(TD.ENVELOPE_BUILDERS[ds](spark, sf_dir), bronze_root, ds)
+    _in_parallel([lambda ds=ds: bronze.land(TD.ENVELOPE_BUILDERS[ds](spark, sf_dir), bronze_root, ds)
+                  for ds in DATASETS])
 
 
 def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, report: RunReport) -> None:
-    for ds in DATASETS:
+    def one(ds: str) -> None:
         df = silver.TRANSFORMS[ds](bronze.read(spark, bronze_root, ds))
         _, obs = write_table(df, silver_root, ds, SILVER_PARTITIONS[ds], cluster_by=SILVER_CLUSTER[ds])
         report.rows[f"silver.{ds}"] = written_rows(obs)
+    _in_parallel([lambda ds=ds: one(ds) for ds in DATASETS])
 
 
 def _silver(spark: SparkSession, root: str, ds: str) -> DataFrame:
@@ -63,15 +75,19 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str, report: Ru
     metadata = _silver(spark, silver_root, "media_metadata")
     stats = _silver(spark, silver_root, "media_stats")
     by_date = _silver(spark, silver_root, "media_stats_by_date")
-    dim_media = gold.build_dim_media(metadata, stats, stamp=True)
-    _, o1 = write_table(dim_media, gold_root, "dim_media")
-    _, o2 = write_table(gold.build_dim_visitor(events, stamp=True), gold_root, "dim_visitor")
-    # The fact reads the written dimension: exact size known, broadcast.
-    dim_media_written = read_required(spark, gold_root, "dim_media")
-    fact = gold.build_fact(events, dim_media_written, by_date, stamp=True)
-    _, o3 = write_table(fact, gold_root, "fact_media_engagement", FACT_PARTITIONS, cluster_by=FACT_CLUSTER)
-    report.rows.update({"gold.dim_media": written_rows(o1), "gold.dim_visitor": written_rows(o2),
-                        "gold.fact_media_engagement": written_rows(o3)})
+    def media_and_fact() -> None:
+        _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), gold_root, "dim_media")
+        # The fact reads the written dimension: exact size known, broadcast.
+        dim_media_written = read_required(spark, gold_root, "dim_media")
+        fact = gold.build_fact(events, dim_media_written, by_date, stamp=True)
+        _, o3 = write_table(fact, gold_root, "fact_media_engagement", FACT_PARTITIONS, cluster_by=FACT_CLUSTER)
+        report.rows.update({"gold.dim_media": written_rows(o1), "gold.fact_media_engagement": written_rows(o3)})
+
+    def visitors() -> None:
+        _, o2 = write_table(gold.build_dim_visitor(events, stamp=True), gold_root, "dim_visitor")
+        report.rows["gold.dim_visitor"] = written_rows(o2)
+
+    _in_parallel([media_and_fact, visitors])
 
 
 def fact_schema() -> T.StructType:
@@ -109,6 +125,6 @@ def run_daily(spark: SparkSession, sf_dir: str, root: str, with_reports: bool =
                     reports.avg_watched_by_media(f, m), reports.unique_visitors(f, m),
                     reports.channel_summary(f, m), reports.daily_channel_trend(f, m),
                     reports.top_locations(v), reports.device_breakdown(v), reports.kpi(f, m)]
-            return sum(len(o.collect()) for o in outs)
+            return sum(_in_parallel([lambda o=o: len(o.collect()) for o in outs]))
         report.rows["reports"] = _timed(report, "reports", run_reports)
     return report
