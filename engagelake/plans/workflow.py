@@ -17,8 +17,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+import datetime as dt
+
 from engagelake.constants import DATASETS
-from engagelake.plans import checks, gold, reports, silver
+from engagelake.operators.quality import report_lines
+from engagelake.plans import checks, gold, incremental, reports, silver
 from engagelake.plans.catalog import register_gold_tables
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.sources import bronze
@@ -44,6 +47,9 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
     failed_checks: int = 0
+    check_lines: list[str] = field(default_factory=list)
+    window: incremental.IncrementalWindow | None = None
+    watermark_committed: bool = False
 
 
 def _timed(report: RunReport, step: str, fn):
@@ -107,24 +113,48 @@ def read_gold(spark: SparkSession, gold_root: str) -> tuple[DataFrame, DataFrame
     return fact, read_required(spark, gold_root, "dim_media"), read_required(spark, gold_root, "dim_visitor")
 
 
-def run_daily(spark: SparkSession, sf_dir: str, root: str, with_reports: bool = True) -> RunReport:
+def run_daily(spark: SparkSession, sf_dir: str, root: str, with_reports: bool = True,
+              as_of: dt.datetime | None = None, run_id: str | None = None) -> RunReport:
+    """One daily run.  The window is resolved from the watermark state under
+    ``root/state`` before the run; the new watermark is committed only after
+    every step succeeded (a failed run leaves the state as it was, and the
+    next run re-reads the window: at-least-once, made idempotent by the
+    latest-wins silver transforms)."""
     report = RunReport(root=root)
+    as_of = as_of or dt.datetime.now(dt.timezone.utc)
+    run_id = run_id or bronze.new_run_id(as_of)
+    state_path = f"{root}/state/watermark"
+    previous = incremental.current_watermark(incremental.read_state(spark, state_path))
+    report.window = incremental.resolve_window(as_of=as_of, previous_watermark=previous)
     b, s, g = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
     _timed(report, "land", lambda: land_all(spark, sf_dir, b))
     _timed(report, "silver", lambda: build_silver(spark, b, s, report))
     _timed(report, "gold", lambda: build_gold(spark, s, g, report))
     fact, dim_media, dim_visitor = read_gold(spark, g)
     results = checks.check_gold(fact, dim_media, dim_visitor, TD.media_config(spark, sf_dir))
-    report.failed_checks = _timed(report, "quality",
-                                  lambda: sum(1 for r in results.collect() if not r["passed"]))
+    report.check_lines = _timed(report, "quality", lambda: report_lines(results))
+    report.failed_checks = sum(1 for line in report.check_lines if line.startswith("[FAIL]"))
     if with_reports:
         def run_reports():
             names = register_gold_tables(spark, g)
             f, m, v = (spark.table(names[k]) for k in ("fact_media_engagement", "dim_media", "dim_visitor"))
-            outs = [reports.plays_by_date_channel(f, m), reports.watch_time_by_date_channel(f, m),
-                    reports.avg_watched_by_media(f, m), reports.unique_visitors(f, m),
-                    reports.channel_summary(f, m), reports.daily_channel_trend(f, m),
-                    reports.top_locations(v), reports.device_breakdown(v), reports.kpi(f, m)]
-            return sum(_in_parallel([lambda o=o: len(o.collect()) for o in outs]))
+            outs = {"plays_by_date_channel": reports.plays_by_date_channel(f, m),
+                    "watch_time_by_date_channel": reports.watch_time_by_date_channel(f, m),
+                    "avg_watched_by_media": reports.avg_watched_by_media(f, m),
+                    "unique_visitors": reports.unique_visitors(f, m),
+                    "channel_summary": reports.channel_summary(f, m),
+                    "daily_channel_trend": reports.daily_channel_trend(f, m),
+                    "top_locations": reports.top_locations(v), "device_breakdown": reports.device_breakdown(v),
+                    "kpi": reports.kpi(f, m)}
+
+            def one(name, df):
+                _, obs = write_table(df, f"{root}/reports", name)
+                return written_rows(obs)
+            return sum(_in_parallel([lambda n=n, d=d: one(n, d) for n, d in outs.items()]))
         report.rows["reports"] = _timed(report, "reports", run_reports)
+    if report.window.should_update_watermark:
+        candidate = incremental.state_row(spark, report.window, run_id, dt.datetime.now(dt.timezone.utc),
+                                          "shared", report.rows.get("gold.dim_visitor", 0),
+                                          report.rows.get("gold.dim_media", 0))
+        report.watermark_committed = incremental.commit(spark, state_path, candidate)
     return report

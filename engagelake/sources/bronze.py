@@ -15,6 +15,8 @@ events) is spread over many window partitions instead of one.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,6 +30,18 @@ from engagelake.sources.files import path_exists
 ROUTING = ["ingest_date", "run_id"]
 
 
+def new_run_id(now: dt.datetime | None = None) -> str:
+    """Run id ``yyyyMMddTHHmmssZ-<8 hex>`` (UTC), one per run."""
+    now = (now or dt.datetime.now(dt.timezone.utc)).astimezone(dt.timezone.utc)
+    return f"{now:%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"
+
+
+def record_file_part(key: Column) -> Column:
+    """File-name part for a record key: ``/`` first becomes ``_``, then runs of
+    unsafe characters become one ``_``."""
+    return sanitize_file_part(F.regexp_replace(key, "/", "_"))
+
+
 def run_stamp(ts: Column) -> Column:
     """ISO-8601 text with explicit UTC offset, as landed in ``ingested_at``."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")

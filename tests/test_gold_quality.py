@@ -117,3 +117,14 @@ def test_fact_checks_catch_range_and_orphans(spark):
 def test_duplicate_null_keys_count_once(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), ("b", 5)], "k string, v int")
     assert q.duplicate_key_count(df, ["k"]).first()["observed"] == 2
+
+
+def test_report_lines_and_run_id(spark):
+    from engagelake.sources.bronze import new_run_id
+    dm = gold.build_dim_media(metadata(spark), stats(spark))
+    cfg = spark.createDataFrame([("m1",), ("m2",), ("m3",)], "media_id string")
+    lines = q.report_lines(checks.check_dim_media(dm, cfg))
+    assert lines[0] == "[PASS] dim_media.row_count - expected=3, actual=3"
+    assert "[FAIL] dim_media.channel.not_null - null_count=1" in lines
+    rid = new_run_id(dt.datetime(2026, 5, 10, 2, 0, 5, tzinfo=dt.timezone.utc))
+    assert rid.startswith("20260510T020005Z-") and len(rid) == len("20260510T020005Z-") + 8
