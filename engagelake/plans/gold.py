@@ -129,21 +129,28 @@ def visitor_daily(events: DataFrame, media: DataFrame, events_unique: bool = Tru
                   hash_ids: bool = True) -> DataFrame:
     """Visitor-day-media rollup: plays, average percent, summed watch time.
 
-    Grouped on the raw visitor key and hashed afterwards: the hash is
-    injective for practical purposes, is computed once per group instead of
-    once per event, and the shuffle carries the short key.
+    Aggregates first, joins second: the duration is constant per media, so
+    the summed ``percent_viewed * duration_seconds`` of a group is
+    ``duration_seconds * sum(percent_viewed)`` (same nulls: a missing
+    duration or all-null percents give null).  The events are combined
+    map-side and shuffled once by the group key; only the (much smaller)
+    rollup meets the catalogue, so even a catalogue too large to broadcast
+    never shuffles raw events by media (where one hot media would be one
+    task).  Grouped on the raw visitor key and hashed afterwards: computed
+    once per group, short shuffle key.
     """
-    ev = watch_time(events, media)
+    ev = events.filter(F.col("visitor_key").isNotNull())
     play = F.count("event_key") if events_unique else F.count_distinct("event_key")
     daily = ev.groupBy("media_id", "visitor_key", F.col("event_date").alias("date")).agg(
         play.alias("play_count"),
         F.avg("percent_viewed").alias("watched_percent"),
-        F.sum("estimated_watch_seconds").alias("total_watch_time_seconds"),
+        F.sum("percent_viewed").alias("_pct_sum"),
     )
-    if hash_ids:
-        daily = daily.select("media_id", pseudonym("visitor_key").alias("visitor_id"), "date",
-                             "play_count", "watched_percent", "total_watch_time_seconds")
-    return daily
+    durations = sized_broadcast(media.select("media_id", "duration_seconds"), bound=media)
+    daily = (daily.join(durations, "media_id", "left")
+                  .withColumn("total_watch_time_seconds", F.col("_pct_sum") * F.col("duration_seconds")))
+    key = pseudonym("visitor_key").alias("visitor_id") if hash_ids else F.col("visitor_key")
+    return daily.select("media_id", key, "date", "play_count", "watched_percent", "total_watch_time_seconds")
 
 
 def media_daily_rate(media_stats_by_date: DataFrame) -> DataFrame:
