@@ -1,0 +1,82 @@
+"""The reports as Spark SQL text over catalog tables.
+
+For users who run reports as SQL: each entry is a query over the tables
+named ``{fact}``, ``{dim_media}`` and ``{dim_visitor}`` (e.g. the names
+returned by ``catalog.register_gold_tables``).  ``{start}`` / ``{end}`` bound
+the date-filtered report.  Catalyst plans these exactly like the DataFrame
+versions in ``reports.py`` (same joins, partition pruning on ``date``); the
+sums here are plain double sums, as written by a SQL user, so they may
+differ from the DataFrame versions' decimal-exact sums in the last digit.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from engagelake.constants import CHANNELS
+
+FB, YT = CHANNELS
+_JOIN = "FROM {fact} f JOIN {dim_media} m ON f.media_id = m.media_id"
+
+REPORT_SQL = {
+    "smoke_dim_media": "SELECT * FROM {dim_media} ORDER BY media_id LIMIT 10",
+    "smoke_dim_visitor": "SELECT * FROM {dim_visitor} ORDER BY visitor_id LIMIT 10",
+    "smoke_fact": "SELECT * FROM {fact} ORDER BY media_id, visitor_id, date LIMIT 10",
+    "plays_by_date_channel": f"""
+        SELECT f.date, m.channel, SUM(f.play_count) AS total_plays {_JOIN}
+        GROUP BY f.date, m.channel ORDER BY f.date, m.channel""",
+    "watch_time_by_date_channel": f"""
+        SELECT f.date, m.channel,
+               ROUND(SUM(f.total_watch_time_hours), 4) AS total_watch_time_hours,
+               ROUND(SUM(f.total_watch_time_seconds), 2) AS total_watch_time_seconds {_JOIN}
+        GROUP BY f.date, m.channel ORDER BY f.date, m.channel""",
+    "avg_watched_by_media": f"""
+        SELECT m.channel, f.media_id, m.title,
+               ROUND(AVG(f.watched_percent), 4) AS avg_watched_percent,
+               ROUND(MAX(f.watched_percent), 4) AS max_watched_percent,
+               COUNT(DISTINCT f.visitor_id) AS unique_visitors, SUM(f.play_count) AS total_plays {_JOIN}
+        GROUP BY m.channel, f.media_id, m.title ORDER BY avg_watched_percent DESC""",
+    "unique_visitors": f"""
+        SELECT m.channel, f.media_id, m.title, COUNT(DISTINCT f.visitor_id) AS unique_visitors,
+               SUM(f.play_count) AS total_plays {_JOIN}
+        GROUP BY m.channel, f.media_id, m.title ORDER BY unique_visitors DESC""",
+    "channel_summary": f"""
+        SELECT m.channel, COUNT(DISTINCT f.media_id) AS media_count,
+               COUNT(DISTINCT f.visitor_id) AS unique_visitors, SUM(f.play_count) AS total_plays,
+               ROUND(AVG(f.play_rate), 4) AS avg_play_rate, ROUND(AVG(f.watched_percent), 4) AS avg_watched_percent,
+               ROUND(SUM(f.total_watch_time_hours), 4) AS total_watch_time_hours {_JOIN}
+        GROUP BY m.channel ORDER BY total_plays DESC""",
+    "daily_channel_trend": f"""
+        SELECT f.date,
+               SUM(CASE WHEN m.channel = '{FB}' THEN f.play_count ELSE 0 END) AS {FB.lower()}_plays,
+               SUM(CASE WHEN m.channel = '{YT}' THEN f.play_count ELSE 0 END) AS {YT.lower()}_plays,
+               ROUND(SUM(CASE WHEN m.channel = '{FB}' THEN f.total_watch_time_hours ELSE 0 END), 4)
+                 AS {FB.lower()}_watch_hours,
+               ROUND(SUM(CASE WHEN m.channel = '{YT}' THEN f.total_watch_time_hours ELSE 0 END), 4)
+                 AS {YT.lower()}_watch_hours {_JOIN}
+        GROUP BY f.date ORDER BY f.date""",
+    "top_locations": """
+        SELECT country, region, city, COUNT(DISTINCT visitor_id) AS unique_visitors,
+               SUM(event_count) AS total_events, ROUND(AVG(avg_percent_viewed), 4) AS avg_watched_percent
+        FROM {dim_visitor} WHERE country IS NOT NULL GROUP BY country, region, city
+        ORDER BY unique_visitors DESC, country, region, city LIMIT 25""",
+    "device_breakdown": """
+        SELECT platform, browser, mobile, COUNT(DISTINCT visitor_id) AS unique_visitors,
+               SUM(event_count) AS total_events, ROUND(AVG(avg_percent_viewed), 4) AS avg_watched_percent
+        FROM {dim_visitor} GROUP BY platform, browser, mobile ORDER BY unique_visitors DESC""",
+    "date_filtered": f"""
+        SELECT f.date, m.channel, f.media_id, SUM(f.play_count) AS total_plays,
+               ROUND(SUM(f.total_watch_time_hours), 4) AS total_watch_time_hours {_JOIN}
+        WHERE f.date BETWEEN DATE '{{start}}' AND DATE '{{end}}'
+        GROUP BY f.date, m.channel, f.media_id ORDER BY f.date, m.channel, f.media_id""",
+    "kpi": f"""
+        SELECT f.date, m.channel, f.media_id, SUM(f.play_count) AS plays,
+               AVG(f.watched_percent) AS avg_watched_percent,
+               SUM(f.total_watch_time_hours) AS total_watch_time_hours {_JOIN}
+        GROUP BY f.date, m.channel, f.media_id ORDER BY f.date DESC, m.channel, f.media_id""",
+}
+
+
+def run(spark: SparkSession, name: str, tables: dict[str, str], **params) -> DataFrame:
+    """``tables`` maps ``fact`` / ``dim_media`` / ``dim_visitor`` to table names."""
+    return spark.sql(REPORT_SQL[name].format(**tables, **params))

@@ -84,6 +84,7 @@ def test_upsert_latest_replaces_only_touched_partitions(spark, tmp_path):
 DOCS = [
     (1, {"a": {"visitor_key": "x", "b": [{"visitorKey": "y"}, {"visitor_key": 5}]}, "visitor_key": ["z"]}),
     (2, [1, 2, {"deep": {"deeper": {"visitor_key": "q", "inner": {"visitor_key": "r"}}}}]),
+    (4, {"visitor_key": {"visitor_key": "below", "visitorKey": ["not", "strings"]}}),   # walk below a match
     (3, "not json {"),
 ]
 
@@ -91,7 +92,7 @@ DOCS = [
 def test_harvest_any_depth_strings_only(spark):
     df = spark.createDataFrame([(i, d if isinstance(d, str) else json.dumps(d)) for i, d in DOCS], "id long, j string")
     got = {r["v"] for r in J.harvest(df, ["id"], "j", ["visitor_key", "visitorKey"], "v").collect()}
-    assert got == {"x", "y", "q", "r"}
+    assert got == {"x", "y", "q", "r", "below"}
 
 
 def test_extract_records_shapes(spark):
