@@ -534,7 +534,7 @@ def run_commit_candidates(spark, sf) -> DataFrame:
     run_day = F.when(F.col("replay") == 0, F.col("event_date")).otherwise(F.date_sub("event_date", 1))
     wm_ts = T.run_time_of(run_day)
     return cand.select(
-        (F.datediff("event_date", F.lit(dt.date(1970, 1, 1))) * 2 + F.col("replay")).alias("seq"),
+        (F.datediff("event_date", F.lit(dt.date(1970, 1, 1))) * 2 + F.col("replay")).cast("long").alias("seq"),
         F.lit(SOURCE_NAME).alias("source"),
         BZ.run_stamp(wm_ts).alias("watermark_value"),
         wm_ts.cast("timestamp").alias("watermark_ts"),
