@@ -32,7 +32,8 @@ def register(name: str, sql: str | None = None):
 # -- gold frames from the generated tables -------------------------------------
 
 def dim_media_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.build_dim_media(T.media_metadata(spark, sf), T.media_stats(spark, sf))
+    # dim_media reads only the channel of the stats snapshot
+    return gold.build_dim_media(T.media_metadata(spark, sf), T.media_stats(spark, sf, with_visitors=False))
 
 
 def dim_visitor_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -505,6 +506,7 @@ def paged_envelopes(spark, sf):
 # -- INC -----------------------------------------------------------------------------
 
 from engagelake.constants import SOURCE_NAME  # noqa: E402
+from engagelake.operators.aggregate import distinct_count, null_safe_join  # noqa: E402
 from engagelake.plans import incremental as INC  # noqa: E402
 
 _EXPLICIT = ("2024-01-05", "2024-01-09")
@@ -528,8 +530,8 @@ def run_commit_candidates(spark, sf) -> DataFrame:
     """Candidate watermark states in processing order: each daily run commits
     its run clock; a replay of the previous run's commit follows it."""
     ev = T.play_events(spark, sf)
-    days = ev.groupBy("event_date").agg(F.count_distinct("visitor_key").alias("visitor_count"),
-                                        F.count_distinct("media_id").alias("media_count"))
+    days = null_safe_join(distinct_count(ev, ["event_date"], "visitor_key", "visitor_count"),
+                          distinct_count(ev, ["event_date"], "media_id", "media_count"), ["event_date"], "full")
     cand = days.withColumn("replay", F.explode(F.array(F.lit(0), F.lit(1))))
     run_day = F.when(F.col("replay") == 0, F.col("event_date")).otherwise(F.date_sub("event_date", 1))
     wm_ts = T.run_time_of(run_day)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagelake.constants import CHANNELS, SOURCE_NAME
+from engagelake.operators.aggregate import distinct_count
 from engagelake.operators.broadcast import sized_broadcast
 
 PLAY_TYPES = ("view", "click")
@@ -151,47 +152,52 @@ def media_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def media_day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per media and day: loads, plays, hours, visitors (one partial aggregate).
+    """Per media and day: loads, plays, hours (one partially-combined aggregate).
 
     Also the per-run ``media_stats`` snapshot: each daily run lands the
     stats of the day it closes.
     """
     ev = table(spark, sf_dir, "events")
     k = _media_key(F.col("props"))
-    day = F.col("ts").cast("date")
-    # Two phases: per (media, day, user) first -- spread by user, so a hot
-    # media-day is not one reducer's distinct set -- then per media-day.
-    per_user = ev.groupBy(k.alias("k"), day.alias("metric_date"), "user_id").agg(
-        F.count(F.lit(1)).alias("_loads"),
-        F.count_if(F.col("event_type").isin(*PLAY_TYPES)).alias("_plays"),
-        F.sum(F.floor("value")).alias("_floor_sum"))
-    grouped = per_user.groupBy("k", "metric_date").agg(
-        F.sum("_loads").alias("load_count"),
-        F.sum("_plays").alias("play_count"),
-        (F.sum("_floor_sum") / F.lit(3600.0)).alias("hours_watched"),
-        F.sum("_floor_sum").alias("_pct_sum"),
-        F.count("user_id").alias("visitor_count"),
+    grouped = ev.groupBy(k.alias("k"), F.col("ts").cast("date").alias("metric_date")).agg(
+        F.count(F.lit(1)).alias("load_count"),
+        F.count_if(F.col("event_type").isin(*PLAY_TYPES)).alias("play_count"),
+        (F.sum(F.floor("value")) / F.lit(3600.0)).alias("hours_watched"),
+        F.sum(F.floor("value")).alias("_pct_sum"),
     )
     return grouped.select(
         F.concat(F.lit("m"), F.col("k")).alias("media_id"),
         channel_of(F.col("k").cast("long")).alias("channel"),
         "metric_date", "load_count", "play_count", "hours_watched",
         (F.col("_pct_sum") / F.lit(256.0) / F.col("load_count")).alias("engagement"),
-        "visitor_count",
         run_id_of(F.col("metric_date")).alias("pipeline_run_id"),
         run_time_of(F.col("metric_date")).alias("ingested_at"),
     )
 
 
+def media_day_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct visitors per media and day (skew-safe two-phase count)."""
+    ev = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("m"), _media_key(F.col("props"))).alias("media_id"),
+        F.col("ts").cast("date").alias("metric_date"), "user_id")
+    return distinct_count(ev, ["media_id", "metric_date"], "user_id", "visitor_count")
+
+
 def media_stats_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_day_stats(spark, sf_dir).select(
         "media_id", "channel", "metric_date", "load_count", "play_count", "hours_watched",
         "pipeline_run_id", "ingested_at")
 
 
-def media_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver ``media_stats``: one snapshot per media and daily run."""
+def media_stats(spark: SparkSession, sf_dir: str, with_visitors: bool = True) -> DataFrame:
+    """Silver ``media_stats``: one snapshot per media and daily run
+    (``with_visitors=False`` leaves the visitor count null and skips it)."""
     s = media_day_stats(spark, sf_dir)
+    if with_visitors:
+        s = (s.join(media_day_visitors(spark, sf_dir), ["media_id", "metric_date"], "left")
+              .withColumn("visitor_count", F.coalesce("visitor_count", F.lit(0).cast("long"))))
+    else:
+        s = s.withColumn("visitor_count", F.lit(None).cast("long"))
     return s.select("media_id", "channel", "load_count", "play_count",
                     F.when(F.col("load_count") > 0,
                            F.col("play_count") / F.col("load_count")).alias("play_rate"),
@@ -270,7 +276,8 @@ def events_envelopes(spark: SparkSession, sf_dir: str, per_page: int = DEFAULT_P
 
 
 def media_stats_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = media_day_stats(spark, sf_dir).withColumn("visitors", F.col("visitor_count")).withColumn(
+    s = (media_day_stats(spark, sf_dir).join(media_day_visitors(spark, sf_dir), ["media_id", "metric_date"], "left")
+         .withColumn("visitors", F.coalesce("visitor_count", F.lit(0).cast("long")))).withColumn(
         "play_rate", F.when(F.col("load_count") > 0, F.col("play_count") / F.col("load_count")))
     return BZ.envelopes(s, dataset="media_stats", endpoint="/stats/medias/{media_id}",
                         run_id=F.col("pipeline_run_id"), ingested_at=BZ.run_stamp(F.col("ingested_at")),
