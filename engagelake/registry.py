@@ -777,3 +777,24 @@ def stream_visitor_daily(spark, sf):
                          fact_path=f"{root}/visitor_daily", media=media, max_files_per_trigger=8)
     return spark.read.parquet(f"{root}/visitor_daily").select(
         "media_id", "visitor_id", "date", "play_count", "watched_percent", "total_watch_time_seconds")
+
+
+# -- incremental daily runs end to end ---------------------------------------------------
+
+from engagelake.plans.workflow import run_incremental  # noqa: E402
+
+_RUN_TIMES = [dt.datetime(2024, 1, 11, 2, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 21, 2, tzinfo=dt.timezone.utc),
+              dt.datetime(2024, 2, 1, 2, tzinfo=dt.timezone.utc)]
+
+
+@register("inc_daily_runs", O.with_views("fact") + "SELECT * FROM fact")
+def inc_daily_runs(spark, sf):
+    """Three incremental runs with overlapping (lookback) windows covering the
+    data: each lands, merges and recomputes only its window; the final fact
+    equals a full rebuild."""
+    root = new_run_dir(spark, "incremental")
+    for as_of in _RUN_TIMES:
+        run_incremental(spark, sf, root, as_of, initial_start_date="2024-01-01")
+    schema = fact_schema()
+    schema.fields = [f for f in schema.fields if f.name != "gold_loaded_at"]
+    return read_required(spark, root, "gold/fact_media_engagement", schema).select(*gold.FACT_COLUMNS)

@@ -64,12 +64,13 @@ def envelope(dataset: str, with_corrupt: bool = False) -> T.StructType:
 # Silver partitioning (dataset -> partition columns).  Only dates partition;
 # media ids cluster inside the files (sorted), so scans still skip by media
 # through Parquet statistics without a folder per (day, media).  Events are
-# partitioned by their own date, which never changes between re-landings, so
-# latest-wins upserts touch exactly the partitions of the new rows.
+# partitioned by their own date (and daily stats by their metric date), which
+# never changes between re-landings, so latest-wins upserts touch exactly the
+# partitions of the new rows.
 SILVER_PARTITIONS = {
     "media_metadata": ["ingest_date"],
     "media_stats": ["ingest_date"],
-    "media_stats_by_date": ["ingest_date"],
+    "media_stats_by_date": ["metric_date"],
     "media_engagement": ["ingest_date"],
     "events": ["event_date"],
     "visitor_stats": ["ingest_date"],
@@ -77,7 +78,7 @@ SILVER_PARTITIONS = {
 SILVER_CLUSTER = {
     "media_metadata": ["media_id"],
     "media_stats": ["media_id"],
-    "media_stats_by_date": ["media_id", "metric_date"],
+    "media_stats_by_date": ["media_id"],
     "media_engagement": ["media_id", "timeline_index"],
     "events": ["media_id", "visitor_key"],
     "visitor_stats": ["visitor_key"],

@@ -16,13 +16,14 @@ events) is spread over many window partitions instead of one.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from engagelake.constants import DEFAULT_PAGE_SIZE, SOURCE_NAME
+from engagelake.constants import DEFAULT_PAGE_SIZE, FILE_PART_UNSAFE, SOURCE_NAME
 from engagelake.functions.scalar import iso_date, sanitize_file_part
 from engagelake.schemas import CORRUPT, envelope
 from engagelake.sources.files import path_exists
@@ -99,16 +100,23 @@ def land(env: DataFrame, root: str, dataset: str) -> str:
     return out
 
 
+def run_folder(root: str, dataset: str, ingest_date: str, run_id: str) -> str:
+    """Landing folder of one run of one dataset (the routing of ``land``)."""
+    safe = re.sub(FILE_PART_UNSAFE, "_", run_id)
+    return f"{root.rstrip('/')}/{dataset}/ingest_date={ingest_date}/run_id={safe}"
+
+
 def read(spark: SparkSession, root: str, dataset: str, multiline: bool = False,
-         keep_corrupt: bool = False) -> DataFrame:
+         keep_corrupt: bool = False, path: str | None = None) -> DataFrame:
     """Explicit-schema scan of one bronze dataset.
 
     Missing folder -> empty frame of the declared schema (callers skip it).
+    ``path`` narrows the scan to one run's folder (``run_folder``).
     Adds ``source_file``.  Lines that do not parse are dropped here
     (``DROPMALFORMED``) and returned by ``quarantine``; ``keep_corrupt``
     reads them as rows with the raw text in ``_corrupt_record`` instead.
     """
-    path = f"{root.rstrip('/')}/{dataset}"
+    path = path or f"{root.rstrip('/')}/{dataset}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], envelope(dataset)).withColumn("source_file", F.lit(None).cast("string"))
     reader = (spark.read.schema(envelope(dataset, with_corrupt=keep_corrupt))

@@ -371,3 +371,35 @@ ENVELOPE_BUILDERS = {
     "events": events_envelopes,
     "visitor_stats": visitor_stats_envelopes,
 }
+
+
+def window_envelopes(spark: SparkSession, sf_dir: str, start, end, run_id: str, ingested_at: str,
+                     per_page: int = DEFAULT_PAGE_SIZE) -> dict[str, DataFrame]:
+    """What one incremental run fetches: events and daily stats of the
+    window ``[start, end]``, each media's stats snapshot, and the catalogue,
+    all under one run id and landing time."""
+    in_window = lambda c: F.col(c).between(F.lit(start), F.lit(end))
+    rid, at = F.lit(run_id), F.lit(ingested_at)
+    rec = event_records(spark, sf_dir).filter(in_window("event_date"))
+    paged = BZ.page_records(rec, ["media_id"], "event_key", per_page)
+    events = BZ.envelopes(paged, dataset="events", endpoint="/stats/events", run_id=rid, ingested_at=at,
+                          media_id=F.col("media_id"), channel=channel_of(F.col("k")),
+                          record_cols=EVENT_RECORD_COLS, group_cols=["page"])
+    days = media_day_stats(spark, sf_dir).filter(in_window("metric_date")).withColumn(
+        "date", F.col("metric_date").cast("string"))
+    by_date = BZ.envelopes(days, dataset="media_stats_by_date", endpoint="/stats/medias/{media_id}/by_date",
+                           run_id=rid, ingested_at=at, media_id=F.col("media_id"), channel=F.col("channel"),
+                           record_cols=["date", "load_count", "play_count", "hours_watched"])
+    snap = (days.groupBy("media_id", "channel")
+                .agg(F.sum("load_count").alias("load_count"), F.sum("play_count").alias("play_count"),
+                     F.sum("hours_watched").alias("hours_watched"))
+                .withColumn("play_rate", F.when(F.col("load_count") > 0, F.col("play_count") / F.col("load_count")))
+                .withColumn("engagement", F.lit(None).cast("double"))
+                .withColumn("visitors", F.lit(None).cast("long")))
+    stats = BZ.envelopes(snap, dataset="media_stats", endpoint="/stats/medias/{media_id}", run_id=rid,
+                         ingested_at=at, media_id=F.col("media_id"), channel=F.col("channel"),
+                         record_cols=["load_count", "play_count", "play_rate", "hours_watched", "engagement",
+                                      "visitors"], array_payload=False)
+    catalogue = media_metadata_envelopes(spark, sf_dir, per_page).withColumn(
+        "pipeline_run_id", rid).withColumn("ingested_at", at)
+    return {"events": events, "media_stats_by_date": by_date, "media_stats": stats, "media_metadata": catalogue}

@@ -134,3 +134,17 @@ def test_size_check_uses_plan_statistics_and_bounds(spark, sf_small):
     assert sized_broadcast(places) is places                  # unbounded estimate: no hint
     assert hints(sized_broadcast(places, bound=cust)) == hints(places) + 1
     assert sized_broadcast(cust, cap_bytes=1) is cust
+
+
+def test_distinct_count_matches_count_distinct_on_skewed_groups(spark):
+    from engagelake.operators.aggregate import distinct_count, null_safe_join
+    hot = [("hot", i % 500) for i in range(5000)]                     # one group holds most rows
+    cold = [(f"g{i}", i % 3) for i in range(300)] + [("nulls", None), (None, 1), (None, 2)]
+    df = spark.createDataFrame(hot + cold, "k string, x int")
+    a = {r["k"]: r["n"] for r in distinct_count(df, ["k"], "x", "n").collect()}
+    b = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.count_distinct("x").alias("n")).collect() if r["n"]}
+    assert a == b and a["hot"] == 500 and a[None] == 2 and "nulls" not in a
+    left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    right = spark.createDataFrame([(None, 10), ("b", 20)], "k string, w int")
+    got = {(r["k"], r["w"]) for r in null_safe_join(left, right, ["k"]).collect()}
+    assert got == {(None, 10), ("a", None)}
