@@ -67,8 +67,8 @@ def land_all(spark: SparkSession, sf_dir: str, bronze_root: str) -> None:
 
 def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, report: RunReport) -> None:
     def one(ds: str) -> None:
-        df = silver.TRANSFORMS[ds](bronze.read(spark, bronze_root, ds))
-        _, obs = write_table(df, silver_root, ds, SILVER_PARTITIONS[ds], cluster_by=SILVER_CLUSTER[ds])
+        df, parts = silver.transform(ds, bronze.read(spark, bronze_root, ds))
+        _, obs = write_table(df, silver_root, ds, parts, cluster_by=SILVER_CLUSTER[ds])
         report.rows[f"silver.{ds}"] = written_rows(obs)
     _in_parallel([lambda ds=ds: one(ds) for ds in DATASETS])
 

@@ -399,8 +399,7 @@ SELECT page_id, regexp_replace(replace(url, '/', '_'), '[^A-Za-z0-9_.=-]+', '_',
 FROM pages""")
 def sanitize_key(spark, sf):
     pages = _t(spark, sf, "pages")
-    return pages.select("page_id",
-                        S.sanitize_file_part(F.regexp_replace("url", "/", "_")).alias("file_part"),
+    return pages.select("page_id", BZ.record_file_part(F.col("url")).alias("file_part"),
                         S.sanitize_file_part("url").alias("url_part"))
 
 
