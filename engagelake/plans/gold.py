@@ -70,7 +70,9 @@ def build_dim_visitor(events: DataFrame, stamp: bool = False, events_unique: boo
     hot visitor over many reducers and yields the distinct media count as a
     plain count -- then per visitor over the small partials.  The latest
     attributes ride along as ``max_by(attrs, (received_at, event_key))`` in
-    the same aggregates, replacing a window plus self join.
+    the same aggregates, replacing a window plus self join.  (A struct
+    buffer is variable-width, so Spark plans these as sort-based aggregates;
+    they still combine map-side before each shuffle and spill gracefully.)
     """
     ev = events.filter(F.col("visitor_key").isNotNull())
     if not events_unique:

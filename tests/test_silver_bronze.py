@@ -98,3 +98,18 @@ def test_landing_round_trip_keeps_envelope(spark, sf_small, tmp_path):
     a = {(r["pipeline_run_id"], r["media_id"], r["channel"]) for r in env.collect()}
     b = {(r["pipeline_run_id"], r["media_id"], r["channel"]) for r in back.collect()}
     assert a == b
+
+
+def test_multiline_documents_and_folder_without_json(spark, tmp_path):
+    d = tmp_path / "media_stats" / "ingest_date=2026-05-10" / "run_id=r1" / "media_id=m1"
+    d.mkdir(parents=True)
+    doc = {**RUN1, "dataset": "media_stats", "media_id": "m1", "channel": "c",
+           "payload": {"load_count": 4, "play_count": 2, "play_rate": 0.5, "hours_watched": 0.1,
+                       "engagement": 0.2, "visitors": 1}}
+    (d / "media_stats_m1.json").write_text(json.dumps(doc, indent=2))          # one pretty-printed document
+    rows = silver.media_stats(bronze.read(spark, str(tmp_path), "media_stats", multiline=True)).collect()
+    assert len(rows) == 1 and rows[0]["media_id"] == "m1" and rows[0]["load_count"] == 4
+    e = tmp_path / "events" / "ingest_date=2026-05-10"
+    e.mkdir(parents=True)
+    (e / "notes.txt").write_text("no json here\n")
+    assert bronze.read(spark, str(tmp_path), "events").count() == 0
