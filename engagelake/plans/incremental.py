@@ -20,6 +20,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,13 +156,17 @@ def upsert_latest(spark: SparkSession, new_rows: DataFrame, path: str, keys: Seq
     Keys must not move between partitions (partition by a property of the
     key itself, e.g. the event's own date), otherwise the old partition keeps
     a stale copy."""
-    merged = new_rows
-    if path_exists(spark, path):
-        existing = spark.read.schema(new_rows.schema).parquet(path)
-        touched = new_rows.select(*partition_cols).distinct()
-        existing = existing.join(touched, list(partition_cols), "left_semi")
-        merged = new_rows.unionByName(existing.select(*new_rows.columns))
-    latest = latest_by(merged, keys, order_col, tiebreak=tiebreak).checkpoint(eager=True)
-    (latest.hint("rebalance", *partition_cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    new_rows = new_rows.persist(StorageLevel.MEMORY_AND_DISK)   # read twice: touched keys + merge
+    try:
+        merged = new_rows
+        if path_exists(spark, path):
+            existing = spark.read.schema(new_rows.schema).parquet(path)
+            touched = new_rows.select(*partition_cols).distinct()
+            existing = existing.join(touched, list(partition_cols), "left_semi")
+            merged = new_rows.unionByName(existing.select(*new_rows.columns))
+        latest = latest_by(merged, keys, order_col, tiebreak=tiebreak).checkpoint(eager=True)
+        (latest.hint("rebalance", *partition_cols).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    finally:
+        new_rows.unpersist()
     return latest
