@@ -65,9 +65,10 @@ def land_all(spark: SparkSession, sf_dir: str, bronze_root: str) -> None:
                   for ds in DATASETS])
 
 
-def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, report: RunReport) -> None:
+def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, report: RunReport,
+                 multiline: bool = False) -> None:
     def one(ds: str) -> None:
-        df, parts = silver.transform(ds, bronze.read(spark, bronze_root, ds))
+        df, parts = silver.transform(ds, bronze.read(spark, bronze_root, ds, multiline=multiline))
         _, obs = write_table(df, silver_root, ds, parts, cluster_by=SILVER_CLUSTER[ds])
         report.rows[f"silver.{ds}"] = written_rows(obs)
     _in_parallel([lambda ds=ds: one(ds) for ds in DATASETS])
@@ -116,23 +117,36 @@ def read_gold(spark: SparkSession, gold_root: str) -> tuple[DataFrame, DataFrame
 
 def run_daily(spark: SparkSession, sf_dir: str, root: str, with_reports: bool = True,
               as_of: dt.datetime | None = None, run_id: str | None = None) -> RunReport:
-    """One daily run.  The window is resolved from the watermark state under
+    """One daily run over the generated tables: land them as bronze, then
+    ``process_bronze``."""
+    report = RunReport(root=root)
+    _timed(report, "land", lambda: land_all(spark, sf_dir, f"{root}/bronze"))
+    return process_bronze(spark, f"{root}/bronze", root, TD.media_config(spark, sf_dir), with_reports=with_reports,
+                          as_of=as_of, run_id=run_id, report=report)
+
+
+def process_bronze(spark: SparkSession, bronze_root: str, root: str, media_config: DataFrame,
+                   with_reports: bool = True, as_of: dt.datetime | None = None, run_id: str | None = None,
+                   multiline: bool = False, report: RunReport | None = None) -> RunReport:
+    """Silver -> gold -> checks -> reports from an existing bronze folder
+    (``multiline`` for one pretty-printed document per file), writing under
+    ``root``.  The window is resolved from the watermark state under
     ``root/state`` before the run; the new watermark is committed only after
     every step succeeded (a failed run leaves the state as it was, and the
     next run re-reads the window: at-least-once, made idempotent by the
-    latest-wins silver transforms)."""
-    report = RunReport(root=root)
+    latest-wins silver transforms).  ``media_config`` is the configured
+    ``(media_id, channel)`` list the row-count check expects."""
+    report = report or RunReport(root=root)
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or bronze.new_run_id(as_of)
     state_path = f"{root}/state/watermark"
     previous = incremental.current_watermark(incremental.read_state(spark, state_path))
     report.window = incremental.resolve_window(as_of=as_of, previous_watermark=previous)
-    b, s, g = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
-    _timed(report, "land", lambda: land_all(spark, sf_dir, b))
-    _timed(report, "silver", lambda: build_silver(spark, b, s, report))
+    s, g = f"{root}/silver", f"{root}/gold"
+    _timed(report, "silver", lambda: build_silver(spark, bronze_root, s, report, multiline))
     _timed(report, "gold", lambda: build_gold(spark, s, g, report))
     fact, dim_media, dim_visitor = read_gold(spark, g)
-    results = checks.check_gold(fact, dim_media, dim_visitor, TD.media_config(spark, sf_dir))
+    results = checks.check_gold(fact, dim_media, dim_visitor, media_config)
     report.check_lines = _timed(report, "quality", lambda: report_lines(results))
     report.failed_checks = sum(1 for line in report.check_lines if line.startswith("[FAIL]"))
     if with_reports:

@@ -113,3 +113,29 @@ def test_multiline_documents_and_folder_without_json(spark, tmp_path):
     e.mkdir(parents=True)
     (e / "notes.txt").write_text("no json here\n")
     assert bronze.read(spark, str(tmp_path), "events").count() == 0
+
+
+def test_process_existing_multiline_bronze_end_to_end(spark, tmp_path):
+    from engagelake.plans.workflow import process_bronze
+    b = tmp_path / "bronze"
+    run = {**RUN1}
+    docs = {
+        "media_metadata": {**run, "media_id": None, "channel": None, "payload": [
+            {"hashed_id": "m1", "id": 1, "name": "t1", "duration": 100.0, "type": "Video", "status": "ready",
+             "archived": False, "created": "2026-05-01T00:00:00Z", "updated": "2026-05-02T00:00:00Z"}]},
+        "media_stats": {**run, "media_id": "m1", "channel": "Facebook", "payload": {"load_count": 4, "play_count": 2}},
+        "media_stats_by_date": {**run, "media_id": "m1", "channel": "Facebook",
+                                "payload": [{"date": "2026-05-09", "load_count": 4, "play_count": 2,
+                                             "hours_watched": 0.5}]},
+        "events": {**run, "media_id": "m1", "channel": "Facebook", "payload": [event("e1"), event("e2")]},
+    }
+    for ds, doc in docs.items():
+        d = b / ds / "ingest_date=2026-05-10" / "run_id=r1"
+        d.mkdir(parents=True)
+        (d / f"{ds}.json").write_text(json.dumps({**doc, "dataset": ds}, indent=2))
+    cfg = spark.createDataFrame([("m1", "Facebook")], "media_id string, channel string")
+    rep = process_bronze(spark, str(b), str(tmp_path / "out"), cfg, with_reports=True, multiline=True)
+    assert rep.rows["gold.fact_media_engagement"] == 1 and rep.rows["gold.dim_visitor"] == 1
+    fact = spark.read.parquet(str(tmp_path / "out" / "gold" / "fact_media_engagement")).first()
+    assert fact["play_count"] == 2 and fact["play_rate"] == 0.5 and fact["total_watch_time_seconds"] == 100.0
+    assert rep.failed_checks == 0 and rep.watermark_committed
