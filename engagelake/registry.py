@@ -13,8 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagelake import oracle as O
+from engagelake.constants import SOURCE_NAME, VISITOR_KEY_NAMES
+from engagelake.functions import scalar as S
+from engagelake.operators import json_ops as J
+from engagelake.operators import quality as QC
+from engagelake.operators.aggregate import distinct_count, null_safe_join
+from engagelake.operators.latest import dedup_keep_one as _dedup
+from engagelake.operators.latest import latest_by as _latest
+from engagelake.operators.privacy import drop_sensitive as _drop_sensitive
+from engagelake.plans import catalog as CAT
+from engagelake.plans import checks as CK
 from engagelake.plans import gold
+from engagelake.plans import incremental as INC
+from engagelake.plans import reports as R
+from engagelake.plans import silver as SV
+from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, fact_schema, run_incremental
+from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
+from engagelake.session import new_run_dir
+from engagelake.sources import bronze as BZ
 from engagelake.sources import testdata as T
+from engagelake.sources.files import read_required, write_table
+from engagelake.streaming import events as ST
 
 REGISTRY: dict = {}
 ORACLES: dict[str, str] = {}
@@ -93,7 +112,6 @@ def latest_attrs(spark, sf):
 
 # -- RPT -----------------------------------------------------------------------
 
-from engagelake.plans import reports as R  # noqa: E402
 
 REPORT_WINDOW = (dt.date(2024, 1, 8), dt.date(2024, 1, 14))
 _FM = "FROM fact f JOIN dim_media m ON f.media_id = m.media_id"
@@ -217,9 +235,6 @@ def rpt_kpi(spark, sf):
 
 # -- QC ------------------------------------------------------------------------
 
-from engagelake.operators import quality as QC  # noqa: E402
-from engagelake.plans import checks as CK  # noqa: E402
-
 
 def _t(spark, sf, name):
     return T.table(spark, sf, name)
@@ -328,9 +343,6 @@ def qc_gate(spark, sf):
 
 # -- WIN / AGG-10 / PRJ / FLT / FN ---------------------------------------------
 
-from engagelake.functions import scalar as S  # noqa: E402
-from engagelake.operators.latest import dedup_keep_one as _dedup, latest_by as _latest  # noqa: E402
-from engagelake.operators.privacy import drop_sensitive as _drop_sensitive  # noqa: E402
 
 _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus"]
@@ -451,10 +463,6 @@ def scalar_pack(spark, sf):
 
 # -- TRF / SRC / SNK / JSN-5 -------------------------------------------------------
 
-from engagelake.plans import silver as SV  # noqa: E402
-from engagelake.session import new_run_dir  # noqa: E402
-from engagelake.sources import bronze as BZ  # noqa: E402
-
 
 def _silver(dataset):
     def run(spark, sf):
@@ -504,9 +512,6 @@ def paged_envelopes(spark, sf):
 
 # -- INC -----------------------------------------------------------------------------
 
-from engagelake.constants import SOURCE_NAME  # noqa: E402
-from engagelake.operators.aggregate import distinct_count, null_safe_join  # noqa: E402
-from engagelake.plans import incremental as INC  # noqa: E402
 
 _EXPLICIT = ("2024-01-05", "2024-01-09")
 _AS_OF_DISABLED = dt.datetime(2024, 1, 25, 8, 0, tzinfo=dt.timezone.utc)
@@ -619,10 +624,6 @@ def inc_upsert(spark, sf):
 
 # -- SNK-4/5, SRC-7..9 ---------------------------------------------------------------
 
-from engagelake.plans import catalog as CAT  # noqa: E402
-from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, fact_schema  # noqa: E402
-from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS  # noqa: E402
-from engagelake.sources.files import read_required, write_table  # noqa: E402
 
 _PROJ_FIRST, _PROJ_TODAY = dt.date(2024, 1, 3), dt.date(2024, 1, 28)
 
@@ -671,9 +672,6 @@ def projected_fact(spark, sf):
 
 # -- JSN-1..4 --------------------------------------------------------------------------
 
-from engagelake.constants import VISITOR_KEY_NAMES  # noqa: E402
-from engagelake.operators import json_ops as J  # noqa: E402
-
 
 @register("harvest_keys", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS visitor_key FROM events "
                           "ORDER BY visitor_key")
@@ -734,8 +732,6 @@ def json_shape(spark, sf):
 
 # -- STR-1..5 ---------------------------------------------------------------------------
 
-from engagelake.streaming import events as ST  # noqa: E402
-
 
 def _landed_events(spark, sf) -> str:
     root = new_run_dir(spark, "stream")
@@ -780,7 +776,6 @@ def stream_visitor_daily(spark, sf):
 
 # -- incremental daily runs end to end ---------------------------------------------------
 
-from engagelake.plans.workflow import run_incremental  # noqa: E402
 
 _RUN_TIMES = [dt.datetime(2024, 1, 11, 2, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 21, 2, tzinfo=dt.timezone.utc),
               dt.datetime(2024, 2, 1, 2, tzinfo=dt.timezone.utc)]
