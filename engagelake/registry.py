@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagelake import oracle as O
-from engagelake.constants import SOURCE_NAME, VISITOR_KEY_NAMES
+from engagelake.constants import EVENT_KEY_NAMES, SOURCE_NAME, VISITOR_KEY_NAMES
 from engagelake.functions import scalar as S
 from engagelake.operators import json_ops as J
 from engagelake.operators import quality as QC
@@ -682,6 +682,15 @@ def harvest_keys(spark, sf):
     return J.harvest(docs, ["doc"], "json", VISITOR_KEY_NAMES, "visitor_key").orderBy("visitor_key")
 
 
+@register("harvest_event_keys", "SELECT DISTINCT CAST(event_id AS VARCHAR) AS event_key FROM events "
+                                "ORDER BY event_key")
+def harvest_event_keys(spark, sf):
+    """Event keys found anywhere in the landed event pages, sorted."""
+    env = T.events_envelopes(spark, sf)
+    docs = env.select(F.monotonically_increasing_id().alias("doc"), F.to_json(F.struct("*")).alias("json"))
+    return J.harvest(docs, ["doc"], "json", EVENT_KEY_NAMES, "event_key").orderBy("event_key")
+
+
 def _response_docs(spark, sf) -> DataFrame:
     """Responses of four shapes built from conversation turns: a bare list,
     a list under ``events``, a non-list ``data`` before a list ``items``,
