@@ -38,6 +38,7 @@ PARALLEL_JOBS = 6
 
 
 def _in_parallel(fns):
+    """Run independent job-submitting callables concurrently; results in order."""
     with ThreadPoolExecutor(max_workers=PARALLEL_JOBS) as pool:
         return [f.result() for f in [pool.submit(fn) for fn in fns]]
 

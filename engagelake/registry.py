@@ -27,7 +27,7 @@ from engagelake.plans import gold
 from engagelake.plans import incremental as INC
 from engagelake.plans import reports as R
 from engagelake.plans import silver as SV
-from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, fact_schema, run_incremental
+from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, _in_parallel, fact_schema, run_incremental
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.session import new_run_dir
 from engagelake.sources import bronze as BZ
@@ -328,17 +328,21 @@ def qc_dim_visitor(spark, sf):
     return CK.check_dim_visitor(_materialised(dim_visitor_frame(spark, sf)))
 
 
+def _gold_materialised(spark, sf):
+    """The three gold frames, materialised by concurrent jobs."""
+    builders = [fact_frame, dim_media_frame, dim_visitor_frame]
+    return tuple(_in_parallel([lambda b=b: _materialised(b(spark, sf)) for b in builders]))
+
+
 @register("qc_fact", O.with_views("fact", "dim_media", "dim_visitor") + O.qc_fact_sql())
 def qc_fact(spark, sf):
-    return CK.check_fact(_materialised(fact_frame(spark, sf)), _materialised(dim_media_frame(spark, sf)),
-                         _materialised(dim_visitor_frame(spark, sf)))
+    return CK.check_fact(*_gold_materialised(spark, sf))
 
 
 @register("qc_gate", O.with_views("fact", "dim_media", "dim_visitor") + O.union(
     O.qc_dim_media_sql(), O.qc_dim_visitor_sql(), O.qc_fact_sql()))
 def qc_gate(spark, sf):
-    return CK.check_gold(_materialised(fact_frame(spark, sf)), _materialised(dim_media_frame(spark, sf)),
-                         _materialised(dim_visitor_frame(spark, sf)), T.media_config(spark, sf))
+    return CK.check_gold(*_gold_materialised(spark, sf), T.media_config(spark, sf))
 
 
 # -- WIN / AGG-10 / PRJ / FLT / FN ---------------------------------------------
