@@ -37,7 +37,7 @@ FACT_CLUSTER = ["media_id", "visitor_id"]
 PARALLEL_JOBS = 6
 
 
-def _in_parallel(fns):
+def in_parallel(fns):
     """Run independent job-submitting callables concurrently; results in order."""
     with ThreadPoolExecutor(max_workers=PARALLEL_JOBS) as pool:
         return [f.result() for f in [pool.submit(fn) for fn in fns]]
@@ -62,7 +62,7 @@ def _timed(report: RunReport, step: str, fn):
 
 
 def land_all(spark: SparkSession, sf_dir: str, bronze_root: str) -> None:
-    _in_parallel([lambda ds=ds: bronze.land(TD.ENVELOPE_BUILDERS[ds](spark, sf_dir), bronze_root, ds)
+    in_parallel([lambda ds=ds: bronze.land(TD.ENVELOPE_BUILDERS[ds](spark, sf_dir), bronze_root, ds)
                   for ds in DATASETS])
 
 
@@ -72,7 +72,7 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, report
         df, parts = silver.transform(ds, bronze.read(spark, bronze_root, ds, multiline=multiline))
         _, obs = write_table(df, silver_root, ds, parts, cluster_by=SILVER_CLUSTER[ds])
         report.rows[f"silver.{ds}"] = written_rows(obs)
-    _in_parallel([lambda ds=ds: one(ds) for ds in DATASETS])
+    in_parallel([lambda ds=ds: one(ds) for ds in DATASETS])
 
 
 def _silver(spark: SparkSession, root: str, ds: str) -> DataFrame:
@@ -96,7 +96,7 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str, report: Ru
         _, o2 = write_table(gold.build_dim_visitor(events, stamp=True), gold_root, "dim_visitor")
         report.rows["gold.dim_visitor"] = written_rows(o2)
 
-    _in_parallel([media_and_fact, visitors])
+    in_parallel([media_and_fact, visitors])
 
 
 def fact_schema() -> T.StructType:
@@ -166,7 +166,7 @@ def process_bronze(spark: SparkSession, bronze_root: str, root: str, media_confi
             def one(name, df):
                 _, obs = write_table(df, f"{root}/reports", name)
                 return written_rows(obs)
-            return sum(_in_parallel([lambda n=n, d=d: one(n, d) for n, d in outs.items()]))
+            return sum(in_parallel([lambda n=n, d=d: one(n, d) for n, d in outs.items()]))
         report.rows["reports"] = _timed(report, "reports", run_reports)
     if report.window.should_update_watermark:
         candidate = incremental.state_row(spark, report.window, run_id, dt.datetime.now(dt.timezone.utc),
@@ -207,7 +207,7 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
     ingest_day = as_of.astimezone(dt.timezone.utc).date().isoformat()
     b, s, g = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
     envs = TD.window_envelopes(spark, sf_dir, window.start_date, window.end_date, run_id, landed_at)
-    _timed(report, "land", lambda: _in_parallel([lambda d=d, e=e: bronze.land(e, b, d) for d, e in envs.items()]))
+    _timed(report, "land", lambda: in_parallel([lambda d=d, e=e: bronze.land(e, b, d) for d, e in envs.items()]))
 
     def merge(ds: str) -> None:
         rows = silver.TRANSFORMS[ds](bronze.read(spark, b, ds, path=bronze.run_folder(b, ds, ingest_day, run_id)))
@@ -217,7 +217,7 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
         else:
             write_table(rows, s, ds, SILVER_PARTITIONS[ds], mode="overwrite", dynamic=True,
                         cluster_by=SILVER_CLUSTER[ds])
-    _timed(report, "silver", lambda: _in_parallel([lambda d=d: merge(d) for d in envs]))
+    _timed(report, "silver", lambda: in_parallel([lambda d=d: merge(d) for d in envs]))
 
     def rebuild_gold() -> None:
         events = _silver(spark, s, "events")

@@ -27,7 +27,7 @@ from engagelake.plans import gold
 from engagelake.plans import incremental as INC
 from engagelake.plans import reports as R
 from engagelake.plans import silver as SV
-from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, _in_parallel, fact_schema, run_incremental
+from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, in_parallel, fact_schema, run_incremental
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.session import new_run_dir
 from engagelake.sources import bronze as BZ
@@ -331,7 +331,7 @@ def qc_dim_visitor(spark, sf):
 def _gold_materialised(spark, sf):
     """The three gold frames, materialised by concurrent jobs."""
     builders = [fact_frame, dim_media_frame, dim_visitor_frame]
-    return tuple(_in_parallel([lambda b=b: _materialised(b(spark, sf)) for b in builders]))
+    return tuple(in_parallel([lambda b=b: _materialised(b(spark, sf)) for b in builders]))
 
 
 @register("qc_fact", O.with_views("fact", "dim_media", "dim_visitor") + O.qc_fact_sql())
