@@ -41,11 +41,12 @@ def _view(df: DataFrame) -> str:
 
 
 def walk(docs: DataFrame, id_cols: Sequence[str], json_col: str, descend_sensitive: bool = True,
-         keep: str | None = None) -> DataFrame:
+         keep: str | None = None, with_path: bool = True) -> DataFrame:
     """All nodes ``(ids..., path, key, node, depth)``; ``key`` is the member
     name (null for array elements and the root).  ``keep`` (SQL over ``e.key``
     and ``e.value``) restricts the scalar nodes carried to the next level;
-    objects and arrays are always kept, as they are walked further."""
+    objects and arrays are always kept, as they are walked further.
+    ``with_path=False`` skips building the path text of every node."""
     spark = docs.sparkSession
     _lift_recursion_guards(spark)
     src = _view(docs.select(*id_cols, F.col(json_col).alias("_json")))
@@ -58,12 +59,15 @@ def walk(docs: DataFrame, id_cols: Sequence[str], json_col: str, descend_sensiti
         conds.append("(schema_of_variant(e.value) LIKE 'OBJECT%' OR schema_of_variant(e.value) LIKE 'ARRAY%' "
                      f"OR ({keep}))")
     stop = ("WHERE " + " AND ".join(conds)) if conds else ""
+    path_expr = ("CASE WHEN e.key IS NULL THEN w.path || '[]' ELSE w.path || '.' || e.key END" if with_path
+                 else "CAST(NULL AS STRING)")
     return spark.sql(f"""
         WITH RECURSIVE nodes({ids}, path, key, node, depth) AS (
-          SELECT {ids}, '$', CAST(NULL AS STRING), try_parse_json(_json), 0 FROM {src}
+          SELECT {ids}, {"'$'" if with_path else "CAST(NULL AS STRING)"}, CAST(NULL AS STRING),
+                 try_parse_json(_json), 0 FROM {src}
           UNION ALL
           SELECT {wids},
-                 CASE WHEN e.key IS NULL THEN w.path || '[]' ELSE w.path || '.' || e.key END,
+                 {path_expr},
                  e.key, e.value, w.depth + 1
           FROM nodes w, LATERAL variant_explode(w.node) e
           {stop}
@@ -84,7 +88,7 @@ def harvest(docs: DataFrame, id_cols: Sequence[str], json_col: str, names: Seque
     """Distinct string values held under any of ``names``, at any depth."""
     listed = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
     keep = f"e.key IN ({listed}) AND schema_of_variant(e.value) = 'STRING'"
-    nodes = walk(docs, id_cols, json_col, keep=keep)
+    nodes = walk(docs, id_cols, json_col, keep=keep, with_path=False)
     hits = nodes.filter(F.col("key").isin(*names) & (F.schema_of_variant("node") == "STRING"))
     return hits.select(F.variant_get("node", "$", "string").alias(value_name)).distinct()
 
