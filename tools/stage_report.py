@@ -70,6 +70,11 @@ def main() -> None:
     spark.sparkContext.setJobDescription("fact on skewed events")
     fact = gold.build_fact(ev, gold.media_durations(T.media_metadata(spark, sf)), T.media_stats_by_date(spark, sf))
     fact.write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobDescription("dim_visitor on skewed events")
+    places = T.places_lookup(spark, sf)
+    gold.build_dim_visitor(ev.join(places, "visitor_key", "left").select(
+        "*", F.col("event_key").alias("browser"), F.lit("v").alias("browser_version"),
+        F.lit("p").alias("platform"), F.lit(False).alias("mobile"))).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription("contrast: repartition(media_id)")
     ev.repartition("media_id").write.format("noop").mode("overwrite").save()
     spark.stop()
