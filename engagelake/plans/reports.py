@@ -72,8 +72,16 @@ def avg_watched_by_media(fact: DataFrame, dim_media: DataFrame, dim_bound: DataF
             .orderBy(F.col("avg_watched_percent").desc()))
 
 
-def unique_visitors(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+def unique_visitors(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None,
+                    approx_rsd: float | None = None) -> DataFrame:
+    """``approx_rsd`` opts into HyperLogLog counts (one pass; sketches merge
+    map-side, so it is skew-safe too) with that relative standard deviation."""
     keys = ["channel", "media_id", "title"]
+    if approx_rsd is not None:
+        return (_fact_media(fact, dim_media, ("channel", "title"), dim_bound).groupBy(*keys)
+                .agg(F.approx_count_distinct("visitor_id", approx_rsd).alias("unique_visitors"),
+                     F.sum("play_count").alias("total_plays"))
+                .orderBy(F.col("unique_visitors").desc()))
     per_visitor = (_fact_media(fact, dim_media, ("channel", "title"), dim_bound)
                    .groupBy(*keys, "visitor_id").agg(F.sum("play_count").alias("_plays")))
     return (per_visitor.groupBy(*keys)
@@ -81,10 +89,21 @@ def unique_visitors(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame
             .orderBy(F.col("unique_visitors").desc()))
 
 
-def channel_summary(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None) -> DataFrame:
+def channel_summary(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None,
+                    approx_rsd: float | None = None) -> DataFrame:
     """Two distinct counts per channel: visitors via the two-phase rollup,
-    media via a second (small) two-phase count joined on the channel."""
+    media via a second (small) two-phase count joined on the channel
+    (``approx_rsd``: one pass with HyperLogLog counts instead)."""
     fm = _fact_media(fact, dim_media, dim_bound=dim_bound)
+    if approx_rsd is not None:
+        return (fm.groupBy("channel").agg(
+            F.approx_count_distinct("media_id", approx_rsd).alias("media_count"),
+            F.approx_count_distinct("visitor_id", approx_rsd).alias("unique_visitors"),
+            F.sum("play_count").alias("total_plays"),
+            F.round(exact_avg("play_rate"), 4).alias("avg_play_rate"),
+            F.round(exact_avg("watched_percent"), 4).alias("avg_watched_percent"),
+            round_exact_sum("total_watch_time_hours", 4).alias("total_watch_time_hours"))
+            .orderBy(F.col("total_plays").desc()))
     per_visitor = fm.groupBy("channel", "visitor_id").agg(
         F.sum("play_count").alias("_plays"),
         exact_sum("play_rate").alias("_pr_sum"), F.count("play_rate").alias("_pr_n"),

@@ -51,3 +51,15 @@ def test_fact_dims_and_distinct_reports_under_skew(spark, sf_small):
         assert chan[c]["unique_visitors"] == x["visitor_id"].nunique()
         assert chan[c]["media_count"] == x["media_id"].nunique()
         assert chan[c]["total_plays"] == x["play_count"].sum()
+
+
+def test_approximate_distinct_opt_in_is_close(spark, sf_small):
+    from engagelake.registry import dim_media_frame, fact_frame
+    fact, dm = fact_frame(spark, sf_small), dim_media_frame(spark, sf_small)
+    exact = {r["media_id"]: r["unique_visitors"] for r in reports.unique_visitors(fact, dm).collect()}
+    approx = {r["media_id"]: r["unique_visitors"] for r in reports.unique_visitors(fact, dm, approx_rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.1 * exact[k]) for k in exact)
+    ch = {r["channel"]: r for r in reports.channel_summary(fact, dm, approx_rsd=0.02).collect()}
+    ex = {r["channel"]: r for r in reports.channel_summary(fact, dm).collect()}
+    assert all(ch[c]["total_plays"] == ex[c]["total_plays"] for c in ex)
