@@ -89,3 +89,15 @@ def test_date_filter_prunes_partitions(spark, sf_small):
     df = reports.date_filtered(fact, dim, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-08" in plan.replace("19730", "2024-01-08")
+
+
+def test_fact_scan_is_pruned_and_filtered(spark, sf_small):
+    plan = plan_of(fact_frame(spark, sf_small))
+    # the rollup's scan reads only the columns it needs and pushes the visitor filter
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double,props:string>" in plan
+    assert "PushedFilters: [IsNotNull(user_id)]" in plan
+
+
+def test_reports_broadcast_the_bounded_dimension(spark, sf_small):
+    plan = plan_of(E.queries()["rpt_kpi"](spark, sf_small))
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
