@@ -112,3 +112,9 @@ def shape(docs: DataFrame, json_col: str) -> DataFrame:
                                 F.array_size(F.try_variant_get("node", "$", "array<variant>"))).alias("_len"))
     return typed.groupBy("path", "json_type", "redacted").agg(
         F.count(F.lit(1)).alias("n_nodes"), F.min("_len").alias("min_length"), F.max("_len").alias("max_length"))
+
+
+def merged_schema(docs: DataFrame, json_col: str) -> DataFrame:
+    """One row: the schema that fits every document (``schema_of_variant_agg``;
+    partial schemas merge map-side, so it is one pass over any volume)."""
+    return docs.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(json_col))).alias("merged_schema"))

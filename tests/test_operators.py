@@ -163,3 +163,9 @@ def test_incremental_rerun_changes_nothing(spark, sf_small):
     after = {t: snap(t) for t in before}
     assert first.watermark_committed and not again.watermark_committed      # same clock: state unchanged
     assert before == after                                                   # overlap removed: nothing changes
+
+
+def test_merged_schema_fits_all_documents(spark):
+    docs = spark.createDataFrame([('{"a": 1, "b": [1]}',), ('{"a": 2.5, "c": "x"}',)], "j string")
+    schema = J.merged_schema(docs, "j").first()["merged_schema"]
+    assert schema.startswith("OBJECT<") and "a:" in schema and "b: ARRAY" in schema and "c: STRING" in schema
