@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming forms of the incremental operators."""
