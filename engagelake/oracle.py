@@ -375,3 +375,12 @@ SELECT 'run-' || strftime(CAST(CAST(ts AS DATE) + INTERVAL (lag) DAY AS DATE), '
          AS channel,
        CAST(event_id AS VARCHAR) AS event_key
 FROM events, range(0, 2) g(lag)"""
+
+
+def dim_visitor_ms_sql() -> str:
+    """``dim_visitor`` over events whose times went through the millisecond
+    text of the bronze landing (as the silver transform parses them)."""
+    ms = "date_trunc('millisecond', received_at)"
+    view = (DIM_VISITOR.replace("min(received_at)", f"min({ms})").replace("max(received_at)", f"max({ms})")
+            .replace("ORDER BY received_at DESC", f"ORDER BY {ms} DESC"))
+    return "WITH " + ",".join([EV, PLACES, SEV, view]) + "\nSELECT * FROM dim_visitor"

@@ -62,24 +62,14 @@ def media_durations(media_metadata: DataFrame) -> DataFrame:
 
 # -- dim_visitor -------------------------------------------------------------
 
-def build_dim_visitor(events: DataFrame, stamp: bool = False, events_unique: bool = True) -> DataFrame:
-    """One row per visitor (pseudonymised) with first/last seen, counts and
-    the place/device attributes of the newest event (ties: larger event key).
-
-    Two-level aggregation: first per ``(visitor, media)`` -- which splits a
-    hot visitor over many reducers and yields the distinct media count as a
-    plain count -- then per visitor over the small partials.  The latest
-    attributes ride along as ``max_by(attrs, (received_at, event_key))`` in
-    the same aggregates, replacing a window plus self join.  (A struct
-    buffer is variable-width, so Spark plans these as sort-based aggregates;
-    they still combine map-side before each shuffle and spill gracefully.)
-    """
+def visitor_partials(events: DataFrame, keys=("visitor_key", "media_id")) -> DataFrame:
+    """Mergeable per-visitor partials at the grain ``keys``: first/last seen,
+    event count, unrounded percent sum / count / max, and the attributes of
+    the newest event with its order key.  Keyed by the raw visitor key."""
     ev = events.filter(F.col("visitor_key").isNotNull())
-    if not events_unique:
-        ev = latest_by(ev, ["event_key"], "received_at")
     order = F.struct(F.col("received_at"), F.col("event_key"))
     attrs = F.struct(*[F.col(c) for c in VISITOR_ATTRS])
-    per_media = ev.groupBy("visitor_key", "media_id").agg(
+    return ev.groupBy(*keys).agg(
         F.min("received_at").alias("first_seen_at"),
         F.max("received_at").alias("last_seen_at"),
         F.count("event_key").alias("n_events"),
@@ -89,6 +79,25 @@ def build_dim_visitor(events: DataFrame, stamp: bool = False, events_unique: boo
         F.max_by(attrs, order).alias("attrs"),
         F.max(order).alias("attrs_order"),
     )
+
+
+def merge_visitor_partials(partials: DataFrame, keys=("visitor_key", "media_id")) -> DataFrame:
+    """Re-aggregate partials to the coarser grain ``keys`` (same columns)."""
+    return partials.groupBy(*keys).agg(
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+        F.sum("n_events").alias("n_events"),
+        F.sum("pct_sum").alias("pct_sum"),
+        F.sum("pct_n").alias("pct_n"),
+        F.max("pct_max").alias("pct_max"),
+        F.max_by("attrs", "attrs_order").alias("attrs"),
+        F.max("attrs_order").alias("attrs_order"),
+    )
+
+
+def dim_visitor_from_partials(per_media: DataFrame, stamp: bool = False) -> DataFrame:
+    """Final level: per-(visitor, media) partials -> one row per visitor; the
+    distinct media count is the number of (non-null) media rows."""
     per_visitor = per_media.groupBy("visitor_key").agg(
         F.min("first_seen_at").alias("first_seen_at"),
         F.max("last_seen_at").alias("last_seen_at"),
@@ -108,6 +117,27 @@ def build_dim_visitor(events: DataFrame, stamp: bool = False, events_unique: boo
     return _stamp(out, stamp)
 
 
+def build_dim_visitor(events: DataFrame, stamp: bool = False, events_unique: bool = True) -> DataFrame:
+    """One row per visitor (pseudonymised) with first/last seen, counts and
+    the place/device attributes of the newest event (ties: larger event key).
+
+    Two-level aggregation: first per ``(visitor, media)`` -- which splits a
+    hot visitor over many reducers and yields the distinct media count as a
+    plain count -- then per visitor over the small partials.  The latest
+    attributes ride along as ``max_by(attrs, (received_at, event_key))`` in
+    the same aggregates, replacing a window plus self join.  (A struct
+    buffer is variable-width, so Spark plans these as sort-based aggregates;
+    they still combine map-side before each shuffle and spill gracefully.)
+    The same partials at ``(visitor, media, day)`` grain are what the
+    incremental run keeps, so the dimension is re-aggregated from them
+    instead of from raw events.
+    """
+    ev = events
+    if not events_unique:
+        ev = latest_by(ev.filter(F.col("visitor_key").isNotNull()), ["event_key"], "received_at")
+    return dim_visitor_from_partials(visitor_partials(ev), stamp)
+
+
 def latest_visitor_attrs(events: DataFrame) -> DataFrame:
     """Attributes of each visitor's newest event (window form, ties by event key)."""
     ev = events.filter(F.col("visitor_key").isNotNull())

@@ -181,6 +181,7 @@ INCREMENTAL_UPSERTS = {   # dataset -> (keys, partition columns): latest version
     "media_stats_by_date": (["media_id", "metric_date"], ["metric_date"]),
 }
 INCREMENTAL_APPENDS = ("media_stats", "media_metadata")   # one snapshot per run: new partitions
+VISITOR_PARTIALS = "visitor_partials"                       # (visitor, media, day) partials of dim_visitor
 
 
 def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datetime,
@@ -190,9 +191,11 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
     window = watermark - lookback .. as_of (bootstrap: ``initial_start_date``)
     -> land this run's envelopes under its own folder -> silver: latest-wins
     upsert of the touched ``event_date`` / ``metric_date`` partitions, new
-    snapshot partitions for per-run datasets -> gold: the dimensions are
-    rebuilt from silver (catalogue- and visitor-sized), the fact only for the
-    window's days (dynamic partition overwrite) -> checks -> the watermark is
+    snapshot partitions for per-run datasets -> gold: ``dim_media`` from
+    silver (catalogue-sized); the visitor partials (one row per visitor,
+    media and day) and the fact only for the window's days (dynamic
+    partition overwrite), ``dim_visitor`` re-aggregated from the partials
+    (visitor-day-sized, not event-sized) -> checks -> the watermark is
     committed last.  Re-running a run, or overlapping windows, converge to
     the same tables (latest-wins merge, deterministic recompute).
     """
@@ -223,10 +226,16 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
         events = _silver(spark, s, "events")
         metadata, stats = _silver(spark, s, "media_metadata"), _silver(spark, s, "media_stats")
         by_date = _silver(spark, s, "media_stats_by_date")
-        _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), g, "dim_media")
-        _, o2 = write_table(gold.build_dim_visitor(events, stamp=True), g, "dim_visitor")
         lo, hi = F.lit(window.start_date), F.lit(window.end_date)
-        fact = gold.build_fact(events.filter(F.col("event_date").between(lo, hi)),
+        window_events = events.filter(F.col("event_date").between(lo, hi))
+        _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), g, "dim_media")
+        # visitor partials per (visitor, media, day): only the window's days are recomputed
+        write_table(gold.visitor_partials(window_events, ("visitor_key", "media_id", "event_date")),
+                    g, VISITOR_PARTIALS, ["event_date"], dynamic=True, cluster_by=["visitor_key"])
+        partials = read_required(spark, g, VISITOR_PARTIALS)
+        dim_visitor = gold.dim_visitor_from_partials(gold.merge_visitor_partials(partials), stamp=True)
+        _, o2 = write_table(dim_visitor, g, "dim_visitor")
+        fact = gold.build_fact(window_events,
                                read_required(spark, g, "dim_media"),
                                by_date.filter(F.col("metric_date").between(lo, hi)), stamp=True)
         _, o3 = write_table(fact, g, "fact_media_engagement", FACT_PARTITIONS, dynamic=True, cluster_by=FACT_CLUSTER)
