@@ -27,7 +27,7 @@ from engagelake.plans.catalog import register_gold_tables
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.sources import bronze
 from engagelake.sources import testdata as TD
-from engagelake.sources.files import read_required, write_table, written_rows
+from engagelake.sources.files import path_exists, read_required, write_table, written_rows
 
 # The fact is partitioned by day and clustered by media inside each day (a
 # folder per (day, media) would multiply partitions by the catalogue size).
@@ -50,6 +50,7 @@ class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)
     failed_checks: int = 0
     check_lines: list[str] = field(default_factory=list)
+    skipped: list[str] = field(default_factory=list)
     window: incremental.IncrementalWindow | None = None
     watermark_committed: bool = False
 
@@ -69,6 +70,9 @@ def land_all(spark: SparkSession, sf_dir: str, bronze_root: str) -> None:
 def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, report: RunReport,
                  multiline: bool = False) -> None:
     def one(ds: str) -> None:
+        if not path_exists(spark, f"{bronze_root.rstrip('/')}/{ds}"):
+            report.skipped.append(ds)                 # nothing landed: gold fails fast if it needs it
+            return
         df, parts = silver.transform(ds, bronze.read(spark, bronze_root, ds, multiline=multiline))
         _, obs = write_table(df, silver_root, ds, parts, cluster_by=SILVER_CLUSTER[ds])
         report.rows[f"silver.{ds}"] = written_rows(obs)

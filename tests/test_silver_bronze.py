@@ -139,3 +139,17 @@ def test_process_existing_multiline_bronze_end_to_end(spark, tmp_path):
     fact = spark.read.parquet(str(tmp_path / "out" / "gold" / "fact_media_engagement")).first()
     assert fact["play_count"] == 2 and fact["play_rate"] == 0.5 and fact["total_watch_time_seconds"] == 100.0
     assert rep.failed_checks == 0 and rep.watermark_committed
+
+
+def test_missing_bronze_dataset_skips_silver_and_gold_fails_fast(spark, tmp_path):
+    import pytest
+
+    from engagelake.plans.workflow import process_bronze
+    from engagelake.sources.files import MissingTableError
+    b = tmp_path / "bronze" / "media_metadata" / "ingest_date=2026-05-10" / "run_id=r1"
+    b.mkdir(parents=True)
+    (b / "m.json").write_text(json.dumps({**RUN1, "dataset": "media_metadata", "media_id": None,
+                                          "channel": None, "payload": [{"hashed_id": "m1"}]}))
+    cfg = spark.createDataFrame([("m1", "Facebook")], "media_id string, channel string")
+    with pytest.raises(MissingTableError, match="events"):
+        process_bronze(spark, str(tmp_path / "bronze"), str(tmp_path / "out"), cfg)
