@@ -152,10 +152,13 @@ def process_bronze(spark: SparkSession, bronze_root: str, root: str, media_confi
     _timed(report, "gold", lambda: build_gold(spark, s, g, report))
     fact, dim_media, dim_visitor = read_gold(spark, g)
     results = checks.check_gold(fact, dim_media, dim_visitor, media_config)
-    report.check_lines = _timed(report, "quality", lambda: report_lines(results))
-    report.failed_checks = sum(1 for line in report.check_lines if line.startswith("[FAIL]"))
-    if with_reports:
-        def run_reports():
+
+    def run_checks() -> None:
+        report.check_lines = _timed(report, "quality", lambda: report_lines(results))
+        report.failed_checks = sum(1 for line in report.check_lines if line.startswith("[FAIL]"))
+
+    def run_reports() -> None:
+        def all_reports():
             names = register_gold_tables(spark, g)
             f, m, v = (spark.table(names[k]) for k in ("fact_media_engagement", "dim_media", "dim_visitor"))
             outs = {"plays_by_date_channel": reports.plays_by_date_channel(f, m),
@@ -171,7 +174,9 @@ def process_bronze(spark: SparkSession, bronze_root: str, root: str, media_confi
                 _, obs = write_table(df, f"{root}/reports", name)
                 return written_rows(obs)
             return sum(in_parallel([lambda n=n, d=d: one(n, d) for n, d in outs.items()]))
-        report.rows["reports"] = _timed(report, "reports", run_reports)
+        report.rows["reports"] = _timed(report, "reports", all_reports)
+
+    in_parallel([run_checks, run_reports] if with_reports else [run_checks])
     if report.window.should_update_watermark:
         candidate = incremental.state_row(spark, report.window, run_id, dt.datetime.now(dt.timezone.utc),
                                           "shared", report.rows.get("gold.dim_visitor", 0),
