@@ -1,4 +1,4 @@
-"""The daily run end to end: land -> silver -> gold -> quality -> reports.
+"""Daily runs end to end: land -> silver -> gold -> quality -> reports.
 
 Each layer is written and the next one reads the written tables (the
 hand-off is files, as on a cluster where each step may run as its own job;
@@ -10,6 +10,7 @@ datasets do not leave the executors idle while a large one runs.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -18,8 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import datetime as dt
-
 from engagelake.constants import DATASETS
 from engagelake.operators.quality import report_lines
 from engagelake.plans import checks, gold, incremental, reports, silver
@@ -88,6 +87,7 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str, report: Ru
     metadata = _silver(spark, silver_root, "media_metadata")
     stats = _silver(spark, silver_root, "media_stats")
     by_date = _silver(spark, silver_root, "media_stats_by_date")
+
     def media_and_fact() -> None:
         _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), gold_root, "dim_media")
         # The fact reads the written dimension: exact size known, broadcast.
@@ -237,19 +237,25 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
         by_date = _silver(spark, s, "media_stats_by_date")
         lo, hi = F.lit(window.start_date), F.lit(window.end_date)
         window_events = events.filter(F.col("event_date").between(lo, hi))
-        _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), g, "dim_media")
-        # visitor partials per (visitor, media, day): only the window's days are recomputed
-        write_table(gold.visitor_partials(window_events, ("visitor_key", "media_id", "event_date")),
-                    g, VISITOR_PARTIALS, ["event_date"], dynamic=True, cluster_by=["visitor_key"])
-        partials = read_required(spark, g, VISITOR_PARTIALS)
-        dim_visitor = gold.dim_visitor_from_partials(gold.merge_visitor_partials(partials), stamp=True)
-        _, o2 = write_table(dim_visitor, g, "dim_visitor")
-        fact = gold.build_fact(window_events,
-                               read_required(spark, g, "dim_media"),
-                               by_date.filter(F.col("metric_date").between(lo, hi)), stamp=True)
-        _, o3 = write_table(fact, g, "fact_media_engagement", FACT_PARTITIONS, dynamic=True, cluster_by=FACT_CLUSTER)
-        report.rows.update({"gold.dim_media": written_rows(o1), "gold.dim_visitor": written_rows(o2),
-                            "gold.fact_media_engagement.window": written_rows(o3)})
+
+        def media_and_fact() -> None:
+            _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), g, "dim_media")
+            fact = gold.build_fact(window_events, read_required(spark, g, "dim_media"),
+                                   by_date.filter(F.col("metric_date").between(lo, hi)), stamp=True)
+            _, o3 = write_table(fact, g, "fact_media_engagement", FACT_PARTITIONS, dynamic=True,
+                                cluster_by=FACT_CLUSTER)
+            report.rows.update({"gold.dim_media": written_rows(o1), "gold.fact_media_engagement.window": written_rows(o3)})
+
+        def visitors() -> None:
+            # visitor partials per (visitor, media, day): only the window's days are recomputed
+            write_table(gold.visitor_partials(window_events, ("visitor_key", "media_id", "event_date")),
+                        g, VISITOR_PARTIALS, ["event_date"], dynamic=True, cluster_by=["visitor_key"])
+            partials = read_required(spark, g, VISITOR_PARTIALS)
+            dim_visitor = gold.dim_visitor_from_partials(gold.merge_visitor_partials(partials), stamp=True)
+            _, o2 = write_table(dim_visitor, g, "dim_visitor")
+            report.rows["gold.dim_visitor"] = written_rows(o2)
+
+        in_parallel([media_and_fact, visitors])
     _timed(report, "gold", rebuild_gold)
     fact, dim_media, dim_visitor = read_gold(spark, g)
     results = checks.check_gold(fact, dim_media, dim_visitor, TD.media_config(spark, sf_dir))
