@@ -24,9 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engagelake.constants import CHANNELS, SOURCE_NAME
+from engagelake.constants import CHANNELS, DEFAULT_PAGE_SIZE
 from engagelake.operators.aggregate import distinct_count
 from engagelake.operators.broadcast import sized_broadcast
+from engagelake.sources import bronze as BZ
 
 PLAY_TYPES = ("view", "click")
 
@@ -205,14 +206,8 @@ def media_stats(spark: SparkSession, sf_dir: str, with_visitors: bool = True) ->
                     "pipeline_run_id", "ingested_at")
 
 
-def source_label() -> Column:
-    return F.lit(SOURCE_NAME)
-
-
 # -- API-shaped records and envelopes (bronze) -----------------------------------
 
-from engagelake.constants import DEFAULT_PAGE_SIZE  # noqa: E402
-from engagelake.sources import bronze as BZ  # noqa: E402
 
 MS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 LOOKBACK_LANDINGS = 2  # each day is landed by its own run and re-read by the next
