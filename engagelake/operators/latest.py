@@ -21,10 +21,23 @@ from pyspark.sql import functions as F
 _RN = "__rn"
 
 
+def _orderable(dtype) -> bool:
+    """Whether Spark can sort by a value of this type (maps and variants cannot)."""
+    name = dtype.typeName()
+    if name in ("map", "variant"):
+        return False
+    if name == "array":
+        return _orderable(dtype.elementType)
+    if name == "struct":
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def _order_columns(df: DataFrame, keys: Sequence[str], order_col: str,
                    tiebreak: Sequence[str] | None, descending_tiebreak: bool) -> list[Column]:
     if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in set(keys) | {order_col}]
+        skip = set(keys) | {order_col}
+        tiebreak = [f.name for f in df.schema.fields if f.name not in skip and _orderable(f.dataType)]
     order = [F.col(order_col).desc_nulls_last()]
     for c in tiebreak:
         order.append(F.col(c).desc_nulls_last() if descending_tiebreak else F.col(c).asc_nulls_first())
@@ -55,6 +68,11 @@ def dedup_keep_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in set(keys)]
     if not rest:
         return df.dropDuplicates(list(keys))
-    packed = (df.groupBy(*keys)
-                .agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("__row")))
+    row = F.struct(*[F.col(c) for c in rest])
+    order = [f.name for f in df.schema.fields if f.name in set(rest) and _orderable(f.dataType)]
+    if len(order) == len(rest):
+        survivor = F.min(row)
+    else:                                   # carry unorderable columns, order by the others
+        survivor = F.min_by(row, F.struct(*[F.col(c) for c in order]))
+    packed = df.groupBy(*keys).agg(survivor.alias("__row"))
     return packed.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)

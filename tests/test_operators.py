@@ -169,3 +169,12 @@ def test_merged_schema_fits_all_documents(spark):
     docs = spark.createDataFrame([('{"a": 1, "b": [1]}',), ('{"a": 2.5, "c": "x"}',)], "j string")
     schema = J.merged_schema(docs, "j").first()["merged_schema"]
     assert schema.startswith("OBJECT<") and "a:" in schema and "b: ARRAY" in schema and "c: STRING" in schema
+
+
+def test_latest_and_dedup_carry_unorderable_columns(spark):
+    df = spark.createDataFrame([("a", 1, {"x": "1"}), ("a", 2, {"x": "2"}), ("b", 1, {"y": "3"})],
+                               "k string, t int, m map<string,string>")
+    latest = {r["k"]: r["m"] for r in latest_by(df, ["k"], "t").collect()}
+    assert latest == {"a": {"x": "2"}, "b": {"y": "3"}}
+    kept = {r["k"]: r["m"] for r in dedup_keep_one(df, ["k"]).collect()}
+    assert kept == {"a": {"x": "1"}, "b": {"y": "3"}}
