@@ -13,12 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagelake.constants import CHANNELS
 from engagelake.operators import quality as q
 
 
 def check_dim_media(dim_media: DataFrame, media_config: DataFrame,
-                    channels: Sequence[str] = CHANNELS) -> DataFrame:
+                    channels: Sequence[str] | None = None) -> DataFrame:
+    """``media_config`` is the configured ``(media_id, channel)`` list: its
+    size is the expected row count and its channels the allowed values
+    (``channels`` overrides them with a fixed list)."""
     expected = media_config.select(F.count(F.lit(1))).scalar()
     metrics = q.evaluate(dim_media, [
         q.row_count_rule("dim_media.row_count", expected),
@@ -27,8 +29,12 @@ def check_dim_media(dim_media: DataFrame, media_config: DataFrame,
         q.null_rule("dim_media.channel.not_null", "channel"),
     ], seq0=0)
     unique = q.unique_check("dim_media.media_id.unique", dim_media, ["media_id"], 4)
-    values = q.evaluate(dim_media, [
-        q.allowed_values_rule("dim_media.channel.expected_values", "channel", channels)], seq0=5)
+    if channels is not None:
+        values = q.evaluate(dim_media, [
+            q.allowed_values_rule("dim_media.channel.expected_values", "channel", channels)], seq0=5)
+    else:
+        values = q.allowed_values_check("dim_media.channel.expected_values", dim_media, "channel",
+                                        media_config.select("channel"), 5)
     return q.union_all([metrics, unique, values])
 
 

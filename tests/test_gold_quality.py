@@ -91,11 +91,15 @@ def results(df):
 
 def test_quality_null_semantics(spark):
     dm = gold.build_dim_media(metadata(spark), stats(spark))
-    cfg = spark.createDataFrame([("m1",), ("m2",), ("m3",)], "media_id string")
+    cfg = spark.createDataFrame([("m1", "Facebook"), ("m2", "YouTube"), ("m3", "YouTube")],
+                                "media_id string, channel string")
     res = results(checks.check_dim_media(dm, cfg))
     assert res["dim_media.row_count"]["passed"] is True
     assert res["dim_media.channel.not_null"]["passed"] is False          # m3 has no channel
     assert res["dim_media.channel.expected_values"]["passed"] is True    # null is not a violation
+    assert res["dim_media.channel.expected_values"]["details"] == "expected=['Facebook', 'YouTube'], invalid_count=0"
+    only_fb = spark.createDataFrame([("m1", "Facebook")], "media_id string, channel string")
+    assert results(checks.check_dim_media(dm, only_fb))["dim_media.channel.expected_values"]["observed"] == 2
 
 
 def test_fact_checks_catch_range_and_orphans(spark):
@@ -111,7 +115,8 @@ def test_fact_checks_catch_range_and_orphans(spark):
     plays = [tuple(r) for r in reports.plays_by_date_channel(fact, dm).collect()]
     assert plays == [(D1, "YouTube", 3)]                                               # m9's play drops out
     with pytest.raises(q.QualityGateError):
-        q.enforce(checks.check_gold(fact, dm, dv, spark.createDataFrame([("m1",)], "media_id string")))
+        q.enforce(checks.check_gold(fact, dm, dv, spark.createDataFrame([("m1", "YouTube")],
+                                                                        "media_id string, channel string")))
 
 
 def test_duplicate_null_keys_count_once(spark):
@@ -122,7 +127,8 @@ def test_duplicate_null_keys_count_once(spark):
 def test_report_lines_and_run_id(spark):
     from engagelake.sources.bronze import new_run_id
     dm = gold.build_dim_media(metadata(spark), stats(spark))
-    cfg = spark.createDataFrame([("m1",), ("m2",), ("m3",)], "media_id string")
+    cfg = spark.createDataFrame([("m1", "Facebook"), ("m2", "YouTube"), ("m3", "YouTube")],
+                                "media_id string, channel string")
     lines = q.report_lines(checks.check_dim_media(dm, cfg))
     assert lines[0] == "[PASS] dim_media.row_count - expected=3, actual=3"
     assert "[FAIL] dim_media.channel.not_null - null_count=1" in lines
