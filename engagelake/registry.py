@@ -27,7 +27,8 @@ from engagelake.plans import gold
 from engagelake.plans import incremental as INC
 from engagelake.plans import reports as R
 from engagelake.plans import silver as SV
-from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS, in_parallel, fact_schema, run_incremental
+from engagelake.plans.workflow import (FACT_CLUSTER, FACT_PARTITIONS, fact_schema, in_parallel, read_gold,
+                                       run_daily, run_incremental)
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.session import new_run_dir
 from engagelake.sources import bronze as BZ
@@ -818,3 +819,35 @@ def inc_daily_runs(spark, sf):
     schema = fact_schema()
     schema.fields = [f for f in schema.fields if f.name != "gold_loaded_at"]
     return read_required(spark, root, "gold/fact_media_engagement", schema).select(*gold.FACT_COLUMNS)
+
+
+# -- the daily workflow end to end -------------------------------------------------------
+
+_DAILY_ROOTS: dict[str, str] = {}
+
+
+def _daily_run_root(spark, sf) -> str:
+    """Land -> silver -> gold -> checks -> reports once per scale in this
+    session; both keys below read its written gold tables."""
+    if sf not in _DAILY_ROOTS:
+        root = new_run_dir(spark, "daily")
+        run_daily(spark, sf, root, with_reports=False,
+                  as_of=dt.datetime(2024, 2, 1, 2, tzinfo=dt.timezone.utc))
+        _DAILY_ROOTS[sf] = root
+    return _DAILY_ROOTS[sf]
+
+
+@register("daily_run_fact", O.with_views("fact") + "SELECT * FROM fact")
+def daily_run_fact(spark, sf):
+    """The fact written by the whole daily workflow (from landed bronze)."""
+    root = _daily_run_root(spark, sf)
+    fact, _, _ = read_gold(spark, f"{root}/gold")
+    return fact.select(*gold.FACT_COLUMNS)
+
+
+@register("daily_run_checks", O.with_views("fact", "dim_media", "dim_visitor") + O.union(
+    O.qc_dim_media_sql(), O.qc_dim_visitor_sql(), O.qc_fact_sql()))
+def daily_run_checks(spark, sf):
+    """The 27 checks over the gold layer the daily workflow wrote."""
+    fact, dim_media, dim_visitor = read_gold(spark, f"{_daily_run_root(spark, sf)}/gold")
+    return CK.check_gold(fact, dim_media, dim_visitor, T.media_config(spark, sf))
