@@ -2,8 +2,8 @@
 
 Per table: one aggregate pass for all metric rules, one grouped aggregate
 for key uniqueness, one anti join per foreign key.  The expected media
-count comes from the configured media list as a scalar subquery, so no
-value is pulled to the driver.
+count (a scalar subquery) and the allowed channels (an anti join) come
+from the configured media list, so no value is pulled to the driver.
 """
 
 from __future__ import annotations
