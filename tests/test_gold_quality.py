@@ -134,3 +134,14 @@ def test_report_lines_and_run_id(spark):
     assert "[FAIL] dim_media.channel.not_null - null_count=1" in lines
     rid = new_run_id(dt.datetime(2026, 5, 10, 2, 0, 5, tzinfo=dt.timezone.utc))
     assert rid.startswith("20260510T020005Z-") and len(rid) == len("20260510T020005Z-") + 8
+
+
+def test_fact_checks_from_partials_equal_whole_table_checks(spark):
+    dm = gold.build_dim_media(metadata(spark), stats(spark))
+    dv = gold.build_dim_visitor(events(spark))
+    fact = gold.build_fact(events(spark), dm, by_date(spark))
+    dup = fact.unionByName(fact.limit(1))                          # one duplicated grain key
+    for f in (fact, dup):
+        whole = sorted(map(tuple, checks.check_fact(f, dm, dv).collect()))
+        parts = sorted(map(tuple, checks.check_fact_from_partials(checks.fact_check_partials(f), f, dm, dv).collect()))
+        assert whole == parts
