@@ -247,7 +247,8 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
             _, o3 = write_table(fact, g, "fact_media_engagement", FACT_PARTITIONS, dynamic=True,
                                 cluster_by=FACT_CLUSTER)
             # check counts of the rewritten days only (the other days' partials stand)
-            window_fact = read_gold(spark, g)[0].filter(F.col("date").between(lo, hi))
+            window_fact = (read_required(spark, g, "fact_media_engagement", fact_schema())
+                           .filter(F.col("date").between(lo, hi)))
             write_table(checks.fact_check_partials(window_fact), g, FACT_CHECK_PARTIALS, ["date"], dynamic=True)
             report.rows.update({"gold.dim_media": written_rows(o1), "gold.fact_media_engagement.window": written_rows(o3)})
 
