@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from engagelake.plans import gold  # noqa: E402
+from engagelake.plans import gold, reports  # noqa: E402
 from engagelake.session import get_session  # noqa: E402
 from engagelake.sources import testdata as T  # noqa: E402
 
@@ -70,6 +70,11 @@ def main() -> None:
     spark.sparkContext.setJobDescription("fact on skewed events")
     fact = gold.build_fact(ev, gold.media_durations(T.media_metadata(spark, sf)), T.media_stats_by_date(spark, sf))
     fact.write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobDescription("channel_summary (2 groups) on the skewed fact")
+    fact_tbl = fact.checkpoint(eager=True)
+    dim_media = gold.build_dim_media(T.media_metadata(spark, sf), T.media_stats(spark, sf, with_visitors=False))
+    reports.channel_summary(fact_tbl, dim_media, T.media_metadata(spark, sf)).write.format("noop").mode(
+        "overwrite").save()
     spark.sparkContext.setJobDescription("dim_visitor on skewed events")
     places = T.places_lookup(spark, sf)
     gold.build_dim_visitor(ev.join(places, "visitor_key", "left").select(
