@@ -178,3 +178,13 @@ def test_latest_and_dedup_carry_unorderable_columns(spark):
     assert latest == {"a": {"x": "2"}, "b": {"y": "3"}}
     kept = {r["k"]: r["m"] for r in dedup_keep_one(df, ["k"]).collect()}
     assert kept == {"a": {"x": "1"}, "b": {"y": "3"}}
+
+
+def test_compact_latest_keeps_newest_row_per_key(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    s = "media_id string, channel string, ingested_at int, ingest_date string"
+    rows = [("m1", "A", 1, "d1"), ("m1", "B", 2, "d2"), ("m2", "A", 1, "d1")]
+    spark.createDataFrame(rows, s).write.partitionBy("ingest_date").parquet(path)
+    assert INC.compact_latest(spark, path, ["media_id"], "ingested_at", ["ingest_date"]) == 2
+    got = {r["media_id"]: r["channel"] for r in spark.read.parquet(path).collect()}
+    assert got == {"m1": "B", "m2": "A"}
