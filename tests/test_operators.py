@@ -188,3 +188,17 @@ def test_compact_latest_keeps_newest_row_per_key(spark, tmp_path):
     assert INC.compact_latest(spark, path, ["media_id"], "ingested_at", ["ingest_date"]) == 2
     got = {r["media_id"]: r["channel"] for r in spark.read.parquet(path).collect()}
     assert got == {"m1": "B", "m2": "A"}
+
+
+def test_daily_run_commits_watermark_only_forward(spark, sf_small):
+    from engagelake.plans.workflow import run_daily
+    from engagelake.session import new_run_dir
+    root = new_run_dir(spark, "test-daily")
+    utc = dt.timezone.utc
+    first = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 1, 2, tzinfo=utc))
+    assert first.watermark_committed and first.window.previous_watermark is None
+    second = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 2, 2, tzinfo=utc))
+    assert second.watermark_committed and second.window.start_date == dt.date(2024, 1, 31)
+    older = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 1, 3, tzinfo=utc))
+    assert not older.watermark_committed
+    assert len(first.check_lines) == 27 and first.rows["gold.fact_media_engagement"] > 0
