@@ -85,10 +85,19 @@ def json_type(node) -> F.Column:
 
 def harvest(docs: DataFrame, id_cols: Sequence[str], json_col: str, names: Sequence[str],
             value_name: str = "value") -> DataFrame:
-    """Distinct string values held under any of ``names``, at any depth."""
+    """Distinct string values held under any of ``names``, at any depth.
+
+    Documents are first screened on their text: a member with one of the
+    names needs the name spelled out literally or some escape sequence
+    (a backslash), so documents with neither are skipped unparsed -- an
+    exact filter."""
     listed = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
     keep = f"e.key IN ({listed}) AND schema_of_variant(e.value) = 'STRING'"
-    nodes = walk(docs, id_cols, json_col, keep=keep, with_path=False)
+    text = F.col(json_col)
+    may_hold = text.contains("\\")
+    for n in names:
+        may_hold = may_hold | text.contains(n)
+    nodes = walk(docs.filter(may_hold), id_cols, json_col, keep=keep, with_path=False)
     hits = nodes.filter(F.col("key").isin(*names) & (F.schema_of_variant("node") == "STRING"))
     return hits.select(F.variant_get("node", "$", "string").alias(value_name)).distinct()
 

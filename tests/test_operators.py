@@ -202,3 +202,10 @@ def test_daily_run_commits_watermark_only_forward(spark, sf_small):
     older = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 1, 3, tzinfo=utc))
     assert not older.watermark_committed
     assert len(first.check_lines) == 27 and first.rows["gold.fact_media_engagement"] > 0
+
+
+def test_harvest_screen_keeps_escaped_names(spark):
+    docs = [(1, '{"other": {"x": "no"}}'), (2, '{"visitor\\u005fkey": "escaped"}'), (3, '{"a": [{"visitorKey": "k"}]}')]
+    df = spark.createDataFrame(docs, "id long, j string")
+    got = {r["v"] for r in J.harvest(df, ["id"], "j", ["visitor_key", "visitorKey"], "v").collect()}
+    assert got == {"escaped", "k"}
