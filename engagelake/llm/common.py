@@ -52,16 +52,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_buffers(column):
+    """UTF-8 bytes and offsets (numpy) of an Arrow string array; nulls are empty texts."""
+    import numpy as np
+    import pyarrow as pa
+    column = column.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), offsets
+
+
 def salt_count(rows: int, rows_per_salt: int = 100_000, least: int = 64) -> int:
     """Number of salts that keeps a third of ``rows`` under one key in pieces of a task's size."""
     return max(least, -(-rows // rows_per_salt))
 
 
-def gather_spans(kinds: dict[str, Column]) -> Column:
-    """One array of spans (start, rank, kind, end, ...) sorted by start, then by the order of ``kinds``."""
-    return F.array_sort(F.flatten(F.array(*kinds.values())))
-
-
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package (once per context), as ``--py-files`` does."""
     context = spark.sparkContext

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as sh
-from .common import ship_package, temp_name, written
+from .common import ship_package, temp_name, text_buffers, written
 
 THRESHOLD_PERCENT = 75
 SLACK = 5.0
@@ -46,13 +46,6 @@ BLOCK = 256
 SKETCH = "doc_id {id}, n_shingles long, set_key binary, small binary, large binary"
 
 
-def _text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    column = column.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), offsets
-
-
 def _batches(batches: Iterator[pa.RecordBatch], most_bytes: int = 1 << 25) -> Iterator[pa.RecordBatch]:
     """Cut record batches to about ``most_bytes`` each."""
     for batch in batches:
@@ -66,7 +59,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _batches(batches):
         sizes, keys, sets = [], [], []
         small, large = [], []
-        for i, s in enumerate(sh.shingle_sets(*_text_buffers(batch.column(1)))):
+        for i, s in enumerate(sh.shingle_sets(*text_buffers(batch.column(1)))):
             sizes.append(len(s))
             keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             if 0 < len(s) <= sh.SMALL:
@@ -124,7 +117,7 @@ def hub_pairs(bands: DataFrame) -> DataFrame:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _batches(batches):
-        found = [s.tobytes() for s in sh.shingle_sets(*_text_buffers(batch.column(1)))]
+        found = [s.tobytes() for s in sh.shingle_sets(*text_buffers(batch.column(1)))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.binary())],
                                          names=["doc_id", "small", "large", "shingles"])
 
