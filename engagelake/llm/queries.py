@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, packing, pii, quality_rules, sharding
+from . import (chat_format, decontaminate, license_scan, near_dedup, packing, pii, quality_rules, secret_scan, sharding,
+               url_filter)
 
 #: Name of the vocabulary file in the folder of public tokenizers.
 VOCABULARY = "word_bpe_49k.json"
@@ -30,6 +31,27 @@ def span_digest(spans, kinds) -> tuple:
     return F.sha2(joined(base), 256), joined(spans)
 
 
+#: Speaker markers by which the generated transcripts open turns, in four styles (system, user, assistant).
+MARKERS = (("System: ", "User: ", "Assistant: "), ("[system] ", "[human] ", "[ai] "),
+           ("**Context:** ", "**Q:** ", "**A:** "), ("- ", "- ", "- "))
+
+
+def marked_turns(spark, sf_dir):
+    """The conversations as transcripts: each turn opened by its conversation's style of marker."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(MARKERS)))
+    opened = F.lit("")
+    for i, marks in enumerate(MARKERS):
+        for role, mark in zip(chat_format.ROLES, marks):
+            opened = F.when((style == i) & (F.col("role") == role), F.lit(mark)).otherwise(opened)
+    return table(spark, sf_dir, "conversations").withColumn("text", F.concat(opened, F.coalesce("text", F.lit(""))))
+
+
+def op1_chat_formatting(spark, sf_dir):
+    turns = marked_turns(spark, sf_dir)
+    model = chat_format.fit(turns)
+    return chat_format.parse(turns.select("conv_id", F.col("turn").alias("pos"), "text"), model)
+
+
 def op2_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -38,6 +60,22 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return near_dedup.components(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scans(spark, sf_dir):
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    digest, text = span_digest(spans, secret_scan.BASE)
+    return found.select("doc_id", *[F.size(F.filter(spans, _is(k))).cast("long").alias(f"n_{k}") for k in secret_scan.BASE],
+                        digest.alias("base_sha256"), text.alias("spans"))
+
+
+def op5_url_filters(spark, sf_dir):
+    return url_filter.classify(table(spark, sf_dir, "pages"))
+
+
+def op6_license_scans(spark, sf_dir):
+    return license_scan.by_document(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark, sf_dir):
     found = pii.scan(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -68,7 +106,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_minhash_near_dedup, op7_pii, op8_benchmark_decontamination, op9_sharding,
-    op10_quality_rules)}
+    op1_chat_formatting, op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scans, op5_url_filters,
+    op6_license_scans, op7_pii, op8_benchmark_decontamination, op9_sharding, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}
