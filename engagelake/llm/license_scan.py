@@ -9,9 +9,9 @@ paragraphs; a paragraph under ``LEAST_CONFIDENCE`` is ``unknown``.  A predicted
 family is confirmed when the paragraph shares at least ``AGREEMENT`` of a template's
 words.
 
-Only paragraphs with ``EVIDENCE`` words of the vocabulary are scored: with fewer the
-confirmation cannot reach any template, so they are ``none`` by definition; this is a
-property of the paragraph, not a sample.  Built-in expressions and Spark ML only.
+Only paragraphs with ``EVIDENCE`` different telling words of the templates are scored;
+every template has as many, so others are ``none`` by definition: a property of the
+paragraph, not a sample.  Built-in expressions and Spark ML only.
 
 Defined results for odd input: null and empty texts have no licence; repeated rows are
 scanned alike, one result each; an empty table gives no rows; extra columns are
@@ -31,7 +31,7 @@ from .common import let, written
 NONE_SAMPLE = 2_000
 LEAST_CONFIDENCE = 0.5
 AGREEMENT = 0.6
-EVIDENCE = 3
+EVIDENCE = 2
 NONE = "none"
 
 # Statements by which texts name their licence, per family.
@@ -92,17 +92,16 @@ def agreement(words: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines with at least ``EVIDENCE`` distinct template words, one of them telling: ``doc_id``, ``text_key``,
-    ``line``, ``paragraph``, ``terms``."""
+    """Lines with at least ``EVIDENCE`` different telling words: ``doc_id``, ``text_key``, ``line``, ``paragraph``,
+    ``terms``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     telling = telling_words()
     hint = "(?i)(?<![a-z0-9])(?:" + "|".join(telling) + ")(?![a-z0-9])"
-    words = [w for w in vocabulary() if " " not in w]
     lines = docs.filter(text.rlike(hint)).select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
         F.posexplode(F.split(text, "\n", -1)).alias("line", "paragraph"))
     found = lines.filter(F.col("paragraph").rlike(hint)).withColumn("terms", terms(F.col("paragraph")))
-    return found.filter(F.size(F.array_intersect("terms", F.array(*map(F.lit, words)))) >= EVIDENCE)
+    return found.filter(F.size(F.array_intersect("terms", F.array(*map(F.lit, telling)))) >= EVIDENCE)
 
 
 def _labelled(spark, candidates: DataFrame) -> DataFrame:
@@ -114,8 +113,8 @@ def _labelled(spark, candidates: DataFrame) -> DataFrame:
             w = [x for x in re.split(SPLIT, t.lower()) if x]
             rows += [(family, " ".join(w))] + [(family, " ".join(w[:i] + w[i + 1:])) for i in range(len(w))]
     labelled = spark.createDataFrame(rows, "family string, paragraph string").withColumn("terms", terms(F.col("paragraph")))
-    other = (candidates.filter(agreement(F.col("terms"))["share"] < AGREEMENT).select("paragraph", "terms").distinct()
-             .orderBy(F.xxhash64("paragraph"), "paragraph").limit(NONE_SAMPLE).withColumn("family", F.lit(NONE)))
+    other = (candidates.filter(agreement(F.col("terms"))["share"] < AGREEMENT).select("paragraph", "terms")
+             .orderBy(F.xxhash64("paragraph"), "paragraph").limit(NONE_SAMPLE).dropDuplicates(["paragraph"]).withColumn("family", F.lit(NONE)))
     blank = [(NONE, w) for w in vocabulary()]
     alone = spark.createDataFrame(blank, "family string, paragraph string").withColumn("terms", terms(F.col("paragraph")))
     return labelled.unionByName(other.select("family", "paragraph", "terms")).unionByName(alone)
