@@ -128,6 +128,7 @@ class _Summary:
 
 def minimax_cuts(groups: DataFrame, shards: int, cells: int = CELLS) -> tuple[int, list[int]]:
     """(capacity, ends of the shards) of the best contiguous partition of ``running_sizes`` rows."""
+    cells = max(cells, 4 * shards * shards)                 # open spans cover fewer cells than this: each pass narrows them
     ends = groups.select((F.col("bytes_before") + F.col("bytes")).alias("end"))
     first = groups.agg(F.max(F.col("bytes_before") + F.col("bytes")), F.max("bytes")).first()
     if first[0] is None:
