@@ -119,8 +119,8 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') g
       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) i FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id x, b.doc_id y, count(*) both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * both >= 75 * (a.n + b.n - both)),
+p AS (SELECT a.doc_id x, b.doc_id y, count(*) shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 75 * (a.n + b.n - shared)),
 r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reach = l.x),
 c AS (SELECT doc_id, min(reach) component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT n_shingles, c.component_id, d.doc_id = c.component_id AS kept
@@ -138,7 +138,7 @@ p AS (SELECT DISTINCT item_id, w[k:k+{width - 1}] g
 sizes AS (SELECT DISTINCT len(g) n FROM p),
 o AS (SELECT doc_id, k, n, w[k:k+n-1] g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) k FROM d, sizes)),
 m AS (SELECT o.doc_id, o.k, o.n, p.item_id FROM o JOIN p ON o.g = p.g),
-h AS (SELECT doc_id, count(DISTINCT at) n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) at FROM m) GROUP BY doc_id),
+h AS (SELECT doc_id, count(DISTINCT place) n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) place FROM m) GROUP BY doc_id),
 t AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR ORDER BY item_id::VARCHAR) ids FROM m GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit, coalesce(len(ids), 0)::BIGINT n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) items_sha256,
@@ -152,15 +152,15 @@ def _oracle_quality() -> str:
                         for op, bound in (("<", r.low), (">", r.high)) if bound is not None)
     return rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w,
-           list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) l FROM documents),
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l FROM documents),
 g AS (SELECT doc_id, k, w[k:k+2] g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) k FROM w WHERE len(w) > 2)),
 f AS (SELECT doc_id, k FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) c FROM g) WHERE c > 1),
-r AS (SELECT doc_id, count(DISTINCT at) n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) at FROM f) GROUP BY doc_id),
+r AS (SELECT doc_id, count(DISTINCT place) n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) place FROM f) GROUP BY doc_id),
 c AS (SELECT w.doc_id, len(w)::BIGINT n_words, len(array_to_string(w, ''))::BIGINT word_chars,
       len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT n_symbols, (len(l) - len(list_distinct(l)))::BIGINT n_dup_lines,
       coalesce(r.n, 0)::BIGINT n_repeat_words, len(l) n_lines, len(regexp_extract_all(t, '\p{{Lu}}{{2,}}')) n_capitals,
-      len(regexp_extract_all(t, '!{{2,}}')) n_marks, len(list_filter(w, x -> x IN ({stop}))) n_stop,
-      len(list_filter(l, x -> ends_with(x, '...') OR ends_with(x, '…'))) n_ellipsis
+      len(regexp_extract_all(t, '!{{2,}}')) n_marks, len(list_filter(w, lambda x: x IN ({stop}))) n_stop,
+      len(list_filter(l, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) n_ellipsis
       FROM w LEFT JOIN r USING (doc_id)),
 m AS (SELECT *, coalesce(word_chars / nullif(n_words, 0), 0) mean_word_length, coalesce(n_symbols / nullif(n_words, 0), 0) symbol_ratio,
       coalesce(n_capitals / nullif(n_words, 0), 0) capital_ratio, coalesce(n_marks / nullif(n_words, 0), 0) exclamation_ratio,
