@@ -43,6 +43,8 @@ from .common import ship_package, temp_name, text_buffers, written
 THRESHOLD_PERCENT = 75
 SLACK = 5.0
 BLOCK = 256
+#: A list of ids of more measured bytes than this is not broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
 SKETCH = "doc_id {id}, n_shingles long, set_key binary, small binary, large binary"
 
 
@@ -117,8 +119,11 @@ def hub_pairs(bands: DataFrame) -> DataFrame:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _batches(batches):
-        found = [s.tobytes() for s in sh.shingle_sets(*text_buffers(batch.column(1)))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.binary())],
+        found = list(sh.shingle_sets(*text_buffers(batch.column(1))))
+        small = [sh.small_sketches([s])[0].tobytes() if 0 < len(s) <= sh.SMALL else None for s in found]
+        large = [sh.large_sketches([s])[0].tobytes() if len(s) >= sh.LARGE else None for s in found]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in (small, large)),
+                                          pa.array([s.tobytes() for s in found], pa.binary())],
                                          names=["doc_id", "small", "large", "shingles"])
 
 
@@ -259,12 +264,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps = written(first, "representatives")
     pairs = written(hub_pairs(band_rows(reps)), "pairs")
 
-    wanted = pairs.select(F.col("hub").alias("doc_id")).unionByName(pairs.select(F.col("member").alias("doc_id"))).distinct()
-    wanted = written(wanted.join(reps.select("doc_id", "set_key", "small", "large"), "doc_id"), "wanted")
+    wanted = written(pairs.select(F.col("hub").alias("doc_id")).unionByName(pairs.select(F.col("member").alias("doc_id")))
+                     .distinct(), "wanted")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # an id list of measured size spares the shuffle of all texts
-    side = F.broadcast(wanted) if wanted.count() <= 20_000 else wanted
-    chosen = texts.join(side, "doc_id").select("doc_id", "text", "small", "large")
+    # a list of ids of measured size spares the shuffle of all texts
+    size = wanted.agg(F.sum(F.octet_length(F.col("doc_id").cast("string")) + 16)).first()[0] or 0
+    chosen = texts.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "doc_id", "left_semi")
     kind = docs.schema[id_col].dataType.simpleString()
     sets = written(chosen.mapInArrow(_sets, f"doc_id {kind}, small binary, large binary, shingles binary")
                    .dropDuplicates(["doc_id"]), "sets")
