@@ -21,12 +21,17 @@ def as_double(c) -> Column:
     return col(c).try_cast("double")
 
 
+def _whole(c, kind: str) -> Column:
+    """Whole numbers, also when written with a fraction or exponent (``3.0``, ``1e3``), truncated; bad text -> null."""
+    return F.coalesce(col(c).try_cast(kind), col(c).cast("string").try_cast("decimal(38,9)").try_cast(kind))
+
+
 def as_long(c) -> Column:
-    return col(c).try_cast("long")
+    return _whole(c, "long")
 
 
 def as_int(c) -> Column:
-    return col(c).try_cast("int")
+    return _whole(c, "int")
 
 
 def as_bool(c) -> Column:

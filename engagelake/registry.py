@@ -501,7 +501,7 @@ def bronze_scan(spark, sf):
     root = new_run_dir(spark, "bronze")
     BZ.land(T.events_envelopes(spark, sf), root, "events")
     out = SV.events(BZ.read(spark, root, "events"))
-    return out.withColumn("has_source_file", F.col("source_file").startswith("file:")).drop("source_file")
+    return out.withColumn("has_source_file", F.col("source_file").isNotNull()).drop("source_file")
 
 
 @register("paged_envelopes", """
