@@ -31,13 +31,31 @@ from engagelake.sources.files import path_exists
 
 
 @dataclass(frozen=True)
-class IncrementalWindow:
+class RunWindow:
+    """Days that a run covers, and why: ``origin`` names the rule that set the first day."""
+
     start_date: dt.date
     end_date: dt.date
-    previous_watermark: str | None
-    next_watermark: str
-    explicit_window: bool
-    should_update_watermark: bool
+    origin: str                          # explicit, disabled, watermark, initial or default
+    clock: dt.datetime
+    based_on: str | None = None          # the watermark text behind the window, if any
+    commit_explicit: bool = False
+
+    @property
+    def explicit_window(self) -> bool:
+        return self.origin == "explicit"
+
+    @property
+    def previous_watermark(self) -> str | None:
+        return self.based_on
+
+    @property
+    def next_watermark(self) -> str:
+        return self.clock.isoformat()
+
+    @property
+    def should_update_watermark(self) -> bool:
+        return self.commit_explicit if self.explicit_window else self.origin != "disabled"
 
 
 def parse_watermark(value: str) -> dt.datetime:
@@ -49,29 +67,30 @@ def parse_watermark(value: str) -> dt.datetime:
 def resolve_window(*, as_of: dt.datetime, previous_watermark: str | None = None,
                    lookback_days: int = DEFAULT_LOOKBACK_DAYS, initial_start_date: str | None = None,
                    explicit_start: str | None = None, explicit_end: str | None = None,
-                   disable_watermark: bool = False, update_on_explicit: bool = False) -> IncrementalWindow:
-    """Explicit dates win (both or neither); disabled -> yesterday..today;
-    else watermark minus lookback .. today, or the bootstrap start."""
-    as_of = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
-    today = as_of.astimezone(dt.timezone.utc).date()
-    nxt = as_of.isoformat()
-    if bool(explicit_start) != bool(explicit_end):
-        raise ValueError("Provide both start and end dates, or neither.")
-    if explicit_start and explicit_end:
-        return IncrementalWindow(dt.date.fromisoformat(explicit_start), dt.date.fromisoformat(explicit_end),
-                                 None, nxt, True, update_on_explicit and not disable_watermark)
-    if disable_watermark:
-        return IncrementalWindow(today - dt.timedelta(days=1), today, None, nxt, False, False)
-    if previous_watermark:
-        start = (parse_watermark(previous_watermark) - dt.timedelta(days=lookback_days)).date()
-    elif initial_start_date:
-        start = dt.date.fromisoformat(initial_start_date)
-    else:
-        start = today - dt.timedelta(days=1)
-    return IncrementalWindow(start, today, previous_watermark, nxt, False, True)
-
-
-def in_window(df: DataFrame, window: IncrementalWindow, date_col: str = "event_date") -> DataFrame:
+                   disable_watermark: bool = False, update_on_explicit: bool = False) -> RunWindow:
+    """The window of the first rule that applies, in this order: explicit days; no watermark wanted
+    (from yesterday); the watermark less the lookback; a configured first day; yesterday."""
+    clock = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
+    today = clock.astimezone(dt.timezone.utc).date()
+    yesterday = today - dt.timedelta(days=1)
+    days = [dt.date.fromisoformat(d) for d in (explicit_start, explicit_end) if d]
+    if len(days) == 1:
+        raise ValueError("an explicit window needs a first and a last day")
+    first_days = {
+        "explicit": lambda: days[0] if days else None,
+        "disabled": lambda: yesterday if disable_watermark else None,
+        "watermark": lambda: (parse_watermark(previous_watermark) - dt.timedelta(days=lookback_days)).date()
+        if previous_watermark else None,
+        "initial": lambda: dt.date.fromisoformat(initial_start_date) if initial_start_date else None,
+        "default": lambda: yesterday,
+    }
+    origin, start = next((name, day) for name, rule in first_days.items() if (day := rule()) is not None)
+    return RunWindow(start, days[1] if days else today, origin, clock,
+                     based_on=previous_watermark if origin == "watermark" else None,
+                     commit_explicit=update_on_explicit and not disable_watermark)
+
+
+def in_window(df: DataFrame, window: RunWindow, date_col: str = "event_date") -> DataFrame:
     """Both ends included; literal bounds so a date-partitioned scan prunes."""
     return df.filter(F.col(date_col).between(F.lit(window.start_date), F.lit(window.end_date)))
 
@@ -125,7 +144,7 @@ def accepted_commits(candidates: DataFrame, order_col: str = "seq") -> DataFrame
             .drop("_prior"))
 
 
-def state_row(spark: SparkSession, window: IncrementalWindow, run_id: str, completed_at: dt.datetime,
+def state_row(spark: SparkSession, window: RunWindow, run_id: str, completed_at: dt.datetime,
               storage_mode: str, visitor_count: int, media_count: int) -> DataFrame:
     completed = completed_at.isoformat()
     return spark.createDataFrame([(

@@ -50,7 +50,7 @@ class RunReport:
     failed_checks: int = 0
     check_lines: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
-    window: incremental.IncrementalWindow | None = None
+    window: incremental.RunWindow | None = None
     watermark_committed: bool = False
 
 
