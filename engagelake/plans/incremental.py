@@ -19,15 +19,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engagelake.constants import DEFAULT_LOOKBACK_DAYS, SOURCE_NAME, WATERMARK_FIELD
 from engagelake.operators.latest import latest_by
-from engagelake.sources.files import path_exists
+from engagelake.sources.files import path_exists, remove_partition
 
 
 @dataclass(frozen=True)
@@ -165,28 +166,82 @@ def commit(spark: SparkSession, path: str, candidate: DataFrame) -> bool:
 
 # -- latest-wins upsert into a partitioned table ------------------------------------
 
+#: Up to so many touched partitions are named as literals, which prunes the scan when it is planned.
+MAX_LITERAL_PARTITIONS = 10_000
+
+
+def same_values(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Null-safe equality of both frames in ``columns``."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def in_partitions(table: DataFrame, touched: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``table`` in the partitions listed in ``touched``, null partitions included.
+
+    Partition values up to ``MAX_LITERAL_PARTITIONS`` become literal partition
+    filters; a longer list is left to the join alone."""
+    listed = touched.select(*partition_cols).take(MAX_LITERAL_PARTITIONS + 1)
+    if len(listed) <= MAX_LITERAL_PARTITIONS:
+        for c in partition_cols:
+            values = {row[c] for row in listed}
+            test = F.col(c).isin(sorted(v for v in values if v is not None))
+            table = table.filter(test | F.col(c).isNull() if None in values else test)
+        if len(partition_cols) == 1:
+            return table
+    return table.join(touched, same_values(table, touched, partition_cols), "left_semi")
+
+
+def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, touched: DataFrame,
+                       partition_cols: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+    """Make ``rows`` the whole content of the ``touched`` partitions of the table at ``path``.
+
+    Dynamic overwrite replaces the partitions that ``rows`` has; touched ones
+    without a row left are removed.  ``rows`` must not read ``path``."""
+    (rows.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *cluster_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    drop_emptied(spark, path, rows, touched, partition_cols)
+
+
+def drop_emptied(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, partition_cols: Sequence[str]) -> None:
+    """Remove the ``touched`` partitions of the table at ``path`` that have no row in ``rows``."""
+    filled = rows.select(*partition_cols).distinct()
+    emptied = touched.join(filled, same_values(touched, filled, partition_cols), "left_anti")
+    for row in emptied.select(*[F.col(c).cast("string") for c in partition_cols]).distinct().collect():
+        remove_partition(spark, path, row.asDict())
+
+
 def upsert_latest(spark: SparkSession, new_rows: DataFrame, path: str, keys: Sequence[str],
-                  order_col: str, partition_cols: Sequence[str], tiebreak: Sequence[str] | None = None) -> DataFrame:
+                  order_col: str, partition_cols: Sequence[str], tiebreak: Sequence[str] | None = None,
+                  cluster_by: Sequence[str] = ()) -> DataFrame:
     """Merge ``new_rows`` into the table at ``path`` keeping the newest row per
-    key; only partitions present in ``new_rows`` are read and replaced.
-
-    Keys must not move between partitions (partition by a property of the
-    key itself, e.g. the event's own date), otherwise the old partition keeps
-    a stale copy."""
-    new_rows = new_rows.persist(StorageLevel.MEMORY_AND_DISK)   # read twice: touched keys + merge
+    key; returns the touched partition values (null is one of them).
+
+    Touched are the partitions of ``new_rows`` and those that hold an incoming
+    key so far (a key can move, e.g. when an event's time is corrected).  The
+    latter are found by a scan of the key and partition columns of the other
+    partitions, which is left out where the keys hold the partition columns.
+    Only touched partitions are read in full and replaced."""
+    new_rows = new_rows.persist(StorageLevel.MEMORY_AND_DISK)   # read for touched partitions, keys and the merge
     try:
         merged = new_rows
+        touched = new_rows.select(*partition_cols).distinct()
         if path_exists(spark, path):
             existing = spark.read.schema(new_rows.schema).parquet(path)
-            touched = new_rows.select(*partition_cols).distinct()
-            existing = existing.join(touched, list(partition_cols), "left_semi")
-            merged = new_rows.unionByName(existing.select(*new_rows.columns))
+            if not set(partition_cols) <= set(keys):
+                held = existing.select(*dict.fromkeys([*keys, *partition_cols]))
+                other = held.join(touched, same_values(held, touched, partition_cols), "left_anti")
+                incoming = new_rows.select(*keys).distinct()
+                moved = other.join(incoming, same_values(other, incoming, keys), "left_semi")
+                touched = touched.unionByName(moved.select(*partition_cols)).distinct()
+            touched = touched.checkpoint(eager=True)
+            merged = new_rows.unionByName(in_partitions(existing, touched, partition_cols).select(*new_rows.columns))
+        else:
+            touched = touched.checkpoint(eager=True)
         latest = latest_by(merged, keys, order_col, tiebreak=tiebreak).checkpoint(eager=True)
-        (latest.hint("rebalance", *partition_cols).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+        replace_partitions(spark, latest, path, touched, partition_cols, cluster_by)
     finally:
         new_rows.unpersist()
-    return latest
+    return touched
 
 
 def compact_latest(spark: SparkSession, path: str, keys: Sequence[str], order_col: str,

@@ -194,6 +194,12 @@ VISITOR_PARTIALS = "visitor_partials"                       # (visitor, media, d
 FACT_CHECK_PARTIALS = "fact_check_partials"                 # per-day counts of the fact's check rules
 
 
+def _days(spark: SparkSession, window: incremental.RunWindow) -> DataFrame:
+    """Every day of a run's window and the null day, as ``date``."""
+    span = (window.end_date - window.start_date).days
+    return spark.createDataFrame([(window.start_date + dt.timedelta(i),) for i in range(span + 1)] + [(None,)], "date date")
+
+
 def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datetime,
                     lookback_days: int = 1, initial_start_date: str | None = None) -> RunReport:
     """One incremental run: only the window is landed, merged and recomputed.
@@ -203,8 +209,9 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
     upsert of the touched ``event_date`` / ``metric_date`` partitions, new
     snapshot partitions for per-run datasets -> gold: ``dim_media`` from
     silver (catalogue-sized); the visitor partials (one row per visitor,
-    media and day) and the fact only for the window's days (dynamic
-    partition overwrite), ``dim_visitor`` re-aggregated from the partials
+    media and day) and the fact only for the window's days, the undated rows
+    and the days that merged rows left or joined (dynamic partition
+    overwrite, days without rows left removed), ``dim_visitor`` re-aggregated from the partials
     (visitor-day-sized, not event-sized) -> checks (the fact's metric rules
     summed from per-day partials kept for the rewritten days) -> the
     watermark is committed last.  Re-running a run, or overlapping windows, converge to
@@ -223,39 +230,51 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
     envs = TD.window_envelopes(spark, sf_dir, window.start_date, window.end_date, run_id, landed_at)
     _timed(report, "land", lambda: in_parallel([lambda d=d, e=e: bronze.land(e, b, d) for d, e in envs.items()]))
 
-    def merge(ds: str) -> None:
+    days = _days(spark, window)        # the window's days, no day, and the days that merged events left or joined
+
+    def merge(ds: str) -> DataFrame | None:
         rows = silver.TRANSFORMS[ds](bronze.read(spark, b, ds, path=bronze.run_folder(b, ds, ingest_day, run_id)))
         if ds in INCREMENTAL_UPSERTS:
             keys, parts = INCREMENTAL_UPSERTS[ds]
-            incremental.upsert_latest(spark, rows, f"{s}/{ds}", keys, "ingested_at", parts)
-        else:
-            write_table(rows, s, ds, SILVER_PARTITIONS[ds], mode="overwrite", dynamic=True,
-                        cluster_by=SILVER_CLUSTER[ds])
-    _timed(report, "silver", lambda: in_parallel([lambda d=d: merge(d) for d in envs]))
+            return incremental.upsert_latest(spark, rows, f"{s}/{ds}", keys, "ingested_at", parts,
+                                             cluster_by=SILVER_CLUSTER[ds]).toDF("date")
+        write_table(rows, s, ds, SILVER_PARTITIONS[ds], mode="overwrite", dynamic=True,
+                    cluster_by=SILVER_CLUSTER[ds])
+        return None
+    for touched in _timed(report, "silver", lambda: in_parallel([lambda d=d: merge(d) for d in envs])):
+        if touched is not None:
+            days = days.unionByName(touched)
+    days = days.distinct().checkpoint(eager=True)
 
     def rebuild_gold() -> None:
         events = _silver(spark, s, "events")
         metadata, stats = _silver(spark, s, "media_metadata"), _silver(spark, s, "media_stats")
         by_date = _silver(spark, s, "media_stats_by_date")
-        lo, hi = F.lit(window.start_date), F.lit(window.end_date)
-        window_events = events.filter(F.col("event_date").between(lo, hi))
+        event_days, metric_days = days.toDF("event_date"), days.toDF("metric_date")
+        window_events = incremental.in_partitions(events, event_days, ["event_date"])
+        # the fact and the visitor partials have a row for every day with an event of a known visitor
+        filled = window_events.filter(F.col("visitor_key").isNotNull()).select("event_date")
 
         def media_and_fact() -> None:
             _, o1 = write_table(gold.build_dim_media(metadata, stats, stamp=True), g, "dim_media")
             fact = gold.build_fact(window_events, read_required(spark, g, "dim_media"),
-                                   by_date.filter(F.col("metric_date").between(lo, hi)), stamp=True)
+                                   incremental.in_partitions(by_date, metric_days, ["metric_date"]), stamp=True)
             _, o3 = write_table(fact, g, "fact_media_engagement", FACT_PARTITIONS, dynamic=True,
                                 cluster_by=FACT_CLUSTER)
+            incremental.drop_emptied(spark, f"{g}/fact_media_engagement", filled.toDF("date"), days, ["date"])
             # check counts of the rewritten days only (the other days' partials stand)
-            window_fact = (read_required(spark, g, "fact_media_engagement", fact_schema())
-                           .filter(F.col("date").between(lo, hi)))
-            write_table(checks.fact_check_partials(window_fact), g, FACT_CHECK_PARTIALS, ["date"], dynamic=True)
+            window_fact = incremental.in_partitions(
+                read_required(spark, g, "fact_media_engagement", fact_schema()), days, ["date"])
+            partials = checks.fact_check_partials(window_fact)
+            write_table(partials, g, FACT_CHECK_PARTIALS, ["date"], dynamic=True)
+            incremental.drop_emptied(spark, f"{g}/{FACT_CHECK_PARTIALS}", window_fact, days, ["date"])
             report.rows.update({"gold.dim_media": written_rows(o1), "gold.fact_media_engagement.window": written_rows(o3)})
 
         def visitors() -> None:
             # visitor partials per (visitor, media, day): only the window's days are recomputed
             write_table(gold.visitor_partials(window_events, ("visitor_key", "media_id", "event_date")),
                         g, VISITOR_PARTIALS, ["event_date"], dynamic=True, cluster_by=["visitor_key"])
+            incremental.drop_emptied(spark, f"{g}/{VISITOR_PARTIALS}", filled, event_days, ["event_date"])
             partials = read_required(spark, g, VISITOR_PARTIALS)
             dim_visitor = gold.dim_visitor_from_partials(gold.merge_visitor_partials(partials), stamp=True)
             _, o2 = write_table(dim_visitor, g, "dim_visitor")

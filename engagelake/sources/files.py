@@ -20,6 +20,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(conf).exists(p))
 
 
+def remove_partition(spark: SparkSession, path: str, values: dict[str, str | None]) -> None:
+    """Delete one partition folder of the table at ``path`` (values as text, null for the null partition)."""
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *(names.getPartitionPathString(c, v) for c, v in values.items())]))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class MissingTableError(RuntimeError):
     pass
 

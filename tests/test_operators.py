@@ -81,6 +81,41 @@ def test_upsert_latest_replaces_only_touched_partitions(spark, tmp_path):
     assert got == {"a": 2, "b": 1, "c": 1}
 
 
+def test_upsert_latest_keeps_undated_rows_and_moves_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    s = "k string, d date, v int, ts int"
+    d1, d2, d3 = (dt.date(2026, 1, i) for i in (1, 2, 3))
+
+    def upsert(*rows):
+        touched = INC.upsert_latest(spark, spark.createDataFrame(list(rows), s), path, ["k"], "ts", ["d"])
+        table = spark.read.schema(s).parquet(path)
+        return {r["d"] for r in touched.collect()}, sorted((r["k"], str(r["d"]), r["v"]) for r in table.collect())
+
+    upsert(("a", d1, 1, 1), ("b", None, 1, 1), ("c", d2, 1, 1), ("e", d3, 1, 1))
+    # an undated newcomer keeps the undated row; the only row of d1 moves to d2
+    days, rows = upsert(("f", None, 2, 2), ("a", d2, 2, 2))
+    assert days == {None, d1, d2}
+    assert rows == [("a", "2026-01-02", 2), ("b", "None", 1), ("c", "2026-01-02", 1), ("e", "2026-01-03", 1), ("f", "None", 2)]
+    assert not (tmp_path / "t" / "d=2026-01-01").exists()
+    # the undated row gets its day; an older version of a moved key changes nothing
+    days, rows = upsert(("b", d1, 3, 3), ("a", d3, 0, 0))
+    assert rows == [("a", "2026-01-02", 2), ("b", "2026-01-01", 3), ("c", "2026-01-02", 1), ("e", "2026-01-03", 1), ("f", "None", 2)]
+
+
+def test_touched_partitions_are_literal_partition_filters(spark, tmp_path):
+    path = str(tmp_path / "t")
+    s = "k string, d date"
+    days = [dt.date(2026, 1, i) for i in range(1, 6)]
+    spark.createDataFrame([("a", d) for d in [*days, None]], s).write.partitionBy("d").parquet(path)
+    table = spark.read.schema(s).parquet(path)
+    some = INC.in_partitions(table, spark.createDataFrame([(days[1],), (None,)], "d date"), ["d"])
+    assert {r["d"] for r in some.collect()} == {days[1], None}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert "isnull(d" in filters and filters.count("isnotnull(d") == 0
+    assert "Join" not in plan
+
+
 DOCS = [
     (1, {"a": {"visitor_key": "x", "b": [{"visitorKey": "y"}, {"visitor_key": 5}]}, "visitor_key": ["z"]}),
     (2, [1, 2, {"deep": {"deeper": {"visitor_key": "q", "inner": {"visitor_key": "r"}}}}]),
