@@ -286,6 +286,26 @@ def test_secret_spans_and_model(spark):
     assert len(model.automata["access"].next) < 200
 
 
+def test_unlabelled_credentials_do_not_raise_the_cut(spark):
+    rng = random.Random(3)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["sk_live_" + "".join(rng.choice(alphabet) for _ in range(24)) for _ in range(60)]
+    words = ["".join(rng.choice(["tion", "ment", "heit", "lich", "ing", "ver"]) for _ in range(6)) for _ in range(40)]
+    numbers = [str(rng.randrange(10 ** 15, 10 ** 16)) for _ in range(20)]
+    texts = [f"secret={k}" for k in keys[:30]] + [f"see {k} here" for k in keys[30:]] + words + numbers
+    rows = {r.doc_id: r.spans for r in secret_scan.scan(docs_of(spark, texts)).collect()}
+    assert sum([(s.kind, s.start, s.end) for s in rows[i]] == [("format", 4, 36)] for i in range(30, 60)) >= 27
+    assert not any(rows[i] for i in range(60, len(texts)))
+
+
+def test_labels_are_drawn_apart_from_ordinary_tokens(spark):
+    rng = random.Random(4)
+    hexes = [f"{rng.getrandbits(128):032x}" for _ in range(30)]
+    words = ["".join(rng.choice(["tion", "ment", "heit", "lich", "ing", "ver"]) for _ in range(6)) for _ in range(300)]
+    model = secret_scan.fit(docs_of(spark, [f"x {h} y" for h in hexes] + words), sample=20)
+    assert sum(model.automata["hex"].end) == 20 and model.credible(hexes[0])[1] and not model.credible(words[0])[1]
+
+
 def test_url_rules(spark):
     urls = ["http://A.Example.com/en/x", "https://www.example.com/en/1?q=/", "ftp://x.net/es/", "http://x.net/de/", "nothing", None, "",
             "http://com", "http://EXAMPLE.com/de/", "a://b://c/d#e", "http://notexample.com/en/"]
