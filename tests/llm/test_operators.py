@@ -306,6 +306,25 @@ def test_labels_are_drawn_apart_from_ordinary_tokens(spark):
     assert sum(model.automata["hex"].end) == 20 and model.credible(hexes[0])[1] and not model.credible(words[0])[1]
 
 
+def test_secrets_anywhere_in_long_tokens():
+    rng = random.Random(5)
+    keys = ["sk_live_" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(24)) for _ in range(40)]
+    words = ["".join(rng.choice(["tion", "ment", "heit", "lich", "ing", "ver"]) for _ in range(6)) for _ in range(40)]
+    model = secret_scan.Model({"assign": keys[:30]}, words)
+    pad = "internationalization" * 50
+    for key, (before, after) in zip(keys[30:], [(pad, ""), ("", pad), (pad, pad), (pad[:1003], pad), (pad[:603], "")]):
+        (start, kind, end, _), = secret_scan.scan_text(f"x {before}{key}{after}", model)
+        at = 2 + len(before)
+        assert kind == "format" and at - 8 <= start <= at and at + 32 <= end <= at + 40
+    assert secret_scan.scan_text(pad, model) == []
+
+
+def test_long_labelled_values_are_fitted_whole(spark):
+    values = [f"{random.Random(i).getrandbits(8000):02000x}" for i in range(30)]
+    model = secret_scan.fit(docs_of(spark, [f"token={v}" for v in values]))
+    assert sum(len(v) for v in values) <= sum(sum(c.values()) for c in model.automata["assign"].count)
+
+
 def test_url_rules(spark):
     urls = ["http://A.Example.com/en/x", "https://www.example.com/en/1?q=/", "ftp://x.net/es/", "http://x.net/de/", "nothing", None, "",
             "http://com", "http://EXAMPLE.com/de/", "a://b://c/d#e", "http://notexample.com/en/"]
