@@ -9,9 +9,10 @@ paragraphs; a paragraph under ``LEAST_CONFIDENCE`` is ``unknown``.  A predicted
 family is confirmed when the paragraph shares at least ``AGREEMENT`` of a template's
 words.
 
-Only paragraphs with ``EVIDENCE`` different telling words of the templates are scored;
-every template has as many, so others are ``none`` by definition: a property of the
-paragraph, not a sample.  Built-in expressions and Spark ML only.
+Only paragraphs that agree with a template to ``AGREEMENT`` or have ``EVIDENCE`` different
+telling words are scored; all others cannot be confirmed.  To agree, a paragraph must have
+one of the ``needed`` words of a template, which is looked for first.  Built-in expressions
+and Spark ML only.
 
 Defined results for odd input: null and empty texts have no licence; repeated rows are
 scanned alike, one result each; an empty table gives no rows; extra columns are
@@ -49,6 +50,8 @@ TEMPLATES = {
     "proprietary": ("All rights reserved.", "Copyright. All rights reserved."),
 }
 FAMILIES = tuple(TEMPLATES)
+_COMMON = frozenset("a and any by can except file for free in is it may not of or the this to under use with without you "
+                    "all person source 0 2 3 4 work".split())
 SPLIT = "[^a-z0-9]+"
 
 
@@ -79,9 +82,16 @@ def vocabulary() -> list[str]:
 
 def telling_words() -> list[str]:
     """Vocabulary words that name licences rather than join sentences."""
-    common = set("a and any by can except file for free in is it may not of or the this to under use with without you "
-                 "all person source 0 2 3 4 work".split())
-    return [w for w in vocabulary() if " " not in w and w not in common]
+    return [w for w in vocabulary() if " " not in w and w not in _COMMON]
+
+
+def needed_words() -> list[str]:
+    """Per template, so many of its longest words that no paragraph without any of them reaches ``AGREEMENT``."""
+    out = set()
+    for _, _, ws in _template_words():
+        missing = next(k for k in range(1, len(ws) + 1) if (len(ws) - k) / len(ws) < AGREEMENT)
+        out |= set(sorted(ws, key=lambda w: (w in _COMMON, -len(w), w))[:missing])
+    return sorted(out | set(telling_words()))
 
 
 def agreement(words: Column) -> Column:
@@ -92,16 +102,17 @@ def agreement(words: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines with at least ``EVIDENCE`` different telling words: ``doc_id``, ``text_key``, ``line``, ``paragraph``,
+    """Lines that agree with a template or have ``EVIDENCE`` different telling words: ``doc_id``, ``text_key``, ``line``, ``paragraph``,
     ``terms``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     telling = telling_words()
-    hint = "(?i)(?<![a-z0-9])(?:" + "|".join(telling) + ")(?![a-z0-9])"
+    hint = "(?i)(?<![a-z0-9])(?:" + "|".join(needed_words()) + ")(?![a-z0-9])"
     lines = docs.filter(text.rlike(hint)).select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
         F.posexplode(F.split(text, "\n", -1)).alias("line", "paragraph"))
     found = lines.filter(F.col("paragraph").rlike(hint)).withColumn("terms", terms(F.col("paragraph")))
-    return found.filter(F.size(F.array_intersect("terms", F.array(*map(F.lit, telling)))) >= EVIDENCE)
+    evidence = F.size(F.array_intersect("terms", F.array(*map(F.lit, telling)))) >= EVIDENCE
+    return found.filter(evidence | (agreement(F.col("terms"))["share"] >= AGREEMENT))
 
 
 def _labelled(spark, candidates: DataFrame) -> DataFrame:

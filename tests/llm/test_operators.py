@@ -345,6 +345,15 @@ def test_licences(spark):
     assert got == {0: ["mit"], 1: ["apache"], 2: [], 3: [], 4: [], 5: ["proprietary"]}
 
 
+def test_licences_with_one_telling_word(spark):
+    texts = ["Available under CC BY 4.0", "Available under the Apache 2.0", "the version of this"]
+    lines = license_scan.paragraphs(docs_of(spark, texts)).withColumn("share", license_scan.agreement(F.col("terms"))["share"]).collect()
+    assert {r.doc_id for r in lines if r.share >= license_scan.AGREEMENT} == {0, 1}
+    words = set(license_scan.needed_words())
+    for _, _, ws in license_scan._template_words():       # without all of these no agreement is possible
+        assert sum(w not in words for w in ws) / len(ws) < license_scan.AGREEMENT
+
+
 def test_chat_roles_on_held_out_transcripts(spark, sf_small):
     from engagelake.llm.queries import marked_turns
     turns = marked_turns(spark, sf_small)
