@@ -124,8 +124,9 @@ def _labelled(spark, candidates: DataFrame) -> DataFrame:
             w = [x for x in re.split(SPLIT, t.lower()) if x]
             rows += [(family, " ".join(w))] + [(family, " ".join(w[:i] + w[i + 1:])) for i in range(len(w))]
     labelled = spark.createDataFrame(rows, "family string, paragraph string").withColumn("terms", terms(F.col("paragraph")))
-    other = (candidates.filter(agreement(F.col("terms"))["share"] < AGREEMENT).select("paragraph", "terms")
-             .orderBy(F.xxhash64("paragraph"), "paragraph").limit(NONE_SAMPLE).dropDuplicates(["paragraph"]).withColumn("family", F.lit(NONE)))
+    other = (candidates.filter(agreement(F.col("terms"))["share"] < AGREEMENT)
+             .select("paragraph").distinct().withColumn("terms", terms(F.col("paragraph")))
+             .orderBy(F.xxhash64("paragraph"), "paragraph").limit(NONE_SAMPLE).withColumn("family", F.lit(NONE)))
     blank = [(NONE, w) for w in vocabulary()]
     alone = spark.createDataFrame(blank, "family string, paragraph string").withColumn("terms", terms(F.col("paragraph")))
     return labelled.unionByName(other.select("family", "paragraph", "terms")).unionByName(alone)

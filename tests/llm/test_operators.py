@@ -354,6 +354,13 @@ def test_licences_with_one_telling_word(spark):
         assert sum(w not in words for w in ws) / len(ws) < license_scan.AGREEMENT
 
 
+def test_licence_none_examples_are_distinct_before_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "NONE_SAMPLE", 5)
+    lines = [f"mit license number {i}" for i in range(20) for _ in range(40)]
+    labelled = license_scan._labelled(spark, license_scan.paragraphs(docs_of(spark, lines)))
+    assert labelled.filter("family = 'none' and paragraph like '%number%'").count() == 5
+
+
 def test_chat_roles_on_held_out_transcripts(spark, sf_small):
     from engagelake.llm.queries import marked_turns
     turns = marked_turns(spark, sf_small)
