@@ -82,8 +82,7 @@ def _entropy(text: Column) -> Column:
     def term(c):
         p = (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / n
         return F.when(p > 0, -p * F.log2(p)).otherwise(0.0)
-    chars = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))),
-                                         lambda i: F.substring(text, i, F.lit(1))))
+    chars = F.array_distinct(F.split(text, ""))
     return F.aggregate(F.transform(chars, term), F.lit(0.0), lambda a, x: a + x)
 
 
@@ -104,7 +103,7 @@ def lexical(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
         "path_length": F.length("path").cast("double"),
         "depth": F.regexp_count("path", F.lit("/")).cast("double"),
         "digit_ratio": F.regexp_count(url, F.lit("[0-9]")) / F.greatest(F.length(url), F.lit(1)),
-        "entropy": let(F.substring(rest, 1, 256), _entropy),
+        "entropy": let(rest, _entropy),
         "parameters": F.regexp_count(url, F.lit("[?&][^=&#]*=")).cast("double")})
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -338,6 +339,14 @@ def test_url_rules(spark):
     assert got[9][:3] == ("b:", "//c/d", None) and got[10][2:] == ("com/", "allow")
 
 
+def test_url_entropy_is_of_the_whole_rest(spark):
+    tails = ["/" * 300, "/" * 300 + "bcdé😀" * 60, "", "/a/a"]
+    pages = spark.createDataFrame([(i, "http://x.net" + t) for i, t in enumerate(tails)], "page_id long, url string")
+    got = {r.page_id: r.entropy for r in url_filter.lexical(pages, "page_id", "url").collect()}
+    assert got[0] == got[2] == 0 and got[3] == pytest.approx(1)
+    assert got[1] == pytest.approx(0.5 + 0.5 * math.log2(10))
+
+
 def test_licences(spark):
     texts = ["intro\nReleased under the MIT License.\nmore", "Licensed under the Apache License, Version 2.0.", None, "",
              "mit der version und license to nothing", "All rights reserved."]
