@@ -7,20 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, license_scan, near_dedup, packing, pii, quality_rules, secret_scan, sharding,
-               url_filter)
+from . import (chat_format, cross_tokens, decontaminate, fill_middle, license_scan, near_dedup, packing, pii, quality_rules,
+               secret_scan, sharding, token_counts, url_filter)
+from ..session import new_run_dir
 
 #: Name of the vocabulary file in the folder of public tokenizers.
 VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def span_digest(spans, kinds) -> tuple:
@@ -105,9 +107,28 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    found = cross_tokens.align_documents(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_VOCABULARY),
+                                         tokenizer_path(PIECE_MODEL), whole_groups=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_token_counts(spark, sf_dir):
+    """From an empty cache, so that every run does the whole work; a lasting one is a folder that stays."""
+    cache = f"{new_run_dir(spark, 'token-cache')}/counts"
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), cache, tokenizer_path(PIECE_MODEL))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_formatting, op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scans, op5_url_filters,
-    op6_license_scans, op7_pii, op8_benchmark_decontamination, op9_sharding, op10_quality_rules)}
+    op6_license_scans, op7_pii, op8_benchmark_decontamination, op9_sharding, op10_quality_rules, op11_cross_tokenizer_alignment,
+    op12_fill_in_middle, op13_token_counts)}
 
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -171,6 +192,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT ({fails}) AS kept FROM m"""
 
 
-ORACLES: dict[str, str] = {"op3_minhash_near_dedup": _oracle_near_dedup(),
+def _oracle_fill_middle() -> str:
+    p, s, m = fill_middle.MARKERS
+    dice = ", ".join(f"('0x' || substr(d, {8 * k + 1}, 8))::UBIGINT::BIGINT h{k + 1}" for k in range(4))
+    return rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') t, sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) d FROM documents),
+l AS (SELECT doc_id, t, regexp_extract_all(t, '[^
+]*
+|[^
+]+') l, {dice} FROM t),
+c AS (SELECT *, len(l)::BIGINT n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) lo, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) hi,
+      CASE WHEN t = '' OR contains(t, '{p}') OR contains(t, '{s}') OR contains(t, '{m}') OR h3 % 100 >= {fill_middle.RATE}
+      THEN 'plain' WHEN h4 % 100 < {fill_middle.SPM_SHARE} THEN 'spm' ELSE 'psm' END form FROM l),
+x AS (SELECT *, array_to_string(l[1:lo], '') a, array_to_string(l[lo + 1:hi], '') b, array_to_string(l[hi + 1:], '') e FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END::BIGINT prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(b) END::BIGINT middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{p}' || a || '{s}' || e || '{m}' || b
+              ELSE '{s}' || e || '{p}' || a || '{m}' || b END) output_sha256, sha256(t) restored_sha256 FROM x"""
+
+
+ORACLES: dict[str, str] = {"op12_fill_in_middle": _oracle_fill_middle(),
+                           "op3_minhash_near_dedup": _oracle_near_dedup(),
                            "op8_benchmark_decontamination": _oracle_decontamination(),
                            "op10_quality_rules": _oracle_quality()}
