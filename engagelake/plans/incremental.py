@@ -3,8 +3,11 @@
 The window is a small driver-side decision over at most one state row; the
 data work is a date predicate (a partition filter on date-partitioned
 tables).  The watermark is the *run clock*, advanced only after a
-successful run and only forward.  The state is a table of committed runs;
-the current state is its newest row.
+successful run and only forward.  The state is a sequence of numbered commit
+files, one per committed run: a commit creates the file of the next number,
+which only one of several runs at once can do; the current state is the file of
+the highest number.  A commit also carries the manifest of what the run
+published (``plans.publish``).
 
 Re-reading the lookback window lands overlapping events again; the overlap
 is removed by ``upsert_latest``: the touched partitions of the silver table
@@ -17,18 +20,18 @@ it overwrites and survives executor loss.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engagelake.constants import DEFAULT_LOOKBACK_DAYS, SOURCE_NAME, WATERMARK_FIELD
 from engagelake.operators.latest import latest_by
-from engagelake.sources.files import path_exists, remove_partition
+from engagelake.sources.files import child_folders, create_if_absent, path_exists, remove_folder, remove_partition
 
 
 @dataclass(frozen=True)
@@ -42,21 +45,13 @@ class RunWindow:
     based_on: str | None = None          # the watermark text behind the window, if any
     commit_explicit: bool = False
 
-    @property
-    def explicit_window(self) -> bool:
-        return self.origin == "explicit"
-
-    @property
-    def previous_watermark(self) -> str | None:
-        return self.based_on
-
     @property
     def next_watermark(self) -> str:
         return self.clock.isoformat()
 
     @property
     def should_update_watermark(self) -> bool:
-        return self.commit_explicit if self.explicit_window else self.origin != "disabled"
+        return self.commit_explicit if self.origin == "explicit" else self.origin != "disabled"
 
 
 def parse_watermark(value: str) -> dt.datetime:
@@ -113,14 +108,26 @@ STATE_SCHEMA = T.StructType([
         T.StructField("visitor_count", T.LongType()),
         T.StructField("media_count", T.LongType()),
     ])),
+    T.StructField("seq", T.LongType()),
+    T.StructField("published", T.StringType()),
 ])
 
 
+class CommitConflict(RuntimeError):
+    pass
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """State history; empty frame of the state schema when missing."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(path)
+    return spark.read.schema(STATE_SCHEMA).option("pathGlobFilter", "*.json").json(path)
+
+
+def head(state: DataFrame) -> tuple[int, str | None, str | None]:
+    """(number, watermark text, published manifest) of the newest commit; number 0 where there is none."""
+    row = state.agg(F.max_by(F.struct("seq", "watermark_value", "published"), "seq").alias("h")).first()["h"]
+    return tuple(row) if row else (0, None, None)
 
 
 def current_watermark(state: DataFrame, as_of: dt.datetime | None = None) -> str | None:
@@ -146,22 +153,30 @@ def accepted_commits(candidates: DataFrame, order_col: str = "seq") -> DataFrame
 
 
 def state_row(spark: SparkSession, window: RunWindow, run_id: str, completed_at: dt.datetime,
-              storage_mode: str, visitor_count: int, media_count: int) -> DataFrame:
+              storage_mode: str, visitor_count: int, media_count: int, published: str | None = None) -> DataFrame:
     completed = completed_at.isoformat()
     return spark.createDataFrame([(
         SOURCE_NAME, WATERMARK_FIELD, window.next_watermark, parse_watermark(window.next_watermark), completed,
         (run_id, window.start_date.isoformat(), window.end_date.isoformat(), completed, storage_mode,
-         visitor_count, media_count))], STATE_SCHEMA)
+         visitor_count, media_count), None, published)], STATE_SCHEMA)
+
 
+def commit(spark: SparkSession, path: str, candidate: DataFrame, expected_seq: int | None = None) -> bool:
+    """Make the candidate the newest state if its watermark is strictly newer than the stored one.
 
-def commit(spark: SparkSession, path: str, candidate: DataFrame) -> bool:
-    """Append the candidate state if strictly newer than the stored one."""
-    stored = read_state(spark, path).agg(F.max("watermark_ts").alias("m")).first()["m"]
-    new_ts = candidate.agg(F.max("watermark_ts").alias("m")).first()["m"]
-    if stored is not None and (new_ts is None or new_ts <= stored):
-        return False
-    candidate.write.mode("append").parquet(path)
-    return True
+    The state is compared and set: the next number is created only if no other run has created it.  A run that
+    built on commit ``expected_seq`` is refused (``CommitConflict``) once there is another; without it, the
+    comparison is made again on the newer state."""
+    newest = candidate.agg(F.max_by("watermark_value", "watermark_ts")).first()[0]
+    while True:
+        seq, stored, _ = head(read_state(spark, path))
+        if expected_seq is not None and seq != expected_seq:
+            raise CommitConflict(f"the run built on commit {expected_seq}, the newest is {seq}")
+        if stored is not None and (newest is None or parse_watermark(newest) <= parse_watermark(stored)):
+            return False
+        text = candidate.withColumn("seq", F.lit(seq + 1).cast("long")).select(F.to_json(F.struct("*"))).first()[0]
+        if create_if_absent(spark, f"{path}/{seq + 1:012d}.json", text + "\n"):
+            return True
 
 
 # -- latest-wins upsert into a partitioned table ------------------------------------
@@ -196,47 +211,103 @@ def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, touched:
     """Make ``rows`` the whole content of the ``touched`` partitions of the table at ``path``.
 
     Dynamic overwrite replaces the partitions that ``rows`` has; touched ones
-    without a row left are removed.  ``rows`` must not read ``path``."""
-    (rows.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *cluster_by)
+    without a row left are removed.  Which have one is observed during the
+    write, so ``rows`` is evaluated once; it must not read ``path``."""
+    values = [F.col(c).cast("string").alias(c) for c in partition_cols]
+    seen = Observation("filled")
+    (rows.observe(seen, F.collect_set(F.struct(*values)).alias("filled"))
+     .hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
-    drop_emptied(spark, path, rows, touched, partition_cols)
+    filled = {tuple(row) for row in seen.get["filled"]}
+    for row in touched.select(*values).distinct().collect():
+        if tuple(row) not in filled:
+            remove_partition(spark, path, row.asDict())
+
+
+# -- key index: which partitions hold a key ------------------------------------------
+
+#: Buckets of a new key index; an existing one keeps its own number.
+INDEX_BUCKETS = 256
+_BUCKET = "_bucket"
+
 
+def _index_root(path: str) -> str:
+    return f"{path.rstrip('/')}.keys"
 
-def drop_emptied(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, partition_cols: Sequence[str]) -> None:
-    """Remove the ``touched`` partitions of the table at ``path`` that have no row in ``rows``."""
-    filled = rows.select(*partition_cols).distinct()
-    emptied = touched.join(filled, same_values(touched, filled, partition_cols), "left_anti")
-    for row in emptied.select(*[F.col(c).cast("string") for c in partition_cols]).distinct().collect():
-        remove_partition(spark, path, row.asDict())
+
+def _index_folder(spark: SparkSession, path: str, buckets: int) -> tuple[str, int]:
+    """(folder, buckets) of the index of the table at ``path``."""
+    for name in child_folders(spark, _index_root(path)):
+        if name.startswith("of="):
+            buckets = int(name[3:])
+    return f"{_index_root(path)}/of={buckets}", buckets
+
+
+def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def _add_to_index(spark: SparkSession, folder: str, rows: DataFrame, mode: str = "append") -> None:
+    rows.hint("rebalance", _BUCKET).write.mode(mode).partitionBy(_BUCKET).parquet(folder)
+
+
+def rebuild_key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_cols: Sequence[str],
+                      schema: T.StructType, buckets: int = INDEX_BUCKETS) -> None:
+    """Write the index of a table anew from its key and partition columns (maintenance: stale and small files go)."""
+    remove_folder(spark, _index_root(path))
+    held = spark.read.schema(schema).parquet(path).select(*dict.fromkeys([*keys, *partition_cols])).distinct()
+    _add_to_index(spark, f"{_index_root(path)}/of={buckets}", _bucketed(held, keys, buckets), "overwrite")
+
+
+def _indexed_partitions(spark: SparkSession, path: str, new_rows: DataFrame, keys: Sequence[str],
+                        partition_cols: Sequence[str], buckets: int) -> DataFrame:
+    """Partitions that hold or held a key of ``new_rows``, by the index, which learns the new rows' places first.
+
+    Only the buckets of the incoming keys are read.  An entry is added before the table changes and never removed
+    here: after a lost run the index may name a partition too many, never one too few."""
+    if path_exists(spark, path) and not child_folders(spark, _index_root(path)):
+        rebuild_key_index(spark, path, keys, partition_cols, new_rows.schema, buckets)
+    folder, buckets = _index_folder(spark, path, buckets)
+    columns = list(dict.fromkeys([*keys, *partition_cols]))
+    places = _bucketed(new_rows.select(*columns).distinct(), keys, buckets)
+    if not path_exists(spark, folder):
+        _add_to_index(spark, folder, places)
+        return places.select(*partition_cols).distinct()
+    asked = sorted(r[0] for r in places.select(_BUCKET).distinct().collect())         # at most ``buckets`` rows
+    index = spark.read.schema(places.schema).parquet(folder).filter(F.col(_BUCKET).isin(asked))
+    held = index.join(places, same_values(index, places, [*keys, _BUCKET]), "left_semi").select(*partition_cols)
+    found = places.select(*partition_cols).unionByName(held).distinct().checkpoint(eager=True)
+    fresh = places.join(index, same_values(places, index, [*columns, _BUCKET]), "left_anti").checkpoint(eager=True)
+    _add_to_index(spark, folder, fresh)
+    return found
 
 
 def upsert_latest(spark: SparkSession, new_rows: DataFrame, path: str, keys: Sequence[str],
                   order_col: str, partition_cols: Sequence[str], tiebreak: Sequence[str] | None = None,
-                  cluster_by: Sequence[str] = ()) -> DataFrame:
+                  cluster_by: Sequence[str] = (), buckets: int = INDEX_BUCKETS,
+                  before_replacing: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Merge ``new_rows`` into the table at ``path`` keeping the newest row per
     key; returns the touched partition values (null is one of them).
 
     Touched are the partitions of ``new_rows`` and those that hold an incoming
     key so far (a key can move, e.g. when an event's time is corrected).  The
-    latter are found by a scan of the key and partition columns of the other
-    partitions, which is left out where the keys hold the partition columns.
-    Only touched partitions are read in full and replaced."""
+    latter come from the table's key index, kept beside it; no index is needed
+    where the keys hold the partition columns.  Only touched partitions of the
+    table are read, and replaced.  ``before_replacing`` is told the touched
+    partitions before the table changes."""
     new_rows = new_rows.persist(StorageLevel.MEMORY_AND_DISK)   # read for touched partitions, keys and the merge
     try:
+        if set(partition_cols) <= set(keys):
+            touched = new_rows.select(*partition_cols).distinct()
+        else:
+            touched = _indexed_partitions(spark, path, new_rows, keys, partition_cols, buckets)
+        touched = touched.checkpoint(eager=True)
+        if before_replacing:
+            before_replacing(touched)
         merged = new_rows
-        touched = new_rows.select(*partition_cols).distinct()
         if path_exists(spark, path):
             existing = spark.read.schema(new_rows.schema).parquet(path)
-            if not set(partition_cols) <= set(keys):
-                held = existing.select(*dict.fromkeys([*keys, *partition_cols]))
-                other = held.join(touched, same_values(held, touched, partition_cols), "left_anti")
-                incoming = new_rows.select(*keys).distinct()
-                moved = other.join(incoming, same_values(other, incoming, keys), "left_semi")
-                touched = touched.unionByName(moved.select(*partition_cols)).distinct()
-            touched = touched.checkpoint(eager=True)
             merged = new_rows.unionByName(in_partitions(existing, touched, partition_cols).select(*new_rows.columns))
-        else:
-            touched = touched.checkpoint(eager=True)
         latest = latest_by(merged, keys, order_col, tiebreak=tiebreak).checkpoint(eager=True)
         replace_partitions(spark, latest, path, touched, partition_cols, cluster_by)
     finally:

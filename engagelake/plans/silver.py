@@ -8,13 +8,14 @@ use ``dedup_keep_one``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from engagelake.functions.scalar import (as_bool, as_double, as_int, as_long, event_time, iso_date,
                                          iso_timestamp)
 from engagelake.operators.latest import dedup_keep_one, latest_by
-from engagelake.schemas import SILVER_PARTITIONS
+from engagelake.schemas import SILVER_PARTITIONS, envelope
 
 
 def _audit(run_col: str = "pipeline_run_id") -> list:
@@ -165,3 +166,8 @@ TRANSFORMS = {
 def transform(dataset: str, bronze: DataFrame) -> tuple[DataFrame, list[str]]:
     """Dataset name -> (silver frame, partition columns)."""
     return bronze.transform(TRANSFORMS[dataset]), SILVER_PARTITIONS[dataset]
+
+
+def schema(spark: SparkSession, dataset: str) -> T.StructType:
+    """The declared columns of a silver table (analysis only): a table without a row is read by them, too."""
+    return TRANSFORMS[dataset](spark.createDataFrame([], envelope(dataset))).schema

@@ -27,8 +27,8 @@ from engagelake.plans import gold
 from engagelake.plans import incremental as INC
 from engagelake.plans import reports as R
 from engagelake.plans import silver as SV
-from engagelake.plans.workflow import (FACT_CLUSTER, FACT_PARTITIONS, fact_schema, in_parallel, read_gold,
-                                       run_daily, run_incremental)
+from engagelake.plans.workflow import (DIM_MEDIA, DIM_VISITOR, FACT, FACT_CHECK_PARTIALS, FACT_CLUSTER, FACT_PARTITIONS,
+                                       fact_schema, in_parallel, read_gold, read_published, run_daily, run_incremental)
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.session import new_run_dir
 from engagelake.sources import bronze as BZ
@@ -504,6 +504,47 @@ def bronze_scan(spark, sf):
     return out.withColumn("has_source_file", F.col("source_file").isNotNull()).drop("source_file")
 
 
+_ODD_EVERY = 101        # every so many events is landed with a device that is text instead of an object
+
+
+@register("bronze_quarantine", f"""
+SELECT pipeline_run_id, event_key,
+       CASE WHEN CAST(event_key AS BIGINT) % {_ODD_EVERY} = 0 THEN '{BZ.OTHER_STRUCTURE}' END AS reject_reason
+FROM (""" + O.LANDED_EVENTS + f""") UNION ALL
+SELECT DISTINCT pipeline_run_id, NULL, '{BZ.NOT_JSON}' FROM (""" + O.LANDED_EVENTS + ")")
+def bronze_quarantine(spark, sf):
+    """Event pages with odd records, and one broken line per run: every landed
+    record is either kept or a reject with its reason, none is lost."""
+    root = new_run_dir(spark, "bronze")
+    env = T.events_envelopes(spark, sf)
+    odd = lambda r: F.when(r["event_key"].cast("long") % _ODD_EVERY == 0, F.to_json(F.struct(
+        r["event_key"].alias("event_key"), F.lit("device as text").alias("user_agent_details")))).otherwise(F.to_json(r))
+    head = F.to_json(F.struct(*[c for c in env.columns if c != "payload"]))
+    page = F.concat(F.lit("["), F.array_join(F.transform("payload", odd), ","), F.lit("]"))
+    whole = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"payload":'), page, F.lit("}"))
+    broken = env.select("pipeline_run_id").distinct().select("pipeline_run_id", F.concat(
+        F.lit('{"pipeline_run_id":"'), "pipeline_run_id", F.lit('","payload":[{"event_key":')).alias("value"))
+    lines = env.select("pipeline_run_id", whole.alias("value")).unionByName(broken)
+    lines.repartition("pipeline_run_id").select("value").write.text(f"{root}/events")       # a run's lines in one file
+    got = BZ.decoded(spark, root, "events", pattern="*.txt")
+    kept = BZ.envelopes_of(got, "events").select("pipeline_run_id", F.explode("payload.event_key").alias("event_key"),
+                                                 F.lit(None).cast("string").alias("reject_reason"))
+    rejects = BZ.rejects_of(got, "events").select("pipeline_run_id", F.when(F.col("position").isNotNull(), F.get_json_object(
+        "raw", "$.event_key")).alias("event_key"), F.col("reason").alias("reject_reason"))
+    return kept.unionByName(rejects)
+
+
+@register("bronze_multiline", O.SILVER_MEDIA_METADATA)
+def bronze_multiline(spark, sf):
+    """The catalogue landed as one pretty-printed document a file, read back
+    by the same scan as lines."""
+    root = new_run_dir(spark, "bronze")
+    docs = T.media_metadata_envelopes(spark, sf).select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+    docs.write.option("maxRecordsPerFile", 1).text(f"{root}/media_metadata")
+    return SV.media_metadata(BZ.read(spark, root, "media_metadata", pattern="*.txt")).withColumn(
+        "source_file", F.lit(None).cast("string"))
+
+
 @register("paged_envelopes", """
 SELECT pipeline_run_id, media_id, count(*) AS n_records, TRUE AS pages_within_limit
 FROM (""" + O.LANDED_EVENTS + ") GROUP BY 1, 2")
@@ -792,14 +833,14 @@ def stream_visitor_daily(spark, sf):
 
 
 _RUN_TIMES = [dt.datetime(2024, 1, 11, 2, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 21, 2, tzinfo=dt.timezone.utc),
-              dt.datetime(2024, 2, 1, 2, tzinfo=dt.timezone.utc)]
+              dt.datetime(2024, 2, 1, 2, tzinfo=dt.timezone.utc), dt.datetime(2024, 2, 1, 14, tzinfo=dt.timezone.utc)]
 
 
 _INCREMENTAL_ROOTS: dict[str, str] = {}
 
 
 def _incremental_runs(spark, sf) -> str:
-    """Three incremental runs once per scale in this session; the incremental
+    """Four incremental runs, two of them on one day, once per scale in this session; the incremental
     keys read the tables they leave."""
     if sf not in _INCREMENTAL_ROOTS:
         root = new_run_dir(spark, "incremental")
@@ -815,8 +856,8 @@ def inc_daily_checks(spark, sf):
     """The 27 checks after three incremental runs, the fact's metric rules
     summed from the per-day partials each run kept for its window."""
     root = _incremental_runs(spark, sf)
-    fact, dim_media, dim_visitor = read_gold(spark, f"{root}/gold")
-    partials = read_required(spark, f"{root}/gold", "fact_check_partials")
+    fact, dim_media, dim_visitor = read_gold(spark, root)
+    partials = read_published(spark, root, FACT_CHECK_PARTIALS)
     return CK.check_gold(fact, dim_media, dim_visitor, T.media_config(spark, sf), fact_partials=partials)
 
 
@@ -825,18 +866,22 @@ def inc_dim_visitor(spark, sf):
     """The visitor dimension kept by three incremental runs (re-aggregated
     from per-day partials) equals a full build."""
     root = _incremental_runs(spark, sf)
-    return read_required(spark, root, "gold/dim_visitor").drop("gold_loaded_at")
+    return read_published(spark, root, DIM_VISITOR).drop("gold_loaded_at")
+
+
+@register("inc_dim_media", O.with_views("dim_media") + "SELECT * FROM dim_media")
+def inc_dim_media(spark, sf):
+    """The media dimension after incremental runs, two of them on one day:
+    each run's snapshot stands beside the other's."""
+    return read_published(spark, _incremental_runs(spark, sf), DIM_MEDIA).drop("gold_loaded_at")
 
 
 @register("inc_daily_runs", O.with_views("fact") + "SELECT * FROM fact")
 def inc_daily_runs(spark, sf):
-    """Three incremental runs with overlapping (lookback) windows covering the
-    data: each lands, merges and recomputes only its window; the final fact
+    """Incremental runs with overlapping (lookback) windows covering the data:
+    each lands, merges and recomputes only its window; the published fact
     equals a full rebuild."""
-    root = _incremental_runs(spark, sf)
-    schema = fact_schema()
-    schema.fields = [f for f in schema.fields if f.name != "gold_loaded_at"]
-    return read_required(spark, root, "gold/fact_media_engagement", schema).select(*gold.FACT_COLUMNS)
+    return read_published(spark, _incremental_runs(spark, sf), FACT).select(*gold.FACT_COLUMNS)
 
 
 # -- the daily workflow end to end -------------------------------------------------------
@@ -859,7 +904,7 @@ def _daily_run_root(spark, sf) -> str:
 def daily_run_fact(spark, sf):
     """The fact written by the whole daily workflow (from landed bronze)."""
     root = _daily_run_root(spark, sf)
-    fact, _, _ = read_gold(spark, f"{root}/gold")
+    fact, _, _ = read_gold(spark, root)
     return fact.select(*gold.FACT_COLUMNS)
 
 
@@ -867,5 +912,5 @@ def daily_run_fact(spark, sf):
     O.qc_dim_media_sql(), O.qc_dim_visitor_sql(), O.qc_fact_sql()))
 def daily_run_checks(spark, sf):
     """The 27 checks over the gold layer the daily workflow wrote."""
-    fact, dim_media, dim_visitor = read_gold(spark, f"{_daily_run_root(spark, sf)}/gold")
+    fact, dim_media, dim_visitor = read_gold(spark, _daily_run_root(spark, sf))
     return CK.check_gold(fact, dim_media, dim_visitor, T.media_config(spark, sf))

@@ -2,8 +2,8 @@
 
 Bronze is read with these schemas instead of inference, so empty payloads,
 fields absent from every file and empty folders give nulls / empty frames
-instead of analysis errors; lines that are not JSON (or whose structure
-does not match) land in ``_corrupt_record`` and are quarantined.
+instead of analysis errors; documents that are not JSON and records whose
+structure does not match are rejects (``sources.bronze``).
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ PAYLOADS = {
         ("visitor_identity", struct(("name", S), ("email", S)))),
 }
 
-ENVELOPE_FIELDS = [
+ENVELOPE_FIELDS = [                      # the run id first
     ("pipeline_run_id", S), ("ingested_at", S), ("source", S), ("dataset", S), ("media_id", S),
     ("channel", S), ("endpoint", S), ("request_params", T.MapType(S, S)),
 ]
@@ -54,22 +54,20 @@ ENVELOPE_FIELDS = [
 CORRUPT = "_corrupt_record"
 
 
-def envelope(dataset: str, with_corrupt: bool = False) -> T.StructType:
-    fields = [*ENVELOPE_FIELDS, ("payload", PAYLOADS[dataset])]
-    if with_corrupt:
-        fields.append((CORRUPT, S))
-    return struct(*fields)
+def envelope(dataset: str) -> T.StructType:
+    return struct(*ENVELOPE_FIELDS, ("payload", PAYLOADS[dataset]))
 
 
-# Silver partitioning (dataset -> partition columns).  Only dates partition;
+# Silver partitioning (dataset -> partition columns).  Dates partition, and the
+# run where a table holds one snapshot per run (several runs may share a day);
 # media ids cluster inside the files (sorted), so scans still skip by media
 # through Parquet statistics without a folder per (day, media).  Events are
 # partitioned by their own date (and daily stats by their metric date), which
 # never changes between re-landings, so latest-wins upserts touch exactly the
 # partitions of the new rows.
 SILVER_PARTITIONS = {
-    "media_metadata": ["ingest_date"],
-    "media_stats": ["ingest_date"],
+    "media_metadata": ["ingest_date", "pipeline_run_id"],
+    "media_stats": ["ingest_date", "pipeline_run_id"],
     "media_stats_by_date": ["metric_date"],
     "media_engagement": ["ingest_date"],
     "events": ["event_date"],

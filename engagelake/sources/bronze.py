@@ -1,4 +1,4 @@
-"""Bronze layer: response envelopes, landing and the explicit-schema scan.
+"""Bronze layer: response envelopes, landing and the record-by-record scan.
 
 Landing writes **JSON Lines** (one envelope per line, splittable) under
 ``<root>/<dataset>/ingest_date=<d>/run_id=<run>/``.  The folders only route;
@@ -7,6 +7,14 @@ read (which ignores folder names) loses nothing.  There is deliberately no
 per-media folder level: with many media it would multiply small files
 without helping any reader.
 
+Reading takes both layouts, one envelope a line and one (pretty-printed)
+document a file, without being told which: a file of up to ``WHOLE_FILE_BYTES``
+is one row of text, cut into lines unless it is one document; larger files are
+read by lines, in splits.  Every record of a payload is decoded on its own
+against its declared schema.  What does not fit -- a line that is not JSON, a
+payload of another kind, one record of a page -- becomes a reject with file,
+position, reason and raw text, and costs nothing but itself.
+
 Envelopes are built by Spark from record frames: records are cut into pages
 of at most ``per_page`` records per (routing key, slice).  The slice is a hash
 of the record key, so a hot routing key (one media with a third of all
@@ -23,13 +31,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from engagelake.constants import DEFAULT_PAGE_SIZE, FILE_PART_UNSAFE, SOURCE_NAME
 from engagelake.functions.scalar import iso_date, sanitize_file_part
-from engagelake.schemas import CORRUPT, envelope
+from engagelake.schemas import CORRUPT, ENVELOPE_FIELDS, PAYLOADS, envelope, struct
 from engagelake.sources.files import path_exists
 
 ROUTING = ["ingest_date", "run_id"]
 
+#: Files up to this size are read whole, so that one may be a single document; larger ones hold one envelope a line.
+WHOLE_FILE_BYTES = 32 << 20
+BLANK = " \t\r\n"
+NOT_JSON = "not JSON"
+NOT_AN_ENVELOPE = "not an envelope"
+NOT_A_LIST = "payload is not a list"
+NOT_AN_OBJECT = "not an object"
+OTHER_STRUCTURE = "a field has another structure than declared"
+RUN_ID_TEXT = '"pipeline_run_id"\\s*:\\s*"([^"]*)"'
+REJECT = T.ArrayType(struct(("position", T.IntegerType()), ("reason", T.StringType()), ("raw", T.StringType())))
+
+
+class BronzeError(RuntimeError):
+    pass
+
 
 def new_run_id(now: dt.datetime | None = None) -> str:
     """Run id ``yyyyMMddTHHmmssZ-<8 hex>`` (UTC), one per run."""
@@ -102,39 +127,128 @@ def land(env: DataFrame, root: str, dataset: str) -> str:
 
 def run_folder(root: str, dataset: str, ingest_date: str, run_id: str) -> str:
     """Landing folder of one run of one dataset (the routing of ``land``)."""
-    safe = re.sub(FILE_PART_UNSAFE, "_", run_id)
-    return f"{root.rstrip('/')}/{dataset}/ingest_date={ingest_date}/run_id={safe}"
+    return f"{root.rstrip('/')}/{dataset}/ingest_date={ingest_date}/run_id={file_part(run_id)}"
+
+
+def file_part(name: str) -> str:
+    return re.sub(FILE_PART_UNSAFE, "_", name)
+
+
+def _text(spark: SparkSession, path: str, pattern: str, whole: bool) -> DataFrame:
+    return (spark.read.text(path, wholetext=whole, recursiveFileLookup=True, pathGlobFilter=pattern)
+            .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source_file"),
+                    F.col("_metadata.file_size").alias("_size")))
+
+
+def _as_json(text: Column, schema: T.StructType) -> Column:
+    """``text`` by ``schema``; what does not fit leaves its raw text in the corrupt column."""
+    return F.from_json(text, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _starts(text: Column, mark: str) -> Column:
+    return F.coalesce(F.ltrim(text).startswith(mark), F.lit(False))
+
+
+ENVELOPE_TEXT = struct(*[(name, T.StringType()) for name, _ in ENVELOPE_FIELDS], ("payload", T.StringType()))
+
 
+def _parses(text: Column) -> Column:
+    return _starts(text, "{") & _as_json(text, ENVELOPE_TEXT)[CORRUPT].isNull()
 
-def read(spark: SparkSession, root: str, dataset: str, multiline: bool = False,
-         keep_corrupt: bool = False, path: str | None = None) -> DataFrame:
-    """Explicit-schema scan of one bronze dataset.
 
-    Missing folder -> empty frame of the declared schema (callers skip it).
-    ``path`` narrows the scan to one run's folder (``run_folder``).
-    Adds ``source_file``.  Lines that do not parse are dropped here
-    (``DROPMALFORMED``) and returned by ``quarantine``; ``keep_corrupt``
-    reads them as rows with the raw text in ``_corrupt_record`` instead.
-    """
+def documents_of(files: DataFrame) -> DataFrame:
+    """Whole files (``raw``) -> one row per document: the lines, or the file where it is a single document.
+
+    The first line decides if it is an envelope by itself; else the file, if it
+    parses; a file where neither does is cut into lines if any looks like an
+    envelope, and stays whole otherwise (one reject instead of one a line)."""
+    text = F.btrim("raw", F.lit(BLANK))
+    first = F.substring_index(F.col("_text"), "\n", 1)
+    by_line = (F.when(_parses(first), True).when(_parses(F.col("_text")), False)
+               .otherwise(F.col("_text").rlike(r"(?m)^\s*\{.+\}\s*$")))
+    return (files.withColumn("_text", text).filter(F.col("_text") != "")
+            .withColumn("raw", F.explode(F.when(by_line, F.split("_text", "\n")).otherwise(F.array("_text"))))
+            .drop("_text"))
+
+
+def decode(documents: DataFrame, dataset: str) -> DataFrame:
+    """One envelope document a row (``raw``) -> envelope columns, ``payload`` with its sound records, ``rejects``.
+
+    A document that is no envelope keeps the run id that could be read, a null payload and one reject without
+    position; a record that does not fit its schema is a reject at its position in the payload."""
+    schema = PAYLOADS[dataset]
+    listed = isinstance(schema, T.ArrayType)
+    record = schema.elementType if listed else schema
+    opened = (documents.filter(F.btrim("raw", F.lit(BLANK)) != "")
+              .withColumn("_e", _as_json(F.col("raw"), ENVELOPE_TEXT)))
+    e, payload = F.col("_e"), F.col("_e.payload")
+    fault = (F.when(~_starts(F.col("raw"), "{") | e[CORRUPT].isNotNull(), F.lit(NOT_JSON))
+             .when(e["pipeline_run_id"].isNull() & e["ingested_at"].isNull() & payload.isNull(), F.lit(NOT_AN_ENVELOPE)))
+    if listed:
+        fault = F.coalesce(fault, F.when(payload.isNotNull() & ~_starts(payload, "["), F.lit(NOT_A_LIST)))
+        texts = F.from_json(payload, T.ArrayType(T.StringType()))
+    else:
+        texts = F.array(payload)
+    faulted = opened.withColumn("_fault", fault)
+    records = F.when(F.col("_fault").isNull() & payload.isNotNull(), F.transform(texts, lambda text, at: F.struct(
+        at.alias("position"), text.alias("raw"), _as_json(text, record).alias("record"))))
+    written_id = F.nullif(F.regexp_extract("raw", RUN_ID_TEXT, 1), F.lit(""))      # of a document that broke off
+    parsed = faulted.withColumn("_records", records)
+
+    def reason(r):
+        return (F.when(~_starts(r["raw"], "{"), F.lit(NOT_AN_OBJECT))
+                .when(r["record"][CORRUPT].isNotNull(), F.lit(OTHER_STRUCTURE)))
+    sound = F.transform(F.filter("_records", lambda r: reason(r).isNull()),
+                        lambda r: F.struct(*[r["record"][f.name].alias(f.name) for f in record.fields]))
+    bad = F.transform(F.filter("_records", lambda r: reason(r).isNotNull()),
+                      lambda r: F.struct(r["position"].alias("position"), reason(r).alias("reason"), r["raw"].alias("raw")))
+    whole = F.array(F.struct(F.lit(None).cast("int").alias("position"), F.col("_fault").alias("reason"), F.col("raw")))
+    fields = [F.from_json(e[name], kind).alias(name) if isinstance(kind, T.MapType) else e[name].alias(name)
+              for name, kind in ENVELOPE_FIELDS[1:]]
+    run_id = F.when(F.col("_fault").isNull(), e["pipeline_run_id"]).otherwise(F.coalesce(e["pipeline_run_id"], written_id))
+    return parsed.select(run_id.alias("pipeline_run_id"), *fields, (sound if listed else F.get(sound, F.lit(0))).alias("payload"),
+                         F.when(F.col("_fault").isNotNull(), whole).otherwise(F.coalesce(bad, F.array().cast(REJECT)))
+                         .cast(REJECT).alias("rejects"),
+                         F.col("_fault").isNull().alias("is_envelope"), "source_file")
+
+
+def decoded(spark: SparkSession, root: str, dataset: str, path: str | None = None, pattern: str = "*.json",
+            whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Scan of one bronze dataset, decoded (see :func:`decode`); a missing folder gives no rows.
+
+    ``path`` narrows the scan to one run's folder (``run_folder``).  The file
+    size is a metadata filter, so each file is read by one of the two scans."""
     path = path or f"{root.rstrip('/')}/{dataset}"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], envelope(dataset)).withColumn("source_file", F.lit(None).cast("string"))
-    reader = (spark.read.schema(envelope(dataset, with_corrupt=keep_corrupt))
-              .option("multiLine", multiline)
-              .option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.json"))
-    if keep_corrupt:
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    else:
-        reader = reader.option("mode", "DROPMALFORMED")
-    return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
-
-
-def quarantine(spark: SparkSession, root: str, dataset: str, multiline: bool = False) -> DataFrame:
-    """Lines of a dataset that did not parse (with whatever run id could be
-    read, and their file).  A parsed field is referenced besides the corrupt
-    column, as Spark requires for raw JSON scans."""
-    df = read(spark, root, dataset, multiline, keep_corrupt=True)
-    if CORRUPT not in df.columns:
-        return df.select(F.lit(None).cast("string").alias(CORRUPT), "pipeline_run_id", "source_file").limit(0)
-    return df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, "pipeline_run_id", "source_file")
+        empty = T.StructType([T.StructField("raw", T.StringType()), T.StructField("source_file", T.StringType())])
+        return decode(spark.createDataFrame([], empty), dataset)
+    small = documents_of(_text(spark, path, pattern, True).filter(F.col("_size") <= whole_file_bytes))
+    large = _text(spark, path, pattern, False).filter(F.col("_size") > whole_file_bytes)
+    return decode(small.unionByName(large).drop("_size"), dataset)
+
+
+def envelopes_of(frame: DataFrame, dataset: str) -> DataFrame:
+    """The envelopes of a decoded frame, with the columns the silver transforms read."""
+    return frame.filter("is_envelope").select(*envelope(dataset).fieldNames(), "source_file")
+
+
+def rejects_of(frame: DataFrame, dataset: str) -> DataFrame:
+    """The rejects of a decoded frame: ``dataset``, ``source_file``, ``pipeline_run_id``, ``position``, ``reason``, ``raw``."""
+    return (frame.select("pipeline_run_id", "source_file", F.explode("rejects").alias("r"))
+            .select(F.lit(dataset).alias("dataset"), "source_file", "pipeline_run_id", "r.position", "r.reason", "r.raw"))
+
+
+def barren_files(frame: DataFrame) -> DataFrame:
+    """Files with text of which not a single envelope could be read."""
+    return frame.groupBy("source_file").agg(F.bool_or("is_envelope").alias("_any")).filter(~F.col("_any")).select("source_file")
+
+
+def read(spark: SparkSession, root: str, dataset: str, path: str | None = None, pattern: str = "*.json") -> DataFrame:
+    """The envelopes of one bronze dataset, in either layout, each with its sound records and ``source_file``."""
+    return envelopes_of(decoded(spark, root, dataset, path, pattern), dataset)
+
+
+def quarantine(spark: SparkSession, root: str, dataset: str, path: str | None = None, pattern: str = "*.json") -> DataFrame:
+    """The rejects of one bronze dataset (see :func:`rejects_of`)."""
+    return rejects_of(decoded(spark, root, dataset, path, pattern), dataset)

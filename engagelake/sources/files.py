@@ -6,18 +6,66 @@ Existence is asked of the Hadoop file system of the path (any scheme:
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _located(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a path of any scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _located(spark, path)
+    return bool(fs.exists(p))
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _located(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _located(spark, path)
+    fs.delete(p, True)
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; of any number of writers at once exactly one is told True.
+
+    The text is written aside and given its name in one step that fails where the name is taken: a hard link on a
+    local disk, elsewhere a rename without overwriting (atomic on HDFS; on an object store as far as its Hadoop
+    file system refuses to replace an object)."""
+    fs, p = _located(spark, path)
+    fs.mkdirs(p.getParent())
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(conf).exists(p))
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.{uuid.uuid4().hex}")    # hidden from readers
+    stream = fs.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if fs.getScheme() == "file":
+            os.link(aside.toUri().getPath(), p.toUri().getPath())
+        else:
+            kinds = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            kinds[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), fs.getConf()).rename(aside, p, kinds)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    finally:
+        fs.delete(aside, False)
 
 
 def remove_partition(spark: SparkSession, path: str, values: dict[str, str | None]) -> None:

@@ -55,7 +55,7 @@ def test_window_resolution():
     b = INC.resolve_window(as_of=as_of, initial_start_date="2026-05-01")
     assert b.start_date == dt.date(2026, 5, 1)
     e = INC.resolve_window(as_of=as_of, explicit_start="2026-05-01", explicit_end="2026-05-02")
-    assert e.explicit_window and not e.should_update_watermark
+    assert e.origin == "explicit" and not e.should_update_watermark
     assert INC.parse_watermark("2026-05-10T02:00:00") == INC.parse_watermark("2026-05-10T02:00:00+00:00")
 
 
@@ -186,13 +186,14 @@ def test_distinct_count_matches_count_distinct_on_skewed_groups(spark):
 
 
 def test_incremental_rerun_changes_nothing(spark, sf_small):
-    from engagelake.plans.workflow import run_incremental
+    from engagelake.plans.workflow import read_published, run_incremental
     from engagelake.session import new_run_dir
     root = new_run_dir(spark, "test-rerun")
     as_of = dt.datetime(2024, 1, 20, 2, tzinfo=dt.timezone.utc)
     first = run_incremental(spark, sf_small, root, as_of, initial_start_date="2024-01-15")
     audit = ["gold_loaded_at", "pipeline_run_id", "source_file", "ingested_at", "ingest_date"]  # provenance only
-    snap = lambda t: sorted(map(tuple, spark.read.parquet(f"{root}/{t}").drop(*audit).collect()), key=str)
+    table = lambda t: spark.read.parquet(f"{root}/{t}") if t.startswith("silver") else read_published(spark, root, t)
+    snap = lambda t: sorted(map(tuple, table(t).drop(*audit).collect()), key=str)
     before = {t: snap(t) for t in ("silver/events", "gold/fact_media_engagement", "gold/dim_visitor")}
     again = run_incremental(spark, sf_small, root, as_of, initial_start_date="2024-01-15")
     after = {t: snap(t) for t in before}
@@ -231,7 +232,7 @@ def test_daily_run_commits_watermark_only_forward(spark, sf_small):
     root = new_run_dir(spark, "test-daily")
     utc = dt.timezone.utc
     first = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 1, 2, tzinfo=utc))
-    assert first.watermark_committed and first.window.previous_watermark is None
+    assert first.watermark_committed and first.window.based_on is None
     second = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 2, 2, tzinfo=utc))
     assert second.watermark_committed and second.window.start_date == dt.date(2024, 1, 31)
     older = run_daily(spark, sf_small, root, with_reports=False, as_of=dt.datetime(2024, 2, 1, 3, tzinfo=utc))
