@@ -86,5 +86,10 @@ def exact_avg(c, scale: int = 6) -> Column:
     return exact_sum(c, scale).cast("double") / F.count(col(c))
 
 
+def plain_decimal(c, digits: int = 13, scale: int = 9) -> Column:
+    """A double read as the decimal it was written as (to ``scale`` decimals); not a number, or too large -> null."""
+    return col(c).try_cast(f"decimal({digits + scale},{scale})")
+
+
 def round_exact_sum(c, digits: int, scale: int = 6) -> Column:
     return F.round(exact_sum(c, scale), digits).cast("double")

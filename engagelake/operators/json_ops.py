@@ -7,7 +7,7 @@ The recursion guards of the session are lifted for the walk: they exist to
 stop runaway recursion, while a walk over finite documents always ends.
 
 * ``harvest``: string values stored under given member names, at any depth
-  (a match is still descended into), as a distinct set.
+  (a match is still descended into), as a distinct set; needs no walk.
 * ``extract_records``: the record list of a response -- the value itself if
   it is a list, else the first of the container members holding a list.
 * ``shape``: per path and JSON type, node counts and array lengths; members
@@ -16,6 +16,8 @@ stop runaway recursion, while a walk over finite documents always ends.
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -87,19 +89,20 @@ def harvest(docs: DataFrame, id_cols: Sequence[str], json_col: str, names: Seque
             value_name: str = "value") -> DataFrame:
     """Distinct string values held under any of ``names``, at any depth.
 
-    Documents are first screened on their text: a member with one of the
-    names needs the name spelled out literally or some escape sequence
-    (a backslash), so documents with neither are skipped unparsed -- an
-    exact filter."""
-    listed = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
-    keep = f"e.key IN ({listed}) AND schema_of_variant(e.value) = 'STRING'"
+    One pass, whatever the depth: a parsed document written out again is compact, and there a member name follows
+    ``{`` or ``,`` and stands between bare quotes, which inside a string are escaped; so the pattern matches
+    members and nothing else.  Of members that a document repeats the last one counts.  Documents without one of
+    the names spelled out, or an escape that may hide it, are skipped unparsed -- an exact filter."""
     text = F.col(json_col)
     may_hold = text.contains("\\")
     for n in names:
         may_hold = may_hold | text.contains(n)
-    nodes = walk(docs.filter(may_hold), id_cols, json_col, keep=keep, with_path=False)
-    hits = nodes.filter(F.col("key").isin(*names) & (F.schema_of_variant("node") == "STRING"))
-    return hits.select(F.variant_get("node", "$", "string").alias(value_name)).distinct()
+    listed = "|".join(re.escape(json.dumps(n, ensure_ascii=False)[1:-1]) for n in names)
+    member = F.lit(r'[{,]"(?:' + listed + r')":"((?:[^"\\]|\\.)*+)"')
+    compact = F.try_parse_json(text).cast("string")
+    return (docs.filter(may_hold).select(F.explode(F.regexp_extract_all(compact, member, F.lit(1))).alias("_raw")).distinct()
+            .select(F.variant_get(F.parse_json(F.concat(F.lit('"'), "_raw", F.lit('"'))), "$", "string").alias(value_name))
+            .distinct())
 
 
 def extract_records(docs: DataFrame, json_col: str) -> DataFrame:

@@ -1,23 +1,25 @@
-"""Catalog tables over written gold Parquet, and the projected fact view.
-
-``register_gold_tables`` declares the three gold tables with explicit
-column types (the fact partitioned by ``date``) at their
-locations and discovers the fact's partitions.  ``projected_fact`` is the
-partition-projection idea as a view: only dates in a computed range and
-media in a configured set are visible -- rows outside are present in the
-files but invisible to reports -- the date predicate becomes a partition
-filter and the media predicate a pushed-down data filter on the scan.
+"""Catalog tables over published gold, and the projected fact view.
+
+``register_gold_tables`` declares, under fixed names in a database, an external
+table with explicit column types over each gold table's folder (partitioned by
+version, the fact by date as well) and a view of the current rows on top.
+Registering again after a commit replaces the views, one statement each; the tables
+stay.  ``projection_view`` is the partition-projection idea as a SQL view that
+reports can name: only dates from a first day to the day on which it is read, and
+media in the configured list, are visible -- the date predicate becomes a
+partition filter and the list a semi join.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from engagelake.plans import publish
+
 DIM_MEDIA_DDL = """media_id STRING, numeric_id BIGINT, title STRING, description STRING, channel STRING,
   duration_seconds DOUBLE, media_type STRING, status STRING, archived BOOLEAN, created_at TIMESTAMP,
   updated_at TIMESTAMP, gold_loaded_at TIMESTAMP"""
@@ -28,10 +30,24 @@ DIM_VISITOR_DDL = """visitor_id STRING, country STRING, region STRING, city STRI
 FACT_DDL = """media_id STRING, visitor_id STRING, play_count BIGINT, play_rate DOUBLE, total_watch_time_seconds DOUBLE,
   total_watch_time_hours DOUBLE, watched_percent DOUBLE, media_load_count BIGINT, media_play_count BIGINT,
   media_hours_watched DOUBLE, gold_loaded_at TIMESTAMP, date DATE"""
+GOLD_TABLES = {"dim_media": (DIM_MEDIA_DDL, []), "dim_visitor": (DIM_VISITOR_DDL, []),
+               "fact_media_engagement": (FACT_DDL, ["date"])}
+FACT = "fact_media_engagement"
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
 
 
 def create_external_table(spark: SparkSession, name: str, columns_ddl: str, location: str,
                           partitioned_by: Sequence[str] = ()) -> str:
+    """Declare an external table, or discover the new partitions of one that is there (elsewhere: declared anew)."""
+    there = _location(spark, name)
+    if there is not None and there.split(":", 1)[-1].rstrip("/") != location.split(":", 1)[-1].rstrip("/"):
+        spark.sql(f"DROP TABLE {name}")                        # the table is external: its files stay
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING parquet{part} LOCATION '{location}'")
     if partitioned_by:
@@ -39,16 +55,37 @@ def create_external_table(spark: SparkSession, name: str, columns_ddl: str, loca
     return name
 
 
-def register_gold_tables(spark: SparkSession, gold_root: str, suffix: str | None = None) -> dict[str, str]:
-    """Declare the gold tables (unique names per call); returns name map."""
-    sfx = suffix or uuid.uuid4().hex[:8]
-    root = gold_root.rstrip("/")
-    return {
-        "dim_media": create_external_table(spark, f"dim_media_{sfx}", DIM_MEDIA_DDL, f"{root}/dim_media"),
-        "dim_visitor": create_external_table(spark, f"dim_visitor_{sfx}", DIM_VISITOR_DDL, f"{root}/dim_visitor"),
-        "fact_media_engagement": create_external_table(
-            spark, f"fact_media_engagement_{sfx}", FACT_DDL, f"{root}/fact_media_engagement", ["date"]),
-    }
+def register_gold_tables(spark: SparkSession, root: str, manifest: publish.Manifest, database: str = "engagelake") -> dict[str, str]:
+    """Tables ``<name>_versions`` and views ``<name>`` of the gold tables in ``manifest``; returns the views' names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = {}
+    for name, (ddl, by) in GOLD_TABLES.items():
+        entry = manifest.get(f"gold/{name}")
+        if entry is None:
+            continue
+        table = create_external_table(spark, f"{database}.{name}_versions", f"{ddl}, {publish.VERSION} STRING",
+                                      f"{root.rstrip('/')}/gold/{name}", [publish.VERSION, *by])
+        columns = ", ".join(c.split()[0] for c in ddl.replace("\n", " ").split(", "))
+        names[name] = f"{database}.{name}"
+        spark.sql(f"CREATE OR REPLACE VIEW {names[name]} AS SELECT {columns} FROM {table} WHERE {publish.current_rows(entry)}")
+    return names
+
+
+def register_media(spark: SparkSession, media_config: DataFrame, location: str, database: str = "engagelake") -> str:
+    """The configured ``(media_id, channel)`` list as a table that SQL can name."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    media_config.select("media_id", "channel").write.mode("overwrite").parquet(location)
+    return create_external_table(spark, f"{database}.media_config", "media_id STRING, channel STRING", location)
+
+
+def projection_view(spark: SparkSession, first_date: dt.date, database: str = "engagelake",
+                    name: str = f"{FACT}_projected") -> str:
+    """View of the fact from ``first_date`` to the day of reading, for configured media."""
+    view = f"{database}.{name}"
+    spark.sql(f"""CREATE OR REPLACE VIEW {view} AS SELECT * FROM {database}.{FACT}
+        WHERE date BETWEEN DATE '{first_date}' AND current_date()
+          AND media_id IN (SELECT media_id FROM {database}.media_config)""")
+    return view
 
 
 def projected_fact(fact: DataFrame, first_date: dt.date, media_ids: DataFrame | Sequence[str],

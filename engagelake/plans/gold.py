@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engagelake.constants import HOURS_SCALE, PERCENT_SCALE, RATE_SCALE, SECONDS_SCALE
-from engagelake.functions.scalar import pseudonym, safe_ratio
+from engagelake.functions.scalar import plain_decimal, pseudonym, safe_ratio
 from engagelake.operators.broadcast import sized_broadcast
 from engagelake.operators.latest import latest_by
 
@@ -164,7 +164,10 @@ def visitor_daily(events: DataFrame, media: DataFrame, events_unique: bool = Tru
     Aggregates first, joins second: the duration is constant per media, so
     the summed ``percent_viewed * duration_seconds`` of a group is
     ``duration_seconds * sum(percent_viewed)`` (same nulls: a missing
-    duration or all-null percents give null).  The events are combined
+    duration or all-null percents give null).  Percents and durations are
+    taken as the decimals they are written as (9 and 6 decimals), summed and
+    multiplied exactly and cast to double once, so that the two are equal to
+    the last digit and no order of the rows shows.  The events are combined
     map-side and shuffled once by the group key; only the (much smaller)
     rollup meets the catalogue, so even a catalogue too large to broadcast
     never shuffles raw events by media (where one hot media would be one
@@ -175,12 +178,13 @@ def visitor_daily(events: DataFrame, media: DataFrame, events_unique: bool = Tru
     play = F.count("event_key") if events_unique else F.count_distinct("event_key")
     daily = ev.groupBy("media_id", "visitor_key", F.col("event_date").alias("date")).agg(
         play.alias("play_count"),
-        F.avg("percent_viewed").alias("watched_percent"),
-        F.sum("percent_viewed").alias("_pct_sum"),
+        F.sum(plain_decimal("percent_viewed", 9)).alias("_pct_sum"), F.count("percent_viewed").alias("_pct_n"),
     )
     durations = sized_broadcast(media.select("media_id", "duration_seconds"), bound=media)
     daily = (daily.join(durations, "media_id", "left")
-                  .withColumn("total_watch_time_seconds", F.col("_pct_sum") * F.col("duration_seconds")))
+                  .withColumn("watched_percent", F.try_divide(F.col("_pct_sum").cast("double"), F.col("_pct_n")))
+                  .withColumn("total_watch_time_seconds", (plain_decimal("_pct_sum") * plain_decimal("duration_seconds", 9, 6))
+                              .cast("double")))
     key = pseudonym("visitor_key").alias("visitor_id") if hash_ids else F.col("visitor_key")
     return daily.select("media_id", key, "date", "play_count", "watched_percent", "total_watch_time_seconds")
 

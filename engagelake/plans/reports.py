@@ -91,9 +91,9 @@ def unique_visitors(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame
 
 def channel_summary(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None,
                     approx_rsd: float | None = None) -> DataFrame:
-    """Two distinct counts per channel: visitors via the two-phase rollup,
-    media via a second (small) two-phase count joined on the channel
-    (``approx_rsd``: one pass with HyperLogLog counts instead)."""
+    """Two distinct counts per channel from one scan: grouping sets over
+    (channel, visitor) and (channel, media) in one aggregate, whose rows are
+    counted per channel (``approx_rsd``: HyperLogLog counts instead)."""
     fm = _fact_media(fact, dim_media, dim_bound=dim_bound)
     if approx_rsd is not None:
         return (fm.groupBy("channel").agg(
@@ -104,23 +104,22 @@ def channel_summary(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame
             F.round(exact_avg("watched_percent"), 4).alias("avg_watched_percent"),
             round_exact_sum("total_watch_time_hours", 4).alias("total_watch_time_hours"))
             .orderBy(F.col("total_plays").desc()))
-    per_visitor = fm.groupBy("channel", "visitor_id").agg(
+    sets = fm.groupingSets([["channel", "visitor_id"], ["channel", "media_id"]], "channel", "visitor_id", "media_id").agg(
+        (F.grouping("media_id") == 1).alias("_by_visitor"),
         F.sum("play_count").alias("_plays"),
         exact_sum("play_rate").alias("_pr_sum"), F.count("play_rate").alias("_pr_n"),
         exact_sum("watched_percent").alias("_wp_sum"), F.count("watched_percent").alias("_wp_n"),
         exact_sum("total_watch_time_hours").alias("_h_sum"))
-    main = per_visitor.groupBy("channel").agg(
-        F.count("visitor_id").alias("unique_visitors"),
+    of_visitors = lambda c: F.when(F.col("_by_visitor"), F.col(c))
+    rows = sets.select("channel", "_by_visitor", "visitor_id", F.when(~F.col("_by_visitor"), F.col("media_id")).alias("media_id"),
+                       *[of_visitors(c).alias(c) for c in ("_plays", "_pr_sum", "_pr_n", "_wp_sum", "_wp_n", "_h_sum")])
+    return rows.groupBy("channel").agg(
+        F.count("media_id").alias("media_count"),
+        F.count(of_visitors("visitor_id")).alias("unique_visitors"),
         F.sum("_plays").alias("total_plays"),
         F.round(_dec_avg("_pr_sum", "_pr_n"), 4).alias("avg_play_rate"),
         F.round(_dec_avg("_wp_sum", "_wp_n"), 4).alias("avg_watched_percent"),
-        F.round(F.sum("_h_sum"), 4).cast("double").alias("total_watch_time_hours"))
-    media = (fm.groupBy("channel", "media_id").agg(F.count(F.lit(1)).alias("_rows"))
-               .groupBy("channel").agg(F.count("media_id").alias("media_count")))
-    joined = main.join(media, main["channel"].eqNullSafe(media["channel"]), "left").select(
-        main["channel"], F.coalesce(media["media_count"], F.lit(0)).alias("media_count"),
-        "unique_visitors", "total_plays", "avg_play_rate", "avg_watched_percent", "total_watch_time_hours")
-    return joined.orderBy(F.col("total_plays").desc())
+        F.round(F.sum("_h_sum"), 4).cast("double").alias("total_watch_time_hours")).orderBy(F.col("total_plays").desc())
 
 
 def daily_channel_trend(fact: DataFrame, dim_media: DataFrame, dim_bound: DataFrame | None = None,

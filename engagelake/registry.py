@@ -25,6 +25,7 @@ from engagelake.plans import catalog as CAT
 from engagelake.plans import checks as CK
 from engagelake.plans import gold
 from engagelake.plans import incremental as INC
+from engagelake.plans import publish
 from engagelake.plans import reports as R
 from engagelake.plans import silver as SV
 from engagelake.plans.workflow import (DIM_MEDIA, DIM_VISITOR, FACT, FACT_CHECK_PARTIALS, FACT_CLUSTER, FACT_PARTITIONS,
@@ -89,6 +90,40 @@ def visitor_daily(spark, sf):
     return gold.visitor_daily(T.play_events(spark, sf), gold.media_durations(T.media_metadata(spark, sf)))
 
 
+def _decimal_events(spark, sf):
+    """Play events whose percents have three decimals, and durations with two: no dyadic numbers."""
+    ev = T.play_events(spark, sf).withColumn("percent_viewed", F.floor(F.col("percent_viewed") * 256 * 3) / F.lit(1000.0))
+    media = gold.media_durations(T.media_metadata(spark, sf)).withColumn(
+        "duration_seconds", F.col("duration_seconds") + F.substring("media_id", 2, 9).cast("long") % 100 / F.lit(100.0))
+    return ev, media
+
+
+_DECIMAL_SQL = O.with_views("ev", "dim_media") + """, x AS (
+  SELECT e.media_id, e.visitor_key, e.event_date AS date, count(DISTINCT e.event_key) AS play_count,
+         sum(CAST(floor(e.percent_viewed * 256 * 3) / 1000.0 AS DECIMAL(18,3))) AS p, count(e.percent_viewed) AS n,
+         sum(CAST(floor(e.percent_viewed * 256 * 3) / 1000.0 AS DECIMAL(18,3)) * CAST(d.duration_seconds
+             + CAST(substr(d.media_id, 2) AS BIGINT) % 100 / 100.0 AS DECIMAL(12,2))) AS s
+  FROM ev e LEFT JOIN dim_media d USING (media_id) WHERE e.visitor_key IS NOT NULL GROUP BY 1, 2, 3)
+SELECT media_id, sha256(visitor_key) AS visitor_id, date, play_count, CAST(p AS DOUBLE) / n AS watched_percent,
+       CAST(s AS DOUBLE) AS total_watch_time_seconds FROM x"""
+
+
+@register("visitor_daily_decimal", _DECIMAL_SQL)
+def visitor_daily_decimal(spark, sf):
+    """Watch seconds over three-decimal percents: the sum of the products, exactly."""
+    return gold.visitor_daily(*_decimal_events(spark, sf))
+
+
+@register("fact_decimal", f"""
+SELECT media_id, visitor_id, date, {O.rnd('total_watch_time_seconds', 2)} AS total_watch_time_seconds,
+       CAST(round(CAST(CAST(total_watch_time_seconds / 3600 AS VARCHAR) AS DECIMAL(38,24)), 6) AS DOUBLE) AS total_watch_time_hours, {O.rnd('watched_percent', 4)} AS watched_percent
+FROM ({_DECIMAL_SQL})""")
+def fact_decimal(spark, sf):
+    ev, media = _decimal_events(spark, sf)
+    return gold.build_fact(ev, media, T.media_stats_by_date(spark, sf)).select(
+        "media_id", "visitor_id", "date", "total_watch_time_seconds", "total_watch_time_hours", "watched_percent")
+
+
 @register("media_daily_rate", O.with_views("fact") + "SELECT * FROM rate")
 def media_daily_rate(spark, sf):
     return gold.media_daily_rate(T.media_stats_by_date(spark, sf))
@@ -546,14 +581,14 @@ def bronze_multiline(spark, sf):
 
 
 @register("paged_envelopes", """
-SELECT pipeline_run_id, media_id, count(*) AS n_records, TRUE AS pages_within_limit
-FROM (""" + O.LANDED_EVENTS + ") GROUP BY 1, 2")
+WITH n AS (SELECT pipeline_run_id, media_id, count(*) AS n FROM (""" + O.LANDED_EVENTS + """) GROUP BY 1, 2)
+SELECT pipeline_run_id, media_id, CAST(page AS VARCHAR) AS page, least(20, n - 20 * (page - 1)) AS n_records
+FROM (SELECT *, unnest(range(1, (n + 19) // 20 + 1)) AS page FROM n)""")
 def paged_envelopes(spark, sf):
-    """Event pages per (media, run): record totals and the page-size bound."""
-    env = T.events_envelopes(spark, sf, per_page=100)
-    return env.groupBy("pipeline_run_id", "media_id").agg(
-        F.sum(F.size("payload")).alias("n_records"),
-        F.bool_and(F.size("payload") <= 100).alias("pages_within_limit"))
+    """Event pages per (media, run): numbered without gaps, all full but the last."""
+    env = T.events_envelopes(spark, sf, per_page=20)
+    return env.select("pipeline_run_id", "media_id", F.col("request_params")["page"].alias("page"),
+                      F.size("payload").cast("long").alias("n_records"))
 
 
 # -- INC -----------------------------------------------------------------------------
@@ -668,6 +703,35 @@ def inc_upsert(spark, sf):
     return spark.read.schema(run_a.schema).parquet(path).select("event_key", "event_date", "pipeline_run_id")
 
 
+@register("inc_upsert_moved", O.with_views("ev") + """
+SELECT event_key, CASE WHEN CAST(event_key AS BIGINT) % 7 = 0 THEN CAST(event_date + INTERVAL 1 DAY AS DATE) ELSE event_date END
+       AS event_date, CASE WHEN CAST(event_key AS BIGINT) % 7 = 0 THEN 'run-B' ELSE 'run-A' END AS pipeline_run_id FROM ev""")
+def inc_upsert_moved(spark, sf):
+    """Every seventh event is landed again under the next day: it moves there,
+    found by the key index, and its old day keeps the others."""
+    return _upserted(spark, T.play_events(spark, sf), lambda e: F.date_add(e, 1), 7)
+
+
+@register("inc_upsert_undated", O.with_views("ev") + """
+SELECT event_key, CASE WHEN CAST(event_key AS BIGINT) % 5 = 0 THEN NULL ELSE event_date END AS event_date,
+       CASE WHEN CAST(event_key AS BIGINT) % 5 = 0 THEN 'run-B' ELSE 'run-A' END AS pipeline_run_id FROM ev""")
+def inc_upsert_undated(spark, sf):
+    """Every fifth event loses its day: it moves to the null partition."""
+    return _upserted(spark, T.play_events(spark, sf), lambda e: F.lit(None).cast("date"), 5)
+
+
+def _upserted(spark, events, new_day, every):
+    """All events merged, then every so many of them again with another day."""
+    def landed(frame, run, day):
+        return frame.select("*", F.lit(run).alias("pipeline_run_id"),
+                            F.lit(dt.datetime(2024, 2, day, 2)).cast("timestamp_ntz").alias("ingested_at"))
+    path = new_run_dir(spark, "silver") + "/events"
+    again = events.filter(F.col("event_key").cast("long") % every == 0).withColumn("event_date", new_day("event_date"))
+    for frame in (landed(events, "run-A", 1), landed(again, "run-B", 2)):
+        INC.upsert_latest(spark, frame, path, ["event_key"], "ingested_at", ["event_date"])
+    return spark.read.schema(frame.schema).parquet(path).select("event_key", "event_date", "pipeline_run_id")
+
+
 # -- SNK-4/5, SRC-7..9 ---------------------------------------------------------------
 
 
@@ -698,24 +762,55 @@ def gold_roundtrip(spark, sf):
     return read_required(spark, root, "fact_media_engagement", schema).select(*gold.FACT_COLUMNS)
 
 
+def _registered_gold(spark, sf) -> str:
+    """The gold tables staged as a version and registered, in a database of the folder's own; its name."""
+    root = new_run_dir(spark, "gold")
+    frames = {DIM_MEDIA: dim_media_frame, DIM_VISITOR: dim_visitor_frame, FACT: fact_frame}
+    manifest = {t: publish.stage(gold._stamp(f(spark, sf), True), root, t, "v1", "date" if t == FACT else None)[0]
+                for t, f in frames.items()}
+    database = "gold_" + root.rsplit("-", 1)[-1]
+    CAT.register_gold_tables(spark, root, manifest, database)
+    CAT.register_media(spark, T.media_config(spark, sf), f"{root}/media_config", database)
+    return database
+
+
 @register("catalog_fact", O.with_views("fact") + "SELECT * FROM fact")
 def catalog_fact(spark, sf):
     """External table with declared types over the written fact; partitions
-    discovered by MSCK REPAIR."""
-    names = CAT.register_gold_tables(spark, _written_fact(spark, sf))
-    return spark.table(names["fact_media_engagement"]).select(*gold.FACT_COLUMNS)
+    discovered by MSCK REPAIR, the current version by the view on top."""
+    return spark.table(f"{_registered_gold(spark, sf)}.fact_media_engagement").select(*gold.FACT_COLUMNS)
+
+
+@register("catalog_dim_media", O.with_views("dim_media") + "SELECT * FROM dim_media")
+def catalog_dim_media(spark, sf):
+    return spark.table(f"{_registered_gold(spark, sf)}.dim_media").drop("gold_loaded_at").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")})
+
+
+@register("catalog_dim_visitor", O.with_views("dim_visitor") + "SELECT * FROM dim_visitor")
+def catalog_dim_visitor(spark, sf):
+    return spark.table(f"{_registered_gold(spark, sf)}.dim_visitor").drop("gold_loaded_at").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("first_seen_at", "last_seen_at")})
 
 
 @register("projected_fact", O.with_views("fact") + f"""
 SELECT * FROM fact WHERE date BETWEEN DATE '{_PROJ_FIRST}' AND DATE '{_PROJ_TODAY}'
   AND media_id IN (SELECT 'm' || CAST(p_partkey AS VARCHAR) FROM part)""")
 def projected_fact(spark, sf):
-    names = CAT.register_gold_tables(spark, _written_fact(spark, sf))
-    fact = spark.table(names["fact_media_engagement"])
+    fact = spark.table(f"{_registered_gold(spark, sf)}.fact_media_engagement")
     return CAT.projected_fact(fact, _PROJ_FIRST, T.media_config(spark, sf), _PROJ_TODAY).select(
         *gold.FACT_COLUMNS)
 
 
+@register("projected_view", O.with_views("fact") + f"""
+SELECT * FROM fact WHERE date BETWEEN DATE '{_PROJ_FIRST}' AND current_date
+  AND media_id IN (SELECT 'm' || CAST(p_partkey AS VARCHAR) FROM part)""")
+def projected_view(spark, sf):
+    """The projection as a named SQL view; its last day is the day it is read."""
+    view = CAT.projection_view(spark, _PROJ_FIRST, _registered_gold(spark, sf))
+    return spark.sql(f"SELECT {', '.join(gold.FACT_COLUMNS)} FROM {view}")
+
+
 # -- JSN-1..4 --------------------------------------------------------------------------
 
 

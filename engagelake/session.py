@@ -20,6 +20,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",      # a document that repeats a member keeps the last one
 }
 
 

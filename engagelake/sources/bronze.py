@@ -15,10 +15,9 @@ against its declared schema.  What does not fit -- a line that is not JSON, a
 payload of another kind, one record of a page -- becomes a reject with file,
 position, reason and raw text, and costs nothing but itself.
 
-Envelopes are built by Spark from record frames: records are cut into pages
-of at most ``per_page`` records per (routing key, slice).  The slice is a hash
-of the record key, so a hot routing key (one media with a third of all
-events) is spread over many window partitions instead of one.
+Envelopes are built by Spark from record frames: records are numbered within
+their routing key (``operators.aggregate.numbered``, so a hot one is spread
+over many tasks) and cut into pages by their number.
 """
 
 from __future__ import annotations
@@ -28,13 +27,14 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
 from engagelake.constants import DEFAULT_PAGE_SIZE, FILE_PART_UNSAFE, SOURCE_NAME
 from engagelake.functions.scalar import iso_date, sanitize_file_part
+from engagelake.operators.aggregate import numbered
 from engagelake.schemas import CORRUPT, ENVELOPE_FIELDS, PAYLOADS, envelope, struct
 from engagelake.sources.files import path_exists
 
@@ -74,17 +74,12 @@ def run_stamp(ts: Column) -> Column:
 
 
 def page_records(records: DataFrame, group_cols: Sequence[str], order_col: str,
-                 per_page: int = DEFAULT_PAGE_SIZE, n_slices: int | None = None) -> DataFrame:
-    """Adds ``page`` (1-based, unique within the group): at most ``per_page``
-    records per page.  Window groups are (group, hash slice), so no group
-    is larger than about a partition's share of the data."""
-    spark = records.sparkSession
-    n = n_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = records.withColumn("_slice", F.pmod(F.xxhash64(F.col(order_col)), F.lit(n)))
-    w = Window.partitionBy(*group_cols, "_slice").orderBy(F.col(order_col))
-    page_in_slice = F.floor((F.row_number().over(w) - 1) / F.lit(per_page))
-    return (sliced.withColumn("page", (page_in_slice * F.lit(n) + F.col("_slice") + 1).cast("long"))
-                  .drop("_slice"))
+                 per_page: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """Adds ``page`` (from 1, without gaps within the group): ``per_page``
+    records a page, the last one fewer.  Pages depend on the records alone, not
+    on partitions, and no task holds a whole group."""
+    return (numbered(records, group_cols, order_col, "_number")
+            .withColumn("page", F.floor((F.col("_number") - 1) / F.lit(per_page)).cast("long") + 1).drop("_number"))
 
 
 def envelopes(records: DataFrame, *, dataset: str, endpoint: str, run_id: Column, ingested_at: Column,

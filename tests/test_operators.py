@@ -245,3 +245,77 @@ def test_harvest_screen_keeps_escaped_names(spark):
     df = spark.createDataFrame(docs, "id long, j string")
     got = {r["v"] for r in J.harvest(df, ["id"], "j", ["visitor_key", "visitorKey"], "v").collect()}
     assert got == {"escaped", "k"}
+
+
+def test_pages_do_not_depend_on_partitions_and_have_no_gaps(spark):
+    from engagelake.sources import bronze
+    rows = [(g, f"k{i}", i) for g, n in (("a", 2050), ("b", 100), (None, 7), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, k string, v int")
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("1", "4", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append({(r.g, r.k): r.page for r in bronze.page_records(df.repartition(int(n)), ["g"], "k", 100).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2]
+    sizes = {}
+    for (g, _), page in seen[0].items():
+        sizes.setdefault(g, {}).setdefault(page, 0)
+        sizes[g][page] += 1
+    assert sizes == {"a": {p: 100 if p < 21 else 50 for p in range(1, 22)}, "b": {1: 100}, None: {1: 7}, "c": {1: 1}}
+
+
+def test_numbers_are_the_same_for_any_number_of_ranges(spark):
+    from engagelake.operators.aggregate import numbered
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), F.col("id").cast("string").alias("k"))
+    got = [{(r.g, r.k): r.n for r in numbered(df, ["g"], "k", "n", bits).collect()} for bits in (1, 5, 12)]
+    assert got[0] == got[1] == got[2] and sorted(n for (g, _), n in got[0].items() if g == 0) == list(range(1, 168))
+
+
+def test_harvest_repeated_members_escapes_and_text_that_looks_like_members(spark):
+    docs = [(1, '{"visitor_key": "first", "visitor_key": "last"}'), (2, '{"t": "{\\"visitor_key\\":\\"inside a string\\"}"}'),
+            (3, '{"a": {"visitor_key": "q\\"uote \\\\ \\u00e9 \\n"}}'), (4, '{"x\\"visitor_key": "other name"}'),
+            (5, '[[[{"visitor_key" : "deep"}]]]'), (6, '{"visitor_key": ""}'), (7, '{"visitor_key": null, "k": ["visitor_key", "v"]}')]
+    df = spark.createDataFrame(docs, "id long, j string")
+    got = {r["v"] for r in J.harvest(df, ["id"], "j", ["visitor_key"], "v").collect()}
+    assert got == {"last", 'q"uote \\ é \n', "deep", ""}
+
+
+def test_watch_seconds_are_exact_and_nulls_stay_null(spark):
+    from engagelake.plans import gold
+    ev = spark.createDataFrame([(f"e{i}", "v", "m", dt.date(2024, 1, 1), p) for i, p in enumerate([0.1, 0.2, 0.3, None] * 50)]
+                               + [("n", "w", "m", dt.date(2024, 1, 1), None), ("o", "v", "unknown", dt.date(2024, 1, 1), 0.5)],
+                               "event_key string, visitor_key string, media_id string, event_date date, percent_viewed double")
+    media = spark.createDataFrame([("m", 33.35)], "media_id string, duration_seconds double")
+    rows = {(r.media_id, r.visitor_key): r for r in gold.visitor_daily(ev, media, hash_ids=False).collect()}
+    assert rows["m", "v"].total_watch_time_seconds == 1000.5 and rows["m", "v"].watched_percent == 30.0 / 150
+    assert rows["m", "w"].watched_percent is None and rows["m", "w"].total_watch_time_seconds is None
+    assert rows["unknown", "v"].total_watch_time_seconds is None and rows["unknown", "v"].watched_percent == 0.5
+
+
+def test_channel_summary_reads_its_input_once(spark, sf_small):
+    from engagelake import registry
+    plan = registry.rpt_channel_summary(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    one = registry.fact_frame(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    two = registry.dim_media_frame(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("event_id#") > 0 and plan.count("Relation [") <= one.count("Relation [") + two.count("Relation [")
+
+
+def test_registering_again_moves_the_views_and_the_projection_follows_the_clock(spark, tmp_path):
+    from engagelake.plans import catalog, publish
+    from engagelake.plans.workflow import FACT, fact_schema
+    root, today = str(tmp_path), spark.sql("SELECT current_date()").first()[0]
+
+    def fact(*rows):
+        return spark.createDataFrame([(m, "v", 1, None, None, None, None, None, None, None, None, d) for m, d in rows], fact_schema())
+    one, _ = publish.stage(fact(("m1", today), ("m1", today + dt.timedelta(1)), ("m2", today), ("m1", dt.date(2020, 1, 1))), root, FACT, "a", "date")
+    names = catalog.register_gold_tables(spark, root, {FACT: one}, "test_lake")
+    catalog.register_media(spark, spark.createDataFrame([("m1", "c")], "media_id string, channel string"), f"{root}/cfg", "test_lake")
+    view = catalog.projection_view(spark, dt.date(2021, 1, 1), "test_lake")
+    read = lambda name: sorted((r.media_id, r.date) for r in spark.table(name).collect())
+    assert names == {"fact_media_engagement": "test_lake.fact_media_engagement"} and len(read("test_lake.fact_media_engagement")) == 4
+    assert read(view) == [("m1", today)]
+    two = publish.replacing(one, publish.stage(fact(("m1", today), ("m1", today)), root, FACT, "b", "date")[0], [today])
+    assert catalog.register_gold_tables(spark, root, {FACT: two}, "test_lake") == names
+    assert read(view) == [("m1", today), ("m1", today)]
