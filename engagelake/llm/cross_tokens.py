@@ -31,6 +31,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ from .common import ship_package, written
 
 #: Pairs whose counts are broadcast at most (about 50 bytes each); beyond it the rarer ones join by shuffle.
 HELD = 500_000
-#: Bytes of remembered units in a worker; beyond it the memory begins anew.
-REMEMBERED = 96 << 20
+#: Bytes of remembered units in a worker; beyond it those met once are forgotten.
+REMEMBERED = 128 << 20
 #: Pairs that a task holds before it passes their counts on.
 PENDING = 2_000_000
 #: A cut: before a space, after a character that no Unicode version calls white.
@@ -82,6 +83,8 @@ class Aligner:
             coded = _BYTE.fullmatch(piece)
             self.bytes_b.append(bytes([int(coded[1], 16)]) if coded else piece.replace(_SPACE, " ").encode())
         self.space_b = [self.b.piece_to_id(_SPACE)]
+        self.ids = max(len(self.bytes_a), len(self.bytes_b))
+        self.words = [f"{i}{mark}" for mark in ",|;" for i in range(self.ids)]
         split = json.loads(self.a.to_str()).get("pre_tokenizer") or {}
         self.cuttable = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
                          and not any(_SPACE in piece.lstrip(_SPACE) for piece in pieces)
@@ -91,69 +94,114 @@ class Aligner:
     def forget(self):
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
-        self.sizes: list[tuple[int, int, int, int]] = []   # tokens of A, of B, groups, links
-        self.links: list[np.ndarray] = []                  # packed pairs of linked ids
-        self.good: list[bool] = []
+        self.good = np.empty(0, bool)
+        self.sizes = np.empty((0, 4), np.int64)            # tokens of A, of B, groups, links
+        self.links = np.empty(0, np.int64)                 # packed pairs of linked ids, unit after unit
+        self.used = np.empty(0, np.int64)                  # how often a unit was met
         self.held = 0
 
-    def _align(self, unit: str, a: list[int], b: list[int]):
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        raw = unit.encode()
-        good = b"".join([bytes_a[x] for x in a]) == raw and b"".join([bytes_b[y] for y in b]) == raw
-        links, groups = [], []
-        if good:
-            i = j = from_i = from_j = 0
-            end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
-            while True:
-                links.append(a[i] << 32 | b[j])
-                step = end_a - end_b
-                if not step:
-                    groups.append(",".join(map(str, a[from_i:i + 1])) + "|" + ",".join(map(str, b[from_j:j + 1])))
-                    from_i, from_j = i + 1, j + 1
-                    if from_i == len(a):
-                        break
-                if step <= 0:
-                    i += 1
-                    end_a += len(bytes_a[a[i]])
-                if step >= 0:
-                    j += 1
-                    end_b += len(bytes_b[b[j]])
-        return good, (len(a), len(b), len(groups), len(links)), ";".join(groups), np.array(links, np.int64)
+    def _links_of(self, at: np.ndarray) -> np.ndarray:
+        """The links of the units numbered ``at``, one after another."""
+        count = self.sizes[at, 3]
+        done = np.cumsum(count)
+        return self.links[np.repeat(self.first_link[at] - (done - count), count) + np.arange(done[-1])]
+
+    def shrink(self):
+        """Forget the units met only once since the last time; all of them if that is not enough."""
+        keep = np.flatnonzero(self.used > 1)
+        if not len(keep) or len(keep) > len(self.used) // 2:
+            self.forget()
+            return
+        units, share = list(self.number), len(keep) / len(self.used)
+        self.links = self._links_of(keep)
+        self.number = {units[i]: k for k, i in enumerate(keep.tolist())}
+        self.groups = [self.groups[i] for i in keep.tolist()]
+        self.good, self.sizes, self.used = self.good[keep], self.sizes[keep], np.zeros(len(keep), np.int64)
+        self.held = int(self.held * share)
+
+    def _spelled(self, units: list[bytes], ids: list[list[int]], table: list[bytes], ok: np.ndarray):
+        """(token ids in one array, their byte lengths, tokens of each unit); ``ok`` loses units that the tokens do not spell."""
+        flat = list(chain.from_iterable(ids))
+        spelled, count = [table[i] for i in flat], np.fromiter(map(len, ids), np.int64, len(ids))
+        lengths = np.fromiter(map(len, spelled), np.int64, len(flat))
+        ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(count)]
+        whole = b"".join(spelled)
+        if whole != b"".join(units) or not np.array_equal(ends, np.cumsum([len(u) for u in units])):
+            starts = [0, *ends[:-1].tolist()]
+            ok &= np.array([whole[i:j] == unit for unit, i, j in zip(units, starts, ends.tolist())], bool)
+        return np.array(flat, np.int64), lengths, count
+
+    def _tokens_of_a(self, units: list[str], raw: list[bytes], ok: np.ndarray):
+        """As :meth:`_spelled`, for A: it takes many units as one text, since no token spans a cut."""
+        if self.cuttable:
+            joined = ["".join(units[i:i + 64]) for i in range(0, len(units), 64)]
+            flat = list(chain.from_iterable([e.ids for e in self.a.encode_batch_fast(joined, add_special_tokens=False)]))
+            spelled = [self.bytes_a[i] for i in flat]
+            lengths = np.fromiter(map(len, spelled), np.int64, len(flat))
+            ends, unit_ends = np.cumsum(lengths), np.cumsum([len(u) for u in raw])
+            until = np.searchsorted(ends, unit_ends)
+            if b"".join(spelled) == b"".join(raw) and np.array_equal(ends[until], unit_ends):
+                return np.array(flat, np.int64), lengths, np.diff(until + 1, prepend=0)
+        return self._spelled(raw, [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)], self.bytes_a, ok)
 
     def _learn(self, units: list[str]):
-        coded = self.a.encode_batch_fast(units, add_special_tokens=False)
+        """Tokens, groups and links of new units, all at once over the units' bytes laid end to end."""
+        raw = [u.encode() for u in units]
         pieces = self.b.encode([u[1:] for u in units], num_threads=1)          # the model adds a space in front
-        for unit, a, b in zip(units, coded, pieces):
-            good, sizes, groups, links = self._align(unit, a.ids, self.space_b if unit == " " else b)
-            self.number[unit] = len(self.good)
-            self.good.append(good)
-            self.sizes.append(sizes)
-            self.groups.append(groups)
-            self.links.append(links)
-            self.held += 400 + len(unit) + len(groups) + links.nbytes
+        ok = np.ones(len(units), bool)
+        a, size_a, n_a = self._tokens_of_a(units, raw, ok)
+        b, size_b, n_b = self._spelled(raw, [self.space_b if u == " " else p for u, p in zip(units, pieces)], self.bytes_b, ok)
+        used_a, used_b = np.repeat(ok, n_a), np.repeat(ok, n_b)
+        a, b, n_a, n_b = a[used_a], b[used_b], n_a * ok, n_b * ok
+        end_a, end_b = np.cumsum(size_a[used_a]), np.cumsum(size_b[used_b])
+        unit_end = np.cumsum(np.array([len(u) for u in raw]) * ok)
+        ends, common = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b, assume_unique=True)
+        links = a[np.searchsorted(end_a, ends)] << 32 | b[np.searchsorted(end_b, ends)]
+        per_unit = [np.diff(np.searchsorted(e, unit_end, side="right"), prepend=0) for e in (common, ends)]
+
+        # the tokens in the order of groups, A before B, each as text with the mark that follows it
+        place = np.concatenate((np.searchsorted(common, end_a) * 2, np.searchsorted(common, end_b) * 2 + 1))
+        order = np.argsort(place, kind="stable")
+        ranked = np.append(place[order], -1)
+        mark = np.where(ranked[1:] == ranked[:-1], 0, np.where(ranked[:-1] % 2 == 0, 1, 2))
+        words = [self.words[i] for i in (np.concatenate((a, b))[order] + mark * self.ids).tolist()]
+        text = "".join(words)
+        until = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))))[np.cumsum(n_a + n_b)].tolist()
+        starts = [0, *until[:-1]]
+
+        first = len(self.number)
+        self.number.update(zip(units, range(first, first + len(units))))
+        self.groups += [text[i:j - 1] for i, j in zip(starts, until)]
+        self.good = np.concatenate((self.good, ok))
+        self.sizes = np.concatenate((self.sizes, np.stack((n_a, n_b, *per_unit), 1)))
+        self.links = np.concatenate((self.links, links))
+        self.used = np.concatenate((self.used, np.zeros(len(units), np.int64)))
+        self.held += 250 * len(units) + sum(map(len, raw)) + len(text) + links.nbytes
 
     def units(self, text: str) -> list[str]:
         return _CUT.split(" " + text) if self.cuttable else [" " + text]
 
     def align(self, texts: list[str]) -> Iterator[tuple]:
-        """Per text: good, sizes, digest-ready groups, distinct packed pairs and how often each is linked."""
+        """Per text: sizes, groups, distinct packed pairs and how often each is linked."""
         if self.held > REMEMBERED:
-            self.forget()
-        number = self.number
+            self.shrink()
         cut = [self.units(t) if t else [] for t in texts]
-        new = {u: None for units in cut for u in units if u not in number}
-        fresh = list(new)
-        for at in range(0, len(fresh), 1024):
-            self._learn(fresh[at:at + 1024])
-        sizes = np.array(self.sizes, np.int64).reshape(-1, 4)
-        good, groups, links = self.good, self.groups, self.links
-        for units in cut:
-            at = [number[u] for u in units]
-            if not at or not all([good[i] for i in at]):
-                yield (0, 0, 0, 0), "", np.empty(0, np.int64), np.empty(0, np.int64)
+        met = [list(map(self.number.get, units)) for units in cut]
+        open_texts = [k for k, at in enumerate(met) if None in at]
+        fresh = list({u: None for k in open_texts for u, i in zip(cut[k], met[k]) if i is None})
+        for at in range(0, len(fresh), 16384):
+            self._learn(fresh[at:at + 16384])
+        for k in open_texts:
+            met[k] = [self.number[u] if i is None else i for u, i in zip(cut[k], met[k])]
+        self.first_link = np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3]
+        self.used += np.bincount(np.fromiter(chain.from_iterable(met), np.int64), minlength=len(self.used))
+        for numbers in met:
+            at = np.array(numbers, np.int64)
+            if not len(at) or not self.good[at].all():
+                yield [0, 0, 0, 0], "", np.empty(0, np.int64), np.empty(0, np.int64)
                 continue
-            pairs, times = np.unique(np.concatenate([links[i] for i in at]), return_counts=True)
-            yield sizes[at].sum(0).tolist(), ";".join([groups[i] for i in at]), pairs, times
+            pairs, times = np.unique(self._links_of(at), return_counts=True)
+            yield self.sizes[at].sum(0).tolist(), ";".join([self.groups[i] for i in numbers]), pairs, times
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
