@@ -39,7 +39,7 @@ from .common import ship_package, text_buffers, written
 #: Documents of more tokens are over the limit.
 LIMIT = 4096
 #: Missing keys that are broadcast at most (32 bytes each); beyond it the join shuffles.
-FEW_MISSING = 500_000
+FEW_MISSING = 100_000
 #: Bytes of texts handed to the tokenizer at once (or one longer text).
 CHUNK = 4 << 20
 CACHE = "tokenizer string, key binary, n_tokens long"
@@ -108,13 +108,17 @@ def _content(text) -> tuple:
     return F.unhex(F.sha2(text, 256)), text
 
 
-def fill(docs: DataFrame, cache: str, tokenizer_path: str, text_col: str = "text", few: int = FEW_MISSING) -> int:
-    """Encode each distinct text whose count is not stored and append the counts; returns how many."""
+def fill(docs: DataFrame, cache: str, tokenizer_path: str, text_col: str = "text", few: int = FEW_MISSING,
+         keys: DataFrame | None = None) -> int:
+    """Encode each distinct text whose count is not stored and append the counts; returns how many.
+
+    ``keys`` are the distinct keys of ``docs`` where these are at hand."""
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer_path)
     key, content = _content(F.col(text_col))
     rows = docs.select(key.alias("key"), content.alias("text"))
-    missing = written(rows.select("key").distinct().join(stored(spark, cache, version).select("key"), "key", "left_anti"),
+    keys = rows.select("key").distinct() if keys is None else keys
+    missing = written(keys.join(stored(spark, cache, version).select("key"), "key", "left_anti"),
                       "missing")
     count = missing.count()
     if not count:
@@ -135,11 +139,13 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer_path: str, id_col: str =
                  limit: int = LIMIT) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every document, by way of the cache folder ``cache``."""
     spark = docs.sparkSession
-    fill(docs, cache, tokenizer_path, text_col)
     key, content = _content(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(content).cast("long").alias("n_bytes"), key.alias("key"))
-    known = stored(spark, cache, tokenizer_digest(tokenizer_path))
-    return (rows.join(known.hint("merge"), "key")
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), F.octet_length(content).cast("long").alias("n_bytes"),
+                               key.alias("key")), "keys")
+    distinct = written(rows.select("key").distinct(), "distinct")
+    fill(docs, cache, tokenizer_path, text_col, keys=distinct)
+    found = written(distinct.join(stored(spark, cache, tokenizer_digest(tokenizer_path)), "key"), "found")
+    return (rows.join(found.hint("merge"), "key")                  # two written tables: a hot key's rows can be split
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
 
 
