@@ -6,7 +6,8 @@ histogram of piece lengths (at most ``capacity`` numbers, whatever the data
 size): for each length, longest first, an index of available lengths and of
 their pair sums finds one, two or three lengths that fill the gap
 exactly; as many sequences as the availability counts allow take that
-pattern at once.  What has no exact complement is placed best-fit.
+pattern at once.  What has no exact complement is placed best-fit, together with a
+few short pieces held back for it.
 
 The pattern list is turned into intervals of ranks per length; a piece looks up
 its sequence and offset by its rank within its length.  Ranks are made with
@@ -34,6 +35,9 @@ from .word_ids import encoder
 
 CAPACITY = 2048
 SEPARATOR_ID = 0
+#: Shares of all tokens whose shortest pieces may be held back from exact fills, for the residual; tried in this order.
+RESERVES = (1 / 32, 1 / 64, 1 / 16, 1 / 128, 1 / 256, 1 / 512, 1 / 8, 0.0)
+
 
 def _pieces_with(tokenizer_path: str, capacity: int, separator: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,10 +80,38 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
 
 def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence's pieces, how many sequences) for a histogram of lengths up to ``capacity``."""
+    """(lengths of a sequence's pieces, how many sequences) for a histogram of lengths up to ``capacity``.
+
+    Exact fills would use up the short pieces that the residual needs, so some are held back for it: as many of the
+    shortest as make up a share of all tokens, the first share of ``RESERVES`` that gives the fewest sequences."""
+    least = -(-sum(length * n for length, n in counts.items()) // capacity)
+    best: list[tuple[tuple[int, ...], int]] = []
+    for share in RESERVES:
+        plan = _plan(counts, capacity, share)
+        if not best or _sequences(plan) < _sequences(best):
+            best = plan
+        if _sequences(best) == least:
+            break
+    return best
+
+
+def _sequences(plan: list[tuple[tuple[int, ...], int]]) -> int:
+    return sum(n for _, n in plan)
+
+
+def _plan(counts: dict[int, int], capacity: int, share: float) -> list[tuple[tuple[int, ...], int]]:
+    """Exact fills of all but the held-back pieces, then best-fit of what is left with them."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] += n
+    held = np.zeros(capacity + 1, np.int64)
+    room = int(share * int((left * np.arange(capacity + 1)).sum()))
+    for length in np.flatnonzero(left):
+        held[length] = min(left[length], room // length)
+        room -= int(held[length] * length)
+        if held[length] < left[length]:
+            break
+    left -= held
     out: list[tuple[tuple[int, ...], int]] = []
 
     def take(lengths: tuple[int, ...]) -> bool:
@@ -125,9 +157,8 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
                     break
             if not three or not take(three):
                 break
-    out += _best_fit({int(x): int(left[x]) for x in np.flatnonzero(left)}, capacity)
-    plain = _best_fit(dict(counts), capacity)              # few pieces: filling gaps early can cost a sequence
-    return min(out, plain, key=lambda plan: sum(n for _, n in plan))
+    left += held
+    return out + _best_fit({int(x): int(left[x]) for x in np.flatnonzero(left)}, capacity)
 
 
 def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
