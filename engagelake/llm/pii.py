@@ -3,12 +3,14 @@
 Per kind a regular expression proposes leftmost non-overlapping matches; a
 validator confirms each (octet range, Luhn, mod-97, digit count); a score
 starts from the kind's prior and moves with words in the ``CONTEXT`` characters
-before and after.  Kinds marked ``base`` are reported whenever the validator
+before and after (other matches in them included).  Kinds marked ``base`` are reported whenever the validator
 holds; the others only from ``THRESHOLD`` upwards.
 
 Offsets are code points.  The text is cut at the matches (``split`` and
 ``regexp_extract_all`` with one pattern), and running lengths give the
 offsets, in blocks so that a text with very many matches stays linear.
+Redaction replaces the reported spans, once, so it hides what the scan reports
+and nothing else.
 Patterns use possessive quantifiers and begin at the start of a run, so that
 no text makes them backtrack quadratically.  Built-in expressions only, one
 projection, no shuffle.
@@ -30,6 +32,8 @@ from .common import let
 CONTEXT = 40
 THRESHOLD = 0.7
 BLOCK = 512
+#: Spans masked in one stretch of a text.
+MASKS = 128
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double,text:string>>"
 
 
@@ -106,18 +110,34 @@ def confirmed(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
+def _joined(one: Column, other: Column) -> Column:
+    return F.array_join(F.zip_with(one, other, lambda x, y: F.concat(x, y)), "")
+
+
+def _near(gaps: Column, matches: Column, i: Column) -> Column:
+    """The CONTEXT characters before and after match ``i``, lower case, whatever other matches stand in them."""
+    reach = CONTEXT // 2 + 1                                  # a match has two characters or more
+    gap, after = F.get(gaps, i), F.get(gaps, i + 1)
+    low = F.greatest(i - reach, F.lit(0))
+    before = F.when(F.length(gap) >= CONTEXT, gap).otherwise(
+        F.concat(_joined(F.slice(gaps, low + 1, i - low), F.slice(matches, low + 1, i - low)), gap))
+    behind = F.when(F.length(after) >= CONTEXT, after).otherwise(
+        F.concat(after, _joined(F.slice(matches, i + 2, reach), F.slice(F.concat(gaps, F.array(F.lit(""))), i + 3, reach))))
+    return F.lower(F.concat(F.right(before, F.lit(CONTEXT)), F.lit(" "), F.left(behind, F.lit(CONTEXT))))
+
+
 def _pieces(kind: Kind, text: Column) -> Column:
-    """Per match: ``gap`` (text since the last match), ``match``, ``after`` (text up to the next), ``ok``."""
+    """Per match: ``gap`` (text since the last match), ``match``, ``ok``, ``near`` (the context, where it is ok)."""
     gaps, matches = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    return let(gaps, lambda g: let(matches, lambda m: F.zip_with(
-        F.zip_with(F.slice(g, 1, F.size(m)), m, lambda a, x: F.struct(a.alias("gap"), x.alias("match"))),
-        F.slice(g, 2, F.size(m)),
-        lambda p, after: F.struct(p["gap"].alias("gap"), p["match"].alias("match"), after.alias("after"),
-                                  confirmed(kind, p["match"]).alias("ok")))))
+    return let(gaps, lambda g: let(matches, lambda m: F.transform(
+        F.zip_with(F.slice(g, 1, F.size(m)), m, lambda a, x: F.struct(a.alias("gap"), x.alias("match"),
+                                                                      confirmed(kind, x).alias("ok"))),
+        lambda p, i: F.struct(p["gap"].alias("gap"), p["match"].alias("match"), p["ok"].alias("ok"),
+                              F.when(p["ok"], _near(g, m, i)).alias("near")))))
 
 
 def _score(kind: Kind, piece: Column) -> Column:
-    near = F.lower(F.concat(F.right(piece["gap"], F.lit(CONTEXT)), F.lit(" "), F.left(piece["after"], F.lit(CONTEXT))))
+    near = piece["near"]
     checked = 0.1 if kind.name in ("card", "iban") else 0.0
     return F.least(F.lit(1.0), F.lit(kind.prior + checked)
                    + F.when(near.rlike(f"(?<![a-z])(?:{kind.near})"), 0.3).otherwise(0.0)
@@ -173,23 +193,42 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds=
     return docs.select(F.col(id_col).alias("doc_id"), spans(F.col(text_col), kinds).alias("spans"))
 
 
+REGION = "array<struct<start:int,kind:string,end:int>>"
+
+
+def _regions(found: Column) -> Column:
+    """Sorted spans with overlapping ones joined, under the kind of the first."""
+    def add(acc, s):
+        last = F.element_at(acc, -1)
+        joined = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
+        own = F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+        meets = (F.size(acc) > 0) & (s["start"] < F.try_element_at(acc, F.lit(-1))["end"])
+        return F.when(meets, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(own)))
+    return F.aggregate(found, F.array().cast(REGION), add)
+
+
+def _masked(text: Column, regions: Column) -> Column:
+    """The text with the regions replaced; cut into stretches of few regions first, so that long texts stay linear."""
+    def stretch(b):
+        here = F.slice(regions, b * MASKS + 1, MASKS)
+        begin = F.when(b == 0, 0).otherwise(F.try_element_at(regions, b * MASKS)["end"])
+        end = F.when((b + 1) * MASKS >= F.size(regions), F.length(text)).otherwise(F.element_at(here, -1)["end"])
+
+        def shown(part):
+            def one(r, i):
+                since = F.when(i == 0, begin).otherwise(F.try_element_at(here, F.greatest(i, F.lit(1)))["end"])
+                return F.concat(F.substring(part, since - begin + 1, r["start"] - since), F.lit("["), F.upper(r["kind"]), F.lit("]"))
+            tail = F.substring(part, F.element_at(here, -1)["end"] - begin + 1, F.length(part))
+            return F.concat(F.array_join(F.transform(here, one), ""), tail)
+        return let(F.substring(text, begin + 1, end - begin), shown)
+    blocks = F.sequence(F.lit(0), F.floor((F.size(regions) - 1) / MASKS).cast("int"))
+    return F.array_join(F.transform(blocks, stretch), "")
+
+
 def redacted(text: Column, kinds=KINDS, threshold: float = THRESHOLD) -> Column:
-    """The text with every reported span replaced by its kind in brackets, kind after kind; null stays null."""
-    def masking(kind):
-        def shown(p):
-            keep = p["ok"] if kind.base else p["ok"] & (_score(kind, p) >= threshold)
-            return F.concat(p["gap"], F.when(keep, F.lit(f"[{kind.name.upper()}]")).otherwise(p["match"]))
-
-        def mask(t):
-            tail = F.element_at(F.split(t, kind.pattern, -1), -1)
-            return F.when(_present(kind, t), F.concat(F.array_join(F.transform(_pieces(kind, t), shown), ""), tail)
-                          ).otherwise(t)
-        return mask
-
-    out = text
-    for kind in kinds:
-        out = let(out, masking(kind))
-    return out
+    """The text with every reported span replaced by its kind in brackets (overlapping spans by the first one's); null stays null."""
+    return F.when(text.isNull(), text).otherwise(
+        let(text, lambda t: let(_regions(spans(t, kinds, threshold)), lambda r: F.when(F.size(r) == 0, t).otherwise(_masked(t, r)))))
 
 
 def redact(docs: DataFrame, text_col: str = "text", kinds=KINDS) -> DataFrame:

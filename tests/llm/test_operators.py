@@ -177,6 +177,48 @@ def test_pii_spans_equal_brute_force(spark):
     assert by_id[152] == "[EMAIL] " * 1500
 
 
+def masked_by(text, found):
+    """A text with spans (start, end, kind; sorted) replaced, overlapping ones by the first."""
+    regions = []
+    for start, end, kind in found:
+        if regions and start < regions[-1][1]:
+            regions[-1][1] = max(regions[-1][1], end)
+        else:
+            regions.append([start, end, kind])
+    out, at = "", 0
+    for start, end, kind in regions:
+        out, at = out + text[at:start] + f"[{kind.upper()}]", end
+    return out + text[at:]
+
+
+def test_pii_context_reaches_over_matches_and_redaction_is_the_scan(spark):
+    rng = random.Random(3)
+    parts = ["phone ", "call ", "212-555-0100", "(213) 555-0101", ", ", "+1 212 555 0100", " or ", "mail ", "a@b.c", "1.2.3.4", " ssn ",
+             "123-45-6789", "sample ", "DE89370400440532013000", "iban ", "word " * 6, "é😀", "4111 1111 1111 1111", "\n", "x" * 39, "y" * 41]
+    texts = ["phone 212-555-0100, 212-555-0101", "+1 212 555 0100 or 213-555-0101", "213-555-0101 as well as 213-555-0102 and 213-555-0103 tel",
+             "phone " + "1.2.3.4 " * 4 + "212-555-0100", "mail a@b.c " * 700, "+14111 1111 1111 1111", None, ""]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(150)]
+    docs = docs_of(spark, texts)
+    found = {r.doc_id: r.spans for r in pii.scan(docs).collect()}
+    shown = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert shown[0] == "phone [NATIONAL_PHONE], [NATIONAL_PHONE]"
+    assert [s.kind for s in found[1]] == ["phone"] and shown[1] == "[PHONE] or 213-555-0101"
+    assert [s.kind for s in found[2]] == ["national_phone"] * 2                          # the first is over 40 characters away
+    assert shown[4] == "mail [EMAIL] " * 700
+    for i, text in enumerate(texts):
+        if text is not None:
+            assert shown[i] == masked_by(text, [(s.start, s.end, s.kind) for s in found[i]]), text
+            for s in found[i]:
+                near = (text[max(0, s.start - 40):s.start] + " " + text[s.end:s.end + 40]).lower()
+                kind = next(k for k in pii.KINDS if k.name == s.kind)
+                score = (kind.prior + (0.1 if s.kind in ("card", "iban") else 0)
+                         + (0.3 if re.search(f"(?<![a-z])(?:{kind.near})", near) else 0)
+                         - (0.2 if re.search("(?<![a-z])(?:example|sample|dummy|version)(?![a-z.])", near) else 0))
+                assert abs(s.score - min(1.0, score)) < 1e-9, (text, s)
+    assert shown[6] is None and shown[7] == ""
+    assert pii.redact(docs.limit(0)).collect() == [] and pii.scan(docs.limit(0)).collect() == []
+
+
 def test_quality_metrics(spark):
     rng = random.Random(2)
     texts = [" ".join(rng.choice("a b c dd #x the\n !! ..\t".split(" ")) for _ in range(rng.randint(0, 80))) for _ in range(120)]
@@ -234,6 +276,19 @@ def test_packing_plans_exact_complements():
     assert sum(n for _, n in plan) == 11
 
 
+def test_packing_keeps_its_method_and_the_fewest_sequences(spark):
+    """On the given tables: as few sequences as the tokens allow (one more at most), nearly all of them filled exactly."""
+    for sf, most in (("sf0.001", 88), ("sf0.01", 442), ("sf0.1", 4539)):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        cut = packing.pieces(docs, tokenizer_path())
+        counts = {int(r[0]): int(r[1]) for r in cut.groupBy("length").count().collect()}
+        plan = packing.plan_patterns(counts)
+        total = sum(n for _, n in plan)
+        exact = sum(n for lengths, n in plan if sum(lengths) == packing.CAPACITY)
+        assert total == most == -(-sum(k * n for k, n in counts.items()) // packing.CAPACITY)
+        assert exact >= (0.85 if sf != "sf0.001" else 0.7) * total
+
+
 def test_sharding_is_minimax(spark):
     texts = sample(6) + ["copy of a text"] * 30 + [None, None, ""]
     got = sharding.assign(docs_of(spark, texts), shards=5).collect()
