@@ -375,6 +375,107 @@ def test_secrets_anywhere_in_long_tokens():
     assert secret_scan.scan_text(pad, model) == []
 
 
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_padding_hides_no_credential():
+    """The same keys are found, at the same places, whatever ordinary characters stand around them in the token."""
+    rng = random.Random(11)
+    keys = ["sk_live_" + "".join(rng.choice(ALNUM) for _ in range(24)) for _ in range(50)]
+    words = ["".join(rng.choice(["tion", "ment", "heit", "lich", "ing", "ver"]) for _ in range(rng.randint(5, 12))) for _ in range(80)]
+    model = secret_scan.Model({"assign": keys[:40]}, words)
+    assert model.windows == [32]
+    known = [k for k in keys[40:] if model.credible(k)[1]]                   # the cut leaves out a share of the formats
+    assert len(known) >= 8
+    for pad in (0, 1, 7, 31, 100, 200, 400, 490, 600, 2000):
+        text = "".join(rng.choice(words) for _ in range(300))[:pad]
+        for key in known:
+            for token, at in ((text + key, pad), (key + text, 0), (text + key + text, pad)):
+                assert [(s, e) for s, k, e, _ in secret_scan.scan_text("x " + token + " y", model)] == [(at + 2, at + 34)], (pad, token)
+    two = known[0] + known[1]
+    assert [(s, e) for s, _, e, _ in secret_scan.scan_text(two, model)] == [(0, 32), (32, 64)]
+
+
+def test_candidates_follow_the_labels_alphabet_and_length_and_go_around_base_spans(spark):
+    rng = random.Random(12)
+    short = [f"v1.{rng.randrange(1000, 9999)}.{rng.choice(ALNUM)}{rng.choice(ALNUM)}" for _ in range(60)]
+    texts = [f"token: {k}" for k in short[:40]] + [f"use {k} now" for k in short[40:]] + ["some ordinary words in a sentence. Another one"] * 3
+    rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(docs_of(spark, texts)).collect()}
+    assert sum(rows[i] == [("format", 4, 4 + len(short[i]))] for i in range(40, 60)) >= 18
+    assert rows[60] == rows[61] == rows[62] == []
+    keys = ["sk_live_" + "".join(rng.choice(ALNUM) for _ in range(24)) for _ in range(40)]
+    model = secret_scan.Model({"assign": keys[:30]}, ["internationalization", "antidisestablishment"])
+    good = next(k for k in keys[30:] if model.credible(k)[1])
+    text = f"{good}password=abcdefgh{keys[32]}"                          # one token; the assignment takes its end
+    found = [(k, s, e) for s, k, e, _ in secret_scan.scan_text(text, model)]
+    assert found == [("format", 0, 32), ("assign", 32, len(text))]
+
+
+def test_no_state_is_merged_by_force():
+    rng = random.Random(13)
+    strings = [f"{i:03d}" * 1 + "".join(rng.choice("xyz") for _ in range(8)) for i in range(400)]
+    automaton = secret_scan._automaton(strings)
+    assert sum(automaton.end) == 400
+    assert all(math.isclose(sum(2 ** x for x in logs.values()) + end / max(1, end + sum(c.values())), 1.0, abs_tol=1e-9)
+               for logs, end, c in zip(automaton.logs, automaton.end, automaton.count))
+
+
+def scanned_by_hand(text):
+    """The base kinds character by character, without regular expressions."""
+    hexes, upper, value = set("0123456789abcdef"), set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), set(ALNUM + "+/_.=-")
+    lower = text.translate(LOWER)
+
+    def run(at, chars):
+        end = at
+        while end < len(text) and text[end] in chars:
+            end += 1
+        return end
+
+    def assign(at):
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if lower.startswith(word, at):
+                i = at + len(word)
+                i += text[i:i + 1] in ("'", '"')
+                i = run(i, " ")
+                if text[i:i + 1] not in (":", "=") or i >= len(text):
+                    return None
+                i = run(i + 1, " ")
+                i += text[i:i + 1] in ("'", '"')
+                end = run(i, value)
+                return (end, end - i >= 6) if end > i else None
+        return None
+
+    def access(at):
+        end = run(at + 4, upper) if text.startswith("AKIA", at) else at
+        return (end, end - at >= 20) if end > at + 4 else None
+
+    def plain_hex(at):
+        end = run(at, hexes)
+        return (end, end - at >= 24) if end > at else None
+    out = []
+    for kind, match in (("assign", assign), ("access", access), ("hex", plain_hex)):
+        at = 0
+        while at < len(text):
+            found = match(at)
+            if found:
+                out += [(at, kind, found[0])] * found[1]
+            at = found[0] if found else at + 1
+    return sorted(out)
+
+
+def test_base_secrets_equal_a_scan_by_hand(spark):
+    rng = random.Random(14)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "'", '"', " ", ":", "=", "abc", "abcdef", "AKIA", "ABCD0123456789EF",
+             "0123456789abcdef", "deadbeef", "é", "ſecret", "\n", ".", "==", "x", "AKIAAKIA", "KIA", "K"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(400)] + ["", None]
+    rows = {r.doc_id: r.spans for r in secret_scan.scan(docs_of(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert sorted((s.start, s.kind, s.end) for s in rows[i] if s.kind in secret_scan.BASE) == scanned_by_hand(text or ""), text
+    same = spark.createDataFrame([(1, texts[0]), (1, texts[0]), (None, texts[0])], "doc_id long, text string")
+    assert len({str(r.spans) for r in secret_scan.scan(same).collect()}) == 1 and secret_scan.scan(same).count() == 3
+    assert secret_scan.scan(same.limit(0)).collect() == []
+
+
 def test_long_labelled_values_are_fitted_whole(spark):
     values = [f"{random.Random(i).getrandbits(8000):02000x}" for i in range(30)]
     model = secret_scan.fit(docs_of(spark, [f"token={v}" for v in values]))
