@@ -3,16 +3,22 @@
 Input rows are parts of transcripts (``conv_id``, ``pos``, ``text`` of one or more
 lines).  Each line is observed by its speaker marker, length, closing mark and
 first character.  Hidden states are (role, begins a turn / goes on); emission and
-transition tables are smoothed counts over a bounded sample of labelled
-transcripts.  Viterbi decoding is exact and runs in blocks: a block of rows is
+transition tables are smoothed counts over whole turns of a bounded sample of
+labelled transcripts, tallied in the tasks.  Viterbi decoding is exact and runs in
+blocks of at most ``ROWS_PER_BLOCK`` rows: a block is
 summed up in one max-plus matrix, the matrices are chained (in tiers of
 ``FAN``) to give each block its first and last state, and each block is then
 decoded on its own.  So a transcript of any length is spread over tasks and no
-task holds a whole one.  Turns are rendered canonically.
+task holds a whole one.  Turns are rendered canonically, with the marks of the
+template escaped where they occur in a turn's own text (:func:`escaped`).
+
+Blocks are ranges of ``pos`` as long as these hold few rows.  Where many rows share
+a ``pos`` (or have none), the rows of a range are numbered, equal ones counted
+once, and cut by their numbers.
 
 Defined results for odd input: a null text is an empty line; a null ``conv_id`` is a
-conversation of its own, a null ``pos`` sorts first; ties of ``pos`` are ordered by
-text; repeated rows are repeated lines; an empty table gives no rows; extra columns are
+conversation of its own, a null ``pos`` sorts first; ties of ``pos`` are ordered by the
+hash of their text; repeated rows are repeated lines; an empty table gives no rows; extra columns are
 ignored; lines before the first marker belong to the turn that the model begins.
 """
 
@@ -21,10 +27,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -74,8 +81,25 @@ class Model:
         return sum(e[:, v] for e, v in zip(self.emit, observe(line)))
 
 
+def tally(text: str | None) -> tuple[int, list[int]]:
+    """(lines, how often each observation's values occur in the first line and then in the others) of a turn."""
+    counts = np.zeros((2, sum(SIZES)), np.int64)
+    lines = (text or "").split("\n")
+    for k, line in enumerate(lines):
+        at = 0
+        for size, value in zip(SIZES, observe(line)):
+            counts[min(k, 1), at + value] += 1
+            at += size
+    return len(lines), counts.ravel().tolist()
+
+
 def train(turns: list[tuple[object, int, str, str]], smooth: float = 0.5) -> Model:
     """Tables from labelled turns (conversation, number, role, text with markers), in order."""
+    return train_tallied([(conv, role, *tally(text)) for conv, _, role, text in turns], smooth)
+
+
+def train_tallied(turns: list[tuple[object, str, int, list[int]]], smooth: float = 0.5) -> Model:
+    """Tables from labelled turns (conversation, role, lines, tallies), in order."""
     first = np.full(STATES, 1e-9)
     first[0::2] = smooth
     step = np.full((STATES, STATES), 1e-12)
@@ -84,18 +108,20 @@ def train(turns: list[tuple[object, int, str, str]], smooth: float = 0.5) -> Mod
         step[2 * r, 0::2] = step[2 * r + 1, 0::2] = smooth
     emit = [np.full((STATES, n), smooth) for n in SIZES]
     before = (None, 0)
-    for conv, _, role, text in turns:
+    for conv, role, lines, counts in turns:
         if role not in ROLES:
             continue
-        for k, line in enumerate((text or "").split("\n")):
-            state = 2 * ROLES.index(role) + (k > 0)
-            if before[0] != conv:
-                first[state] += 1
-            else:
-                step[before[1], state] += 1
-            for e, v in zip(emit, observe(line)):
-                e[state, v] += 1
-            before = (conv, state)
+        begin = 2 * ROLES.index(role)
+        if before[0] != conv:
+            first[begin] += 1
+        else:
+            step[before[1], begin] += 1
+        step[begin, begin + 1] += lines > 1
+        step[begin + 1, begin + 1] += max(lines - 2, 0)
+        parts = np.split(np.array(counts).reshape(2, -1), np.cumsum(SIZES)[:-1], axis=1)
+        for e, part in zip(emit, parts):
+            e[begin:begin + 2] += part
+        before = (conv, begin + (lines > 1))
     return Model(np.log(first / first.sum()), np.log(step / step.sum(axis=1, keepdims=True)),
                  [np.log(e / e.sum(axis=1, keepdims=True)) for e in emit])
 
@@ -236,17 +262,75 @@ def _segments_with(model: Model):
     return run
 
 
+#: Bits of the text's hash by which the rows of one ``pos`` are dealt while they are numbered.
+DEAL_BITS = 10
+
+
+def blocked(rows: DataFrame) -> DataFrame:
+    """``conv_id``, ``block`` (gapless from 0), ``rows`` (at most ROWS_PER_BLOCK of pos, text; in order)."""
+    size = ROWS_PER_BLOCK
+    ranged = rows.select("conv_id", "pos", F.coalesce("text", F.lit("")).alias("text"), F.floor(F.col("pos") / size).alias("range"))
+    sizes = ranged.groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy("conv_id").orderBy(F.col("range").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    base = written(sizes.select(F.col("conv_id").alias("c"), F.col("range").alias("r"), "n", F.coalesce(
+        F.sum(F.ceil(F.col("n") / size)).over(earlier), F.lit(0)).cast("long").alias("base")), "ranges")
+
+    def in_range(table):
+        return ranged.join(table, ranged.conv_id.eqNullSafe(table.c) & ranged.range.eqNullSafe(table.r)).drop("c", "r")
+
+    def in_order(*extra):
+        return F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos").isNotNull().alias("known"), "pos", F.xxhash64("text").alias("h"),
+                                                                "text", *extra))), lambda p: F.struct(p["pos"].alias("pos"), p["text"].alias("text"),
+                                                                                                      *[p[c].alias(c) for c in extra]))
+    few = (in_range(base.filter(F.col("n") <= size)).groupBy("conv_id", "range", "base").agg(in_order().alias("rows"))
+           .select("conv_id", F.col("base").alias("block"), "rows"))
+    if base.filter(F.col("n") > size).isEmpty():
+        return few
+    # ranges of many rows: equal rows once, with their number; numbered by pos and hash, dealt by both
+    keys = ["conv_id", "range", "pos", "deal"]
+    dealt = F.shiftrightunsigned(F.xxhash64("text"), 64 - DEAL_BITS).cast("int")
+    equal = written(in_range(base.filter(F.col("n") > size)).groupBy("conv_id", "range", "base", "pos", "text")
+                    .agg(F.count(F.lit(1)).alias("times")).withColumn("deal", dealt), "equal")
+    ahead = W.partitionBy("conv_id", "range").orderBy(F.col("pos").asc_nulls_first(), "deal").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (equal.groupBy(*keys).agg(F.sum("times").alias("n"))
+               .select(*[F.col(k).alias(f"o_{k}") for k in keys], F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset")))
+    inside = W.partitionBy(*keys).orderBy(F.xxhash64("text"), "text").rowsBetween(W.unboundedPreceding, -1)
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in keys])
+    start, times = F.col("start"), F.col("times")
+    placed = (equal.withColumn("within", F.coalesce(F.sum("times").over(inside), F.lit(0))).join(offsets, same)
+              .withColumn("start", F.col("offset") + F.col("within"))
+              .withColumn("cut", F.explode(F.sequence(F.floor(start / size), F.floor((start + times - 1) / size))))
+              .withColumn("times", F.least(start + times, (F.col("cut") + 1) * size) - F.greatest(start, F.col("cut") * size)))
+    many = (placed.groupBy("conv_id", "range", "base", "cut").agg(in_order("times").alias("rows"))
+            .select("conv_id", (F.col("base") + F.col("cut")).cast("long").alias("block"),
+                    F.flatten(F.transform("rows", lambda p: F.array_repeat(F.struct(p["pos"].alias("pos"), p["text"].alias("text")),
+                                                                           p["times"].cast("int")))).alias("rows")))
+    return few.unionByName(many)
+
+
+def escaped(content: Column) -> Column:
+    """Text in which no mark of the template occurs: each ``<|`` gets a backslash inside, one more if it has some."""
+    return F.regexp_replace(content, r"<(\\*)\|", r"<\\$1|")
+
+
+def unescaped(content: Column) -> Column:
+    return F.regexp_replace(content, r"<\\(\\*)\|", "<$1|")
+
+
+def read_back(rendered: Column) -> Column:
+    """(role, content) of a rendered turn; of several, one after another, an array of them."""
+    turns = F.regexp_extract_all(rendered, F.lit(r"(?s)<\|im_start\|>(.*?)<\|im_end\|>"), F.lit(1))
+    return F.transform(turns, lambda t: F.struct(F.substring_index(t, "\n", 1).alias("role"), unescaped(
+        F.substring(t, F.locate("\n", t) + 1, F.length(t))).alias("content")))
+
+
 def parse(transcripts: DataFrame, model: Model, conv_col: str = "conv_id", pos_col: str = "pos",
           text_col: str = "text") -> DataFrame:
     """One row per recovered turn: ``conv_id``, ``turn`` (from 0), ``role``, ``content``, ``rendered``."""
     ship_package(transcripts.sparkSession)
     rows = transcripts.select(F.col(conv_col).alias("conv_id"), F.col(pos_col).alias("pos"), F.col(text_col).alias("text"))
     kind = rows.schema["conv_id"].dataType.simpleString()
-    lowest = rows.groupBy("conv_id").agg(F.min(F.floor(F.col("pos") / ROWS_PER_BLOCK)).alias("lowest")).withColumnRenamed("conv_id", "c")
-    block = F.coalesce(F.floor(F.col("pos") / ROWS_PER_BLOCK) - F.col("lowest"), F.lit(0)).cast("long")
-    blocks = written(rows.join(lowest, rows.conv_id.eqNullSafe(lowest.c)).withColumn("block", block)
-                     .groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("rows")),
-                     "blocks")
+    blocks = written(blocked(rows), "blocks")
     matrices = written(blocks.select("conv_id", "block", "rows").mapInArrow(
         _matrices_with(model), f"conv_id {kind}, block long, matrix array<double>"), "matrices")
     around = _block_states(matrices, kind).withColumnsRenamed({"conv_id": "c", "block": "b"})
@@ -267,13 +351,24 @@ def parse(transcripts: DataFrame, model: Model, conv_col: str = "conv_id", pos_c
     turns = numbered.groupBy("conv_id", "turn").agg(F.min_by("role", F.struct("block", "part")).alias("role"),
                                                     F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("content"))
     before, after = TEMPLATE.split("{role}")[0], TEMPLATE.split("{text}")[1]
-    rendered = F.concat(F.lit(before), "role", F.lit("\n"), "content", F.lit(after))
+    rendered = F.concat(F.lit(before), "role", F.lit("\n"), escaped(F.col("content")), F.lit(after))
     return turns.select("conv_id", "turn", "role", "content", rendered.alias("rendered"))
 
 
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines, counts = zip(*map(tally, batch.column(3).to_pylist())) if batch.num_rows else ((), ())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lines, pa.int64()), pa.array(counts, pa.list_(pa.int64()))],
+                                         names=["conv_id", "turn", "role", "lines", "counts"])
+
+
 def fit(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
         text_col: str = "text", sample: int = SAMPLE_ROWS) -> Model:
-    """Train on at most ``sample`` labelled turns: those of the conversations with the smallest hashes."""
-    rows = (turns.select(conv_col, turn_col, role_col, F.substring(text_col, 1, 4000))
-            .orderBy(F.xxhash64(conv_col), conv_col, turn_col).limit(sample).collect())
-    return train([tuple(r) for r in rows])
+    """Train on at most ``sample`` labelled turns, whole ones: those of the conversations with the smallest hashes."""
+    ship_package(turns.sparkSession)
+    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"),
+                        F.col(text_col).alias("text")).orderBy(F.xxhash64(conv_col), conv_col, turn_col).limit(sample)
+    kinds = [rows.schema[c].dataType.simpleString() for c in ("conv_id", "turn", "role")]
+    tallies = rows.mapInArrow(_tallied, "conv_id {}, turn {}, role {}, lines long, counts array<long>".format(*kinds))
+    found = tallies.orderBy(F.xxhash64("conv_id"), "conv_id", "turn").collect()
+    return train_tallied([(r["conv_id"], r["role"], r["lines"], r["counts"]) for r in found])
