@@ -52,6 +52,7 @@ def check_dim_visitor(dim_visitor: DataFrame) -> DataFrame:
     return q.union_all([head, unique, tail])
 
 
+# --- fixed values: columns that must not be negative, and (below) the names of the checks ---
 FACT_NON_NEGATIVE = ("play_count", "total_watch_time_seconds", "total_watch_time_hours",
                      "media_load_count", "media_play_count", "media_hours_watched")
 

@@ -924,6 +924,23 @@ def stream_visitor_daily(spark, sf):
         "media_id", "visitor_id", "date", "play_count", "watched_percent", "total_watch_time_seconds")
 
 
+@register("stream_visitor_days", O.with_views("fact") + """
+SELECT media_id, sha256(visitor_key) AS visitor_id, date, play_count, watched_percent, total_watch_time_seconds FROM vd
+WHERE date + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(received_at)) FROM ev) - INTERVAL 1 DAY""")
+def stream_visitor_days(spark, sf):
+    """The rollup as a stateful stream over four landings, one or more batches
+    each: the days that the watermark has closed, each emitted once."""
+    root = new_run_dir(spark, "stream")
+    env = T.events_envelopes(spark, sf).checkpoint(eager=True)
+    media = gold.media_durations(T.media_metadata(spark, sf))
+    for first, last in (("00", "08"), ("09", "16"), ("17", "24"), ("25", "99")):
+        day = F.substring("pipeline_run_id", -2, 2)
+        chunk = env.filter(F.when(F.col("pipeline_run_id") >= "run-20240201", "99").otherwise(day).between(first, last))
+        BZ.land(chunk, f"{root}/bronze", "events")
+        ST.run_visitor_days(spark, f"{root}/bronze", media, f"{root}/days", f"{root}/_chk", f"{root}/late")
+    return spark.read.parquet(f"{root}/days")
+
+
 # -- incremental daily runs end to end ---------------------------------------------------
 
 

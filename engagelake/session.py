@@ -56,12 +56,15 @@ def shared_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors for intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir); set a private one only where none is configured.
+    checkpoint dir); a local session without one gets a private folder, a
+    cluster without one an error (its executors do not share ``/tmp``).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:
