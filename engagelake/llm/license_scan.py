@@ -1,21 +1,23 @@
 """Licence scans: sparse n-gram logistic regression over paragraphs, calibrated unknown class, template comparison.
 
-A paragraph is a line of a text.  Its features are the word uni- and bigrams that
+Scored are passages of at most ``PASSAGE`` words: the lines of a text (long ones in
+overlapping windows) and, for statements wrapped over lines, windows over the words
+of each block of lines between blank ones.  Features are the word uni- and bigrams that
 occur in the licence templates (a bounded vocabulary).  A multinomial logistic
 regression (Spark ML) is fitted on labelled paragraphs: the templates with words
 left out, as their families, and corpus paragraphs without template agreement as
 ``none``.  Confidence is calibrated by a temperature chosen on held-out labelled
 paragraphs; a paragraph under ``LEAST_CONFIDENCE`` is ``unknown``.  A predicted
-family is confirmed when the paragraph shares at least ``AGREEMENT`` of a template's
-words.
+family is confirmed when the passage has at least ``AGREEMENT`` of a template's
+words within a stretch of one and a half times the template's length.
 
-Only paragraphs that agree with a template to ``AGREEMENT`` or have ``EVIDENCE`` different
+Only passages that agree with a template to ``AGREEMENT`` or have ``EVIDENCE`` different
 telling words are scored; all others cannot be confirmed.  To agree, a paragraph must have
 one of the ``needed`` words of a template, which is looked for first.  Built-in expressions
 and Spark ML only.
 
 Defined results for odd input: null and empty texts have no licence; repeated rows are
-scanned alike, one result each; an empty table gives no rows; extra columns are
+scanned alike, each with the result of one; an empty table gives no rows; extra columns are
 ignored.
 """
 
@@ -33,6 +35,8 @@ NONE_SAMPLE = 2_000
 LEAST_CONFIDENCE = 0.5
 AGREEMENT = 0.6
 EVIDENCE = 2
+#: Words of a passage and of the step to the next; the longest template has fewer words than a step.
+PASSAGE, STEP = 48, 24
 NONE = "none"
 
 # Statements by which texts name their licence, per family.
@@ -55,18 +59,27 @@ _COMMON = frozenset("a and any by can except file for free in is it may not of o
 SPLIT = "[^a-z0-9]+"
 
 
+def words(text: Column) -> Column:
+    """Lower-case words of a text."""
+    return F.filter(F.split(F.lower(text), SPLIT), lambda w: w != "")
+
+
 def terms(text: Column) -> Column:
     """Lower-case words and word pairs of a paragraph."""
-    words = F.filter(F.split(F.lower(text), SPLIT), lambda w: w != "")
-    return let(words, lambda w: F.concat(w, F.when(F.size(w) > 1, F.transform(
+    return let(words(text), with_pairs)
+
+
+def with_pairs(w: Column) -> Column:
+    return F.concat(w, F.when(F.size(w) > 1, F.transform(
         F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))))
-        .otherwise(F.array().cast("array<string>"))))
+        .otherwise(F.array().cast("array<string>")))
 
 
 def _template_words() -> list[tuple[str, int, list[str]]]:
+    """(family, words in a row, different words) of each template."""
     import re
-    return [(family, i, sorted({w for w in re.split(SPLIT, t.lower()) if w}))
-            for family, ts in TEMPLATES.items() for i, t in enumerate(ts)]
+    found = [(family, [w for w in re.split(SPLIT, t.lower()) if w]) for family, ts in TEMPLATES.items() for t in ts]
+    return [(family, len(ws), sorted(set(ws))) for family, ws in found]
 
 
 def vocabulary() -> list[str]:
@@ -95,24 +108,39 @@ def needed_words() -> list[str]:
 
 
 def agreement(words: Column) -> Column:
-    """The best-agreeing template: struct (share of its words found, family)."""
-    options = [F.struct((F.size(F.array_intersect(words, F.array(*map(F.lit, ws)))) / F.lit(len(ws))).alias("share"),
-                        F.lit(family).alias("family")) for family, _, ws in _template_words()]
-    return F.array_max(F.array(*options))
+    """The best-agreeing template: struct (share of its words found close together, family)."""
+    placed = F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("w")))
+
+    def share(length: int, ws: list[str]) -> Column:
+        reach = length + max(2, length // 2)
+
+        def most(hits):
+            near = lambda h: F.filter(hits, lambda x: (x["at"] >= h["at"]) & (x["at"] < h["at"] + reach))
+            return F.array_max(F.transform(hits, lambda h: F.size(F.array_distinct(F.transform(near(h), lambda x: x["w"])))))
+        return F.coalesce(let(F.filter(placed, lambda p: p["w"].isin(*ws)), most), F.lit(0)) / F.lit(len(ws))
+    return F.array_max(F.array(*[F.struct(share(n, ws).alias("share"), F.lit(family).alias("family"))
+                                 for family, n, ws in _template_words()]))
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines that agree with a template or have ``EVIDENCE`` different telling words: ``doc_id``, ``text_key``, ``line``, ``paragraph``,
-    ``terms``."""
+    """Passages that agree with a template or have ``EVIDENCE`` different telling words: ``doc_id``, ``text_key``, ``wrapped`` (over
+    lines, not a line), ``line`` (number of the line or block), ``words``, ``paragraph`` (the words in a row), ``terms``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    telling = telling_words()
+    needed = F.array(*map(F.lit, needed_words()))
     hint = "(?i)(?<![a-z0-9])(?:" + "|".join(needed_words()) + ")(?![a-z0-9])"
-    lines = docs.filter(text.rlike(hint)).select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
-        F.posexplode(F.split(text, "\n", -1)).alias("line", "paragraph"))
-    found = lines.filter(F.col("paragraph").rlike(hint)).withColumn("terms", terms(F.col("paragraph")))
-    evidence = F.size(F.array_intersect("terms", F.array(*map(F.lit, telling)))) >= EVIDENCE
-    return found.filter(evidence | (agreement(F.col("terms"))["share"] >= AGREEMENT))
+    hinted = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).filter(F.col("text").rlike(hint))
+    key = F.xxhash64("text").alias("text_key")
+    lines = hinted.select("doc_id", key, F.lit(False).alias("wrapped"), F.posexplode(F.split("text", "\n", -1)).alias("line", "part"))
+    blocks = hinted.select("doc_id", key, F.lit(True).alias("wrapped"),
+                           F.posexplode(F.split("text", "\n[ \t\r]*\n", -1)).alias("line", "part")).filter(F.col("part").contains("\n"))
+    windows = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil((F.size("w") - PASSAGE) / STEP), F.lit(0)).cast("int")),
+                          lambda k: F.slice(F.col("w"), k * STEP + 1, PASSAGE))
+    found = (lines.unionByName(blocks).filter(F.col("part").rlike(hint)).withColumn("w", words(F.col("part")))
+             .select("doc_id", "text_key", "wrapped", "line", F.explode(windows).alias("words"))
+             .filter(F.arrays_overlap("words", needed))
+             .withColumns({"paragraph": F.array_join("words", " "), "terms": with_pairs(F.col("words"))}))
+    evidence = F.size(F.array_intersect("words", F.array(*map(F.lit, telling_words())))) >= EVIDENCE
+    return found.filter(evidence | (agreement(F.col("words"))["share"] >= AGREEMENT))
 
 
 def _labelled(spark, candidates: DataFrame) -> DataFrame:
@@ -124,7 +152,7 @@ def _labelled(spark, candidates: DataFrame) -> DataFrame:
             w = [x for x in re.split(SPLIT, t.lower()) if x]
             rows += [(family, " ".join(w))] + [(family, " ".join(w[:i] + w[i + 1:])) for i in range(len(w))]
     labelled = spark.createDataFrame(rows, "family string, paragraph string").withColumn("terms", terms(F.col("paragraph")))
-    other = (candidates.filter(agreement(F.col("terms"))["share"] < AGREEMENT)
+    other = (candidates.filter(agreement(F.col("words"))["share"] < AGREEMENT)
              .select("paragraph").distinct().withColumn("terms", terms(F.col("paragraph")))
              .orderBy(F.xxhash64("paragraph"), "paragraph").limit(NONE_SAMPLE).withColumn("family", F.lit(NONE)))
     blank = [(NONE, w) for w in vocabulary()]
@@ -149,7 +177,7 @@ def _scaled(t):
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per found paragraph: ``doc_id``, ``text_key``, ``line``, ``paragraph``, ``family`` (or ``unknown``),
+    """Per found passage: ``doc_id``, ``text_key``, ``wrapped``, ``line``, ``paragraph``, ``family`` (or ``unknown``),
     ``confidence``, ``agreement``, ``confirmed``."""
     spark = docs.sparkSession
     candidates = written(paragraphs(docs, id_col, text_col), "paragraphs")
@@ -168,19 +196,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
     best = F.array_max("e")
     family = F.get(F.array(*map(F.lit, names)), F.array_position("e", best).cast("int") - 1)
-    scored = scored.withColumns({"confidence": best / total, "likely": family, "match": agreement(F.col("terms"))})
+    scored = scored.withColumns({"confidence": best / total, "likely": family, "match": agreement(F.col("words"))})
     confirmed = (F.col("likely") == F.col("match.family")) & (F.col("match.share") >= AGREEMENT)
     return (scored.filter(F.col("likely") != NONE)
-            .select("doc_id", "text_key", "line", "paragraph",
+            .select("doc_id", "text_key", "wrapped", "line", "paragraph",
                     F.when(F.col("confidence") >= LEAST_CONFIDENCE, F.col("likely")).otherwise("unknown").alias("family"),
                     "confidence", F.col("match.share").alias("agreement"), confirmed.alias("confirmed")))
 
 
 def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document row: ``doc_id``, ``families`` (confirmed, sorted), ``n_paragraphs``, ``n_unknown``."""
-    found = (scan(docs, id_col, text_col).groupBy("doc_id", "text_key")
-             .agg(F.array_sort(F.collect_set(F.when(F.col("confirmed") & (F.col("family") != "unknown"), F.col("family")))).alias("families"),
-                  F.count(F.lit(1)).alias("n_paragraphs"), F.count_if(~F.col("confirmed")).alias("n_unknown"))
+    """One row per document row: ``doc_id``, ``families`` (confirmed, sorted), ``n_paragraphs`` (lines that speak of a licence),
+    ``n_unknown`` (those without a confirmed passage)."""
+    sure = F.col("confirmed") & (F.col("family") != "unknown")
+    by_line = scan(docs, id_col, text_col).groupBy("doc_id", "text_key", "wrapped", "line").agg(
+        F.collect_set(F.when(sure, F.col("family"))).alias("sure"), F.bool_or("confirmed").alias("confirmed"))
+    found = (by_line.groupBy("doc_id", "text_key")
+             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("sure")))).alias("families"),
+                  F.count_if(~F.col("wrapped")).alias("n_paragraphs"),
+                  F.count_if(~F.col("wrapped") & ~F.col("confirmed")).alias("n_unknown"))
              .withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"}))
     own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"))
     joined = own.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")
