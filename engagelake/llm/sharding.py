@@ -213,9 +213,12 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_c
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``doc_id``, text and slot partitioned by shard."""
-    text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).dropDuplicates()
+    """Write ``doc_id``, text and slot partitioned by shard; every row of ``docs``, null ids and repeated rows, too."""
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropDuplicates()
+             .withColumns({"crc": F.crc32(text), "bytes": F.length(text).cast("long") + 8}))
+    texts = texts.dropDuplicates(["id", "crc", "bytes"])           # null and empty are one text here
     placed = assign(docs, shards, id_col, text_col)
-    (placed.join(text.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))),
-                 ["doc_id", "text_crc32"]).hint("rebalance", "shard")
+    same = (placed.doc_id.eqNullSafe(texts.id) & (placed.text_crc32 == texts.crc) & (placed["size"] == texts.bytes))
+    (placed.join(texts, same, "left").drop("id", "crc", "bytes").hint("rebalance", "shard")
      .write.partitionBy("shard").parquet(path))

@@ -513,7 +513,7 @@ def test_licences(spark):
 
 def test_licences_with_one_telling_word(spark):
     texts = ["Available under CC BY 4.0", "Available under the Apache 2.0", "the version of this"]
-    lines = license_scan.paragraphs(docs_of(spark, texts)).withColumn("share", license_scan.agreement(F.col("terms"))["share"]).collect()
+    lines = license_scan.paragraphs(docs_of(spark, texts)).withColumn("share", license_scan.agreement(F.col("words"))["share"]).filter("not wrapped").collect()
     assert {r.doc_id for r in lines if r.share >= license_scan.AGREEMENT} == {0, 1}
     words = set(license_scan.needed_words())
     for _, _, ws in license_scan._template_words():       # without all of these no agreement is possible
@@ -638,3 +638,30 @@ def test_chat_fit_counts_whole_turns(spark):
     model = chat_format.fit(turns)
     same = chat_format.train([(1, 0, "user", long), (1, 1, "assistant", "AI: ok")])
     assert np.exp(model.step[3, 3]) > 0.999 and np.allclose(model.step, same.step)
+
+
+def test_license_statements_wrapped_repeated_far_apart_and_side_by_side(spark):
+    cc = "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License."
+    mit = "Permission is hereby granted, free of charge,\nto any person obtaining a copy\nof this software"
+    filler = " ".join(f"w{i}" for i in range(500))
+    texts = [f"Some words before.\n{cc}\nand after", cc, cc, f"all the {filler} rights", mit,
+             "Released under the MIT License.\nThis work is licensed under the GNU General Public License, version 3.",
+             f"{filler}\n{filler} This program is free software: you can redistribute it and/or modify it\nunder the terms of the GNU "
+             f"General Public License {filler}", f"All\n\nrights\n\nreserved {filler}", None, ""]
+    docs = docs_of(spark, texts)
+    docs = docs.unionByName(docs.filter("doc_id = 1"))
+    rows = license_scan.by_document(docs).collect()
+    got = {r.doc_id: r.families for r in rows}
+    assert got == {0: ["cc"], 1: ["cc"], 2: ["cc"], 3: [], 4: ["mit"], 5: ["gpl", "mit"], 6: ["gpl"], 7: [], 8: [], 9: []}
+    one, two, again = ([(r.n_paragraphs, r.n_unknown) for r in rows if r.doc_id == i] for i in (2, 1, 1))
+    assert one * 2 == two == again and len(two) == 2
+    assert license_scan.by_document(docs.limit(0)).collect() == []
+
+
+def test_shards_are_written_whole(spark, tmp_path):
+    rows = [(None, "a"), (None, "a"), (None, None), (1, "b"), (1, "c"), (2, ""), (2, None)] + [(i, "same") for i in range(10, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sharding.write_shards(docs, str(tmp_path / "shards"), 4)
+    back = spark.read.parquet(str(tmp_path / "shards")).collect()
+    shown = lambda rs: sorted((str(r[0]), r[1] or "") for r in rs)
+    assert shown([(r.doc_id, r.text) for r in back]) == shown(rows)
