@@ -7,7 +7,9 @@ each phrase is probed by its two rarest terms.  The index stores the postings
 posting.  A phrase's rarest list, shifted by the term's offset, proposes start
 positions; the shifted list of its second term is intersected with them, and
 the surviving starts are compared word by word: exact phrase matches.
-:func:`near_matches` gives proximity matches of the two rarest terms.
+Proximity matches are the places where a phrase's two rarest terms stand less than
+``width`` words apart, in any order (:func:`near_matches`; :func:`scan` counts, per
+document, the phrases that have one).  They do not decide contamination.
 
 A document word inside any occurrence is hit; a document is contaminated when
 ``n_hit > 0`` and ``SHARE_OF * n_hit >= n_words``.
@@ -45,10 +47,13 @@ def item_words(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
+def _fits(df: DataFrame, size: Column) -> bool:
+    return (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def _measured_broadcast(df: DataFrame, size: Column) -> DataFrame:
     """Hint for broadcast if the summed ``size`` of the (written) rows is under the cap."""
-    total = df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+    return F.broadcast(df) if _fits(df, size) else df
 
 
 def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -64,10 +69,13 @@ def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text", w
 
 def term_frequency(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """Occurrences in all ``docs`` of each of the ``terms`` (column ``term``); absent terms have no row."""
-    bounded = _measured_broadcast(terms, F.octet_length("term") + 16)
     # the outer form: the inner one has the optimizer tokenise twice, to test for emptiness first
-    return (docs.select(F.explode_outer(item_words(F.col(text_col))).alias("term"))
-            .join(bounded, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    tokens = docs.select(F.explode_outer(item_words(F.col(text_col))).alias("term"))
+    if _fits(terms, F.octet_length("term") + 16):
+        tokens = tokens.join(F.broadcast(terms), "term", "left_semi")
+        return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # too many terms to broadcast: counted in the tasks before anything is shuffled, so no frequent word piles up
+    return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(terms.hint("merge"), "term", "left_semi")
 
 
 def probes(table: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -136,11 +144,25 @@ def near_matches(postings: DataFrame, probed: DataFrame, within: int = WIDTH - 1
             .select("doc_id", "phrase_id", "pos", (F.col("c") - F.col("here")).alias("distance")))
 
 
+def near_phrases(postings: DataFrame, probed: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_key``, ``n_near``: phrases with a proximity match, per document.
+
+    A posting's context is the ``width - 1`` words on each side, so the other term is looked for there."""
+    pairs = probed.filter(F.col("second").isNotNull()).select(
+        "phrase_id", F.col("first.term").alias("term"), F.col("second.term").alias("other"))
+    pairs = _measured_broadcast(pairs, F.octet_length("term") + F.octet_length("other") + 64)
+    others = F.size(F.filter("context", lambda w: w == F.col("other")))
+    return (postings.filter("pos >= 0").join(pairs, "term").filter(others > (F.col("other") == F.col("term")).cast("int"))
+            .select("doc_id", "text_key", "phrase_id").distinct()
+            .groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n_near")))
+
+
 def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_id_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH,
-         share_of: int = SHARE_OF) -> DataFrame:
+         share_of: int = SHARE_OF, near: bool = False) -> DataFrame:
     """One row per document row: ``doc_id``, ``text_key``, ``n_words``, ``n_hit``, ``item_ids`` (sorted
-    strings), ``spans`` (merged [start, end) word ranges), ``contaminated``."""
+    strings), ``spans`` (merged [start, end) word ranges), ``contaminated``, and with ``near`` also ``n_near``
+    (phrases that match by proximity)."""
     table = written(phrases(items, item_id_col, item_text_col, width), "items")
     terms = written(table.select(F.explode("phrase").alias("term")).distinct(), "terms")
     frequency = written(term_frequency(docs, terms, text_col), "frequency")
@@ -159,10 +181,15 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     joined = own.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
     hit = F.aggregate(F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")), F.lit(0).cast("long"),
                       lambda acc, s: acc + (s["end"] - s["start"]))
-    return (joined.withColumn("n_hit", hit)
-            .select("doc_id", "text_key", "n_words", "n_hit",
-                    F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "spans",
-                    ((F.col("n_hit") > 0) & (F.col("n_hit") * share_of >= F.col("n_words"))).alias("contaminated")))
+    own_columns = ["doc_id", "text_key", "n_words", "n_hit",
+                   F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "spans",
+                   ((F.col("n_hit") > 0) & (F.col("n_hit") * share_of >= F.col("n_words"))).alias("contaminated")]
+    joined = joined.withColumn("n_hit", hit)
+    if near:
+        close = near_phrases(postings, probed).withColumnsRenamed({"doc_id": "near_id", "text_key": "near_key"})
+        joined = joined.join(close, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_key") == F.col("near_key")), "left")
+        own_columns.append(F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
+    return joined.select(*own_columns)
 
 
 def _merge(done: Column, span: Column) -> Column:

@@ -91,9 +91,9 @@ def _is(kind):
 
 
 def op8_benchmark_decontamination(spark, sf_dir):
-    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def op9_sharding(spark, sf_dir):
@@ -160,11 +160,20 @@ sizes AS (SELECT DISTINCT len(g) n FROM p),
 o AS (SELECT doc_id, k, n, w[k:k+n-1] g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) k FROM d, sizes)),
 m AS (SELECT o.doc_id, o.k, o.n, p.item_id FROM o JOIN p ON o.g = p.g),
 h AS (SELECT doc_id, count(DISTINCT place) n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) place FROM m) GROUP BY doc_id),
-t AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR ORDER BY item_id::VARCHAR) ids FROM m GROUP BY doc_id)
+t AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR ORDER BY item_id::VARCHAR) ids FROM m GROUP BY doc_id),
+k AS (SELECT doc_id, term, o FROM (SELECT doc_id, unnest(w) term, unnest(range(1, len(w) + 1)) o FROM d)),
+f AS (SELECT term, count(*) df FROM k GROUP BY term),
+y AS (SELECT DISTINCT g FROM p),
+z AS (SELECT g, unnest(g) term, unnest(range(1, len(g) + 1)) o FROM y),
+r AS (SELECT z.g, z.term, row_number() OVER (PARTITION BY z.g ORDER BY df NULLS FIRST, encode(z.term), z.o) rn, df FROM z LEFT JOIN f USING (term)),
+q AS (SELECT g, max(term) FILTER (rn = 1) one, max(term) FILTER (rn = 2) two FROM r GROUP BY g HAVING count(df) = count(*)),
+x AS (SELECT doc_id, count(DISTINCT g) n_near FROM (SELECT a.doc_id, q.g FROM q JOIN k a ON a.term = q.one
+      JOIN k b ON b.term = q.two AND a.doc_id = b.doc_id AND b.o <> a.o AND abs(b.o - a.o) < {width}) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit, coalesce(len(ids), 0)::BIGINT n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) items_sha256,
-       coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
+       coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(n_near, 0)::BIGINT n_near
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN x USING (doc_id)"""
 
 
 def _oracle_quality() -> str:

@@ -135,6 +135,16 @@ def test_proximity_matches(spark):
     assert {(r.doc_id, abs(r.distance)) for r in near.collect()} == {(0, 2), (1, 3)}
 
 
+def test_proximity_counts_per_document(spark, monkeypatch):
+    texts = ["aa xx bb", "bb xx xx aa", "aa", "aa " + "x " * 20 + "bb", "dup dup", "dup", "aa bb aa bb", None, "aa xx bb"]
+    bench = spark.createDataFrame([(1, "aa bb"), (2, "dup dup"), (3, "bb aa"), (4, "absent aa")], "item_id long, text string")
+    for cap in (decontaminate.BROADCAST_BYTES, 0):                # the joins that broadcast, and those that shuffle
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", cap)
+        got = {r.doc_id: (r.n_near, r.contaminated) for r in decontaminate.scan(docs_of(spark, texts), bench, near=True).collect()}
+        assert got == {0: (2, False), 1: (2, False), 2: (0, False), 3: (0, False), 4: (1, True), 5: (0, False), 6: (2, True),
+                       7: (0, False), 8: (2, False)}
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
