@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from engagelake.constants import DEFAULT_LOOKBACK_DAYS, SOURCE_NAME, WATERMARK_FIELD
 from engagelake.operators.latest import latest_by
-from engagelake.sources.files import child_folders, create_if_absent, path_exists, remove_folder, remove_partition
+from engagelake.sources.files import child_folders, create_if_absent, observed, path_exists, remove_folder, remove_partition
 
 
 @dataclass(frozen=True)
@@ -218,7 +218,7 @@ def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, touched:
     (rows.observe(seen, F.collect_set(F.struct(*values)).alias("filled"))
      .hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
-    filled = {tuple(row) for row in seen.get["filled"]}
+    filled = {tuple(row) for row in observed(seen, "filled") or ()}
     for row in touched.select(*values).distinct().collect():
         if tuple(row) not in filled:
             remove_partition(spark, path, row.asDict())

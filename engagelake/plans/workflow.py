@@ -26,7 +26,7 @@ from engagelake.plans import checks, gold, incremental, publish, reports, silver
 from engagelake.schemas import SILVER_CLUSTER, SILVER_PARTITIONS
 from engagelake.sources import bronze
 from engagelake.sources import testdata as TD
-from engagelake.sources.files import path_exists, read_required, write_table, written_rows
+from engagelake.sources.files import observed, path_exists, read_required, write_table, written_rows
 
 # The fact is partitioned by day and clustered by media inside each day (a
 # folder per (day, media) would multiply partitions by the catalogue size).
@@ -83,7 +83,7 @@ def _land_rejects(spark: SparkSession, root: str, ds: str, run_id: str, frame: D
     """Land what could not be decoded, if anything, under the run's id; a file that gave no envelope at all is an error.
 
     Bronze is read again only where there were rejects."""
-    count = int(seen.get["rejects"] or 0)
+    count = int(observed(seen, "rejects") or 0)
     report.quarantined[ds] = count
     if not count:
         return

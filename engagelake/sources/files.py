@@ -117,5 +117,15 @@ def write_table(df: DataFrame, root: str, table: str, partition_cols: Sequence[s
     return path, obs
 
 
+def observed(seen: Observation, name: str, default=None):
+    """A metric of a finished write; ``default`` where the optimizer found that there are no rows and left the observation out."""
+    try:
+        return seen.get.get(name, default)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return default
+
+
 def written_rows(obs: Observation) -> int:
-    return int(obs.get["rows"])
+    return int(observed(obs, "rows") or 0)
