@@ -226,8 +226,9 @@ def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, touched:
 
 # -- key index: which partitions hold a key ------------------------------------------
 
-#: Buckets of a new key index; an existing one keeps its own number.
-INDEX_BUCKETS = 256
+#: A new key index gets a bucket for so many keys of its first rows, within the limits; an existing one keeps its number.
+KEYS_PER_BUCKET = 1_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 8, 4096
 _BUCKET = "_bucket"
 
 
@@ -235,12 +236,13 @@ def _index_root(path: str) -> str:
     return f"{path.rstrip('/')}.keys"
 
 
-def _index_folder(spark: SparkSession, path: str, buckets: int) -> tuple[str, int]:
-    """(folder, buckets) of the index of the table at ``path``."""
-    for name in child_folders(spark, _index_root(path)):
-        if name.startswith("of="):
-            buckets = int(name[3:])
-    return f"{_index_root(path)}/of={buckets}", buckets
+def _buckets_of(spark: SparkSession, path: str) -> int | None:
+    """Number of buckets of the index of the table at ``path``, if there is one."""
+    return next((int(name[3:]) for name in child_folders(spark, _index_root(path)) if name.startswith("of=")), None)
+
+
+def _buckets_for(keys: int) -> int:
+    return min(max(-(-keys // KEYS_PER_BUCKET), LEAST_BUCKETS), MOST_BUCKETS)
 
 
 def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -252,25 +254,27 @@ def _add_to_index(spark: SparkSession, folder: str, rows: DataFrame, mode: str =
 
 
 def rebuild_key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_cols: Sequence[str],
-                      schema: T.StructType, buckets: int = INDEX_BUCKETS) -> None:
+                      schema: T.StructType, buckets: int | None = None) -> None:
     """Write the index of a table anew from its key and partition columns (maintenance: stale and small files go)."""
     remove_folder(spark, _index_root(path))
     held = spark.read.schema(schema).parquet(path).select(*dict.fromkeys([*keys, *partition_cols])).distinct()
+    buckets = buckets or _buckets_for(held.count())
     _add_to_index(spark, f"{_index_root(path)}/of={buckets}", _bucketed(held, keys, buckets), "overwrite")
 
 
 def _indexed_partitions(spark: SparkSession, path: str, new_rows: DataFrame, keys: Sequence[str],
-                        partition_cols: Sequence[str], buckets: int) -> DataFrame:
+                        partition_cols: Sequence[str], buckets: int | None) -> DataFrame:
     """Partitions that hold or held a key of ``new_rows``, by the index, which learns the new rows' places first.
 
     Only the buckets of the incoming keys are read.  An entry is added before the table changes and never removed
     here: after a lost run the index may name a partition too many, never one too few."""
     if path_exists(spark, path) and not child_folders(spark, _index_root(path)):
         rebuild_key_index(spark, path, keys, partition_cols, new_rows.schema, buckets)
-    folder, buckets = _index_folder(spark, path, buckets)
     columns = list(dict.fromkeys([*keys, *partition_cols]))
-    places = _bucketed(new_rows.select(*columns).distinct(), keys, buckets)
-    if not path_exists(spark, folder):
+    places, known = new_rows.select(*columns).distinct(), _buckets_of(spark, path)
+    buckets = known or buckets or _buckets_for(places.count())
+    folder, places = f"{_index_root(path)}/of={buckets}", _bucketed(places, keys, buckets)
+    if known is None:
         _add_to_index(spark, folder, places)
         return places.select(*partition_cols).distinct()
     asked = sorted(r[0] for r in places.select(_BUCKET).distinct().collect())         # at most ``buckets`` rows
@@ -284,7 +288,7 @@ def _indexed_partitions(spark: SparkSession, path: str, new_rows: DataFrame, key
 
 def upsert_latest(spark: SparkSession, new_rows: DataFrame, path: str, keys: Sequence[str],
                   order_col: str, partition_cols: Sequence[str], tiebreak: Sequence[str] | None = None,
-                  cluster_by: Sequence[str] = (), buckets: int = INDEX_BUCKETS,
+                  cluster_by: Sequence[str] = (), buckets: int | None = None,
                   before_replacing: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Merge ``new_rows`` into the table at ``path`` keeping the newest row per
     key; returns the touched partition values (null is one of them).
