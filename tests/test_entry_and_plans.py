@@ -76,14 +76,14 @@ def test_fact_plan_one_event_shuffle_and_broadcasts(spark, sf_small):
 
 def test_date_filter_prunes_partitions(spark, sf_small):
     from engagelake.plans.catalog import register_gold_tables
-    from engagelake.plans.workflow import FACT_CLUSTER, FACT_PARTITIONS
+    from engagelake.plans import publish
+    from engagelake.plans.gold import _stamp
+    from engagelake.plans.workflow import DIM_MEDIA, FACT, FACT_CLUSTER
     from engagelake.session import new_run_dir
-    from engagelake.sources.files import write_table
     root = new_run_dir(spark, "test-gold")
-    write_table(fact_frame(spark, sf_small), root, "fact_media_engagement", FACT_PARTITIONS, cluster_by=FACT_CLUSTER)
-    write_table(spark.createDataFrame([("m1", "Facebook")], "media_id string, channel string"), root, "dim_media")
-    write_table(spark.createDataFrame([("v",)], "visitor_id string"), root, "dim_visitor")
-    names = register_gold_tables(spark, root)
+    manifest = {FACT: publish.stage(_stamp(fact_frame(spark, sf_small), True), root, FACT, "v", "date", FACT_CLUSTER)[0],
+                DIM_MEDIA: publish.stage(spark.createDataFrame([("m1", "Facebook")], "media_id string, channel string"), root, DIM_MEDIA, "v")[0]}
+    names = register_gold_tables(spark, root, manifest, "test_prunes")
     fact = spark.table(names["fact_media_engagement"])
     dim = spark.table(names["dim_media"])
     df = reports.date_filtered(fact, dim, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
