@@ -117,7 +117,10 @@ def agreement(words: Column) -> Column:
         def most(hits):
             near = lambda h: F.filter(hits, lambda x: (x["at"] >= h["at"]) & (x["at"] < h["at"] + reach))
             return F.array_max(F.transform(hits, lambda h: F.size(F.array_distinct(F.transform(near(h), lambda x: x["w"])))))
-        return F.coalesce(let(F.filter(placed, lambda p: p["w"].isin(*ws)), most), F.lit(0)) / F.lit(len(ws))
+        # words found anywhere bound those found close together: only enough of them are worth a closer look
+        anywhere = F.size(F.array_intersect(words, F.array(*map(F.lit, ws))))
+        close = F.coalesce(let(F.filter(placed, lambda p: p["w"].isin(*ws)), most), F.lit(0))
+        return F.when(anywhere / F.lit(len(ws)) >= AGREEMENT, close).otherwise(anywhere) / F.lit(len(ws))
     return F.array_max(F.array(*[F.struct(share(n, ws).alias("share"), F.lit(family).alias("family"))
                                  for family, n, ws in _template_words()]))
 
