@@ -147,6 +147,20 @@ def test_shape_redacts_sensitive_subtrees(spark):
     assert rows[("$.email", "null")]["redacted"]
 
 
+def test_shape_walks_structures_not_documents(spark):
+    texts = [f'{{"n": {i}, "STRING": "t{i}", "o": {{"email": "x", "e": {{}}, "f": {i}.25, "b": true, "z": null}}}}' for i in range(200)]
+    odd = ['{"a b": 1, "OBJECT<": {"c: STRING, d": "x"}}', '[{"n": 1}, {"n": "x"}, []]', "3", '"x"', "null", "{", "12345678901234567890",
+           '{"ARRAY": {"o": [1, 2]}}', '{"ARRAY": {"o": 1}}', '{"ARRAY": {"o": 1}}']
+    docs = spark.createDataFrame([(t,) for t in texts + odd], "j string")
+    assert J._samples(docs.limit(200), "j").count() < 10                  # one per precision of a number
+    nodes = J.walk(docs.withColumn("one", F.lit(1)), ["one"], "j", descend_sensitive=False)
+    walked = nodes.groupBy("path", J.json_type(F.col("node")).alias("t")).agg(F.sum("one").alias("n")).collect()
+    got = {(r["path"], r["json_type"]): r for r in J.shape(docs, "j").collect()}
+    assert {(*k, r["n_nodes"]) for k, r in got.items()} == {tuple(r) for r in walked}
+    assert (got["$", "array"]["min_length"], got["$.ARRAY.o", "array"]["max_length"]) == (3, 2)
+    assert got["$.o.email", "string"]["redacted"] and got["$.o.f", "float"]["n_nodes"] == 200
+
+
 def test_drop_sensitive(spark):
     assert is_sensitive_name("Description") and not is_sensitive_name("title")
     df = spark.createDataFrame([("k", "1.1.1.1", ("b", "t"))], "event_key string, ip string, "
