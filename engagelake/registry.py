@@ -524,7 +524,7 @@ def land_bronze(spark, sf):
     """Land paged event envelopes as JSON Lines, read them back (explicit
     schema, recursive), one row per landed record."""
     root = new_run_dir(spark, "bronze")
-    BZ.land(T.events_envelopes(spark, sf), root, "events")
+    T.land(spark, sf, root, "events")
     env = BZ.read(spark, root, "events")
     return env.select("pipeline_run_id", "ingested_at", "media_id", "channel",
                       F.explode("payload.event_key").alias("event_key"))
@@ -534,7 +534,7 @@ def land_bronze(spark, sf):
 def bronze_scan(spark, sf):
     """Landed events -> scan with provenance -> silver events."""
     root = new_run_dir(spark, "bronze")
-    BZ.land(T.events_envelopes(spark, sf), root, "events")
+    T.land(spark, sf, root, "events")
     out = SV.events(BZ.read(spark, root, "events"))
     return out.withColumn("has_source_file", F.col("source_file").isNotNull()).drop("source_file")
 
@@ -557,16 +557,17 @@ def bronze_quarantine(spark, sf):
     head = F.to_json(F.struct(*[c for c in env.columns if c != "payload"]))
     page = F.concat(F.lit("["), F.array_join(F.transform("payload", odd), ","), F.lit("]"))
     whole = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"payload":'), page, F.lit("}"))
-    broken = env.select("pipeline_run_id").distinct().select("pipeline_run_id", F.concat(
+    broken = T.event_runs(spark, sf).select("pipeline_run_id", F.concat(
         F.lit('{"pipeline_run_id":"'), "pipeline_run_id", F.lit('","payload":[{"event_key":')).alias("value"))
     lines = env.select("pipeline_run_id", whole.alias("value")).unionByName(broken)
-    lines.repartition("pipeline_run_id").select("value").write.text(f"{root}/events")       # a run's lines in one file
+    lines.hint("rebalance", "pipeline_run_id").select("value").write.text(f"{root}/events")    # a run's lines together, large runs split
     got = BZ.decoded(spark, root, "events", pattern="*.txt")
-    kept = BZ.envelopes_of(got, "events").select("pipeline_run_id", F.explode("payload.event_key").alias("event_key"),
-                                                 F.lit(None).cast("string").alias("reject_reason"))
-    rejects = BZ.rejects_of(got, "events").select("pipeline_run_id", F.when(F.col("position").isNotNull(), F.get_json_object(
-        "raw", "$.event_key")).alias("event_key"), F.col("reason").alias("reject_reason"))
-    return kept.unionByName(rejects)
+    kept = F.transform(F.coalesce("payload.event_key", F.array().cast("array<string>")), lambda k: F.struct(
+        k.alias("event_key"), F.lit(None).cast("string").alias("reject_reason")))
+    rejects = F.transform("rejects", lambda r: F.struct(F.when(r["position"].isNotNull(), F.get_json_object(
+        r["raw"], "$.event_key")).alias("event_key"), r["reason"].alias("reject_reason")))
+    return got.select("pipeline_run_id", F.explode(F.concat(kept, rejects)).alias("r")).select(     # decoded once
+        "pipeline_run_id", "r.event_key", "r.reject_reason")
 
 
 @register("bronze_multiline", O.SILVER_MEDIA_METADATA)
@@ -885,7 +886,7 @@ def json_shape(spark, sf):
 
 def _landed_events(spark, sf) -> str:
     root = new_run_dir(spark, "stream")
-    BZ.land(T.events_envelopes(spark, sf), f"{root}/bronze", "events")
+    T.land(spark, sf, f"{root}/bronze", "events")
     return root
 
 
@@ -931,12 +932,12 @@ def stream_visitor_days(spark, sf):
     """The rollup as a stateful stream over four landings, one or more batches
     each: the days that the watermark has closed, each emitted once."""
     root = new_run_dir(spark, "stream")
-    env = T.events_envelopes(spark, sf).checkpoint(eager=True)
+    env = T.thin_events_envelopes(spark, sf).checkpoint(eager=True)
     media = gold.media_durations(T.media_metadata(spark, sf))
     for first, last in (("00", "08"), ("09", "16"), ("17", "24"), ("25", "99")):
         day = F.substring("pipeline_run_id", -2, 2)
         chunk = env.filter(F.when(F.col("pipeline_run_id") >= "run-20240201", "99").otherwise(day).between(first, last))
-        BZ.land(chunk, f"{root}/bronze", "events")
+        BZ.land(chunk, f"{root}/bronze", "events", T.full_events)
         ST.run_visitor_days(spark, f"{root}/bronze", media, f"{root}/days", f"{root}/_chk", f"{root}/late")
     return spark.read.parquet(f"{root}/days")
 

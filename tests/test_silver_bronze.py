@@ -6,6 +6,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from engagelake.plans import silver
 from engagelake.plans.workflow import process_bronze, read_published
@@ -262,3 +263,33 @@ def test_streams_read_both_layouts_and_land_rejects(spark, tmp_path):
     assert sorted(r.reason for r in spark.read.parquet(f"{root}/q").collect()) == [bronze.OTHER_STRUCTURE, bronze.NOT_JSON]
     stream.run_available_now(stream.deduplicated(stream.event_stream(spark, root)).select("event_key"), f"{root}/d", f"{root}/_chk2")
     assert {r.event_key for r in spark.read.parquet(f"{root}/d").collect()} == {"e1", "e3"}
+
+
+def test_events_are_landed_compressed_and_completed_behind_the_shuffles(spark, sf_small, tmp_path):
+    from engagelake.sources import testdata as T
+    out = T.land(spark, sf_small, str(tmp_path / "thin"), "events")
+    bronze.land(T.events_envelopes(spark, sf_small), str(tmp_path / "full"), "events")
+    assert {f.name.split(".", 1)[1].split(".", 1)[1] for f in (tmp_path / "thin").rglob("part-*")} == {"json.gz"}
+    thin, full = (bronze.read(spark, str(tmp_path / name), "events").select(
+        "pipeline_run_id", "ingested_at", "media_id", "channel", F.to_json("request_params"), F.explode("payload")) for name in ("thin", "full"))
+    assert out.endswith("/events") and thin.count() == full.count() > 0
+    pages = [c for c in thin.columns if c != "col"]
+    assert {(r["pipeline_run_id"], r["media_id"], r["col"]) for r in thin.collect()} == {
+        (r["pipeline_run_id"], r["media_id"], r["col"]) for r in full.collect()}
+    assert thin.select(pages).distinct().exceptAll(full.select(pages).distinct()).isEmpty()
+    env = T.thin_events_envelopes(spark, sf_small)
+    assert "embed_url" not in env.select("payload").schema.simpleString() and T.full_events(env).schema["payload"].dataType.elementType.fieldNames() == T.EVENT_RECORD_COLS
+
+
+def test_envelopes_that_fit_are_decoded_as_by_their_parts(spark, tmp_path):
+    head = {"pipeline_run_id": "r", "ingested_at": "2026-05-10T02:00:00+00:00", "request_params": {"page": 1}, "media_id": 5}
+    records = [{"event_key": "a", "percent_viewed": 0.10, "user_agent_details": {"mobile": True}}, {"event_key": 7, "extra": [1]}]
+    (tmp_path / "events").mkdir()
+    lines = [json.dumps({**head, "payload": records}), json.dumps({**head, "payload": [*records, None]}), json.dumps({**head, "payload": []}),
+             json.dumps(head)]
+    (tmp_path / "events" / "a.json").write_text("\n".join(lines))
+    rows = bronze.decoded(spark, str(tmp_path), "events").collect()
+    whole, parts, empty, none = sorted(rows, key=lambda r: (r.payload is None, -len(r.payload or ()), len(r.rejects)))
+    assert whole.payload == parts.payload and [e.event_key for e in whole.payload] == ["a", "7"] and whole.request_params == parts.request_params
+    assert [(r.position, r.reason) for r in parts.rejects] == [(2, bronze.NOT_AN_OBJECT)] and not whole.rejects
+    assert empty.payload == [] and none.payload is None and all(r.is_envelope and r.media_id == "5" for r in rows)
