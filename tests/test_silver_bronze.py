@@ -293,3 +293,13 @@ def test_envelopes_that_fit_are_decoded_as_by_their_parts(spark, tmp_path):
     assert whole.payload == parts.payload and [e.event_key for e in whole.payload] == ["a", "7"] and whole.request_params == parts.request_params
     assert [(r.position, r.reason) for r in parts.rejects] == [(2, bronze.NOT_AN_OBJECT)] and not whole.rejects
     assert empty.payload == [] and none.payload is None and all(r.is_envelope and r.media_id == "5" for r in rows)
+
+
+def test_scans_get_small_splits_unless_the_session_says_otherwise(spark):
+    from engagelake.session import SPLIT, configure
+    assert spark.conf.get(SPLIT) == "32m"                  # landed text is ten times its compressed size
+    spark.conf.set(SPLIT, "64m")
+    try:
+        assert configure(spark).conf.get(SPLIT) == "64m"
+    finally:
+        spark.conf.set(SPLIT, "32m")
