@@ -307,7 +307,8 @@ def run_incremental(spark: SparkSession, sf_dir: str, root: str, as_of: dt.datet
     ingest_day = as_of.astimezone(dt.timezone.utc).date().isoformat()
     b, s = f"{root}/bronze", f"{root}/silver"
     envs = TD.window_envelopes(spark, sf_dir, window.start_date, window.end_date, run_id, landed_at)
-    _timed(report, "land", lambda: in_parallel([lambda d=d, e=e: bronze.land(e, b, d, TD.FINISH.get(d)) for d, e in envs.items()]))
+    _timed(report, "land", lambda: in_parallel([lambda d=d, e=e: bronze.land(
+        e, b, d, TD.FINISH.get(d), bronze.LINES_PER_FILE_OF_ONE_RUN) for d, e in envs.items()]))
 
     def merge(ds: str) -> None:
         rows, frame, seen = _silver_rows(spark, b, ds, bronze.run_folder(b, ds, ingest_day, run_id))
