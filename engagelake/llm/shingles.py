@@ -14,7 +14,7 @@ SHINGLE = 5
 REGISTERS = 160
 BAND_ROWS = 4
 MANTISSA_BITS = 10
-PIECE = 1 << 21
+PIECE = 1 << 19
 EMPTY = np.uint16(0xFFFF)
 #: Sets up to SMALL shingles use one hash per register (classic MinHash); sets from LARGE on use one hash for all
 #: registers.  LARGE <= 0.75 * SMALL, so two sets of similarity 3/4 or more always have one of the two in common.

@@ -248,3 +248,23 @@ def test_a_stored_count_is_used_and_double_appends_are_one(spark):
 def test_token_counts_of_no_rows(spark):
     docs = docs_of(spark, ["x"]).limit(0)
     assert token_counts.count_tokens(docs, cache_of(spark), tokenizer_path(PIECE_MODEL)).collect() == []
+
+
+def test_a_python_batch_is_bounded_by_bytes(spark):
+    """Long rows reach Python in batches of a few MB, unless the session sets its own bound."""
+    from engagelake.session import BATCH, configure
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+    rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    kept = spark.conf.get(BATCH)
+    try:
+        spark.conf.unset(BATCH)
+        configure(spark)
+        found = [r["bytes"] for r in rows.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(found) >= 30_000_000 and max(found) < 6_000_000
+        spark.conf.set(BATCH, "8m")
+        assert configure(spark).conf.get(BATCH) == "8m"
+    finally:
+        spark.conf.set(BATCH, kept)
