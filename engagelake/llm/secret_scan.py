@@ -1,9 +1,11 @@
 """Secret scans: base patterns, and probabilistic automata inferred from labelled credentials.
 
 Labelled credentials (values with a kind) are generalised to symbols (the
-first characters literally, then character classes) and put into a frequency
-prefix tree per kind; states whose outgoing frequencies agree by Hoeffding's
-bound are merged (red-blue order) into a probabilistic automaton.  Candidates are the runs
+first characters literally, then character classes).  Per kind, a probabilistic
+automaton grows round by round: all values are traced through it in the tasks
+as far as it goes, which counts the next ``AHEAD`` symbols at its states and behind
+its open steps; an open step leads to the first state whose frequencies agree
+by Hoeffding's bound (states are merged), or else to a new one.  Candidates are the runs
 of the labelled values' characters (a class that occurs counts whole) that are as
 long as short labelled values are, cut at the base spans.  Every candidate of
 every text is scored: the log likelihood ratio per
@@ -19,9 +21,11 @@ each scored by an automaton fitted without it; unlabelled credentials among the
 ordinary tokens do not raise it, and tokens that reach a cut are left out of the
 final model of ordinary tokens.
 
-The automata are fitted on at most ``SAMPLE`` credentials a kind and as many
-tokens without a label, those with the smallest hashes of all that occur of the
-kind, whatever the input's size; the scan covers whole texts of all rows.  Values
+Everything is fitted on all that occurs in the texts, whatever the input's size:
+the automata on all distinct values, the cuts on the scores of all of them, the
+class model on all distinct ordinary tokens.  The driver gets counts by state and
+symbols, by length and by class, and a cut's scores narrowed to a few.  The scan
+covers whole texts of all rows.  Values
 are fitted and tokens scored at their whole length, ``LONG`` characters at a time.
 
 Defined results for odd input: null and empty texts have no spans; repeated rows
@@ -34,8 +38,9 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,8 +48,9 @@ from pyspark.sql import functions as F
 
 from .common import ship_package, written
 
-SAMPLE = 400
 LITERAL = 4
+#: States are compared by what may follow in so many symbols.
+AHEAD = 2
 ALPHA = 0.05
 #: A format span must reach this many bits per character, and the score that all but this share of held-out credentials reach.
 LEAST_BITS = 0.6
@@ -92,131 +98,85 @@ def pieces(value: str) -> list[str]:
     return [value[i:i + LONG] for i in range(0, len(value), LONG)]
 
 
-def lengths_of(values: list[str]) -> list[int]:
-    """Lengths of windows: quantiles of the values' lengths."""
-    found = sorted(map(len, values))
-    return sorted({min(max(LEAST, found[int(q * (len(found) - 1))]), LONG) for q in LENGTHS}) if found else []
+def lengths_of(lengths: Counter) -> list[int]:
+    """Lengths of windows: quantiles of the values' lengths, which are given with their counts."""
+    rows, out = sorted(lengths.items()), set()
+    for q in LENGTHS if rows else ():
+        rank = int(q * (lengths.total() - 1))
+        for length, n in rows:
+            rank -= n
+            if rank < 0:
+                out.add(min(max(LEAST, length), LONG))
+                break
+    return sorted(out)
 
 
-def candidate_pattern(values: list[str], least: int | None = None) -> str | None:
-    """Regular expression of the runs that may hold a credential like ``values`` (or of ``least`` characters and more)."""
-    chars = set("".join(values))
+def candidate_pattern(chars: set[str], least: int) -> str | None:
+    """Regular expression of the runs of ``least`` and more characters that may hold a credential of these characters."""
     if not chars:
         return None
     ranges = [r for r, low, high in (("0-9", "0", "9"), ("A-Z", "A", "Z"), ("a-z", "a", "z")) if any(low <= c <= high for c in chars)]
     marks = "".join("\\" + c for c in sorted(chars) if not (c.isascii() and c.isalnum()))
-    return f"[{''.join(ranges)}{marks}]{{{least or lengths_of(values)[0]},}}"
+    return f"[{''.join(ranges)}{marks}]{{{least},}}"
 
 
-def _automaton(values: list[str]) -> Automaton:
-    return Automaton([symbols(p) for v in values for p in pieces(v)])
+#: What stands behind the last symbol of a value.
+END = "\0"
+#: A machine's key: kind, and the half of the values that is held out (-1: none).
+Key = tuple[str, int]
 
 
 class Automaton:
     """A probabilistic automaton: per state, how often strings end there and take each symbol."""
 
-    def __init__(self, strings: list[list[str]], alpha: float = ALPHA):
+    def __init__(self, alpha: float = ALPHA):
+        self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self.next: list[dict[str, int]] = [{}]
+        self.read = [0]                                        # symbols read to get to a state, LITERAL at most
         self.count: list[Counter] = [Counter()]
-        self.end: list[int] = [0]
-        self.tail: dict[int, tuple[list[str], int]] = {}       # states that one string passes, not opened yet
-        for s in strings:
-            self._add(0, s, 0)
-        self._merge_all(math.sqrt(0.5 * math.log(2 / alpha)))
-
-    def _step(self, at: int, s: list[str], i: int) -> int | None:
-        """Count symbol ``i`` of a string at a state; the next state, or None if the rest was left there as a tail."""
-        self.count[at][s[i]] += 1
-        if s[i] in self.next[at]:
-            return self.next[at][s[i]]
-        q = self.next[at][s[i]] = len(self.next)
-        self.next.append({})
-        self.count.append(Counter())
-        self.end.append(0)
-        self.tail[q] = s, i + 1
-        return None
+        self.end = [0]
+        self.logs: list[dict[str, float]] = [{}]
 
-    def _open(self, q: int):
-        if q in self.tail:
-            s, i = self.tail.pop(q)
-            if i < len(s):
-                self._step(q, s, i)
-            else:
-                self.end[q] += 1
-
-    def _add(self, at: int | None, s: list[str], i: int):
-        """Add a string from symbol ``i`` on."""
-        for k in range(i, len(s)):
-            self._open(at)
-            at = self._step(at, s, k)
-            if at is None:
-                return
-        self._open(at)
-        self.end[at] += 1
-
-    def _total(self, q: int) -> int:
-        return 1 if q in self.tail else self.end[q] + sum(self.count[q].values())
-
-    def _differ(self, x: int, n: int, y: int, m: int, bound: float) -> bool:
-        return abs(x / n - y / m) > bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
-
-    def _compatible(self, p: int, q: int, bound: float) -> bool:
-        todo = [(p, q)]
-        while todo:
-            a, b = todo.pop()
-            n, m = self._total(a), self._total(b)
-            if not n or not m or (bound >= 1 and (a in self.tail or b in self.tail)):      # one string never differs
-                continue
-            self._open(a)
-            self._open(b)
-            if self._differ(self.end[a], n, self.end[b], m, bound):
-                return False
-            for c in {*self.count[a], *self.count[b]}:
-                if self._differ(self.count[a][c], n, self.count[b][c], m, bound):
-                    return False
-                if c in self.next[a] and c in self.next[b] and self.next[a][c] != self.next[b][c]:
-                    todo.append((self.next[a][c], self.next[b][c]))
-        return True
-
-    def _fold(self, p: int, q: int):
-        """Add the tree at q to the state p."""
-        todo = [(p, q)]
-        while todo:
-            a, b = todo.pop()
-            if b in self.tail:
-                self._add(a, *self.tail.pop(b))
-                continue
-            self._open(a)
-            self.end[a] += self.end[b]
-            self.count[a].update(self.count[b])
-            for c, r in self.next[b].items():
-                if c in self.next[a]:
-                    todo.append((self.next[a][c], r))
-                else:
-                    self.next[a][c] = r
-
-    def _merge_all(self, bound: float):
-        self._open(0)
-        red, blue = [0], [(0, c) for c in sorted(self.next[0])]
-        while blue:
-            parent, c = blue.pop(0)
-            q = self.next[parent][c]
-            if q in red:
-                continue
-            for p in red:
-                if self._compatible(p, q, bound):
-                    self.next[parent][c] = p
-                    self._fold(p, q)
+    def tally(self, value: str, found: Counter, key: Key = ("", -1)):
+        """Count what follows at the states that a value passes, up to and behind its first open step."""
+        for piece in pieces(value):
+            at, symbol, s = 0, "", symbols(piece) + [END]
+            for i in range(len(s)):
+                found[key, at, symbol, ""] += 1
+                for k in range(1, min(AHEAD, len(s) - i) + 1):
+                    found[key, at, symbol, "".join(s[i:i + k])] += 1
+                if symbol or s[i] == END:
                     break
-            else:
-                self._open(q)
-                red.append(q)
-            known = set(red)
-            blue = [(p, s) for p in red for s in sorted(self.next[p]) if self.next[p][s] not in known]
-        number = {q: i for i, q in enumerate(red)}
-        self.next = [{c: number[r] for c, r in self.next[q].items()} for q in red]
-        self.logs = [{c: math.log2(n / self._total(q)) for c, n in self.count[q].items()} for q in red]
-        self.count, self.end = [self.count[q] for q in red], [self.end[q] for q in red]
+                if s[i] in self.next[at]:
+                    at = self.next[at][s[i]]
+                else:
+                    symbol = s[i]
+
+    def _agree(self, a: Counter, b: Counter) -> bool:
+        n, m = a[""], b[""]
+        if not n or not m:
+            return True
+        bound = self.bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+        return bound >= 1 or all(abs(a[x] / n - b[x] / m) <= bound for x in {*a, *b})
+
+    def grow(self, seen: dict[tuple[int, str], Counter]) -> bool:
+        """Settle the open steps (state, symbol) by what follows; without any, take over the counts and be done."""
+        known = [seen.get((q, ""), Counter()) for q in range(len(self.next))]
+        steps = sorted((x for x in seen if x[1]), key=lambda x: (-seen[x][""], x))
+        for p, c in steps:
+            read = min(self.read[p] + 1, LITERAL)              # literal symbols and classes do not mix
+            q = next((q for q, r in enumerate(self.read) if r == read and self._agree(known[q], seen[p, c])), len(self.next))
+            if q == len(self.next):
+                self.next.append({})
+                self.read.append(read)
+                known.append(Counter())
+            self.next[p][c] = q
+            known[q].update(seen[p, c])
+        if not steps:
+            self.count = [Counter({x: n for x, n in k.items() if len(x) == 1 and x != END}) for k in known]
+            self.end = [k[END] for k in known]
+            self.logs = [{c: math.log2(n / k[""]) for c, n in counts.items()} for k, counts in zip(known, self.count)]
+        return bool(steps)
 
     def log_likelihood(self, value: str) -> float:
         """Log2 probability of the characters; an unseen step costs ``UNSEEN``."""
@@ -233,42 +193,106 @@ class Automaton:
         return out
 
 
+def tallied(rows: Iterable[tuple[str, int, str]], machines: dict[Key, Automaton], found: Counter):
+    """Count (kind, half, value) in the machines of all values of the kind, and of those without the other half."""
+    for kind, half, value in rows:
+        for key in ((kind, -1), (kind, 1 - half)):
+            if key in machines:
+                machines[key].tally(value, found, key)
+
+
+def learn(keys: Iterable[Key], count: Callable[[dict[Key, Automaton]], Counter]) -> dict[Key, Automaton]:
+    """Grow machines on what ``count`` finds; a round settles one more symbol of every value at least."""
+    done = {key: Automaton() for key in keys}
+    growing = dict(done)
+    while growing:
+        seen: dict[Key, dict] = defaultdict(lambda: defaultdict(Counter))
+        for (key, at, symbol, path), n in count(growing).items():
+            seen[key][at, symbol][path] = n
+        growing = {key: machine for key, machine in growing.items() if machine.grow(seen[key])}
+    return done
+
+
+def _automaton(values: list[str]) -> Automaton:
+    """An automaton of values at hand."""
+    return learn([("", -1)], Values([("", 0, v) for v in values], []).count)["", -1]
+
+
+class Values:
+    """Labelled values (kind, half, value) and ordinary tokens at hand."""
+
+    def __init__(self, rows: list[tuple[str, int, str]], ordinary: list[str]):
+        self.rows, self.ordinary = rows, ordinary
+
+    def keys(self) -> list[Key]:
+        return sorted({key for kind, half, _ in self.rows for key in ((kind, -1), (kind, 1 - half))})
+
+    def lengths(self) -> Counter:
+        return Counter(min(len(v), LONG) for _, _, v in self.rows)
+
+    def chars(self) -> set[str]:
+        return {c for _, _, v in self.rows for c in v}
+
+    def count(self, machines: dict[Key, Automaton]) -> Counter:
+        found = Counter()
+        tallied(self.rows, machines, found)
+        return found
+
+    def classes(self, model: Model | None) -> Counter:
+        found = Counter()
+        ordinary_classes(self.ordinary, model, found)
+        return found
+
+    def cuts(self, model: Model) -> dict[str, float]:
+        found = defaultdict(list)
+        for kind, score in held_out(self.rows, model):
+            found[kind].append(score)
+        return {kind: sorted(scores)[int(HELD_SHARE * len(scores))] for kind, scores in found.items()}
+
+
+#: A token's classes count as ONE together, in whole numbers, so that the order of sums does not matter.
+ONE = 16 << 40
+
+
+def ordinary_classes(tokens: Iterable[str], model: Model | None, found: Counter):
+    """Add the tokens' classes, each token counting alike; numbers and what reaches a cut of the model are left out."""
+    for v in tokens:
+        if not v.isdecimal() and not base_spans(v) and not (model and model.credible(v)[1]):
+            for s, n in Counter(_CLASSES.get(c, c) for c in v).items():
+                found[s] += n * ONE // len(v)
+
+
+def held_out(rows: Iterable[tuple[str, int, str]], model: Model) -> Iterator[tuple[str, float]]:
+    """(kind, score) of values, each by the automaton of the other half."""
+    for kind, half, v in rows:
+        if (kind, half) in model.machines:
+            yield kind, (model.machines[kind, half].log_likelihood(v) - model._plain(v)) / len(v)
+
+
 class Model:
     """Automata and cuts per kind, and the class model of ordinary tokens."""
 
-    def __init__(self, credentials: dict[str, list[str]], ordinary: list[str]):
-        credentials = {k: values for k, values in sorted(credentials.items()) if values}
-        self.automata = {k: _automaton(values) for k, values in credentials.items()}
-        held = {k: self._held_out(values) for k, values in credentials.items()}
-        values = [v for vs in credentials.values() for v in vs]
-        self.windows = lengths_of(values)
-        self.marks = sorted({c for v in values for c in v} - set(_CLASSES))
-        pattern = candidate_pattern(values)
+    def __init__(self, credentials: dict[str, list[str]] | None = None, ordinary: list[str] = (), source: Values | None = None):
+        source = source or Values([(k, i % 2, v) for k, values in (credentials or {}).items() for i, v in enumerate(values)], ordinary)
+        self.machines = learn(source.keys(), source.count)
+        self.automata = {kind: machine for (kind, half), machine in self.machines.items() if half < 0}
+        self.windows, chars = lengths_of(source.lengths()), source.chars()
+        self.marks = sorted(chars - set(_CLASSES))
+        pattern = candidate_pattern(chars, self.windows[0]) if chars else None
         self.candidate = re.compile(pattern) if pattern else None
-        self._calibrate(ordinary, held)
-        self._calibrate([v for v in ordinary if not self.credible(v)[1]], held)
-
-    @staticmethod
-    def _held_out(values: list[str]) -> list[tuple[str, float]]:
-        """Each value with its log likelihood by the automaton of the other half."""
-        halves = values[0::2], values[1::2]
-        if not halves[1]:
-            return []
-        return [(v, other.log_likelihood(v)) for own, rest in (halves, halves[::-1])
-                for other in [_automaton(rest)] for v in own]
-
-    def _calibrate(self, ordinary: list[str], held: dict[str, list[tuple[str, float]]]):
+        for model in (None, self):                             # again without the tokens that reach a cut
+            self._calibrate(source, model)
+        self.machines = {}
+
+    def _calibrate(self, source: Values, model: Model | None):
         """Set the class model (each token counts alike, whatever its length) and the cuts."""
         tally = Counter([*_CLASS_SIZE, *"+/_=-", *self.marks])
-        for v in (v for v in ordinary if not v.isdecimal()):
-            for s, n in Counter(_CLASSES.get(c, c) for c in v).items():
-                tally[s] += n * 16 / len(v)
-        total = sum(tally.values())
+        for s, n in source.classes(model).items():
+            tally[s] += n / (ONE // 16)
+        total = sum(n for _, n in sorted(tally.items()))
         self.ordinary = {s: math.log2(n / total) - _CLASS_BITS.get(s, 0.0) for s, n in tally.items()}
-        self.cuts = {}
-        for kind, found in held.items():
-            scores = sorted((bits - self._plain(v)) / len(v) for v, bits in found)
-            self.cuts[kind] = max([LEAST_BITS, *scores[int(HELD_SHARE * len(scores)):][:1]])
+        held = source.cuts(self) if self.automata else {}
+        self.cuts = {kind: max(LEAST_BITS, held.get(kind, LEAST_BITS)) for kind in self.automata}
 
     def _plain(self, value: str) -> float:
         """Log2 probability as an ordinary token."""
@@ -310,8 +334,101 @@ class Model:
         return sorted(taken) or whole
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """Fit on the values that base patterns label and on ordinary tokens of all ``docs`` (bounded samples)."""
+def _tally_with(machines: dict[Key, Automaton]):
+    def rows(found):
+        keys = list(found)
+        kind, held, at, symbol, path = zip(*[(*k, *rest) for k, *rest in keys]) if keys else ((),) * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind, pa.string()), pa.array(held, pa.int32()), pa.array(at, pa.int32()), pa.array(symbol, pa.string()),
+             pa.array(path, pa.string()), pa.array(list(found.values()), pa.int64())], names=["kind", "held", "at", "symbol", "path", "n"])
+
+    def run(batches):
+        found = Counter()
+        for batch in batches:
+            tallied(zip(*(c.to_pylist() for c in batch.columns)), machines, found)
+            if len(found) > 200_000:
+                yield rows(found)
+                found = Counter()
+        yield rows(found)
+    return run
+
+
+def _classes_with(model: Model | None):
+    def run(batches):
+        found = Counter()
+        for batch in batches:
+            ordinary_classes(batch.column(0).to_pylist(), model, found)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([str(n) for n in found.values()], pa.string())],
+                                         names=["symbol", "n"])
+    return run
+
+
+def _held_with(model: Model):
+    def run(batches):
+        for batch in batches:
+            found = list(held_out(zip(*(c.to_pylist() for c in batch.columns)), model))
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
+                                             names=["kind", "score"])
+    return run
+
+
+#: Scores that the driver takes to pick one of them by its rank; more are narrowed first.
+PICKED, BINS = 1000, 256
+
+
+def by_rank(frame: DataFrame, column: str, rank: int) -> float:
+    """The value of that rank (from 0): the rows are narrowed to the bin that holds it until few or equal ones are left."""
+    c = F.col(column)
+    while True:
+        low, high, n = frame.agg(F.min(c), F.max(c), F.count(c)).first()
+        width = (high - low) / BINS
+        if n <= PICKED or not width:
+            break
+        place = F.least(F.floor((c - F.lit(low)) / F.lit(width)), F.lit(BINS - 1))
+        for b, n in sorted(frame.groupBy(place.alias("b")).count().collect()):
+            if rank < n:
+                frame = frame.filter(place == b)
+                break
+            rank -= n
+    return sorted(r[0] for r in frame.select(c).collect())[rank] if n <= PICKED else low
+
+
+class SpreadValues(Values):
+    """Labelled values and ordinary tokens in tables: ``kind``, ``half``, ``v``; ``v``."""
+
+    def __init__(self, values: DataFrame, tokens: DataFrame):
+        self.values, self.tokens = values, tokens
+
+    def keys(self) -> list[Key]:
+        found = self.values.select("kind", "half").distinct().collect()
+        return sorted({key for r in found for key in ((r["kind"], -1), (r["kind"], 1 - r["half"]))})
+
+    def lengths(self) -> Counter:
+        return Counter(dict(self.values.groupBy(F.least(F.length("v"), F.lit(LONG))).count().collect()))
+
+    def chars(self) -> set[str]:
+        return {r[0] for r in self.values.select(F.explode(F.split("v", ""))).distinct().collect()} - {""}
+
+    def count(self, machines: dict[Key, Automaton]) -> Counter:
+        found = (self.values.mapInArrow(_tally_with(machines), "kind string, held int, at int, symbol string, path string, n long")
+                 .groupBy("kind", "held", "at", "symbol", "path").agg(F.sum("n").alias("n")))
+        return Counter({((r[0], r[1]), r[2], r[3], r[4]): r[5] for r in found.collect()})
+
+    def classes(self, model: Model | None) -> Counter:
+        found = self.tokens.mapInArrow(_classes_with(model), "symbol string, n string")
+        return Counter({s: int(n) for s, n in found.groupBy("symbol").agg(F.sum(F.col("n").cast("decimal(38,0)"))).collect()})
+
+    def cuts(self, model: Model) -> dict[str, float]:
+        scores = written(self.values.mapInArrow(_held_with(model), "kind string, score double"), "scores")
+        return {kind: by_rank(scores.filter(F.col("kind") == kind), "score", int(HELD_SHARE * n))
+                for kind, n in scores.groupBy("kind").count().collect()}
+
+
+def fit(docs: DataFrame, text_col: str = "text", sample: int | None = None) -> Model:
+    """Fit on all values that base patterns label and all ordinary tokens of ``docs``.
+
+    A ``sample`` asks for so many of each kind, those with the smallest hashes; the registered query asks for none."""
+    ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     assign = "(?i)" + PATTERNS["assign"]
     patterns = {"assign": (assign, 2), "access": ("AKIA[A-Z0-9]{16,}", 0), "hex": ("[0-9a-f]{24,}", 0)}
@@ -319,21 +436,23 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
     def matches(kind, pattern, group):
         return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)),
                            lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("v")))
-    found = (docs.select(F.explode(F.concat(*[matches(kind, *p) for kind, p in patterns.items()])).alias("x"))
-             .select("x.kind", "x.v").filter((F.col("kind") != "assign") | (F.length("v") >= 6)))
-    found = written(found.groupBy("v").agg(F.collect_set("kind").alias("kinds")), "values")      # read once per kind
 
     def some(frame):
-        return [r["v"] for r in frame.orderBy(F.xxhash64("v"), "v").limit(sample).collect()]
-    labels = {kind: some(found.filter(F.array_contains("kinds", kind))) for kind in patterns}
-    values = [v for vs in labels.values() for v in vs]
-    if not values:
-        return Model({}, [])
-    pattern = candidate_pattern(values, min(ORDINARY, lengths_of(values)[0]))      # words, too, where labels are long
+        return frame if sample is None else frame.orderBy(F.xxhash64("v"), "v").limit(sample)
+    found = (docs.select(F.explode(F.concat(*[matches(kind, *p) for kind, p in patterns.items()])).alias("x"))
+             .select("x.kind", "x.v").filter((F.col("kind") != "assign") | (F.length("v") >= 6)).distinct())
+    half = F.pmod(F.xxhash64("v", F.lit(1)), F.lit(2)).cast("int")
+    found = written(found.select("kind", half.alias("half"), "v"), "values")
+    labels = found if sample is None else reduce(DataFrame.unionByName, [some(found.filter(F.col("kind") == k)) for k in patterns])
+    source = SpreadValues(labels, labels.select("v"))
+    chars = source.chars()
+    if not chars:
+        return Model()
+    pattern = candidate_pattern(chars, min(ORDINARY, lengths_of(source.lengths())[0]))      # words, too, where labels are long
     tokens = docs.select(F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("v")).distinct()
-    ordinary = some(tokens.join(found.select("v"), "v", "left_anti")
-                    .filter(~F.col("v").rlike(f"{patterns['access'][0]}|{patterns['hex'][0]}")))
-    return Model(labels, [v for v in ordinary if not base_spans(v)])
+    source.tokens = written(some(tokens.join(found.select("v"), "v", "left_anti")
+                                 .filter(~F.col("v").rlike(f"{patterns['access'][0]}|{patterns['hex'][0]}"))), "tokens")
+    return Model(source=source)
 
 
 def _outside(start: int, end: int, taken: list[tuple[int, int]], first: int) -> Iterator[tuple[int, int]]:

@@ -675,3 +675,22 @@ def test_shards_are_written_whole(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards")).collect()
     shown = lambda rs: sorted((str(r[0]), r[1] or "") for r in rs)
     assert shown([(r.doc_id, r.text) for r in back]) == shown(rows)
+
+
+def test_secret_model_is_fitted_on_all_values(spark, monkeypatch):
+    """Counts, cuts and classes are of every value and token, the same from tables as from values at hand."""
+    rng = random.Random(21)
+    hexes = [f"{rng.getrandbits(128):032x}" for _ in range(900)]
+    words = ["".join(rng.choice(["tion", "ment", "heit", "lich", "ing", "ver"]) for _ in range(6)) for _ in range(500)]
+    found = secret_scan.fit(docs_of(spark, [f"x {h} y" for h in hexes] + words))
+    assert sum(found.automata["hex"].end) == 900 and sum(sum(c.values()) for c in found.automata["hex"].count) == 900 * 32
+    halves = [r[0] for r in spark.createDataFrame([(h,) for h in hexes], "v string").select(
+        F.pmod(F.xxhash64("v", F.lit(1)), F.lit(2)).cast("int")).collect()]
+    same = secret_scan.Model(source=secret_scan.Values([("hex", k, h) for k, h in zip(halves, hexes)], sorted(set(words))))
+    assert (found.cuts, found.ordinary, found.windows) == (same.cuts, same.ordinary, same.windows)
+    assert [m.next for m in found.automata.values()] == [m.next for m in same.automata.values()]
+    assert found.credible(hexes[0])[1] and not found.credible(words[0])[1]
+    monkeypatch.setattr(secret_scan, "PICKED", 5)
+    scores = [rng.choice([rng.random(), 0.25, 1e9]) for _ in range(500)]
+    frame = spark.createDataFrame([(x,) for x in scores], "score double")
+    assert [secret_scan.by_rank(frame, "score", k) for k in (0, 25, 250, 499)] == [sorted(scores)[k] for k in (0, 25, 250, 499)]
