@@ -176,26 +176,32 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = THRESHOLD_PERCENT
             .mapInArrow(_verify_with(percent), f"hub {kind}, member {kind}"))
 
 
+def _starred(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` and no ``v`` is a ``u``: the edges are the components then."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("root")))).alias("e"))
+    odd = ends.groupBy("e.node").agg(F.sum("e.child").alias("n"), F.max("e.root").alias("root")).filter("n > 1 or n = 1 and root = 1")
+    return odd.agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def connected(links: DataFrame, left: str, right: str) -> DataFrame:
-    """``node``, ``component`` (its smallest node) for every node that has a link."""
-    edges = written(links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
-                    .filter("u > v").distinct(), "edges")
-    before = None
-    while True:
+    """``node``, ``component`` (its smallest node) for every node that has a link.
+
+    ``links`` is read several times: a written table.
+    """
+    edges = links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).filter("u > v")
+    while not _starred(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("low"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        joined = large.join(low, "u")
-        small = (joined.filter("v > low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-                 .unionByName(low.select("u", F.col("low").alias("v")))).distinct()
-        edges = written(small, "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
-            break
-        before = tuple(now)
-    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        joined = large.join(large.groupBy("u").agg(F.min("v").alias("low")), "u")
+        own = F.struct("u", F.col("low").alias("v"))
+        small = F.array(own, F.when(F.col("v") > F.col("low"), F.struct(F.col("v").alias("u"), F.col("low").alias("v"))).otherwise(own))
+        edges = written(joined.select(F.explode(small).alias("e")).select("e.u", "e.v").distinct(), "edges")
+    # grouped by node, so that joins by it need no further shuffle
+    named = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")),
+                    F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return edges.select(F.explode(named).alias("e")).groupBy("e.node").agg(F.min("e.component").alias("component"))
 
 
 def _compare_blocks_with(percent: int):
@@ -219,17 +225,17 @@ def _compare_blocks_with(percent: int):
 def cross_links(pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """Verified links between members of one hub's group that lie in different components so far."""
     kind = sets.schema["doc_id"].dataType.simpleString()
-    group = (pairs.select("hub", F.col("member").alias("doc_id"))
-             .unionByName(pairs.select("hub", F.col("hub").alias("doc_id")).distinct()))
-    labelled = (group.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                .withColumn("component", F.coalesce("component", "doc_id")))
     central = labels.select(F.col("node").alias("hub"), F.col("component").alias("central"))
-    labelled = (labelled.join(central, "hub", "left")
-                .withColumn("own", F.col("component") == F.coalesce("central", "hub")))
+    labelled = (pairs.withColumnRenamed("member", "doc_id").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                .join(central, "hub", "left").select("hub", "doc_id", F.coalesce("component", "doc_id").alias("component"),
+                                                     F.coalesce("central", "hub").alias("central")))
     # A group of which every other member is linked to the hub, or with one member left, needs nothing more.
-    open_groups = (labelled.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("own")).alias("left"))
-                   .filter("left > 0 and n > 2").select("hub"))
-    members = labelled.join(open_groups, "hub").select("hub", "doc_id", "component", "own")
+    groups = (labelled.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("component") != F.col("central")).alias("left"),
+                                          F.min("central").alias("central")).filter("left > 0 and n > 1"))
+    members = (labelled.drop("central").join(groups.select("hub", "central"), "hub")
+               .select("hub", "doc_id", "component", (F.col("component") == F.col("central")).alias("own"))
+               .unionByName(groups.select("hub", F.col("hub").alias("doc_id"), F.col("central").alias("component"),
+                                          F.lit(True).alias("own"))))
     weight = F.octet_length("shingles") / F.lit(8)
     members = members.join(sets, "doc_id").withColumn(
         "size_class", F.floor(F.log(F.greatest(weight, F.lit(1.0))) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int"))
@@ -257,11 +263,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` (the component's smallest id)."""
     ship_package(docs.sparkSession)
     all_rows = written(sketches(docs, id_col, text_col), "sketches")
-    groups = (all_rows.filter("set_key is not null and doc_id is not null").groupBy("set_key")
-              .agg(F.min("doc_id").alias("first_id")))
-    first = (all_rows.join(groups, (all_rows.set_key == groups.set_key) & (all_rows.doc_id == groups.first_id),
-                           "left_semi").dropDuplicates(["set_key"]))
-    reps = written(first, "representatives")
+    # equal sets have equal sketches: any of them stands for all
+    reps = written(all_rows.filter("set_key is not null and doc_id is not null").groupBy("set_key")
+                   .agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("small", "large")]), "representatives")
+    groups = reps.select("set_key", F.col("doc_id").alias("first_id"))
     pairs = written(hub_pairs(band_rows(reps)), "pairs")
 
     wanted = written(pairs.select(F.col("hub").alias("doc_id")).unionByName(pairs.select(F.col("member").alias("doc_id")))
@@ -275,10 +280,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .dropDuplicates(["doc_id"]), "sets")
 
     links = written(verified(pairs, sets, percent), "links")
-    labels = connected(links, "hub", "member")
+    labels = written(connected(links, "hub", "member"), "labels")
     more = written(cross_links(pairs, sets, labels, percent), "more")
     if more.take(1):
-        labels = connected(links.unionByName(more), "hub", "member")
+        found = labels.select(F.col("node").alias("hub"), F.col("component").alias("member"))
+        labels = connected(found.unionByName(more), "hub", "member")
 
     owner = groups.join(labels, groups.first_id == labels.node, "left").select(
         "set_key", F.coalesce("component", "first_id").alias("component_id"))
