@@ -253,10 +253,12 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {int(r[0]): int(r[1]) for r in cut.groupBy("length").count().collect()}      # at most ``capacity`` rows
     table = place_table(plan_patterns(counts, capacity))
     order = [c for c in ("doc_id", "piece", "ids_crc32") if c in cut.columns]
-    numbered = ranked(cut, "length", order, "rank", salt_count(sum(counts.values()), least=16))
+    rows = sum(counts.values())
+    numbered = ranked(cut, "length", order, "rank", salt_count(rows, least=16))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
     ship_package(spark)
-    return (numbered.select(*cut.columns, "rank")
+    # no more tasks, and files that they write, than the rows need
+    return (numbered.select(*cut.columns, "rank").coalesce(salt_count(rows, least=spark.sparkContext.defaultParallelism))
             .mapInArrow(_place_with(table), f"{fields}, sequence_id long, offset long"))
 
 

@@ -268,3 +268,41 @@ def test_a_python_batch_is_bounded_by_bytes(spark):
         assert configure(spark).conf.get(BATCH) == "8m"
     finally:
         spark.conf.set(BATCH, kept)
+
+
+def test_a_scan_of_texts_decodes_few_rows_at_once(spark):
+    """Column vectors of long texts stay small, unless the session sets its own number of rows."""
+    from engagelake.session import SCAN, configure
+    kept = spark.conf.get(SCAN)
+    try:
+        spark.conf.unset(SCAN)
+        assert int(configure(spark).conf.get(SCAN)) <= 512
+        spark.conf.set(SCAN, "1024")
+        assert configure(spark).conf.get(SCAN) == "1024"
+    finally:
+        spark.conf.set(SCAN, kept)
+
+
+def test_packing_of_few_rows_takes_few_tasks(spark):
+    """Many shuffle partitions, not coalesced, do not make as many tasks and files of a small result."""
+    from engagelake.llm import packing
+    from engagelake.llm.common import written
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    kept = [spark.conf.get(n) for n in names]
+    cut = spark.createDataFrame([(i, 0, 0, 100 + i % 50, i) for i in range(200)],
+                                "doc_id long, piece int, start long, length long, ids_crc32 long")
+    try:
+        spark.conf.set(names[0], "64")
+        spark.conf.set(names[1], "false")
+        got = packing.pack(written(cut, "cut"))
+        assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        rows = got.collect()
+    finally:
+        for n, value in zip(names, kept):
+            spark.conf.set(n, value)
+    assert sorted(r.doc_id for r in rows) == list(range(200))
+    used = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used.get(r.sequence_id, 0)
+        used[r.sequence_id] = r.offset + r.length
+    assert max(used.values()) <= packing.CAPACITY and len(used) == -(-sum(r.length for r in rows) // packing.CAPACITY)
