@@ -109,7 +109,8 @@ def band_rows(sketched: DataFrame) -> DataFrame:
 def hub_pairs(bands: DataFrame) -> DataFrame:
     """Distinct (``hub``, ``member``) pairs: in each bucket every member meets the hub."""
     size = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = written(bands.join(size, "band"), "shared")
+    # few rows for the tasks that find them: brought together, else each task writes a file of its own
+    shared = written(bands.join(size, "band").hint("rebalance"), "shared")
     weight = shared.groupBy("doc_id").agg(F.sum(F.log2("n")).alias("weight"))
     weighed = shared.join(weight, "doc_id")
     hubs = weighed.groupBy("band").agg(F.max_by("doc_id", F.struct("weight", "doc_id")).alias("hub"))
@@ -279,7 +280,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = written(chosen.mapInArrow(_sets, f"doc_id {kind}, small binary, large binary, shingles binary")
                    .dropDuplicates(["doc_id"]), "sets")
 
-    links = written(verified(pairs, sets, percent), "links")
+    links = written(verified(pairs, sets, percent).hint("rebalance"), "links")
     labels = written(connected(links, "hub", "member"), "labels")
     more = written(cross_links(pairs, sets, labels, percent), "more")
     if more.take(1):
