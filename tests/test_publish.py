@@ -165,6 +165,34 @@ def test_upsert_reads_only_touched_partitions_and_its_keys_buckets(spark, tmp_pa
     assert rows["k0"] == (d[1], 100) and rows["k2"] == (d[2], 102) and rows["new"] == (None, 1) and len(rows) == 31
 
 
+@pytest.mark.parametrize("broadcast,hashed", [("10m", 4_000_000), ("-1", 4_000_000), ("-1", 0)])
+def test_merge_keeps_no_copy_of_its_rows_and_reads_its_index_once(spark, tmp_path, monkeypatch, broadcast, hashed):
+    """The same by each way to look keys up: broadcast, hashed in the tasks of a shuffle, sorted."""
+    path = str(tmp_path / "t")
+    d = days(4)
+    cap = "spark.sql.autoBroadcastJoinThreshold"
+    monkeypatch.setattr(INC, "PLACES_TO_HASH", hashed, raising=False)
+    first = spark.createDataFrame([*[(f"k{i}", d[i % 3], i, 1) for i in range(12)], (None, d[0], 50, 1)], KEYED)
+    kept, real = [], type(first).checkpoint
+    monkeypatch.setattr(type(first), "checkpoint", lambda self, eager=True: kept.append(self) or real(self, eager))
+    before = spark.conf.get(cap)
+    spark.conf.set(cap, broadcast)
+    try:
+        INC.upsert_latest(spark, first, path, ["k"], "ts", ["d"])
+        new = [("k0", d[3], 100, 2), ("k1", d[1], 101, 2), ("k2", d[2], 102, 0), ("n", None, 7, 1), (None, d[3], 51, 2)]
+        touched = INC.upsert_latest(spark, spark.createDataFrame(new, KEYED), path, ["k"], "ts", ["d"])
+    finally:
+        spark.conf.set(cap, before)
+    assert not [frame.columns for frame in kept if "v" in frame.columns]
+    scans = [frame._jdf.queryExecution().optimizedPlan().toString().count("parquet") for frame in kept]
+    assert max(scans) == 1 and sum(scans) == 1
+    assert {r.d for r in touched.collect()} == {*d, None}
+    rows = {r.k: (r.d, r.v) for r in spark.read.schema(KEYED).parquet(path).collect()}
+    assert rows == {**{f"k{i}": (d[i % 3], i) for i in range(2, 12)}, "k0": (d[3], 100), "k1": (d[1], 101), "n": (None, 7), None: (d[3], 51)}
+    places = sorted(map(tuple, spark.read.parquet(f"{path}.keys").select("k", "d").collect()), key=str)
+    assert places == sorted([*[(f"k{i}", d[i % 3]) for i in range(12)], (None, d[0]), ("k0", d[3]), ("n", None), (None, d[3])], key=str)
+
+
 def test_key_index_is_built_for_an_older_table_and_rebuilt(spark, tmp_path):
     path = str(tmp_path / "t")
     d = days(3)
